@@ -7,6 +7,9 @@ iterative fit (ALS) have no entry and are checked by row count only.
 
 from __future__ import annotations
 
+# Doubles are rounded as floor(x * 1e9 + 0.5) / 1e9 on both sides: the same formula
+# gives the same bits in both engines, unlike the two engines' own round().
+
 CUST = """
 cust AS (
   SELECT o.o_custkey AS basket, l.l_partkey AS item,
@@ -125,7 +128,8 @@ model AS (
   SELECT item, cand_rank, popularity_score / (SELECT max(popularity_score) FROM fallback) AS model_score
   FROM ranked WHERE cand_rank <= 100),
 cands AS (
-  SELECT b.basket, m.item, m.model_score, coalesce(round(p.popularity_score, 9), 0.0::DOUBLE) AS popularity_score
+  SELECT b.basket, m.item, m.model_score, coalesce(floor(p.popularity_score * 4294967296.0 + 0.5) / 4294967296.0, 0.0::DOUBLE)
+         AS popularity_score
   FROM (SELECT DISTINCT basket FROM test) b JOIN model m ON m.cand_rank <= 100
   LEFT JOIN pop p ON p.item = m.item),
 blended AS (
@@ -170,7 +174,7 @@ ORACLE: dict[str, str] = {
               FROM ord)"""),
     "implicit_rating": _with(SPLIT, """
         SELECT basket, item, position,
-               round(greatest(1.0::DOUBLE, 5.0::DOUBLE - ln(position + 1)), 9) AS implicit_rating
+               (floor((greatest(1.0::DOUBLE, 5.0::DOUBLE - ln(position + 1))) * 1e9 + 0.5) / 1e9) AS implicit_rating
         FROM train"""),
     "basket_sizes": _with(MIX, "SELECT basket, basket_size FROM sizes"),
     "size_bands": _with(MIX, "SELECT basket, basket_size, band FROM bands WHERE band IS NOT NULL"),
@@ -190,11 +194,11 @@ ORACLE: dict[str, str] = {
         SELECT basket, item, position FROM train
         WHERE {_keep('0.3::DOUBLE', 'CAST(basket AS VARCHAR), CAST(position AS VARCHAR)')}"""),
     "popularity_features": _with(SPLIT + "," + POPULARITY, """
-        SELECT item, frequency, unique_baskets, round(avg_rating, 9) AS avg_rating, early_position_count,
-               round(avg_position, 9) AS avg_position, round(stddev_position, 9) AS stddev_position
+        SELECT item, frequency, unique_baskets, (floor((avg_rating) * 1e9 + 0.5) / 1e9) AS avg_rating, early_position_count,
+               (floor((avg_position) * 1e9 + 0.5) / 1e9) AS avg_position, (floor((stddev_position) * 1e9 + 0.5) / 1e9) AS stddev_position
         FROM pop"""),
     "popularity_score": _with(SPLIT + "," + POPULARITY,
-                              "SELECT item, round(popularity_score, 9) AS popularity_score FROM pop"),
+                              "SELECT item, (floor((popularity_score) * 1e9 + 0.5) / 1e9) AS popularity_score FROM pop"),
     "cooccurrence": _with(SPLIT + f""",
         capped AS (SELECT basket FROM train GROUP BY basket HAVING count(item) BETWEEN 5 AND 200),
         kept AS (SELECT basket, item FROM train
@@ -221,10 +225,11 @@ ORACLE: dict[str, str] = {
                             "SELECT item, popularity_score, cand_rank FROM ranked WHERE cand_rank <= 10000"),
     "recs_unseen": _with(RECS, "SELECT basket, item, rank FROM recs"),
     "hybrid_rank": _with(HYBRID, """
-        SELECT basket, item, round(model_score, 9) AS model_score, popularity_score,
-               round(final_score, 9) AS final_score, rank FROM hybrid"""),
+        SELECT basket, item, (floor((model_score) * 1e9 + 0.5) / 1e9) AS model_score,
+               (floor((popularity_score) * 1e9 + 0.5) / 1e9) AS popularity_score,
+               (floor((final_score) * 1e9 + 0.5) / 1e9) AS final_score, rank FROM hybrid"""),
     "rec_scores": _with(HYBRID, """
-        SELECT item, round(avg(final_score), 9) AS popularity_score, count(basket) AS frequency
+        SELECT item, (floor((avg(final_score)) * 1e9 + 0.5) / 1e9) AS popularity_score, count(basket) AS frequency
         FROM hybrid GROUP BY item"""),
     "hits": _with(RECS, "SELECT basket, item, rank FROM hits"),
     "metrics_at_k": _with(RECS + """,
@@ -232,16 +237,16 @@ ORACLE: dict[str, str] = {
         nb AS (SELECT count(DISTINCT basket) AS n FROM test),
         nt AS (SELECT count(*) AS n FROM truth)""", """
         SELECT CAST(ks.k AS INTEGER) AS k, count(h.rank) AS hits,
-               round(count(h.rank)::DOUBLE / ((SELECT n FROM nb) * ks.k), 9) AS precision,
-               round(count(h.rank)::DOUBLE / (SELECT n FROM nt), 9) AS recall,
-               round(count(DISTINCT h.basket)::DOUBLE / (SELECT n FROM nb), 9) AS coverage
+               (floor((count(h.rank)::DOUBLE / ((SELECT n FROM nb) * ks.k)) * 1e9 + 0.5) / 1e9) AS precision,
+               (floor((count(h.rank)::DOUBLE / (SELECT n FROM nt)) * 1e9 + 0.5) / 1e9) AS recall,
+               (floor((count(DISTINCT h.basket)::DOUBLE / (SELECT n FROM nb)) * 1e9 + 0.5) / 1e9) AS coverage
         FROM ks LEFT JOIN hits h ON h.rank <= ks.k
         GROUP BY ks.k"""),
-    "average_precision": _with(RECS, "SELECT basket, round(average_precision, 9) AS average_precision FROM aps"),
-    "map_at_100": _with(RECS, "SELECT round(map, 9) AS map, baskets, baskets_with_hits FROM mapv"),
+    "average_precision": _with(RECS, "SELECT basket, (floor((average_precision) * 1e9 + 0.5) / 1e9) AS average_precision FROM aps"),
+    "map_at_100": _with(RECS, "SELECT (floor((map) * 1e9 + 0.5) / 1e9) AS map, baskets, baskets_with_hits FROM mapv"),
     "quality_tier": _with(RECS, """
-        SELECT round(map, 9) AS map,
-               round(CASE WHEN map > 0.005 THEN (map - 0.005) / 0.005 * 100.0 END, 6) AS improvement,
+        SELECT (floor((map) * 1e9 + 0.5) / 1e9) AS map,
+               (floor((CASE WHEN map > 0.005 THEN (map - 0.005) / 0.005 * 100.0 END) * 1e6 + 0.5) / 1e6) AS improvement,
                CASE WHEN map > 0.020 THEN 'EXCELLENT' WHEN map > 0.015 THEN 'VERY GOOD'
                     WHEN map > 0.010 THEN 'GOOD' WHEN map > 0.005 THEN 'ACCEPTABLE'
                     ELSE 'NEEDS IMPROVEMENT' END AS tier

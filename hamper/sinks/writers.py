@@ -23,8 +23,8 @@ def recommendation_lists(recs: DataFrame, baskets: DataFrame | None = None, bask
     listed basket appears, an empty list (count 0) when it got no recommendation.
     """
     lists = (recs.groupBy(basket)
-             .agg(F.sort_array(F.collect_list(F.struct(F.col(rank), F.col(item).cast("string")))).alias("_l"))
-             .select(basket, F.transform("_l", lambda s: s[item]).alias("recommended_tracks")))
+             .agg(F.sort_array(F.collect_list(F.struct(F.col(rank).alias("_k"), F.col(item).cast("string").alias("_v")))).alias("_l"))
+             .select(basket, F.transform("_l", lambda s: s["_v"]).alias("recommended_tracks")))
     if baskets is not None:
         lists = baskets.select(basket).distinct().join(lists, basket, "left")
     items = F.coalesce(F.col("recommended_tracks"), F.array().cast(T.ArrayType(T.StringType())))

@@ -79,7 +79,10 @@ def read_request_baskets(spark: SparkSession, path: str, pattern: str | None = N
     fields = [f.name for f in REQUEST_SCHEMA.fields]
     wrapped = raw.where(F.col("playlists").isNotNull()) \
         .select(F.explode("playlists").alias("_r"), "_file").select("_r.*", "_file")
-    direct = raw.where(F.col("playlists").isNull() & F.coalesce(*[F.col(c).isNotNull() for c in fields])) \
+    present = F.col(fields[0]).isNotNull()
+    for c in fields[1:]:
+        present = present | F.col(c).isNotNull()
+    direct = raw.where(F.col("playlists").isNull() & present) \
         .select(*fields, "_file")
     rows = wrapped.unionByName(direct)
     fallback_id = F.concat(F.lit("unknown_"), F.xxhash64("_file", F.to_json(F.struct(*fields))).cast("string"))
