@@ -19,39 +19,45 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from hamper.session import materialize, shuffle_partitions
 
 # Partition number stamped into the rows before materialising: task partition ids are
 # renumbered when the result is later unioned, the stamped column is not.
 _PID = "__hamper_pid"
+MATERIALIZE_CONF = "hamper.materialize"
 
 
 def _same_key(a: tuple, b: tuple) -> bool:
     return all((x is None and y is None) or (x is not None and y is not None and x == y) for x, y in zip(a, b))
 
 
-def _row_key(pdf: pd.DataFrame, gcols: Sequence[str], i: int) -> tuple:
-    return tuple(None if pd.isna(v) else v for v in (pdf[c].iat[i] for c in gcols))
+def _key_arrays(batch: pa.RecordBatch, gcols: Sequence[str]) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in gcols]
 
 
-def _run_starts(pdf: pd.DataFrame, gcols: Sequence[str], prev: tuple | None) -> np.ndarray:
+def _row_key(arrays: list[np.ndarray], i: int) -> tuple:
+    return tuple(None if pd.isna(a[i]) else a[i] for a in arrays)
+
+
+def _run_starts(arrays: list[np.ndarray], n: int, prev: tuple | None) -> np.ndarray:
     """Flag rows whose group differs from the row before (row 0 is compared with ``prev``)."""
-    n = len(pdf)
     starts = np.zeros(n, dtype=bool)
-    if not gcols:
+    if not arrays:
         if prev is None:
             starts[0] = True
         return starts
-    for c in gcols:
-        a = pdf[c].to_numpy()
+    for a in arrays:
         na = pd.isna(a)
         same = (a[1:] == a[:-1]) | (na[1:] & na[:-1])
         starts[1:] |= ~np.asarray(same, dtype=bool)
-    starts[0] = prev is None or not _same_key(_row_key(pdf, gcols, 0), prev)
+    starts[0] = prev is None or not _same_key(_row_key(arrays, 0), prev)
     return starts
 
 
@@ -69,21 +75,24 @@ def _edge_schema(df: DataFrame, gcols: Sequence[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def _edge_stats_fn(gcols: Sequence[str]):
+def _edge_stats_fn(gcols: Sequence[str], schema: T.StructType):
+    arrow_schema = to_arrow_schema(schema)
+
     def run(batches):
         pid = None
         n = 0
         first_key = last_key = prev = None
         first_len = None
         cur = 0
-        for pdf in batches:
-            m = len(pdf)
+        for batch in batches:
+            m = batch.num_rows
             if m == 0:
                 continue
-            starts = np.flatnonzero(_run_starts(pdf, gcols, prev))
+            arrays = _key_arrays(batch, gcols)
+            starts = np.flatnonzero(_run_starts(arrays, m, prev))
             if first_key is None:
-                first_key = _row_key(pdf, gcols, 0)
-                pid = int(pdf[_PID].iat[0])
+                first_key = _row_key(arrays, 0)
+                pid = batch.column(_PID)[0].as_py()
             if len(starts) == 0:
                 cur += m
             else:
@@ -94,7 +103,7 @@ def _edge_stats_fn(gcols: Sequence[str]):
                         first_len = int(starts[1] - starts[0])
                 cur = m - int(starts[-1])
             n += m
-            prev = last_key = _row_key(pdf, gcols, m - 1)
+            prev = last_key = _row_key(arrays, m - 1)
         if n == 0:
             return
         single = first_len is None
@@ -103,7 +112,7 @@ def _edge_stats_fn(gcols: Sequence[str]):
         for i in range(len(gcols)):
             row[f"_f{i}"] = [first_key[i]]
             row[f"_l{i}"] = [last_key[i]]
-        yield pd.DataFrame(row)
+        yield pa.RecordBatch.from_pydict(row, schema=arrow_schema)
 
     return run
 
@@ -127,14 +136,23 @@ def _carries(edges: list, k: int) -> dict:
             for j, r in enumerate(edges)}
 
 
-def _number_fn(gcols: Sequence[str], info: dict, rank_col: str, size_col: str | None):
+def _number_fn(gcols: Sequence[str], info: dict, rank_col: str, size_col: str | None, out_names: list[str]):
+    """Second pass over Arrow batches: only the group columns are converted; every other
+    column passes through as Arrow buffers with the new columns appended."""
+
+    def emit(batch: pa.RecordBatch, extra: dict) -> pa.RecordBatch:
+        cols = [batch.column(c) for c in out_names[: -len(extra)]]
+        cols += [pa.array(v, type=pa.int64()) for v in extra.values()]
+        return pa.RecordBatch.from_arrays(cols, names=out_names)
+
     def run(batches):
-        for pdf in batches:
-            if len(pdf):
+        batches = iter(batches)
+        for first in batches:
+            if first.num_rows:
                 break
         else:
             return  # empty partition
-        pid = int(pdf[_PID].iat[0])
+        pid = first.column(_PID)[0].as_py()
         n_tot, n_first, n_last, single, cin, cout = info[pid]
         last_start = n_tot - n_last
         first_size = cin + n_first + (cout if single else 0)
@@ -142,21 +160,22 @@ def _number_fn(gcols: Sequence[str], info: dict, rank_col: str, size_col: str |
         g0 = 0
         run_start = 0
         prev = None
-        held: list[pd.DataFrame] = []
-        for pdf in itertools.chain([pdf], batches):
-            pdf = pdf.drop(columns=[_PID])
-            m = len(pdf)
+        held: list[tuple[pa.RecordBatch, np.ndarray]] = []
+        for batch in itertools.chain([first], batches):
+            m = batch.num_rows
             if m == 0:
                 continue
-            st = _run_starts(pdf, gcols, prev)
+            arrays = _key_arrays(batch, gcols)
+            st = _run_starts(arrays, m, prev)
             if g0 == 0:
                 st[0] = False  # the partition opens inside its first run
             gi = g0 + np.arange(m, dtype=np.int64)
             rs = np.maximum.accumulate(np.where(st, gi, -1))
             rs = np.where(rs < 0, run_start, rs)
             rank = gi - rs + 1 + np.where(rs == 0, cin, 0)
-            out = pdf.assign(**{rank_col: rank})
-            if size_col is not None:
+            if size_col is None:
+                yield emit(batch, {rank_col: rank})
+            else:
                 size = np.full(m, -1, dtype=np.int64)
                 size[rs == 0] = first_size
                 size[rs == last_start] = last_size
@@ -171,18 +190,20 @@ def _number_fn(gcols: Sequence[str], info: dict, rank_col: str, size_col: str |
                 size[closed] = (ends - rs)[closed]
                 if held and len(sidx):
                     hsize = g0 + int(sidx[0]) - run_start
-                    for h in held:
-                        yield h.assign(**{size_col: np.int64(hsize)})
+                    for hb, hrank in held:
+                        yield emit(hb, {rank_col: hrank, size_col: np.full(hb.num_rows, hsize, dtype=np.int64)})
                     held = []
-                out = out.assign(**{size_col: size})
                 still_open = mid & (ends < 0)
                 if still_open.any():
-                    held.append(out[still_open])
-                    out = out[~still_open]
-            if len(out):
-                yield out
+                    keep = pa.array(still_open)
+                    held.append((batch.filter(keep), rank[still_open]))
+                    done = ~still_open
+                    if done.any():
+                        yield emit(batch.filter(pa.array(done)), {rank_col: rank[done], size_col: size[done]})
+                else:
+                    yield emit(batch, {rank_col: rank, size_col: size})
             run_start = int(rs[-1])
-            prev = _row_key(pdf, gcols, m - 1)
+            prev = _row_key(arrays, m - 1)
             g0 += m
         if held:
             raise RuntimeError(f"partition {pid} ends inside a group the edge pass did not see")
@@ -192,7 +213,7 @@ def _number_fn(gcols: Sequence[str], info: dict, rank_col: str, size_col: str |
 
 def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
                  rank_col: str = "rank", size_col: str | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, materialize_mode: str | None = None) -> DataFrame:
     """``row_number()`` (1-based, long) within ``partition_by`` ordered by ``order_by``.
 
     Equal to ``row_number() over (partition by g order by o)`` when ``o`` has no ties
@@ -200,23 +221,36 @@ def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     as with the window. With ``size_col`` the group's row count is added too (the
     ``count(*) over (partition by g)`` of the same rows). No group is ever held by one
     task: range bounds split large groups across partitions.
+
+    The range-partitioned rows are kept between the two passes either persisted
+    (default) or as a reliable checkpoint in ``spark.checkpoint.dir``
+    (``materialize_mode="checkpoint"`` or session conf ``hamper.materialize``).
     """
     gcols = list(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = [F.col(c) for c in gcols] + order
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    ranged = materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                         .withColumn(_PID, F.spark_partition_id()))
+    spark = df.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
+    staged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn(_PID, F.spark_partition_id()))
+    if (materialize_mode or spark.conf.get(MATERIALIZE_CONF, "persist")) == "checkpoint":
+        ranged = materialize(staged)
+    else:
+        # Filled by the edge pass below (one job sorts, caches and summarises). A lost
+        # block is recomputed through the same shuffle and range bounds, so every
+        # partition gets back the same keys and the edge counts stay valid.
+        ranged = staged.persist(StorageLevel.MEMORY_AND_DISK)
 
     edge_schema = _edge_schema(ranged, gcols)
     edges = [r.asDict() for r in
-             ranged.select(*gcols, _PID).mapInPandas(_edge_stats_fn(gcols), edge_schema).collect()]
+             ranged.select(*gcols, _PID).mapInArrow(_edge_stats_fn(gcols, edge_schema), edge_schema).collect()]
     info = _carries(edges, len(gcols))
 
     fields = [f for f in ranged.schema.fields if f.name != _PID] + [T.StructField(rank_col, T.LongType(), False)]
     if size_col is not None:
         fields.append(T.StructField(size_col, T.LongType(), False))
-    return ranged.mapInPandas(_number_fn(gcols, info, rank_col, size_col), T.StructType(fields))
+    out_names = [f.name for f in fields]
+    return ranged.mapInArrow(_number_fn(gcols, info, rank_col, size_col, out_names), T.StructType(fields))
 
 
 def dense_index(df: DataFrame, key: str, out: str, num_partitions: int | None = None,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ _MEMO: dict = {}
 
 
 def clear_memo() -> None:
+    for df in _MEMO.values():
+        df.unpersist()
     _MEMO.clear()
 
 
@@ -56,7 +59,10 @@ def _rd(c, n: int = 9):
 
 # ---------------------------------------------------------------- shared inputs
 def cust_split(spark, d):
-    return _memo(spark, d, "cust_split", lambda: split_ordered(B.cust(spark, d)))
+    """The CUST split, kept once per query: train, test and baskets all branch from it
+    (the reference stores it as two stage tables for the same reason)."""
+    return _memo(spark, d, "cust_split",
+                 lambda: split_ordered(B.cust(spark, d)).persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def cust_train(spark, d):
