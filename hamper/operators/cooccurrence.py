@@ -34,7 +34,10 @@ def cooccurrence(df: DataFrame, basket: str = "basket", item: str = "item", min_
     rows = df.join(sizes.select(basket), basket, "left_semi")
     if fraction is not None:
         rows = hash_sample(rows, list(sample_keys), fraction, seed)
+    # One shuffle by basket serves both the fold and the self join (kept baskets hold at
+    # most max_size rows, so hashing by basket alone cannot concentrate a hot key).
     folded = (rows.where(F.col(item).isNotNull())
+              .repartition(basket)
               .groupBy(basket, item)
               .agg((F.lit(1).cast("bigint") if dedupe else F.count(F.lit(1))).alias("_copies")))
     a, b = folded.alias("a"), folded.alias("b")

@@ -23,7 +23,15 @@ def split_ordered(df: DataFrame, basket: str = "basket", position: str = "positi
     the same pass, so no window over a whole basket and no join back are needed.
     """
     ranked = ordered_rank(df, [basket], [position, *tiebreak], rank_col=rank_col, size_col=size_col)
-    return ranked.withColumn(flag_col, F.col(rank_col) <= F.col(size_col) * F.lit(float(train_fraction)))
+    return split_numbered(ranked, rank_col, size_col, train_fraction, flag_col)
+
+
+def split_numbered(df: DataFrame, rank_col: str = "split_rank", size_col: str = "basket_size",
+                   train_fraction: float = 0.8, flag_col: str = "is_train") -> DataFrame:
+    """The split flag for rows that already carry their 1-based order inside the basket and
+    the basket size (e.g. interactions whose positions were numbered densely by
+    :func:`ordered_rank` in the same order): no second sort is needed."""
+    return df.withColumn(flag_col, F.col(rank_col) <= F.col(size_col) * F.lit(float(train_fraction)))
 
 
 def train_part(split: DataFrame, flag_col: str = "is_train") -> DataFrame:

@@ -27,9 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _positions(df: DataFrame, order: list[str]) -> DataFrame:
-    ranked = ordered_rank(df, ["basket"], order, rank_col="_rn")
-    return ranked.select("basket", "item", (F.col("_rn") - 1).cast("int").alias("position"))
+def _positions(df: DataFrame, order: list[str], with_size: bool = False) -> DataFrame:
+    """Dense 0-based positions; with ``with_size`` also the basket size from the same pass."""
+    ranked = ordered_rank(df, ["basket"], order, rank_col="_rn", size_col="basket_size" if with_size else None)
+    cols = ["basket", "item", (F.col("_rn") - 1).cast("int").alias("position")]
+    return ranked.select(*cols, "basket_size") if with_size else ranked.select(*cols)
 
 
 def cust_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,10 +40,10 @@ def cust_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(od, li.l_orderkey == od.o_orderkey)
 
 
-def cust(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cust(spark: SparkSession, sf_dir: str, with_size: bool = False) -> DataFrame:
     lines = cust_lines(spark, sf_dir).select(F.col("o_custkey").alias("basket"), F.col("l_partkey").alias("item"),
                                              "o_orderdate", "o_orderkey", "l_linenumber")
-    return _positions(lines, ["o_orderdate", "o_orderkey", "l_linenumber", "item"])
+    return _positions(lines, ["o_orderdate", "o_orderkey", "l_linenumber", "item"], with_size)
 
 
 def order(spark: SparkSession, sf_dir: str) -> DataFrame:

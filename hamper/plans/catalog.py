@@ -22,7 +22,7 @@ from hamper.operators import ranking as R
 from hamper.operators.cooccurrence import cooccurrence
 from hamper.operators.interactions import build_indexes, encode
 from hamper.operators.sampling import hash_sample, sample_interactions, stratified_baskets
-from hamper.operators.split import split_ordered, test_part, train_part
+from hamper.operators.split import split_numbered, split_ordered, test_part, train_part
 from hamper.operators.stats import dataset_stats
 from hamper.plans import bindings as B
 from hamper.session import ensure_checkpoint_dir
@@ -60,9 +60,17 @@ def _rd(c, n: int = 9):
 # ---------------------------------------------------------------- shared inputs
 def cust_split(spark, d):
     """The CUST split, kept once per query: train, test and baskets all branch from it
-    (the reference stores it as two stage tables for the same reason)."""
-    return _memo(spark, d, "cust_split",
-                 lambda: split_ordered(B.cust(spark, d)).persist(StorageLevel.MEMORY_AND_DISK))
+    (the reference stores it as two stage tables for the same reason).
+
+    CUST positions are a dense numbering in basket order, so the split rank is
+    ``position + 1`` and the basket size comes out of the same numbering pass: one sort
+    instead of two. ``split_ordered`` (the general form) gives the same rows."""
+    def build():
+        numbered = B.cust(spark, d, with_size=True).withColumn("split_rank", F.col("position").cast("bigint") + 1)
+        split = split_numbered(numbered).select("basket", "item", "position", "split_rank", "basket_size",
+                                                "is_train")
+        return split.persist(StorageLevel.MEMORY_AND_DISK)
+    return _memo(spark, d, "cust_split", build)
 
 
 def cust_train(spark, d):

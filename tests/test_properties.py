@@ -62,3 +62,12 @@ def test_precision_uses_fixed_denominator(spark):
     truth = spark.createDataFrame([(1, 10), (2, 11)], "basket long, item long")
     r = {x.k: x for x in M.metrics_at_k(hits, baskets, truth, ks=(10,)).collect()}[10]
     assert (r.hits, r.precision, r.recall, r.coverage) == (1, 1 / 20, 0.5, 0.5)
+
+
+def test_fused_split_equals_general_split(spark):
+    from hamper.operators.split import split_ordered
+    from hamper.plans import bindings as B
+    general = split_ordered(B.cust(spark, SF001)).select("basket", "item", "position", "split_rank",
+                                                         "basket_size", "is_train")
+    fused = C.cust_split(spark, SF001)
+    assert general.exceptAll(fused).count() == 0 and fused.exceptAll(general).count() == 0
