@@ -1,5 +1,8 @@
 """Skew-safe numbering of rows inside groups, and dense ids.
 
+Groups of a checked, bounded size are numbered with an ordinary window. Beyond that
+bound (and for a global numbering) the following applies.
+
 ``Window.partitionBy(g).orderBy(o)`` sends every row of one group to one task, so a
 basket that holds a third of all rows would be sorted by a single task, and a global
 ``row_number()`` (no partition) sends *everything* to one task. Here rows are
@@ -21,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -32,6 +35,8 @@ from hamper.session import materialize, shuffle_partitions
 # renumbered when the result is later unioned, the stamped column is not.
 _PID = "__hamper_pid"
 MATERIALIZE_CONF = "hamper.materialize"
+MAX_GROUP_CONF = "hamper.rank.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 
 def _same_key(a: tuple, b: tuple) -> bool:
@@ -213,7 +218,8 @@ def _number_fn(gcols: Sequence[str], info: dict, rank_col: str, size_col: str |
 
 def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
                  rank_col: str = "rank", size_col: str | None = None,
-                 num_partitions: int | None = None, materialize_mode: str | None = None) -> DataFrame:
+                 num_partitions: int | None = None, materialize_mode: str | None = None,
+                 max_group_rows: int | None = None) -> DataFrame:
     """``row_number()`` (1-based, long) within ``partition_by`` ordered by ``order_by``.
 
     Equal to ``row_number() over (partition by g order by o)`` when ``o`` has no ties
@@ -222,14 +228,30 @@ def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     ``count(*) over (partition by g)`` of the same rows). No group is ever held by one
     task: range bounds split large groups across partitions.
 
-    The range-partitioned rows are kept between the two passes either persisted
-    (default) or as a reliable checkpoint in ``spark.checkpoint.dir``
-    (``materialize_mode="checkpoint"`` or session conf ``hamper.materialize``).
+    Groups are first sized with one aggregation (partial counts before the shuffle). When
+    the largest group has at most ``max_group_rows`` rows (session conf
+    ``hamper.rank.maxGroupRows``, default 1,000,000) a window partitioned by the group is
+    safe — no task can receive more than that bound per group — and is used. Otherwise
+    (a hot group, or no groups at all: a global numbering) the range-partitioned path
+    runs. Its rows are kept between the two passes either persisted (default) or as a
+    reliable checkpoint in ``spark.checkpoint.dir`` (``materialize_mode="checkpoint"``
+    or session conf ``hamper.materialize``).
     """
     gcols = list(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = [F.col(c) for c in gcols] + order
     spark = df.sparkSession
+    if gcols:
+        bound = max_group_rows if max_group_rows is not None else \
+            int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+        largest = df.groupBy(*gcols).count().agg(F.max("count")).first()[0] or 0
+        if largest <= bound:
+            out = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*gcols).orderBy(*order))
+                                .cast("long"))
+            if size_col is not None:
+                out = out.withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*gcols)))
+            return out
+
     n = num_partitions or shuffle_partitions(spark)
     staged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id()))

@@ -29,3 +29,20 @@ def test_entry_flagship(spark):
     df = E.entry(spark)
     rows = df.groupBy("basket").count().collect()
     assert len(rows) == 150 and {r["count"] for r in rows} == {100}
+
+
+RANGE_PATH = ["interactions", "split_train", "split_order", "recs_unseen", "cooccurrence_dups", "hits"]
+
+
+@pytest.mark.parametrize("name", RANGE_PATH)
+def test_query_matches_oracle_on_range_path(spark, con, name):
+    """The same queries with every group numbered by the range-partitioned path."""
+    from hamper.plans import catalog
+    spark.conf.set("hamper.rank.maxGroupRows", "0")
+    catalog.clear_memo()
+    try:
+        r = compare(spark, SF001, name, E.queries()[name], ORACLES[name], con)
+    finally:
+        spark.conf.unset("hamper.rank.maxGroupRows")
+        catalog.clear_memo()
+    assert r["status"] == "match", r

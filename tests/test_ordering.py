@@ -23,7 +23,8 @@ def _same(a, b):
 @pytest.mark.parametrize("parts", [1, 3, 8])
 def test_group_rank_and_size_equal_window(spark, mode, parts):
     df = _data(spark)
-    got = ordered_rank(df, ["g"], ["o", "id"], size_col="size", num_partitions=parts, materialize_mode=mode)
+    got = ordered_rank(df, ["g"], ["o", "id"], size_col="size", num_partitions=parts, materialize_mode=mode,
+                       max_group_rows=0)
     exp = df.select("*", F.row_number().over(W.partitionBy("g").orderBy("o", "id")).cast("long").alias("rank"),
                     F.count("*").over(W.partitionBy("g")).alias("size"))
     assert got.columns == exp.columns
@@ -34,7 +35,7 @@ def test_small_arrow_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         df = _data(spark, 900)
-        got = ordered_rank(df, ["g"], ["o", "id"], size_col="size", num_partitions=5)
+        got = ordered_rank(df, ["g"], ["o", "id"], size_col="size", num_partitions=5, max_group_rows=0)
         exp = df.select("*", F.row_number().over(W.partitionBy("g").orderBy("o", "id")).cast("long").alias("rank"),
                         F.count("*").over(W.partitionBy("g")).alias("size"))
         assert _same(got, exp)
@@ -52,7 +53,7 @@ def test_global_numbering_and_union(spark):
 
 def test_multi_column_group_and_desc_order(spark):
     df = _data(spark).withColumn("h", F.col("id") % 2)
-    got = ordered_rank(df, ["g", "h"], [F.col("o").desc(), F.col("id")], num_partitions=4)
+    got = ordered_rank(df, ["g", "h"], [F.col("o").desc(), F.col("id")], num_partitions=4, max_group_rows=0)
     exp = df.select("*", F.row_number().over(W.partitionBy("g", "h").orderBy(F.col("o").desc(), "id"))
                     .cast("long").alias("rank"))
     assert _same(got, exp)
@@ -71,3 +72,14 @@ def test_no_single_partition_exchange(spark):
     df = _data(spark)
     plan = ordered_rank(df, [], ["id"], num_partitions=4)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("bound", [0, 10**9])
+def test_both_paths_agree(spark, bound):
+    df = _data(spark, 1500)
+    got = ordered_rank(df, ["g"], ["o", "id"], size_col="size", max_group_rows=bound)
+    exp = df.select("*", F.row_number().over(W.partitionBy("g").orderBy("o", "id")).cast("long").alias("rank"),
+                    F.count("*").over(W.partitionBy("g")).alias("size"))
+    assert got.columns == exp.columns and _same(got, exp)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Window" in plan) == (bound > 0)
