@@ -78,3 +78,21 @@ def mean_ap(ap: DataFrame, ap_col: str = "average_precision", basket: str = "bas
 def quality_tier(map_df: DataFrame, map_col: str = "map", baseline: float = X.BASELINE_MAP) -> DataFrame:
     return map_df.select(F.col(map_col).alias("map"), X.improvement(map_col, baseline).alias("improvement"),
                          X.quality_tier(map_col).alias("tier"))
+
+
+def evaluation_baskets(test: DataFrame, basket: str = "basket", limit: int | None = None) -> DataFrame:
+    """The baskets to evaluate: all distinct test baskets, or (a sampling feature) the
+    first ``limit`` in key order — a deterministic subset, unlike an unordered limit."""
+    baskets = test.select(basket).distinct()
+    return baskets if limit is None else baskets.orderBy(basket).limit(int(limit))
+
+
+def evaluation_report(hit_rows: DataFrame, baskets: DataFrame, truth: DataFrame, ks: Sequence[int] = DEFAULT_KS,
+                      k: int = MAP_K, basket: str = "basket", rank: str = "rank") -> DataFrame:
+    """One row per cut-off with MAP@k, its improvement over the baseline and the tier."""
+    at_k = metrics_at_k(hit_rows, baskets, truth, ks, basket, rank)
+    summary = quality_tier(mean_ap(average_precision(hit_rows, baskets, k=k, basket=basket, rank=rank),
+                                   basket=basket))
+    s = summary.select(F.struct("map", "improvement", "tier")).scalar()  # one scalar subquery, one row
+    return at_k.select("*", s["map"].alias(f"map_at_{k}"), s["improvement"].alias("improvement"),
+                       s["tier"].alias("tier"))

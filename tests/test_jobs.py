@@ -1,0 +1,46 @@
+"""The four stages end to end on documents derived from the sf0.001 tables."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from hamper.plans import bindings as B
+from hamper.plans import jobs
+from hamper.plans.catalog import _documents
+from tests.conftest import SF001
+
+
+def test_stages_end_to_end(spark, tmp_dir):
+    raw, stage, model, sub = (os.path.join(tmp_dir, n) for n in ("raw", "stage", "model", "submission"))
+    _documents(B.cust(spark, SF001)).select("value").write.text(raw)
+
+    stats = jobs.preprocess(spark, raw, stage, pattern=None, multiline=False).first()
+    assert stats.interactions == 6000 and stats.train_rows + stats.test_rows == 6000
+    assert spark.read.parquet(f"{stage}/basket_index").count() == stats.baskets
+
+    meta = jobs.train(spark, stage, model, rank=8, max_iter=3).first()
+    assert meta.als_rank == 8 and meta.sample_interactions > 0
+
+    report = jobs.evaluate(spark, stage, model, out=model).orderBy("k").collect()
+    assert [r.k for r in report] == [10, 20, 50, 100]
+    assert all(0 <= r.precision <= 1 and 0 <= r.recall <= 1 for r in report)
+    assert report[0].tier in ("EXCELLENT", "VERY GOOD", "GOOD", "ACCEPTABLE", "NEEDS IMPROVEMENT")
+
+    # requests: the held-out part of every basket, as a root list of request objects
+    test = spark.read.parquet(f"{stage}/test").join(spark.read.parquet(f"{stage}/basket_index"), "basket_idx")
+    req = (test.groupBy("basket").agg(F.collect_list(F.struct(F.col("item").alias("track_uri"))).alias("tracks"))
+           .select(F.struct(F.col("basket").cast("string").alias("test_id"), "tracks").alias("r"))
+           .agg(F.collect_list("r").alias("rs")).select(F.to_json("rs").alias("value")))
+    req.write.text(os.path.join(tmp_dir, "requests"))
+    info = jobs.submit(spark, os.path.join(tmp_dir, "requests"), stage, sub, model_dir=model,
+                       multiline=False).first()
+    assert info.total_playlists == stats.baskets and info.model_type == "hybrid_als_popularity"
+    lists = spark.read.json(f"{sub}/playlists")
+    assert lists.where("total_recommendations > 100").count() == 0
+    # no request gets an item it already holds
+    got = lists.select("playlist_id", F.explode("recommended_tracks").alias("item"))
+    held = test.select(F.col("basket").cast("string").alias("playlist_id"), "item")
+    assert got.join(held, ["playlist_id", "item"]).count() == 0
+
+    fallback = jobs.submit(spark, os.path.join(tmp_dir, "requests"), stage, sub + "2", multiline=False).first()
+    assert fallback.model_type == "popularity"
