@@ -210,8 +210,10 @@ def _number_fn(gcols: Sequence[str], info: dict, rank_col: str, size_col: str |
             run_start = int(rs[-1])
             prev = _row_key(arrays, m - 1)
             g0 += m
-        if held:
-            raise RuntimeError(f"partition {pid} ends inside a group the edge pass did not see")
+        if held or g0 != n_tot:
+            # the staged rows were recomputed differently from what the edge pass saw (e.g.
+            # the cache was cleared in between): fail rather than number wrongly
+            raise RuntimeError(f"partition {pid} changed between the edge pass and the numbering pass")
 
     return run
 

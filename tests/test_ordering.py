@@ -83,3 +83,31 @@ def test_both_paths_agree(spark, bound):
     assert got.columns == exp.columns and _same(got, exp)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert ("Window" in plan) == (bound > 0)
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(sizes=st.lists(st.integers(min_value=1, max_value=40), min_size=1, max_size=12),
+       hot=st.integers(min_value=0, max_value=400), parts=st.integers(min_value=1, max_value=9),
+       batch=st.integers(min_value=1, max_value=50))
+def test_random_groups_property(spark, sizes, hot, parts, batch):
+    rows = [(g, (i * 37) % 11, i) for g, n in enumerate(sizes) for i in range(n)]
+    rows += [(-1, i % 5, 10_000 + i) for i in range(hot)]  # one hot group
+    df = spark.createDataFrame(rows, "g long, o long, id long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = ordered_rank(df, ["g"], ["o", "id"], size_col="size", num_partitions=parts, max_group_rows=0)
+        res = {(r.g, r.id): (r.rank, r.size) for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = {}
+    by_group = {}
+    for g, o, i in rows:
+        by_group.setdefault(g, []).append((o, i))
+    for g, members in by_group.items():
+        for r, (o, i) in enumerate(sorted(members), start=1):
+            expected[(g, i)] = (r, len(members))
+    assert res == expected
