@@ -102,11 +102,13 @@ def evaluate(spark: SparkSession, stage: str, model_dir: str, ks: Sequence[int]
 
 
 def submit(spark: SparkSession, requests: str, stage: str, out: str, k: int = R.TOP_K,
-           model_dir: str | None = None, multiline: bool = True) -> DataFrame:
+           model_dir: str | None = None, multiline: bool = True, n_candidates: int | None = None) -> DataFrame:
     """First ``k`` items per request basket that it does not already hold, most popular
     first. Popularity comes from a written ranked recommendation table when one exists
     (mean final score per item), else from the train table (frequency + 0.5 * baskets).
-    Writes JSON lists and a manifest; returns the manifest."""
+    By default every ranked item is a candidate (exact); ``n_candidates=10000`` limits
+    candidates to the top of the list as the reference does, so a basket holding most of
+    them gets fewer than ``k``. Writes JSON lists and a manifest; returns the manifest."""
     reqs = read_request_baskets(spark, requests, multiline=multiline)
     seen = reqs.select("test_id", F.explode("tracks").alias("_t")).select("test_id", F.col("_t.track_uri")
                                                                           .alias("item"))
@@ -119,7 +121,7 @@ def submit(spark: SparkSession, requests: str, stage: str, out: str, k: int = R.
     else:
         scored = FE.simple_popularity(scores, basket="basket_idx", item="item")
         model_type = "popularity"
-    ranked = R.top_candidates(scored, item="item", n=None)
+    ranked = R.top_candidates(scored, item="item", n=n_candidates)
     recs = R.recommend_popular(reqs.select("test_id"), seen, ranked, basket="test_id", item="item", k=k)
     lists = recommendation_lists(recs, reqs.select("test_id"), basket="test_id")
     write_recommendations(lists, out, k=k, model_type=model_type)
