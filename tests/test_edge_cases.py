@@ -157,3 +157,24 @@ def test_read_with_fallback(spark, tmp_dir):
     spark.range(3).write.parquet(os.path.join(tmp_dir, "train"))
     df, used = read_with_fallback(spark, os.path.join(tmp_dir, "missing"), os.path.join(tmp_dir, "train"))
     assert used == "fallback" and df.count() == 3
+
+
+def test_recommend_popular_hot_basket_spans_chunks(spark):
+    """A basket holding most of the catalogue expands to more than one chunk of rank slots;
+    results equal a brute-force exclusion."""
+    n_items = 6000
+    scored = spark.range(1, n_items + 1).select(F.col("id").alias("item"),
+                                                 ((F.col("id") * 7919) % 1000).cast("double").alias("popularity_score"))
+    ranked = R.top_candidates(scored, n=None)
+    hot_seen = spark.range(1, n_items + 1).where("id % 10 != 3").select(F.lit(1).cast("long").alias("basket"),
+                                                                      F.col("id").alias("item"))
+    small_seen = spark.createDataFrame([(2, 5), (2, 6)], "basket long, item long")
+    seen = hot_seen.unionByName(small_seen)
+    baskets = spark.createDataFrame([(1,), (2,), (3,)], "basket long")
+    recs = R.recommend_popular(baskets, seen, ranked, k=100)
+    order = [r.item for r in ranked.orderBy("cand_rank").collect()]
+    held = {1: {r.item for r in hot_seen.collect()}, 2: {5, 6}, 3: set()}
+    for b in (1, 2, 3):
+        expect = [i for i in order if i not in held[b]][:100]
+        got = [r.item for r in recs.where(f"basket = {b}").orderBy("rank").collect()]
+        assert got == expect, b
