@@ -128,6 +128,17 @@ def q_split_order(spark, d):
     return s.select("basket", "item", "position", "split_rank", "basket_size", "is_train")
 
 
+def q_split_supp(spark, d):
+    """Large baskets (suppliers, ~600 lines each) through the general split."""
+    s = split_ordered(B.supp(spark, d))
+    return s.select("basket", "item", "position", "split_rank", "basket_size", "is_train")
+
+
+def q_null_keys(spark, d):
+    from hamper.operators.interactions import null_key_counts
+    return null_key_counts(B.cust(spark, d), ["basket", "item"])
+
+
 def q_implicit_rating(spark, d):
     return FE.implicit_rating(cust_train(spark, d)).withColumn("implicit_rating", _rd("implicit_rating"))
 
@@ -249,6 +260,12 @@ def q_quality_tier(spark, d):
     return t.select(_rd("map").alias("map"), _rd("improvement", 6).alias("improvement"), "tier")
 
 
+def q_evaluation_report(spark, d):
+    r = M.evaluation_report(_hits(spark, d), test_baskets(spark, d), M.truth_pairs(cust_test(spark, d)))
+    return r.select("k", "hits", *[_rd(c) for c in ("precision", "recall", "coverage", "map_at_100")],
+                    _rd("improvement", 6), "tier")
+
+
 def q_dataset_stats(spark, d):
     return dataset_stats(cust_split(spark, d), flag_col="is_train")
 
@@ -379,6 +396,8 @@ QUERIES: dict[str, Query] = {
     "split_train": q_split_train,
     "split_test": q_split_test,
     "split_order": q_split_order,
+    "split_supp": q_split_supp,
+    "null_keys": q_null_keys,
     "implicit_rating": q_implicit_rating,
     "basket_sizes": q_basket_sizes,
     "size_bands": q_size_bands,
@@ -400,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "average_precision": q_average_precision,
     "map_at_100": q_map_at_100,
     "quality_tier": q_quality_tier,
+    "evaluation_report": q_evaluation_report,
     "dataset_stats": q_dataset_stats,
     "submission_rows": q_submission_rows,
     "nested_parse": q_nested_parse,

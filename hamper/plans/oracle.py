@@ -23,6 +23,13 @@ ord AS (
          CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS INTEGER) AS position
   FROM lineitem)"""
 
+SUPP = """
+supp AS (
+  SELECT l_suppkey AS basket, l_partkey AS item,
+         CAST(row_number() OVER (PARTITION BY l_suppkey
+              ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) - 1 AS INTEGER) AS position
+  FROM lineitem)"""
+
 EVT = """
 evt AS (
   SELECT user_id AS basket, event_type AS item,
@@ -172,6 +179,17 @@ ORACLE: dict[str, str] = {
                      row_number() OVER (PARTITION BY basket ORDER BY position, item) AS split_rank,
                      count(*) OVER (PARTITION BY basket) AS basket_size
               FROM ord)"""),
+    "split_supp": _with(SUPP, """
+        SELECT basket, item, position, split_rank, basket_size,
+               split_rank <= basket_size * 0.8::DOUBLE AS is_train
+        FROM (SELECT basket, item, position,
+                     row_number() OVER (PARTITION BY basket ORDER BY position, item) AS split_rank,
+                     count(*) OVER (PARTITION BY basket) AS basket_size
+              FROM supp)"""),
+    "null_keys": _with(CUST, """
+        SELECT count(*) FILTER (WHERE basket IS NULL) AS null_basket,
+               count(*) FILTER (WHERE item IS NULL) AS null_item, count(*) AS rows
+        FROM cust"""),
     "implicit_rating": _with(SPLIT, """
         SELECT basket, item, position,
                (floor((greatest(1.0::DOUBLE, 5.0::DOUBLE - ln(position + 1))) * 1e9 + 0.5) / 1e9) AS implicit_rating
@@ -251,6 +269,25 @@ ORACLE: dict[str, str] = {
                     WHEN map > 0.010 THEN 'GOOD' WHEN map > 0.005 THEN 'ACCEPTABLE'
                     ELSE 'NEEDS IMPROVEMENT' END AS tier
         FROM mapv"""),
+    "evaluation_report": _with(RECS + """,
+        ks AS (SELECT unnest([10, 20, 50, 100]) AS k),
+        nb AS (SELECT count(DISTINCT basket) AS n FROM test),
+        nt AS (SELECT count(*) AS n FROM truth)""", """
+        SELECT CAST(ks.k AS INTEGER) AS k, count(h.rank) AS hits,
+               (floor((count(h.rank)::DOUBLE / ((SELECT n FROM nb) * ks.k)) * 1e9 + 0.5) / 1e9) AS precision,
+               (floor((count(h.rank)::DOUBLE / (SELECT n FROM nt)) * 1e9 + 0.5) / 1e9) AS recall,
+               (floor((count(DISTINCT h.basket)::DOUBLE / (SELECT n FROM nb)) * 1e9 + 0.5) / 1e9) AS coverage,
+               (floor(((SELECT map FROM mapv)) * 1e9 + 0.5) / 1e9) AS map_at_100,
+               (floor((CASE WHEN (SELECT map FROM mapv) > 0.005
+                            THEN ((SELECT map FROM mapv) - 0.005) / 0.005 * 100.0 END) * 1e6 + 0.5) / 1e6)
+                 AS improvement,
+               CASE WHEN (SELECT map FROM mapv) > 0.020 THEN 'EXCELLENT'
+                    WHEN (SELECT map FROM mapv) > 0.015 THEN 'VERY GOOD'
+                    WHEN (SELECT map FROM mapv) > 0.010 THEN 'GOOD'
+                    WHEN (SELECT map FROM mapv) > 0.005 THEN 'ACCEPTABLE'
+                    ELSE 'NEEDS IMPROVEMENT' END AS tier
+        FROM ks LEFT JOIN hits h ON h.rank <= ks.k
+        GROUP BY ks.k"""),
     "dataset_stats": _with(SPLIT, """
         SELECT count(DISTINCT basket) AS baskets, count(DISTINCT item) AS items, count(*) AS interactions,
                count(*) FILTER (WHERE split_rank <= basket_size * 0.8::DOUBLE) AS train_rows,

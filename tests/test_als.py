@@ -1,6 +1,5 @@
 """ALS has no oracle: check determinism, bounds and cold-start behaviour."""
 
-from pyspark.sql import functions as F
 
 from hamper.operators import als as A
 from hamper.plans import catalog as C
