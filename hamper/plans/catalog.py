@@ -271,8 +271,11 @@ def q_dataset_stats(spark, d):
 
 
 def q_submission_rows(spark, d):
+    """One exported line per basket; the list is compared as the JSON text it is written as."""
     from hamper.sinks.writers import recommendation_lists
-    return recommendation_lists(cust_recs(spark, d), test_baskets(spark, d))
+    lists = recommendation_lists(cust_recs(spark, d), test_baskets(spark, d))
+    return lists.select("playlist_id", F.to_json("recommended_tracks").alias("recommended_tracks"),
+                        "total_recommendations")
 
 
 # ------------------------------------------------- documents derived from the tables

@@ -295,7 +295,7 @@ ORACLE: dict[str, str] = {
         FROM split"""),
     "submission_rows": _with(RECS, """
         SELECT CAST(basket AS VARCHAR) AS playlist_id,
-               list(CAST(item AS VARCHAR) ORDER BY rank) AS recommended_tracks,
+               CAST(to_json(list(CAST(item AS VARCHAR) ORDER BY rank)) AS VARCHAR) AS recommended_tracks,
                count(*) AS total_recommendations
         FROM recs GROUP BY basket"""),
     "nested_parse": _with(ORDER, "SELECT basket, 'item:' || CAST(item AS VARCHAR) AS item, position FROM ord"),
