@@ -1,0 +1,24 @@
+"""hamper: Spark-native recommendations from ordered baskets.
+
+Every operator is a lazy ``DataFrame -> DataFrame`` function; see README.md.
+"""
+
+from hamper.operators.als import als_candidates, fit_als, run_metadata
+from hamper.operators.cooccurrence import cooccurrence
+from hamper.operators.features import (basket_sizes, implicit_rating, popularity, recommendation_scores,
+                                       simple_popularity, size_bands)
+from hamper.operators.interactions import build_indexes, drop_null_keys, encode, null_key_counts, to_interactions
+from hamper.operators.metrics import (average_precision, evaluation_baskets, evaluation_report, hits, mean_ap,
+                                      metrics_at_k, quality_tier, truth_pairs)
+from hamper.operators.ordering import dense_index, ordered_rank
+from hamper.operators.ranking import blend, rank_unseen, recommend_popular, top_candidates
+from hamper.operators.sampling import file_sample, hash_sample, sample_interactions, stratified_baskets
+from hamper.operators.split import split_numbered, split_ordered, test_part, train_part
+from hamper.operators.stats import dataset_stats
+from hamper.session import ensure_checkpoint_dir, local_session, materialize
+from hamper.sinks.writers import read_back_count, recommendation_lists, write_recommendations, write_table
+from hamper.sources.baskets import read_baskets, read_request_baskets, read_table, read_with_fallback
+from hamper.sources.inventory import file_inventory, inventory_totals
+from hamper.streaming.ingest import ingest_increment
+
+__all__ = [name for name in dir() if not name.startswith("_")]
