@@ -49,9 +49,9 @@ def test_nested_json_edges(spark, tmp_dir):
         {"pid": 3, "tracks": None},
         {"pid": 4},
     ], "info": {"ignored": True}}
-    _write(tmp_dir, "mpd.slice.0-1.json", json.dumps(doc, indent=2))
-    _write(tmp_dir, "mpd.slice.2-3.json", "{ this is not json")
-    baskets = read_baskets(spark, tmp_dir, pattern="mpd.slice.*.json")
+    _write(tmp_dir, "baskets.part.0-1.json", json.dumps(doc, indent=2))
+    _write(tmp_dir, "baskets.part.2-3.json", "{ this is not json")
+    baskets = read_baskets(spark, tmp_dir, pattern="baskets.part.*.json")
     assert sorted(r.pid for r in baskets.collect()) == [1, 2, 3, 4]
     rows = to_interactions(baskets).collect()
     assert len(rows) == 3  # empty/null track lists dropped, the null element kept
@@ -141,7 +141,7 @@ def test_incremental_ingest(spark, tmp_dir):
 
     def deliver(i):
         doc = {"playlists": [{"pid": 3 * i + j, "tracks": [{"track_uri": f"t{j}", "pos": 0}]} for j in range(3)]}
-        _write(src, f"mpd.slice.{i}.json", json.dumps(doc, indent=2))
+        _write(src, f"baskets.part.{i}.json", json.dumps(doc, indent=2))
 
     deliver(0)
     deliver(1)

@@ -34,7 +34,7 @@ def _docs(path, n_files, per_file=2):
     for i in range(n_files):
         doc = {"playlists": [{"pid": i * per_file + j, "tracks": [{"track_uri": "t", "pos": 0}]}
                              for j in range(per_file)]}
-        with open(os.path.join(path, f"mpd.slice.{i}.json"), "w") as f:
+        with open(os.path.join(path, f"baskets.part.{i}.json"), "w") as f:
             json.dump(doc, f)
 
 
@@ -60,7 +60,7 @@ def test_hash_sample_fraction_bounds(spark):
 
 def test_inventory_without_contents(spark, tmp_dir):
     _docs(tmp_dir, 3)
-    files = file_inventory(spark, tmp_dir, pattern="mpd.slice.*.json")
+    files = file_inventory(spark, tmp_dir, pattern="baskets.part.*.json")
     tot = inventory_totals(files).first()
     assert tot.files == 3 and tot.bytes == sum(os.path.getsize(os.path.join(tmp_dir, f)) for f in os.listdir(tmp_dir))
     plan = files._jdf.queryExecution().executedPlan().toString()
