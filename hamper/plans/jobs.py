@@ -35,9 +35,14 @@ STAGE_COLUMNS = ["basket_idx", "item_idx", "item", "position"]
 
 def preprocess(spark: SparkSession, raw: str, out: str, pattern: str | None = "*.json",
                sample: float | None = None, sample_level: str = "file", multiline: bool = True) -> DataFrame:
-    """Write ``train``, ``test``, ``basket_index``, ``item_index`` under ``out``; return stats."""
-    inter = to_interactions(read_baskets(spark, raw, pattern, sample, sample_level, multiline=multiline))
-    inter = drop_null_keys(inter, ["basket", "item"])
+    """Write ``train``, ``test``, ``basket_index``, ``item_index`` under ``out``; return stats.
+
+    The documents are parsed once: the flattened interactions are written as a Parquet
+    stage table and every later step (index building, sizing, split) reads its columns
+    from there instead of re-parsing JSON."""
+    parsed = to_interactions(read_baskets(spark, raw, pattern, sample, sample_level, multiline=multiline))
+    write_table(parsed, f"{out}/interactions")
+    inter = drop_null_keys(spark.read.parquet(f"{out}/interactions"), ["basket", "item"])
     bidx, iidx = build_indexes(inter)
     split = split_ordered(encode(inter, bidx, iidx), basket="basket_idx", position="position",
                           tiebreak=("item_idx",)).persist(StorageLevel.MEMORY_AND_DISK)
