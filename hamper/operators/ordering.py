@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from hamper.session import materialize, shuffle_partitions
+from hamper.session import materialize
 
 # Partition number stamped into the rows before materialising: task partition ids are
 # renumbered when the result is later unioned, the stamped column is not.
@@ -36,6 +36,8 @@ _PID = "__hamper_pid"
 MATERIALIZE_CONF = "hamper.materialize"
 MAX_GROUP_CONF = "hamper.rank.maxGroupRows"
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
+ROWS_PER_PARTITION_CONF = "hamper.rank.rowsPerPartition"
+DEFAULT_ROWS_PER_PARTITION = 4_000_000
 
 
 def _same_key(a: tuple, b: tuple) -> bool:
@@ -242,10 +244,12 @@ def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = [F.col(c) for c in gcols] + order
     spark = df.sparkSession
+    total = None
     if gcols:
         bound = max_group_rows if max_group_rows is not None else \
             int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-        largest = df.groupBy(*gcols).count().agg(F.max("count")).first()[0] or 0
+        sizes = df.groupBy(*gcols).count().agg(F.max("count"), F.sum("count")).first()
+        largest, total = sizes[0] or 0, sizes[1] or 0
         if largest <= bound:
             out = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*gcols).orderBy(*order))
                                 .cast("long"))
@@ -253,8 +257,12 @@ def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
                 out = out.withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*gcols)))
             return out
 
-    n = num_partitions or shuffle_partitions(spark)
-    staged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    if not num_partitions:
+        # sized from the data: about ``rowsPerPartition`` rows per range partition
+        total = df.count() if total is None else total
+        per = int(spark.conf.get(ROWS_PER_PARTITION_CONF, str(DEFAULT_ROWS_PER_PARTITION)))
+        num_partitions = max(1, -(-total // per))
+    staged = (df.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id()))
     if (materialize_mode or spark.conf.get(MATERIALIZE_CONF, "persist")) == "checkpoint":
         ranged = materialize(staged)
