@@ -44,7 +44,9 @@ def preprocess(spark: SparkSession, raw: str, out: str, pattern: str | None = "*
     write_table(parsed, f"{out}/interactions")
     inter = drop_null_keys(spark.read.parquet(f"{out}/interactions"), ["basket", "item"])
     bidx, iidx = build_indexes(inter)
-    split = split_ordered(encode(inter, bidx, iidx), basket="basket_idx", position="position",
+    # split by the basket key (one-to-one with its id): the window reuses the partitioning
+    # left by the basket join instead of shuffling all interactions once more
+    split = split_ordered(encode(inter, bidx, iidx), basket="basket", position="position",
                           tiebreak=("item_idx",)).persist(StorageLevel.MEMORY_AND_DISK)
     write_table(split.where("is_train").select(*STAGE_COLUMNS), f"{out}/train")
     write_table(split.where("not is_train").select(*STAGE_COLUMNS), f"{out}/test")
