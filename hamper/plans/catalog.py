@@ -329,7 +329,10 @@ def q_file_sample(spark, d):
     from hamper.sources.baskets import read_baskets
     path = scratch_dir(spark, "files")
     _documents(B.order(spark, d)).repartition(16, "_d").select("value").write.text(path)
-    return to_interactions(read_baskets(spark, path, multiline=False, sample=0.5, sample_level="file"))
+    # written file names carry a random job id; sample by their stable "part-NNNNN" prefix
+    stable = F.regexp_extract(F.col("_file"), r"^(part-[0-9]+)", 1)
+    return to_interactions(read_baskets(spark, path, multiline=False, sample=0.5, sample_level="file",
+                                        file_key=stable))
 
 
 def q_file_inventory(spark, d):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,18 +48,21 @@ def _json(spark: SparkSession, schema: T.StructType, multiline: bool, pattern: s
 
 
 def read_baskets(spark: SparkSession, path: str, pattern: str | None = None, sample: float | None = None,
-                 sample_level: str = "file", seed: int = SEED, multiline: bool = True) -> DataFrame:
+                 sample_level: str = "file", seed: int = SEED, multiline: bool = True,
+                 file_key: Column | None = None) -> DataFrame:
     """One row per basket (all basket fields + ``_file``) from documents ``{"playlists": [...]}``.
 
     Unknown keys are ignored by the explicit schema; a malformed file parses to a null
     row that the explode drops. ``sample`` keeps a deterministic share of whole files
     (``sample_level="file"``, like sampling documents before the explode) or of baskets
-    (``"basket"``, by a hash of the basket id).
+    (``"basket"``, by a hash of the basket id). ``file_key`` replaces the file name as the
+    file-level sampling key (a column over ``_file``, e.g. a stable part of the name).
     """
     docs = _json(spark, DOCUMENT_SCHEMA, multiline, pattern).json(path) \
         .select("playlists", F.col("_metadata.file_name").alias("_file"))
     if sample is not None and sample_level == "file":
-        docs = file_sample(docs, sample, seed, "_file")
+        docs = file_sample(docs.withColumn("_key", F.col("_file") if file_key is None else file_key),
+                           sample, seed, "_key").drop("_key")
     baskets = docs.select(F.explode("playlists").alias("_b"), "_file").select("_b.*", "_file")
     if sample is not None and sample_level == "basket":
         baskets = hash_sample(baskets, ["pid"], sample, seed)
