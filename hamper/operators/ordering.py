@@ -248,7 +248,7 @@ def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     if gcols:
         bound = max_group_rows if max_group_rows is not None else \
             int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-        sizes = df.groupBy(*gcols).count().agg(F.max("count"), F.sum("count")).first()
+        sizes = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
         largest, total = sizes[0] or 0, sizes[1] or 0
         if largest <= bound:
             out = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*gcols).orderBy(*order))

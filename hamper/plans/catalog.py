@@ -92,7 +92,7 @@ def cust_recs(spark, d):
     return R.recommend_popular(test_baskets(spark, d), train, ranked, k=R.TOP_K)
 
 
-def _rounded_popularity(train: DataFrame) -> DataFrame:
+def _rated_popularity(train: DataFrame) -> DataFrame:
     return FE.popularity(FE.implicit_rating(train))
 
 
@@ -165,14 +165,14 @@ def q_row_sample(spark, d):
 
 
 def q_popularity_features(spark, d):
-    p = _rounded_popularity(cust_train(spark, d))
+    p = _rated_popularity(cust_train(spark, d))
     return p.select("item", "frequency", "unique_baskets", _rd("avg_rating").alias("avg_rating"),
                     "early_position_count", _rd("avg_position").alias("avg_position"),
                     _rd("stddev_position").alias("stddev_position"))
 
 
 def q_popularity_score(spark, d):
-    return _rounded_popularity(cust_train(spark, d)).select("item", _rd("popularity_score").alias("popularity_score"))
+    return _rated_popularity(cust_train(spark, d)).select("item", _rd("popularity_score").alias("popularity_score"))
 
 
 def q_cooccurrence(spark, d):
@@ -216,7 +216,7 @@ def hybrid(spark, d):
     # popularity snapped to a 2^-32 grid: identical bits in any engine, so the ranking by
     # the blended score cannot flip on last-bit differences of an average
     snap = F.floor(F.col("popularity_score") * F.lit(2.0 ** 32) + F.lit(0.5)).cast("double") / F.lit(2.0 ** 32)
-    pop = _rounded_popularity(train).select("item", snap.alias("popularity_score"))
+    pop = _rated_popularity(train).select("item", snap.alias("popularity_score"))
     return R.rank_unseen(R.blend(cands, pop), train)
 
 
