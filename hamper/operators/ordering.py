@@ -39,6 +39,17 @@ DEFAULT_MAX_GROUP_ROWS = 1_000_000
 ROWS_PER_PARTITION_CONF = "hamper.rank.rowsPerPartition"
 DEFAULT_ROWS_PER_PARTITION = 4_000_000
 
+# persisted range-partitioned rows, kept until the caller's results are written
+_STAGED: list[DataFrame] = []
+
+
+def release_staging() -> None:
+    """Unpersist the rows kept for numbering. Call once the DataFrames built on them have
+    been written (the stage jobs do); using those DataFrames afterwards would recompute
+    the staging and fail the partition consistency check."""
+    while _STAGED:
+        _STAGED.pop().unpersist()
+
 
 def _same_key(a: tuple, b: tuple) -> bool:
     return all((x is None and y is None) or (x is not None and y is not None and x == y) for x, y in zip(a, b))
@@ -271,6 +282,7 @@ def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
         # block is recomputed through the same shuffle and range bounds, so every
         # partition gets back the same keys and the edge counts stay valid.
         ranged = staged.persist(StorageLevel.MEMORY_AND_DISK)
+        _STAGED.append(ranged)
 
     edge_schema = _edge_schema(ranged, gcols)
     edges = [r.asDict() for r in

@@ -21,6 +21,7 @@ from hamper.operators import metrics as M
 from hamper.operators import ranking as R
 from hamper.operators.cooccurrence import cooccurrence
 from hamper.operators.interactions import build_indexes, encode
+from hamper.operators.ordering import release_staging
 from hamper.operators.sampling import hash_sample, sample_interactions, stratified_baskets
 from hamper.operators.split import split_numbered, split_ordered, test_part, train_part
 from hamper.operators.stats import dataset_stats
@@ -32,9 +33,11 @@ _MEMO: dict = {}
 
 
 def clear_memo() -> None:
+    """Drop shared inputs and the numbering staging (between independent queries)."""
     for df in _MEMO.values():
         df.unpersist()
     _MEMO.clear()
+    release_staging()
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:

@@ -24,6 +24,7 @@ from hamper.operators import metrics as M
 from hamper.operators import ranking as R
 from hamper.operators.cooccurrence import cooccurrence
 from hamper.operators.interactions import build_indexes, drop_null_keys, encode, to_interactions
+from hamper.operators.ordering import release_staging
 from hamper.operators.sampling import sample_interactions, stratified_baskets
 from hamper.operators.split import split_ordered
 from hamper.operators.stats import dataset_stats
@@ -55,6 +56,7 @@ def preprocess(spark: SparkSession, raw: str, out: str, pattern: str | None = "*
     stats = dataset_stats(split, "basket_idx", "item_idx", flag_col="is_train")
     write_table(stats, f"{out}/dataset_stats")
     split.unpersist()
+    release_staging()
     return spark.read.parquet(f"{out}/dataset_stats")
 
 
@@ -78,6 +80,7 @@ def train(spark: SparkSession, stage: str, out: str, rank: int = A.ALS_RANK, max
         .select("*", pairs.select(F.count(F.lit(1))).scalar().alias("similarities_count"))
     write_table(A.run_metadata(counts, rank=rank, reg=reg, alpha=alpha), f"{out}/training_metadata", mode="append")
     sampled.unpersist()
+    release_staging()
     return spark.read.parquet(f"{out}/training_metadata")
 
 
@@ -104,6 +107,8 @@ def evaluate(spark: SparkSession, stage: str, model_dir: str, ks: Sequence[int]
     if out:
         write_table(ranked, f"{out}/recommendations_final")
         write_table(report, f"{out}/evaluation_report")
+        ranked.unpersist()
+        release_staging()
         return spark.read.parquet(f"{out}/evaluation_report")
     return report
 
@@ -132,4 +137,5 @@ def submit(spark: SparkSession, requests: str, stage: str, out: str, k: int = R.
     recs = R.recommend_popular(reqs.select("test_id"), seen, ranked, basket="test_id", item="item", k=k)
     lists = recommendation_lists(recs, reqs.select("test_id"), basket="test_id")
     write_recommendations(lists, out, k=k, model_type=model_type)
+    release_staging()
     return spark.read.json(f"{out}/submission_info")
