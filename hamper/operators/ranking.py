@@ -67,7 +67,9 @@ def recommend_popular(baskets: DataFrame, seen: DataFrame, ranked: DataFrame, ba
     """
     cand = ranked.select(item, cand_rank)
     n_cand = cand.select(F.max(cand_rank)).scalar()
-    seen_ranked = (seen.select(basket, item).where(F.col(item).isNotNull()).distinct()
+    # No distinct over the seen pairs (that would shuffle every seen row): the anti join
+    # ignores repeats, and counting repeats in ``m`` only adds a few slots, never too few.
+    seen_ranked = (seen.select(basket, item).where(F.col(item).isNotNull())
                    .join(cand, item).select(basket, cand_rank))
     held = seen_ranked.groupBy(basket).agg(F.count(F.lit(1)).alias("_m"))
     reach = F.least(F.lit(k).cast("bigint") + F.coalesce(F.col("_m"), F.lit(0)), F.coalesce(n_cand, F.lit(0)))
