@@ -178,3 +178,13 @@ def test_recommend_popular_hot_basket_spans_chunks(spark):
         expect = [i for i in order if i not in held[b]][:100]
         got = [r.item for r in recs.where(f"basket = {b}").orderBy("rank").collect()]
         assert got == expect, b
+
+
+def test_ingest_batches_follow_max_files(spark, tmp_dir):
+    src, dst, ck = (os.path.join(tmp_dir, n) for n in ("src", "dst", "ck"))
+    os.makedirs(src)
+    for i in range(5):
+        doc = {"playlists": [{"pid": i, "tracks": [{"track_uri": "t", "pos": 0}]}]}
+        _write(src, f"baskets.part.{i}.json", json.dumps(doc))
+    run = ingest_increment(spark, src, dst, ck, max_files=2).first()
+    assert (run.files, run.baskets, run.new_baskets, run.batches) == (5, 5, 5, 3)  # 2 + 2 + 1 files
