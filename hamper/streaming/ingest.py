@@ -35,6 +35,7 @@ def ingest_increment(spark: SparkSession, src: str, dst: str, checkpoint: str, p
     batches = sum(1 for p in progress if int(p.get("numInputRows", 0)) > 0)
     table = spark.read.schema(stream.schema).parquet(dst)
     return table.agg(F.count_distinct("_file").alias("files"), F.count(F.lit(1)).alias("baskets"),
-                     F.coalesce(F.sum(F.size("tracks")), F.lit(0)).alias("interactions")) \
+                     F.coalesce(F.sum(F.when(F.col("tracks").isNotNull(), F.size("tracks"))), F.lit(0))
+                     .alias("interactions")) \
         .select("*", F.lit(new_rows).cast("bigint").alias("new_baskets"),
                 F.lit(batches).cast("bigint").alias("batches"))
