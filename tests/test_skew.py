@@ -71,3 +71,33 @@ def test_hot_basket_end_to_end(spark):
         assert abs(at_k[k].precision - len(h) / (n_b * k)) < 1e-12
         assert abs(at_k[k].recall - len(h) / len(pairs)) < 1e-12
         assert abs(at_k[k].coverage - h.basket.nunique() / n_b) < 1e-12
+
+
+def test_hot_basket_join_is_split_by_aqe(spark):
+    """encode's shuffled join on a basket key holding half the rows is split by AQE's
+    skew-join handling (thresholds lowered so it triggers at test size)."""
+    from pyspark.sql import functions as F
+
+    from hamper.operators.interactions import build_indexes, encode
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(20000).select(
+            F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("basket"),
+            (F.col("id") % 301).alias("item"), F.col("id").cast("int").alias("position"))
+        bidx, iidx = build_indexes(rows)
+        enc = encode(rows, bidx, iidx)
+        assert len(enc.collect()) == 20000  # runs enc's own plan, so its AQE plan is final
+        final = enc._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert any("SortMergeJoin" in ln and "skew=true" in ln.replace(" ", "").lower() or "isSkewJoin=true" in ln
+               for ln in final.splitlines()), final
