@@ -46,3 +46,19 @@ def test_query_matches_oracle_on_range_path(spark, con, name):
         spark.conf.unset("hamper.rank.maxGroupRows")
         catalog.clear_memo()
     assert r["status"] == "match", r
+
+
+@pytest.mark.parametrize("name", ["split_train", "recs_unseen"])
+def test_query_matches_oracle_with_reliable_checkpoints(spark, con, name):
+    """Range path with the staged rows written as reliable checkpoints (spark.checkpoint.dir)."""
+    from hamper.plans import catalog
+    spark.conf.set("hamper.rank.maxGroupRows", "0")
+    spark.conf.set("hamper.materialize", "checkpoint")
+    catalog.clear_memo()
+    try:
+        r = compare(spark, SF001, name, E.queries()[name], ORACLES[name], con)
+    finally:
+        spark.conf.unset("hamper.rank.maxGroupRows")
+        spark.conf.unset("hamper.materialize")
+        catalog.clear_memo()
+    assert r["status"] == "match", r
