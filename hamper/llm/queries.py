@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hamper.llm import exact_dedup, mixing, token_rollup, url_filter
+from hamper.llm import exact_dedup, mixing, rans, token_rollup, url_filter
 from hamper.llm.common import shared_dir, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +76,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+# ---------------------------------------------------------------- 4 token-id output
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the token files of all documents, then reads them back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    root = rans.new_root(spark)
+    rans.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), root, end_id=1)
+    return rans.read_token_digests(spark, root)
+
+
 # ---------------------------------------------------------------- 8 URL filters
 #: The rules of the query (fixed values): verdict, host, path.
 URL_RULES = """
