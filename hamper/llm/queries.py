@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hamper.llm import exact_dedup, mixing, rans, token_rollup, url_filter
+from hamper.llm import exact_dedup, licenses, mixing, rans, spm, token_rollup, topk, url_filter
 from hamper.llm.common import shared_dir, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,24 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+# ---------------------------------------------------------------- 3 exact top-k search
+@query
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = (table(spark, sf_dir, "embeddings").where(topk.usable(F.col("embedding")))
+               .select("vec_id", topk.quantize(F.col("embedding")).alias("vector")))
+    return topk.exact_topk(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+ORACLE["op3_exact_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 5
+"""
+
+
 # ---------------------------------------------------------------- 4 token-id output
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +104,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_token_digests(spark, root)
 
 
+# ---------------------------------------------------------------- 7 licence scans
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs).drop("matches")
+
+
 # ---------------------------------------------------------------- 8 URL filters
 #: The rules of the query (fixed values): verdict, host, path.
 URL_RULES = """
@@ -132,3 +157,11 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+# ---------------------------------------------------------------- 10 SentencePiece
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids (number and crc32) and whether decoding them gives back its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spm.check_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
