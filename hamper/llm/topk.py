@@ -154,7 +154,7 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str =
     slots = max(1, cand.count())
     slot = F.pmod(F.xxhash64("c_block"), F.lit(slots))
     sent = asking.select(*(F.col(c).alias(f"q_{c}") for c in asking.columns),
-                         F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).cast("long").alias("slot"))
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"))
     held = cand.select(*(F.col(c).alias(f"c_{c}") for c in cand.columns)).withColumn("slot", slot)
     meetings = sent.join(held, "slot").repartition("q_block", "c_block")
     found = meetings.mapInArrow(_meet(k), "query_id long, vec_id long, score long")
