@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hamper.llm import exact_dedup, licenses, mixing, rans, spm, token_rollup, topk, url_filter
+from hamper.llm import exact_dedup, licenses, mixing, rans, spm, token_rollup, topk, toxicity, url_filter
 from hamper.llm.common import shared_dir, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,16 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_token_digests(spark, root)
 
 
+# ---------------------------------------------------------------- 5 toxicity
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 # ---------------------------------------------------------------- 7 licence scans
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
