@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hamper.llm import exact_dedup, licenses, mixing, rans, spm, token_rollup, topk, toxicity, url_filter
+from hamper.llm import bagminhash, exact_dedup, licenses, mixing, rans, spm, token_rollup, topk, toxicity, url_filter
 from hamper.llm.common import shared_dir, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+# ---------------------------------------------------------------- 6 near-duplicates
+@query
+def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # ---------------------------------------------------------------- 7 licence scans
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
