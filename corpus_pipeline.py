@@ -6,20 +6,54 @@ and read again as the next stage's docs. All but the last return the columns of
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hamper.llm import exact_dedup
-from hamper.llm.common import stage
+from hamper.llm import bagminhash, exact_dedup, mixing, spm, toxicity
+from hamper.llm.common import stage, word_count
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose noisy-or over their sentences reaches the threshold go. A null or empty
+    text scores 0 and stays; without labels nothing is learnt and all stay."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.train(docs.select("doc_id", "text"), labels)
+    return docs.where(toxicity.score_column(model, spark)(F.col("text")) < toxicity.THRESHOLD)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with identical texts, the one with the largest doc_id stays."""
     return exact_dedup.drop_exact_copies(docs)
 
 
-STAGES = [("exact dedup", exact_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates, the document with the smallest doc_id stays."""
+    return bagminhash.drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: a document in n copies is n equal rows."""
+    text = F.col("text")
+    mixed = mixing.mix(docs, word_count(text), mixing.quality_weight(text), text_hash=F.xxhash64(text))
+    return mixing.repeat_rows(mixed)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and the SentencePiece ids of the whole text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return spm.encode_documents(docs, model, ["doc_id", "lang", "source"])
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("exact dedup", drop_copies),
+    ("near-duplicates", drop_near_copies),
+    ("mixing sources", mix_sources),
+    ("sentencepiece", encode),
+]
 
-#: Stages that train or encode have no SQL form; tests compare the run with a brute-force version.
+#: The stages that train and encode have no SQL form; tests compare the run with a brute-force version.
 ORACLE_SQL = None
 
 
