@@ -89,7 +89,7 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         full[: n - SHINGLE + 1] = doc[: n - SHINGLE + 1] == doc[SHINGLE - 1:]
     begin = full | first_word       # the first word of a short text begins its only shingle
     h = np.zeros(n, np.uint64)
-    for j in range(SHINGLE):
+    for j in range(min(SHINGLE, n)):
         same = np.zeros(n, bool)
         same[: n - j] = doc[: n - j] == doc[j:]
         w = np.zeros(n, np.uint64)
