@@ -43,7 +43,7 @@ M = BANDS * ROWS
 LEAST_AGREEMENT = 0.64
 TILE = 256              # members of a bucket compared at a time, on either side
 BROADCAST_ROWS = 1_000_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20   # text handled at a time: a Python worker's arrays hold some 60 bytes per byte
 U = np.uint64
 
 _SPACE = np.zeros(256, bool)
@@ -75,12 +75,12 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(starts):
         return empty
     # hash of each word: a polynomial in its bytes
-    word_of = np.cumsum(np.r_[False, solid[1:] & ~solid[:-1]] | (np.arange(len(raw)) == starts[0])) - 1
-    place = np.arange(len(raw)) - starts[np.maximum(word_of, 0)]
-    powers = np.multiply.accumulate(np.r_[U(1), np.full(int(place[solid].max()), 0x100000001B3, np.uint64)])
-    terms = np.zeros(len(raw), np.uint64)
-    terms[solid] = (_LOWER[raw[solid]].astype(np.uint64) + U(1)) * powers[place[solid]]
-    word = mix(np.add.reduceat(terms, starts))
+    at = np.flatnonzero(solid).astype(np.int32)
+    first_at = np.searchsorted(at, starts)                     # of each word, among the solid bytes
+    lengths = np.diff(np.r_[first_at, len(at)])
+    place = np.arange(len(at), dtype=np.int32) - np.repeat(first_at.astype(np.int32), lengths)
+    powers = np.multiply.accumulate(np.r_[U(1), np.full(int(place.max()), 0x100000001B3, np.uint64)])
+    word = mix(np.add.reduceat((_LOWER[raw[at]].astype(np.uint64) + U(1)) * powers[place], first_at))
     doc = np.searchsorted(doc_start, starts, side="right") - 1
     n = len(word)
     first_word = np.r_[True, doc[1:] != doc[:-1]]
@@ -195,6 +195,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([sig[i].tobytes() if full[i] else None for i in range(n)], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(band.reshape(-1)))],
                 names=["doc_id", "key", "sig", "bands"])
+    _trim()
+
+
+def _trim() -> None:
+    """Workers are kept between tasks: give unused memory back."""
+    pa.default_memory_pool().release_unused()
 
 
 def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,6 +214,7 @@ def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()),
                  pa.array([c[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())],
                 names=["key", "hashes", "counts"])
+    _trim()
 
 
 def _verify(similarity: float):
