@@ -1,0 +1,58 @@
+"""Exact dedup: filters merge losslessly; groups equal brute force on odd rows."""
+
+import hashlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from hamper.llm import exact_dedup as X
+
+SCHEMA = "doc_id long, text string, row string, fp long, keep_id string"
+ROWS = ([(i, t, "r", i, "k") for i, t in enumerate(["a", "b", "a", "", None, " ", "a ", "A", "é", "é", "x" * 200_000,
+                                                     "x" * 200_000, "x" * 199_999 + "y"])]
+        + [(2, "a", "again", 2, "k"), (2, "a", "again", 2, "k"), (None, "a", None, None, None), (None, "only", None, 1, None),
+           (None, "only", None, 1, None), (7, "other", "same id", 3, "k")])
+
+
+def brute(rows):
+    groups = {}
+    for i, t, *_ in rows:
+        groups.setdefault(t or "", []).append(i)
+    out = []
+    for i, t, *_ in rows:
+        ids = groups[t or ""]
+        keep = max([x for x in ids if x is not None], default=None)
+        out.append((i, keep, len(ids), i == keep, hashlib.sha256((t or "").encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_groups_match_brute_force(spark):
+    for parts in (1, 5):
+        df = spark.createDataFrame(ROWS, SCHEMA).repartition(parts)
+        got = X.exact_groups(df).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+        assert sorted(map(tuple, got), key=repr) == brute(ROWS)
+
+
+def test_kept_rows_keep_clashing_columns(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    kept = X.drop_exact_copies(df)
+    assert kept.columns == df.columns
+    expected = {(i, t or "") for i, t, *_ in ROWS} - {(0, "a"), (3, ""), (8, "é"), (10, "x" * 200_000), (None, "a")}
+    assert {(r.doc_id, r.text or "") for r in kept.collect()} == expected
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert X.exact_groups(empty).count() == 0 and X.drop_exact_copies(empty).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 5), max_size=40), min_size=1, max_size=5))
+def test_merged_filters_equal_one_filter(parts):
+    arrays = [np.array(p, np.uint64) for p in parts]
+    merged = X.merge_filters([X.build_filter(a) for a in arrays])
+    whole = X.build_filter(np.concatenate(arrays))
+    assert all(np.array_equal(a, b) for a, b in zip(merged, whole))
+    values, counts = np.unique(np.concatenate(arrays), return_counts=True)
+    assert np.array_equal(X.filter_items(*merged[:3]), values) and np.array_equal(merged[3], counts)

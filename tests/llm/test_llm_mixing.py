@@ -1,0 +1,111 @@
+"""Source mixing against a driver-side brute force of the same rules."""
+
+import math
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from hamper.llm import mixing as X
+
+SCHEMA = "doc_id long, source string, words long, weight double, row int, key string"
+
+
+def targets(sizes, weights=X.WEIGHTS, cap=3.0):
+    """Share by weight; cut at the cap; share the excess again until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, fixed = float(sum(sizes.values())), {}
+    while True:
+        free = [s for s in names if s not in fixed]
+        left = total - sum(fixed.values())
+        share = {s: left * w[s] / sum(w[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > cap * sizes[s]]
+        if not over:
+            return {**fixed, **share}
+        fixed.update({s: cap * sizes[s] for s in over})
+
+
+def brute(rows):
+    """rows: (doc_id, source, size, key); returns copies by row, in order."""
+    by = defaultdict(list)
+    for n, r in enumerate(rows):
+        by[r[1]].append((r[3], r[0] is not None, r[0] or 0, r[2], n))
+    sizes = {s: sum(x[3] for x in v) for s, v in by.items()}
+    goal, copies = targets(sizes), [0] * len(rows)
+    for s, v in by.items():
+        if not sizes[s]:
+            continue
+        epochs = math.floor(goal[s] / sizes[s])
+        ranges = max(1, len(v) // X.RANGE_DOCS)
+        at = lambda k: min(ranges - 1, math.floor((1 - math.exp(-k)) * ranges))
+        words = defaultdict(int)
+        for x in v:
+            words[at(x[0])] += x[3]
+        left, end = goal[s] - epochs * sizes[s], None
+        for r in sorted(words):
+            if words[r] > left:
+                end = r
+                break
+            left -= words[r]
+        for x in sorted(v):
+            r = at(x[0])
+            take = end is None or r < end
+            if r == end and x[3] <= left:
+                take, left = True, left - x[3]
+            if x[3]:
+                copies[x[4]] = epochs + take
+    return copies, goal, sizes
+
+
+def random_rows(n, seed):
+    rng = random.Random(seed)
+    return [(i if rng.random() > 0.02 else None, rng.choice(["a", "a", "a", "b", "c", "é", "", None]),
+             rng.choice([None, 0, 1, 3, 40, 200, rng.randint(1, 900)]), rng.choice([None, -1.0, 0.0, 0.2, 1.0, 5.0]), 1, "k")
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("n,seed", [(60, 1), (3000, 2)])
+def test_mix_matches_brute_force(spark, n, seed):
+    rows = random_rows(n, seed)
+    df = spark.createDataFrame(rows, SCHEMA)
+    mixed = X.mix(df, F.col("words"), F.col("weight"), text_hash=F.xxhash64("words")).cache()
+    good = F.coalesce(F.when(F.col("weight") > 0, F.col("weight")), F.lit(1.0))
+    keyed = df.select("doc_id", "source", F.coalesce("words", F.lit(0)).alias("size"),
+                      X.exponential_key(F.col("doc_id"), F.xxhash64("words"), good).alias("k")).collect()
+    copies, goal, sizes = brute([tuple(r) for r in keyed])
+    expected = sorted(((r.doc_id, r.source, r.size, c) for r, c in zip(keyed, copies)), key=repr)
+    got = mixed.collect()
+    assert sorted(((r.doc_id, r.source, r["size"], r.copies) for r in got), key=repr) == expected
+    taken = defaultdict(int)
+    for r in got:
+        taken[r.source] += r.taken
+        assert r.taken == r.copies * r["size"] <= 3 * r["size"]
+        assert abs(r.target - goal[r.source]) < 1e-6 * max(1, goal[r.source]) and r.source_size == sizes[r.source]
+    for s in taken:
+        assert 0 <= goal[s] - taken[s] <= max((r["size"] for r in got if r.source == s), default=0)
+    again = X.mix(df.repartition(7), F.col("words"), F.col("weight"), text_hash=F.xxhash64("words"))
+    cols = ["doc_id", "source", "size", "copies", "taken"]
+    assert sorted(map(tuple, mixed.select(cols).collect()), key=repr) == sorted(map(tuple, again.select(cols).collect()), key=repr)
+    assert X.repeat_rows(mixed).columns == df.columns and X.repeat_rows(mixed).count() == sum(copies)
+
+
+def test_caps_and_ties(spark):
+    rows = [(1, "a", 10, 1.0, 1, "k")] * 3 + [(2, "b", 1000, 1.0, 1, "k")]
+    got = X.mix(spark.createDataFrame(rows, SCHEMA), F.col("words"), F.col("weight")).collect()
+    assert sorted((r.source, r.target, r.copies) for r in got) == [("a", 90.0, 3)] * 3 + [("b", 940.0, 0)]
+
+
+def test_empty_and_wordless_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert X.mix(empty, F.col("words"), F.col("weight")).count() == 0
+    rows = [(1, "a", 0, 1.0, 1, "k"), (2, None, None, None, 1, None)]
+    got = X.mix(spark.createDataFrame(rows, SCHEMA), F.col("words"), F.col("weight")).collect()
+    assert [(r.copies, r.taken, r.target) for r in got] == [(0, 0, 0.0)] * 2
+
+
+def test_quality_weight(spark):
+    rows = [("plain words",), ("a#b$%%",), ("",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "text string").select(X.quality_weight(F.col("text"))).collect()]
+    assert got[0] == 1.0 and got[1] == pytest.approx(0.1) and got[2:] == [1.0, 1.0]
