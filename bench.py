@@ -30,6 +30,7 @@ HEADLINE = [
     "metrics_at_k",          # hits, precision/recall/coverage at 4 cut-offs
     "map_at_100",            # average precision and MAP
     "nested_parse",          # nested JSON documents -> interactions
+    "als_candidates",        # factor model fit and its lists for every basket
 ]
 
 

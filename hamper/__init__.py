@@ -1,24 +1,36 @@
 """hamper: Spark-native recommendations from ordered baskets.
 
-Every operator is a lazy ``DataFrame -> DataFrame`` function; see README.md.
+Operators take and return DataFrames; see README.md for which of them store rows on the way.
+The names below load on first use, so that a Python worker that needs one module does not
+import them all.
 """
 
-from hamper.operators.als import als_candidates, fit_als, run_metadata
-from hamper.operators.cooccurrence import cooccurrence
-from hamper.operators.features import (basket_sizes, implicit_rating, popularity, recommendation_scores,
-                                       simple_popularity, size_bands)
-from hamper.operators.interactions import build_indexes, drop_null_keys, encode, null_key_counts, to_interactions
-from hamper.operators.metrics import (average_precision, evaluation_baskets, evaluation_report, hits, mean_ap,
-                                      metrics_at_k, quality_tier, truth_pairs)
-from hamper.operators.ordering import dense_index, ordered_rank
-from hamper.operators.ranking import blend, rank_unseen, recommend_popular, top_candidates
-from hamper.operators.sampling import file_sample, hash_sample, sample_interactions, stratified_baskets
-from hamper.operators.split import split_numbered, split_ordered, test_part, train_part
-from hamper.operators.stats import dataset_stats
-from hamper.session import ensure_checkpoint_dir, local_session, materialize
-from hamper.sinks.writers import read_back_count, recommendation_lists, write_recommendations, write_table
-from hamper.sources.baskets import read_baskets, read_request_baskets, read_table, read_with_fallback
-from hamper.sources.inventory import file_inventory, inventory_totals
-from hamper.streaming.ingest import ingest_increment
+import importlib
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+_WHERE = {
+    "hamper.operators.als": ["als_candidates", "fit_als", "over_fetch", "run_metadata"],
+    "hamper.operators.cooccurrence": ["cooccurrence", "excluded_baskets"],
+    "hamper.operators.features": ["basket_sizes", "implicit_rating", "popularity", "recommendation_scores",
+                                  "simple_popularity", "size_bands"],
+    "hamper.operators.interactions": ["build_indexes", "drop_null_keys", "encode", "null_key_counts", "to_interactions"],
+    "hamper.operators.metrics": ["average_precision", "baskets_with_recs", "evaluation_baskets", "evaluation_report", "hits",
+                                 "mean_ap", "metrics_at_k", "quality_tier", "truth_pairs"],
+    "hamper.operators.ordering": ["dense_index", "ordered_rank"],
+    "hamper.operators.ranking": ["blend", "rank_unseen", "recommend_popular", "top_candidates"],
+    "hamper.operators.sampling": ["file_sample", "hash_sample", "sample_interactions", "stratified_baskets"],
+    "hamper.operators.split": ["split_numbered", "split_ordered", "test_part", "train_part"],
+    "hamper.operators.stats": ["dataset_stats"],
+    "hamper.session": ["drop_scratch", "ensure_checkpoint_dir", "local_session", "materialize"],
+    "hamper.sinks.writers": ["read_back_count", "recommendation_lists", "write_recommendations", "write_table"],
+    "hamper.sources.baskets": ["read_baskets", "read_request_baskets", "read_table", "read_with_fallback"],
+    "hamper.sources.inventory": ["file_inventory", "inventory_totals"],
+    "hamper.streaming.ingest": ["ingest_increment", "read_ingested", "read_manifest"],
+}
+_HOME = {name: module for module, names in _WHERE.items() for name in names}
+__all__ = sorted(_HOME)
+
+
+def __getattr__(name: str):
+    if name not in _HOME:
+        raise AttributeError(f"module 'hamper' has no attribute {name!r}")
+    return getattr(importlib.import_module(_HOME[name]), name)

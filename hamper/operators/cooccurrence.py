@@ -14,35 +14,50 @@ from hamper.operators.sampling import SEED, hash_sample
 MIN_SIZE, MAX_SIZE, MIN_COUNT, ROW_FRACTION = 5, 200, 3, 0.3
 
 
+# Items of a basket are paired block by block, so that one task never pairs a whole hot basket.
+BLOCK_ITEMS = 1000
+
+
+def excluded_baskets(df: DataFrame, basket: str = "basket", item: str = "item", min_size: int = MIN_SIZE,
+                     max_size: int | None = MAX_SIZE) -> DataFrame:
+    """One row: how many baskets, and how many of their rows, the size window leaves out."""
+    size = F.col("_size")
+    small = size < F.lit(min_size)
+    large = F.lit(False) if max_size is None else size > F.lit(max_size)
+    rows = lambda c: F.coalesce(F.sum(F.when(c, size)), F.lit(0)).cast("bigint")
+    return basket_sizes(df, basket, item, "_size").agg(
+        F.count_if(small).alias("small_baskets"), rows(small).alias("small_rows"),
+        F.count_if(large).alias("large_baskets"), rows(large).alias("large_rows"))
+
+
 def cooccurrence(df: DataFrame, basket: str = "basket", item: str = "item", min_size: int = MIN_SIZE,
-                 max_size: int = MAX_SIZE, min_count: int = MIN_COUNT, fraction: float | None = None,
+                 max_size: int | None = MAX_SIZE, min_count: int = MIN_COUNT, fraction: float | None = None,
                  seed: int = SEED, sample_keys: Sequence[str] = ("basket", "position"),
                  dedupe: bool = False) -> DataFrame:
     """Unordered item pairs ``item1 < item2`` seen together in a basket, with counts.
 
     Baskets are kept when their size (all rows, before any row sample) lies in
-    ``[min_size, max_size]``; then an optional deterministic row sample is taken.
-    A repeated item counts once per copy (A,A,B gives (A,B) twice, never (A,A)), so rows
-    are first folded to ``(basket, item, copies)`` and pairs carry ``copies1*copies2``:
-    the join emits one row per distinct pair instead of one per copy pair.
-    ``max_size`` is mandatory and bounds the pairs of one basket by
-    ``max_size*(max_size-1)/2``; a hot basket above it never reaches the join.
+    ``[min_size, max_size]`` (``max_size=None``: no upper bound); ``excluded_baskets`` counts
+    the others. Then an optional deterministic row sample is taken. A repeated item counts
+    once per copy (A,A,B gives (A,B) twice, never (A,A)), so rows are first folded to
+    ``(basket, item, copies)`` and pairs carry ``copies1*copies2``. The items of a basket are
+    dealt to blocks of about ``BLOCK_ITEMS`` by hash and every two blocks meet under a key of
+    their own, so a hot basket's pairs are spread over tasks.
     """
-    if max_size is None:
-        raise ValueError("max_size bounds the pairs per basket and cannot be None")
-    sizes = basket_sizes(df, basket, item, "_size").where(F.col("_size").between(min_size, max_size))
-    rows = df.join(sizes.select(basket), basket, "left_semi")
+    size = F.col("_size")
+    inside = size >= F.lit(min_size) if max_size is None else size.between(min_size, max_size)
+    sizes = basket_sizes(df, basket, item, "_size").where(inside)
+    blocks = F.ceil(size / F.lit(BLOCK_ITEMS)).cast("int").alias("_blocks")
+    rows = df.join(sizes.select(basket, blocks), basket)
     if fraction is not None:
         rows = hash_sample(rows, list(sample_keys), fraction, seed)
-    # One shuffle by basket serves both the fold and the self join (kept baskets hold at
-    # most max_size rows, so hashing by basket alone cannot concentrate a hot key).
     folded = (rows.where(F.col(item).isNotNull())
-              .repartition(basket)
-              .groupBy(basket, item)
+              .groupBy(basket, item, "_blocks")
               .agg((F.lit(1).cast("bigint") if dedupe else F.count(F.lit(1))).alias("_copies")))
-    a, b = folded.alias("a"), folded.alias("b")
-    pairs = a.join(b, (F.col(f"a.{basket}") == F.col(f"b.{basket}")) & (F.col(f"a.{item}") < F.col(f"b.{item}")))
-    return (pairs.select(F.col(f"a.{item}").alias("item1"), F.col(f"b.{item}").alias("item2"),
-                         (F.col("a._copies") * F.col("b._copies")).alias("_w"))
-            .groupBy("item1", "item2").agg(F.sum("_w").cast("bigint").alias("cooccur_count"))
+    own = F.pmod(F.xxhash64(item), F.col("_blocks").cast("long")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    left = folded.select(basket, F.col(item).alias("item1"), F.col("_copies").alias("_c1"), own.alias("_i"), other.alias("_j"))
+    right = folded.select(basket, F.col(item).alias("item2"), F.col("_copies").alias("_c2"), other.alias("_i"), own.alias("_j"))
+    pairs = left.join(right, [basket, "_i", "_j"]).where("item1 < item2")
+    return (pairs.groupBy("item1", "item2").agg(F.sum(F.col("_c1") * F.col("_c2")).cast("bigint").alias("cooccur_count"))
             .where(F.col("cooccur_count") >= F.lit(min_count)))

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hamper.functions import expressions as X
+from hamper.session import materialize
 
-# Fixed values (reference semantics): size bands used for stratified sampling, and
-# the popularity weights for frequency, distinct baskets, mean rating, early share.
+# Fixed values (reference semantics): size bands used for stratified sampling, the popularity
+# weights for frequency, distinct baskets, mean rating, early share, and the output column
+# names of popularity() (frequency, unique_baskets, avg_rating, early_position_count,
+# avg_position, stddev_position, popularity_score).
 DEFAULT_BANDS = (("small", 5, 20), ("medium", 21, 100), ("large", 101, None))
 POPULARITY_WEIGHTS = (0.25, 0.35, 0.25, 0.15)
 EARLY_POSITION = 5
@@ -50,7 +53,7 @@ def popularity(df: DataFrame, basket: str = "basket", item: str = "item", positi
 
     score = w0*freq/max(freq) + w1*uniq/max(uniq) + w2*avg_rating/5 + w3*early/freq,
     then every numeric null (e.g. the sample stddev of a one-row item) becomes 0.
-    The two maxima are scalar subqueries over the aggregate: no driver round trip.
+    The item-sized features are stored; both maxima come from the stored rows.
     """
     feats = df.groupBy(item, *extra_keys).agg(
         F.count(basket).alias("frequency"),
@@ -60,6 +63,7 @@ def popularity(df: DataFrame, basket: str = "basket", item: str = "item", positi
         F.avg(position).alias("avg_position"),
         F.stddev(position).alias("stddev_position"),
     )
+    feats = materialize(feats)
     max_freq = feats.select(F.max("frequency")).scalar()
     max_uniq = feats.select(F.max("unique_baskets")).scalar()
     w0, w1, w2, w3 = weights

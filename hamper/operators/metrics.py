@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hamper.functions import expressions as X
+from hamper.session import materialize
 
 # Fixed values (reference semantics): cut-offs reported, and the MAP cut-off.
 DEFAULT_KS = (10, 20, 50, 100)
@@ -69,6 +70,13 @@ def average_precision(hit_rows: DataFrame, baskets: DataFrame, truth: DataFrame
     return baskets.select(basket).distinct().join(ap, basket, "left").fillna(0.0, subset=[out])
 
 
+def baskets_with_recs(recs: DataFrame, baskets: DataFrame, basket: str = "basket") -> DataFrame:
+    """One row: evaluated baskets, and how many of them got any recommendation at all."""
+    got = recs.select(basket).distinct().join(baskets.select(basket).distinct(), basket, "left_semi")
+    return baskets.agg(F.count_distinct(basket).alias("baskets")).select(
+        "baskets", got.select(F.count(F.lit(1))).scalar().alias("baskets_with_recs"))
+
+
 def mean_ap(ap: DataFrame, ap_col: str = "average_precision", basket: str = "basket") -> DataFrame:
     """MAP over every evaluated basket (zeros included), with the basket counts."""
     return ap.agg(F.avg(ap_col).alias("map"), F.count(basket).alias("baskets"),
@@ -80,19 +88,20 @@ def quality_tier(map_df: DataFrame, map_col: str = "map", baseline: float = X.BA
                          X.quality_tier(map_col).alias("tier"))
 
 
-def evaluation_baskets(test: DataFrame, basket: str = "basket", limit: int | None = None) -> DataFrame:
-    """The baskets to evaluate: all distinct test baskets, or (a sampling feature) the
-    first ``limit`` in key order — a deterministic subset, unlike an unordered limit."""
-    baskets = test.select(basket).distinct()
-    return baskets if limit is None else baskets.orderBy(basket).limit(int(limit))
+def evaluation_baskets(test: DataFrame, basket: str = "basket") -> DataFrame:
+    """The baskets to evaluate: all distinct test baskets."""
+    return test.select(basket).distinct()
 
 
 def evaluation_report(hit_rows: DataFrame, baskets: DataFrame, truth: DataFrame, ks: Sequence[int] = DEFAULT_KS,
                       k: int = MAP_K, basket: str = "basket", rank: str = "rank") -> DataFrame:
-    """One row per cut-off with MAP@k, its improvement over the baseline and the tier."""
+    """One row per cut-off with MAP@k, its improvement over the baseline and the tier.
+
+    The hits (few rows a basket) are stored, so both branches share one ranking run."""
+    hit_rows = materialize(hit_rows)
     at_k = metrics_at_k(hit_rows, baskets, truth, ks, basket, rank)
-    summary = quality_tier(mean_ap(average_precision(hit_rows, baskets, k=k, basket=basket, rank=rank),
-                                   basket=basket))
-    s = summary.select(F.struct("map", "improvement", "tier")).scalar()  # one scalar subquery, one row
+    summary = materialize(quality_tier(mean_ap(average_precision(hit_rows, baskets, k=k, basket=basket, rank=rank),
+                                               basket=basket)))
+    s = summary.select(F.struct("map", "improvement", "tier")).scalar()  # of one stored row
     return at_k.select("*", s["map"].alias(f"map_at_{k}"), s["improvement"].alias("improvement"),
                        s["tier"].alias("tier"))

@@ -1,299 +1,75 @@
-"""Skew-safe numbering of rows inside groups, and dense ids.
-
-Groups of a checked, bounded size are numbered with an ordinary window. Beyond that
-bound (and for a global numbering) the following applies.
-
-``Window.partitionBy(g).orderBy(o)`` sends every row of one group to one task, so a
-basket that holds a third of all rows would be sorted by a single task, and a global
-``row_number()`` (no partition) sends *everything* to one task. Here rows are
-range-partitioned on ``(group, order)`` instead: the sampled range bounds split a hot
-group over many consecutive partitions. After the partitions are materialised, one
-cheap pass records, per partition, its first and last group and how many rows of
-each it holds (one row per partition); the driver turns those few rows into carry-in
-and carry-out counts; a second pass numbers the rows of each partition and adds the
-carry. Group sizes come out of the same pass, so no join back is needed.
+"""Skew-safe numbering of rows inside groups, and dense ids (DataFrame functions only).
+
+``Window.partitionBy(g).orderBy(o)`` sends every row of one group to one task, and a global
+``row_number()`` sends *everything* to one task. Here rows are range-partitioned and sorted
+on ``(group, order)``: the range bounds split a hot group over consecutive partitions. The
+sorted rows are stored with their partition number and place, so that both passes see the
+same partitions whatever happens to executors in between. A group that crosses partitions
+is numbered on from one to the next: its rows per partition are counted, and the running sum
+(one row per partition that such a group touches) is added to the place inside the partition.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from hamper.session import materialize
 
-# Partition number stamped into the rows before materialising: task partition ids are
-# renumbered when the result is later unioned, the stamped column is not.
-_PID = "__hamper_pid"
-MATERIALIZE_CONF = "hamper.materialize"
-MAX_GROUP_CONF = "hamper.rank.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-ROWS_PER_PARTITION_CONF = "hamper.rank.rowsPerPartition"
-DEFAULT_ROWS_PER_PARTITION = 4_000_000
-
-# persisted range-partitioned rows, kept until the caller's results are written
-_STAGED: list[DataFrame] = []
-
-
-def release_staging() -> None:
-    """Unpersist the rows kept for numbering. Call once the DataFrames built on them have
-    been written (the stage jobs do); using those DataFrames afterwards would recompute
-    the staging and fail the partition consistency check."""
-    while _STAGED:
-        _STAGED.pop().unpersist()
-
-
-def _same_key(a: tuple, b: tuple) -> bool:
-    return all((x is None and y is None) or (x is not None and y is not None and x == y) for x, y in zip(a, b))
-
-
-def _key_arrays(batch: pa.RecordBatch, gcols: Sequence[str]) -> list[np.ndarray]:
-    return [batch.column(c).to_numpy(zero_copy_only=False) for c in gcols]
-
-
-def _row_key(arrays: list[np.ndarray], i: int) -> tuple:
-    return tuple(None if pd.isna(a[i]) else a[i] for a in arrays)
-
-
-def _run_starts(arrays: list[np.ndarray], n: int, prev: tuple | None) -> np.ndarray:
-    """Flag rows whose group differs from the row before (row 0 is compared with ``prev``)."""
-    starts = np.zeros(n, dtype=bool)
-    if not arrays:
-        if prev is None:
-            starts[0] = True
-        return starts
-    for a in arrays:
-        na = pd.isna(a)
-        same = (a[1:] == a[:-1]) | (na[1:] & na[:-1])
-        starts[1:] |= ~np.asarray(same, dtype=bool)
-    starts[0] = prev is None or not _same_key(_row_key(arrays, 0), prev)
-    return starts
-
-
-def _edge_schema(df: DataFrame, gcols: Sequence[str]) -> T.StructType:
-    fields = [
-        T.StructField("pid", T.IntegerType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("n_first", T.LongType()),
-        T.StructField("n_last", T.LongType()),
-        T.StructField("single", T.BooleanType()),
-    ]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields += [T.StructField(f"_f{i}", types[c]) for i, c in enumerate(gcols)]
-    fields += [T.StructField(f"_l{i}", types[c]) for i, c in enumerate(gcols)]
-    return T.StructType(fields)
-
-
-def _edge_stats_fn(gcols: Sequence[str], schema: T.StructType):
-    arrow_schema = to_arrow_schema(schema)
-
-    def run(batches):
-        pid = None
-        n = 0
-        first_key = last_key = prev = None
-        first_len = None
-        cur = 0
-        for batch in batches:
-            m = batch.num_rows
-            if m == 0:
-                continue
-            arrays = _key_arrays(batch, gcols)
-            starts = np.flatnonzero(_run_starts(arrays, m, prev))
-            if first_key is None:
-                first_key = _row_key(arrays, 0)
-                pid = batch.column(_PID)[0].as_py()
-            if len(starts) == 0:
-                cur += m
-            else:
-                if first_len is None:
-                    if cur + starts[0] > 0:
-                        first_len = cur + int(starts[0])
-                    elif len(starts) > 1:
-                        first_len = int(starts[1] - starts[0])
-                cur = m - int(starts[-1])
-            n += m
-            prev = last_key = _row_key(arrays, m - 1)
-        if n == 0:
-            return
-        single = first_len is None
-        row = {"pid": [pid], "n": [n], "n_first": [cur if single else first_len], "n_last": [cur],
-               "single": [single]}
-        for i in range(len(gcols)):
-            row[f"_f{i}"] = [first_key[i]]
-            row[f"_l{i}"] = [last_key[i]]
-        yield pa.RecordBatch.from_pydict(row, schema=arrow_schema)
-
-    return run
-
-
-def _carries(edges: list, k: int) -> dict:
-    """Per partition: (n, n_first, n_last, single, carry_in, carry_out)."""
-    edges = sorted(edges, key=lambda r: r["pid"])
-    first = [tuple(r[f"_f{i}"] for i in range(k)) for r in edges]
-    last = [tuple(r[f"_l{i}"] for i in range(k)) for r in edges]
-    cin = [0] * len(edges)
-    cout = [0] * len(edges)
-    for j in range(1, len(edges)):
-        if _same_key(first[j], last[j - 1]):
-            p = edges[j - 1]
-            cin[j] = p["n_last"] + (cin[j - 1] if p["single"] else 0)
-    for j in range(len(edges) - 2, -1, -1):
-        if _same_key(last[j], first[j + 1]):
-            q = edges[j + 1]
-            cout[j] = q["n_first"] + (cout[j + 1] if q["single"] else 0)
-    return {r["pid"]: (r["n"], r["n_first"], r["n_last"], r["single"], cin[j], cout[j])
-            for j, r in enumerate(edges)}
-
-
-def _number_fn(gcols: Sequence[str], info: dict, rank_col: str, size_col: str | None, out_names: list[str]):
-    """Second pass over Arrow batches: only the group columns are converted; every other
-    column passes through as Arrow buffers with the new columns appended."""
-
-    def emit(batch: pa.RecordBatch, extra: dict) -> pa.RecordBatch:
-        cols = [batch.column(c) for c in out_names[: -len(extra)]]
-        cols += [pa.array(v, type=pa.int64()) for v in extra.values()]
-        return pa.RecordBatch.from_arrays(cols, names=out_names)
-
-    def run(batches):
-        batches = iter(batches)
-        for first in batches:
-            if first.num_rows:
-                break
-        else:
-            return  # empty partition
-        pid = first.column(_PID)[0].as_py()
-        n_tot, n_first, n_last, single, cin, cout = info[pid]
-        last_start = n_tot - n_last
-        first_size = cin + n_first + (cout if single else 0)
-        last_size = n_last + cout + (cin if single else 0)
-        g0 = 0
-        run_start = 0
-        prev = None
-        held: list[tuple[pa.RecordBatch, np.ndarray]] = []
-        for batch in itertools.chain([first], batches):
-            m = batch.num_rows
-            if m == 0:
-                continue
-            arrays = _key_arrays(batch, gcols)
-            st = _run_starts(arrays, m, prev)
-            if g0 == 0:
-                st[0] = False  # the partition opens inside its first run
-            gi = g0 + np.arange(m, dtype=np.int64)
-            rs = np.maximum.accumulate(np.where(st, gi, -1))
-            rs = np.where(rs < 0, run_start, rs)
-            rank = gi - rs + 1 + np.where(rs == 0, cin, 0)
-            if size_col is None:
-                yield emit(batch, {rank_col: rank})
-            else:
-                size = np.full(m, -1, dtype=np.int64)
-                size[rs == 0] = first_size
-                size[rs == last_start] = last_size
-                sidx = np.flatnonzero(st)
-                if len(sidx):
-                    nxt = np.searchsorted(sidx, np.arange(m), side="right")
-                    ends = np.where(nxt < len(sidx), g0 + sidx[np.minimum(nxt, len(sidx) - 1)], -1)
-                else:
-                    ends = np.full(m, -1, dtype=np.int64)
-                mid = size < 0
-                closed = mid & (ends >= 0)
-                size[closed] = (ends - rs)[closed]
-                if held and len(sidx):
-                    hsize = g0 + int(sidx[0]) - run_start
-                    for hb, hrank in held:
-                        yield emit(hb, {rank_col: hrank, size_col: np.full(hb.num_rows, hsize, dtype=np.int64)})
-                    held = []
-                still_open = mid & (ends < 0)
-                if still_open.any():
-                    keep = pa.array(still_open)
-                    held.append((batch.filter(keep), rank[still_open]))
-                    done = ~still_open
-                    if done.any():
-                        yield emit(batch.filter(pa.array(done)), {rank_col: rank[done], size_col: size[done]})
-                else:
-                    yield emit(batch, {rank_col: rank, size_col: size})
-            run_start = int(rs[-1])
-            prev = _row_key(arrays, m - 1)
-            g0 += m
-        if held or g0 != n_tot:
-            # the staged rows were recomputed differently from what the edge pass saw (e.g.
-            # the cache was cleared in between): fail rather than number wrongly
-            raise RuntimeError(f"partition {pid} changed between the edge pass and the numbering pass")
-
-    return run
+# own column names beside the caller's
+_PID, _AT, _BEFORE, _TOTAL, _N = ("__hamper_" + n for n in ("pid", "at", "before", "total", "n"))
+_PLACES = (1 << 33) - 1  # monotonically_increasing_id keeps the place in a partition in its low 33 bits
 
 
 def ordered_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
                  rank_col: str = "rank", size_col: str | None = None,
-                 num_partitions: int | None = None, materialize_mode: str | None = None,
-                 max_group_rows: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` (1-based, long) within ``partition_by`` ordered by ``order_by``.
 
-    Equal to ``row_number() over (partition by g order by o)`` when ``o`` has no ties
-    inside a group; with ties the numbers of tied rows are assigned in arbitrary order,
-    as with the window. With ``size_col`` the group's row count is added too (the
-    ``count(*) over (partition by g)`` of the same rows). No group is ever held by one
-    task: range bounds split large groups across partitions.
+    Equal to ``row_number() over (partition by g order by o)`` when ``o`` has no ties inside a
+    group; with ties the numbers of tied rows are assigned in arbitrary order, as with the
+    window. Null and NaN groups are groups of their own, as in a window. With ``size_col`` the
+    group's row count is added too. No group is ever held by one task.
 
-    Groups are first sized with one aggregation (partial counts before the shuffle). When
-    the largest group has at most ``max_group_rows`` rows (session conf
-    ``hamper.rank.maxGroupRows``, default 1,000,000) a window partitioned by the group is
-    safe — no task can receive more than that bound per group — and is used. Otherwise
-    (a hot group, or no groups at all: a global numbering) the range-partitioned path
-    runs. Its rows are kept between the two passes either persisted (default) or as a
-    reliable checkpoint in ``spark.checkpoint.dir`` (``materialize_mode="checkpoint"``
-    or session conf ``hamper.materialize``).
+    The input is evaluated once and stored, and so are the sorted rows; both live in the
+    session's scratch folder until ``drop_scratch``. ``num_partitions`` defaults to the
+    session's shuffle partitions.
     """
     gcols = list(partition_by)
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    keys = [F.col(c) for c in gcols] + order
-    spark = df.sparkSession
-    total = None
-    if gcols:
-        bound = max_group_rows if max_group_rows is not None else \
-            int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-        sizes = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
-        largest, total = sizes[0] or 0, sizes[1] or 0
-        if largest <= bound:
-            out = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*gcols).orderBy(*order))
-                                .cast("long"))
-            if size_col is not None:
-                out = out.withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*gcols)))
-            return out
+    keys = [F.col(c) for c in gcols] + [F.col(c) if isinstance(c, str) else c for c in order_by]
+    stored = materialize(df)  # the range bounds are sampled from the stored rows, not from df
+    ranged = stored.repartitionByRange(num_partitions, *keys) if num_partitions else stored.repartitionByRange(*keys)
+    placed = materialize(ranged.sortWithinPartitions(*keys)
+                         .withColumn(_PID, F.spark_partition_id())
+                         .withColumn(_AT, F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACES))))
+
+    counts = placed.groupBy(_PID, *gcols).agg(F.count(F.lit(1)).alias(_N))
+    group = Window.partitionBy(*gcols)  # one row per partition and group
+    earlier = group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    spans = counts.select(_PID, *gcols, F.coalesce(F.sum(_N).over(earlier), F.lit(0)).alias(_BEFORE),
+                          F.sum(_N).over(group).alias(_TOTAL), _N)
+    # only groups that cross partitions: at most two rows per range partition, so broadcast is safe
+    crossing = materialize(spans.where(F.col(_TOTAL) > F.col(_N)).drop(_N))
 
-    if not num_partitions:
-        # sized from the data: about ``rowsPerPartition`` rows per range partition
-        total = df.count() if total is None else total
-        per = int(spark.conf.get(ROWS_PER_PARTITION_CONF, str(DEFAULT_ROWS_PER_PARTITION)))
-        num_partitions = max(1, -(-total // per))
-    staged = (df.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id()))
-    if (materialize_mode or spark.conf.get(MATERIALIZE_CONF, "persist")) == "checkpoint":
-        ranged = materialize(staged)
+    if gcols:
+        here = Window.partitionBy(_PID, *gcols)
+        rows = placed.withColumn(_N, F.count(F.lit(1)).over(here)) if size_col else placed
+        rows = rows.withColumn(_AT, F.row_number().over(here.orderBy(_AT)).cast("long"))
+        at, own = F.col(f"r.{_AT}"), F.col(f"r.{_N}") if size_col else None
     else:
-        # Filled by the edge pass below (one job sorts, caches and summarises). A lost
-        # block is recomputed through the same shuffle and range bounds, so every
-        # partition gets back the same keys and the edge counts stay valid.
-        ranged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-        _STAGED.append(ranged)
-
-    edge_schema = _edge_schema(ranged, gcols)
-    edges = [r.asDict() for r in
-             ranged.select(*gcols, _PID).mapInArrow(_edge_stats_fn(gcols, edge_schema), edge_schema).collect()]
-    info = _carries(edges, len(gcols))
-
-    fields = [f for f in ranged.schema.fields if f.name != _PID] + [T.StructField(rank_col, T.LongType(), False)]
-    if size_col is not None:
-        fields.append(T.StructField(size_col, T.LongType(), False))
-    out_names = [f.name for f in fields]
-    return ranged.mapInArrow(_number_fn(gcols, info, rank_col, size_col, out_names), T.StructType(fields))
+        rows, at = placed, F.col(f"r.{_AT}") + 1
+        own = placed.select(F.count(F.lit(1))).scalar() if size_col else None
+    match = F.col(f"r.{_PID}") == F.col(f"c.{_PID}")
+    for c in gcols:
+        match = match & F.col(f"r.`{c}`").eqNullSafe(F.col(f"c.`{c}`"))
+    joined = rows.alias("r").join(F.broadcast(crossing.alias("c")), match, "left")
+    out = [F.col(f"r.`{c}`") for c in df.columns]
+    out.append((at + F.coalesce(F.col(f"c.{_BEFORE}"), F.lit(0))).alias(rank_col))
+    if size_col:
+        out.append(F.coalesce(F.col(f"c.{_TOTAL}"), own).cast("long").alias(size_col))
+    return joined.select(*out)
 
 
 def dense_index(df: DataFrame, key: str, out: str, num_partitions: int | None = None,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hamper.operators.ordering import ordered_rank
+from hamper.session import materialize
 
 # Fixed values (reference semantics): list length, blend weights, candidate cap.
 TOP_K = 100
@@ -15,6 +16,8 @@ REFERENCE_CANDIDATES = 10_000
 # Candidate slots of one basket are generated in chunks of this many, and chunks are
 # spread over tasks, so a basket with a huge seen set is not expanded by one task.
 _CHUNK = 4096
+# Ranks up to HOT_RANKS * k are wanted by almost every basket; their lookup rows are copied.
+HOT_RANKS, SALTS = 4, 32
 
 
 def top_candidates(scored: DataFrame, item: str = "item", score: str = "popularity_score",
@@ -65,12 +68,12 @@ def recommend_popular(baskets: DataFrame, seen: DataFrame, ranked: DataFrame, ba
     ``baskets*k + seen`` and exact: no cap on candidates. Baskets with no seen items get
     ``k`` rows; baskets that have seen nearly everything get fewer, numbered 1..n.
     """
-    cand = ranked.select(item, cand_rank)
+    cand = materialize(ranked.select(item, cand_rank))  # read by the maximum, the seen join and the lookup
     n_cand = cand.select(F.max(cand_rank)).scalar()
     # No distinct over the seen pairs (that would shuffle every seen row): the anti join
     # ignores repeats, and counting repeats in ``m`` only adds a few slots, never too few.
-    seen_ranked = (seen.select(basket, item).where(F.col(item).isNotNull())
-                   .join(cand, item).select(basket, cand_rank))
+    seen_ranked = materialize(seen.select(basket, item).where(F.col(item).isNotNull())
+                              .join(cand, item).select(basket, cand_rank))
     held = seen_ranked.groupBy(basket).agg(F.count(F.lit(1)).alias("_m"))
     reach = F.least(F.lit(k).cast("bigint") + F.coalesce(F.col("_m"), F.lit(0)), F.coalesce(n_cand, F.lit(0)))
     chunks = (baskets.select(basket).distinct().join(held, basket, "left")
@@ -86,4 +89,10 @@ def recommend_popular(baskets: DataFrame, seen: DataFrame, ranked: DataFrame, ba
     unseen = slots.join(seen_ranked, [basket, cand_rank], "left_anti")
     w = Window.partitionBy(basket).orderBy(F.col(cand_rank))
     top = unseen.withColumn(out, F.row_number().over(w).cast("bigint")).where(F.col(out) <= F.lit(k))
-    return top.join(cand, cand_rank).select(basket, item, out)
+    # every basket asks for the first ranks: each of those is looked up under SALTS keys
+    hot = F.col(cand_rank) <= F.lit(HOT_RANKS * k)
+    asked = top.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(basket), F.lit(SALTS))).otherwise(F.lit(0).cast("long")))
+    held_at = F.when(hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(
+        F.array(F.lit(0).cast("long")))
+    lookup = cand.select(item, cand_rank, F.explode(held_at).alias("_salt"))
+    return asked.join(lookup, [cand_rank, "_salt"]).select(basket, item, out)

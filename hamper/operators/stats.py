@@ -10,8 +10,12 @@ def dataset_stats(df: DataFrame, basket: str = "basket", item: str = "item",
                   flag_col: str | None = None) -> DataFrame:
     """One row: distinct baskets, distinct items, interactions, and with a split flag the
     train and test row counts — one job instead of one count per figure."""
-    aggs = [F.count_distinct(basket).alias("baskets"), F.count_distinct(item).alias("items"),
-            F.count(F.lit(1)).alias("interactions")]
+    per = [F.count(F.lit(1)).alias("interactions")]
     if flag_col is not None:
-        aggs += [F.count_if(F.col(flag_col)).alias("train_rows"), F.count_if(~F.col(flag_col)).alias("test_rows")]
-    return df.agg(*aggs)
+        per += [F.count_if(F.col(flag_col)).alias("train_rows"), F.count_if(~F.col(flag_col)).alias("test_rows")]
+    figures = ["interactions", "train_rows", "test_rows"][: 3 if flag_col else 1]
+    # one row per basket before the total: no row is expanded for a distinct count
+    by_basket = df.groupBy(basket).agg(*per)
+    n_items = df.select(item).where(F.col(item).isNotNull()).distinct().select(F.count(F.lit(1))).scalar()
+    return by_basket.agg(F.count(basket).alias("baskets"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in figures)).select(
+        "baskets", n_items.alias("items"), *figures)

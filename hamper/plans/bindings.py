@@ -40,6 +40,14 @@ def cust_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(od, li.l_orderkey == od.o_orderkey)
 
 
+def cust_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' lines with the gaps kept: a customer without orders has a null item, an order
+    of a customer missing from the table a null basket."""
+    cu = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("basket"))
+    lines = cust_lines(spark, sf_dir).select("o_custkey", F.col("l_partkey").alias("item"))
+    return cu.join(lines, cu.basket == lines.o_custkey, "full").select("basket", "item")
+
+
 def cust(spark: SparkSession, sf_dir: str, with_size: bool = False) -> DataFrame:
     lines = cust_lines(spark, sf_dir).select(F.col("o_custkey").alias("basket"), F.col("l_partkey").alias("item"),
                                              "o_orderdate", "o_orderkey", "l_linenumber")

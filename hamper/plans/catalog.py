@@ -8,10 +8,8 @@ are bit-identical in both engines (see ``hybrid_rank``).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,25 +17,25 @@ from hamper.operators import als as A
 from hamper.operators import features as FE
 from hamper.operators import metrics as M
 from hamper.operators import ranking as R
-from hamper.operators.cooccurrence import cooccurrence
+from hamper.operators.cooccurrence import cooccurrence, excluded_baskets
 from hamper.operators.interactions import build_indexes, encode
-from hamper.operators.ordering import release_staging
 from hamper.operators.sampling import hash_sample, sample_interactions, stratified_baskets
 from hamper.operators.split import split_numbered, split_ordered, test_part, train_part
 from hamper.operators.stats import dataset_stats
 from hamper.plans import bindings as B
-from hamper.session import ensure_checkpoint_dir
+from hamper.session import drop_scratch, materialize, scratch_dir
+from hamper.sinks.writers import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _MEMO: dict = {}
 
 
 def clear_memo() -> None:
-    """Drop shared inputs and the numbering staging (between independent queries)."""
-    for df in _MEMO.values():
-        df.unpersist()
+    """Forget shared inputs and delete the stored rows (between independent queries)."""
     _MEMO.clear()
-    release_staging()
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        drop_scratch(spark)
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -47,12 +45,6 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     return _MEMO[key]
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's checkpoint folder (shared on a cluster)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/hamper-scratch/{name}-{uuid.uuid4().hex}"
-
-
 def _rd(c, n: int = 9):
     """Round half up as ``floor(x * 10^n + 0.5) / 10^n`` (the oracle uses the same formula)."""
     x = F.col(c) if isinstance(c, str) else c
@@ -72,7 +64,7 @@ def cust_split(spark, d):
         numbered = B.cust(spark, d, with_size=True).withColumn("split_rank", F.col("position").cast("bigint") + 1)
         split = split_numbered(numbered).select("basket", "item", "position", "split_rank", "basket_size",
                                                 "is_train")
-        return split.persist(StorageLevel.MEMORY_AND_DISK)
+        return materialize(split)
     return _memo(spark, d, "cust_split", build)
 
 
@@ -113,7 +105,7 @@ def q_item_index(spark, d):
 
 
 def q_indexed_interactions(spark, d):
-    inter = B.cust(spark, d)
+    inter = materialize(B.cust(spark, d))  # three steps branch from the stored interactions
     bidx, iidx = build_indexes(inter)
     return encode(inter, bidx, iidx).select("basket_idx", "item_idx", "item", "position")
 
@@ -139,7 +131,7 @@ def q_split_supp(spark, d):
 
 def q_null_keys(spark, d):
     from hamper.operators.interactions import null_key_counts
-    return null_key_counts(B.cust(spark, d), ["basket", "item"])
+    return null_key_counts(B.cust_outer(spark, d), ["basket", "item"])
 
 
 def q_implicit_rating(spark, d):
@@ -195,7 +187,7 @@ def q_fallback_popularity(spark, d):
 
 
 def q_top_candidates(spark, d):
-    return R.top_candidates(FE.simple_popularity(cust_train(spark, d)), n=R.REFERENCE_CANDIDATES) \
+    return R.top_candidates(FE.simple_popularity(cust_train(spark, d)), n=None) \
         .select("item", "popularity_score", "cand_rank")
 
 
@@ -204,18 +196,19 @@ def q_recs_unseen(spark, d):
 
 
 def hybrid(spark, d):
-    """Blend + seen removal + re-rank on a deterministic stand-in for the model score:
-    the 100 most popular items (fallback score / its maximum) offered to every test
-    basket, seen items included, as a factor model's top-100 would be."""
+    """Blend + seen removal + re-rank on a deterministic stand-in for the model score: each
+    test basket is offered the first 100 + m items by the fallback score, m being the number
+    of items it has seen, as an over-fetching factor model would, so 100 remain."""
     train = cust_train(spark, d)
     fb = FE.simple_popularity(train)
-    top = R.top_candidates(fb, n=R.TOP_K)
+    ranked = materialize(R.top_candidates(fb, n=None))
     best = fb.select(F.max("popularity_score")).scalar()
-    model = top.select("item", "cand_rank", (F.col("popularity_score") / best).alias("model_score"))
-    cands = (test_baskets(spark, d)
-             .select("basket", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(R.TOP_K).cast("bigint")))
-                     .alias("cand_rank"))
-             .join(F.broadcast(model), "cand_rank"))  # ≤ TOP_K rows: bounded by the parameter
+    n = ranked.select(F.max("cand_rank")).scalar()
+    held = train.groupBy("basket").agg(F.count_distinct("item").alias("m"))
+    reach = F.least(F.lit(R.TOP_K).cast("bigint") + F.coalesce("m", F.lit(0)), n)
+    cands = (test_baskets(spark, d).join(held, "basket", "left")
+             .select("basket", F.explode(F.sequence(F.lit(1).cast("bigint"), reach)).alias("cand_rank"))
+             .join(ranked.select("item", "cand_rank", (F.col("popularity_score") / best).alias("model_score")), "cand_rank"))
     # popularity snapped to a 2^-32 grid: identical bits in any engine, so the ranking by
     # the blended score cannot flip on last-bit differences of an average
     snap = F.floor(F.col("popularity_score") * F.lit(2.0 ** 32) + F.lit(0.5)).cast("double") / F.lit(2.0 ** 32)
@@ -305,96 +298,187 @@ def q_nested_parse(spark, d):
     return to_interactions(read_baskets(spark, path, multiline=False))
 
 
-def q_root_shapes(spark, d):
-    """Request documents in both root shapes (a list, or ``{"playlists": [...]}``), some
-    requests without ``test_id``; read back and counted per item."""
-    from hamper.sources.baskets import read_request_baskets
-    test = cust_test(spark, d)
+def _request_documents(spark, d):
+    """Requests of every test basket, in both root shapes (a list, or ``{"playlists": [...]}``):
+    every seventh has no ``test_id``, each stands twice, and every document ends with ``{}``."""
     el = F.struct(F.concat(F.lit("item:"), F.col("item").cast("string")).alias("track_uri"))
-    req = (test.groupBy("basket", F.floor(F.col("position") / 256).alias("_c"))
+    named = F.when(F.col("basket") % 7 != 0, F.col("basket").cast("string")).alias("test_id")
+    req = (cust_test(spark, d).groupBy("basket", F.floor(F.col("position") / 256).alias("_c"))
            .agg(F.collect_list(el).alias("tracks"))
-           .select("basket", "_c", F.struct(
-               F.when(F.col("basket") % 7 != 0, F.col("basket").cast("string")).alias("test_id"),
-               F.lit("false").alias("collaborative"), "tracks").alias("_r")))
-    docs = (req.groupBy(F.floor(F.col("basket") / 32).alias("_d"), "_c")
-            .agg(F.collect_list("_r").alias("_rs"))
-            .select(F.when(F.col("_d") % 2 == 0, F.to_json("_rs"))
-                    .otherwise(F.to_json(F.struct(F.col("_rs").alias("playlists")))).alias("value")))
+           .select("basket", "_c", F.struct(named, F.lit("false").alias("collaborative"), "tracks").alias("_r")))
+    empty = F.array(F.from_json(F.lit("{}"), req.schema["_r"].dataType.simpleString()))
+    docs = (req.groupBy(F.floor(F.col("basket") / 32).alias("_d"), "_c").agg(F.collect_list("_r").alias("_l"))
+            .select("_d", F.concat("_l", "_l", empty).alias("_rs")))
+    return docs.select(F.when(F.col("_d") % 2 == 0, F.to_json("_rs"))
+                       .otherwise(F.to_json(F.struct(F.col("_rs").alias("playlists")))).alias("value"))
+
+
+def _requests(spark, d):
+    from hamper.sources.baskets import read_request_baskets
     path = scratch_dir(spark, "requests")
-    docs.write.text(path)
-    rows = read_request_baskets(spark, path, multiline=False)
-    return (rows.select(F.explode("tracks").alias("_t")).groupBy(F.col("_t.track_uri").alias("track_uri"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    _request_documents(spark, d).write.text(path)
+    return read_request_baskets(spark, path, pattern="part-*", multiline=False)
+
+
+def q_root_shapes(spark, d):
+    """Requests read back: how many places share an id (null: unnamed), and their items."""
+    rows = _requests(spark, d)
+    named = F.when(~F.col("test_id").startswith("unknown_"), F.col("test_id"))
+    return rows.groupBy(named.alias("test_id")).agg(
+        F.count_distinct("request_key").alias("requests"), F.count_distinct("test_id").alias("names"),
+        F.sum(F.size("tracks")).alias("items"))
+
+
+def q_request_lists(spark, d):
+    """The submission job on those requests (K3, K4, S6): every place gets a list of its own,
+    written, counted in the manifest and read back."""
+    from hamper.plans import jobs
+    reqs, stage, out = (scratch_dir(spark, n) for n in ("requests", "stage", "submission"))
+    _request_documents(spark, d).write.text(reqs)
+    prefixed = cust_train(spark, d).select(F.col("basket").alias("basket_idx"),
+                                           F.concat(F.lit("item:"), F.col("item").cast("string")).alias("item"))
+    write_table(prefixed, f"{stage}/train")
+    info = jobs.submit(spark, reqs, stage, out, multiline=False)
+    lists = spark.read.json(f"{out}/playlists")
+    return info.select("total_playlists", "read_back", "model_type", "recommendations_per_playlist",
+                       lists.select(F.sum("total_recommendations")).scalar().alias("items"),
+                       lists.select(F.count_distinct("request_key")).scalar().alias("keys"))
+
+
+def q_nested_parse_multiline(spark, d):
+    """One indented JSON document per file, chosen by a name pattern (S1, S2)."""
+    from hamper.operators.interactions import to_interactions
+    from hamper.sources.baskets import read_baskets
+    path = scratch_dir(spark, "nested-multi")
+    docs = _documents(B.order(spark, d), per_doc=4096).select(
+        "_d", F.monotonically_increasing_id().alias("_n"), F.regexp_replace("value", "\\},\\{", "},\n{").alias("value"))
+    docs = materialize(docs)  # the document numbers name the folders
+    docs.write.partitionBy("_d", "_n").text(path)
+    return to_interactions(read_baskets(spark, f"{path}/*/*", pattern="part-*.txt"))
 
 
 def q_file_sample(spark, d):
+    """Half of the baskets by a hash of their id, read from documents (M1 at basket level)."""
     from hamper.operators.interactions import to_interactions
     from hamper.sources.baskets import read_baskets
     path = scratch_dir(spark, "files")
     _documents(B.order(spark, d)).repartition(16, "_d").select("value").write.text(path)
-    # written file names carry a random job id; sample by their stable "part-NNNNN" prefix
-    stable = F.regexp_extract(F.col("_file"), r"^(part-[0-9]+)", 1)
-    return to_interactions(read_baskets(spark, path, multiline=False, sample=0.5, sample_level="file",
-                                        file_key=stable))
+    return to_interactions(read_baskets(spark, path, multiline=False, sample=0.5, sample_level="basket"))
 
 
 def q_file_inventory(spark, d):
+    """Files of a table written one folder per order priority: listed in name order, counted by
+    folder, with the rows that a reader finds in them (S8, T9, X10)."""
     from hamper.sources.inventory import file_inventory
     path = scratch_dir(spark, "inventory")
-    _documents(B.order(spark, d)).repartition(8, "_d").select("value").write.text(path)
-    return file_inventory(spark, path, pattern="part-*").select("file_name", "length")
+    orders = B.table(spark, d, "orders").select("o_orderpriority", F.col("o_orderkey").cast("string").alias("value"))
+    orders.repartition(4, "o_orderpriority").write.partitionBy("o_orderpriority").text(path)
+    folder = F.url_decode(F.regexp_extract("path", "o_orderpriority=([^/]*)/", 1))
+    files = file_inventory(spark, path, pattern="part-*").groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return files
 
 
 def q_ingest_increment(spark, d):
+    """Two deliveries, one of them with a damaged file, then a run that finds nothing new."""
     from hamper.streaming.ingest import ingest_increment
     src, dst, ck = (scratch_dir(spark, n) for n in ("ingest-src", "ingest-dst", "ingest-ck"))
     docs = _documents(B.order(spark, d))
-    for part in (0, 1):  # two deliveries, then a run that finds nothing new
+    for part in (0, 1):
         docs.where(F.col("_d") % 2 == part).repartition(4, "_d").select("value") \
             .write.mode("append").text(src)
-        ingest_increment(spark, src, dst, ck, pattern="part-*", multiline=False)
-    return ingest_increment(spark, src, dst, ck, pattern="part-*", multiline=False)
+        if part:
+            damaged = B.order(spark, d).agg(F.concat(F.lit("{ damaged "), F.count(F.lit(1)).cast("string")).alias("value"))
+            damaged.coalesce(1).write.mode("append").text(src)
+        ingest_increment(spark, src, dst, ck, pattern="part-*", multiline=False, max_files=3)
+    last = ingest_increment(spark, src, dst, ck, pattern="part-*", multiline=False)
+    return last.select("baskets", "interactions", "failed", "new_files", "new_baskets", "batches")
+
+
+def q_stage_tables(spark, d):
+    """Stage tables written (overwritten, appended, partitioned) and opened again, also in place
+    of a table that is missing (S5, S6, K1, K2)."""
+    from hamper.sources.baskets import read_table, read_with_fallback
+    train, path = cust_train(spark, d), scratch_dir(spark, "stage")
+    for mode in ("overwrite", "overwrite"):
+        write_table(train, f"{path}/once", mode=mode)
+    for _ in range(2):
+        write_table(train, f"{path}/twice", mode="append")
+    write_table(train.withColumn("part", F.col("basket") % 3), f"{path}/parts", partition_by=["part"])
+    missing, used = read_with_fallback(spark, f"{path}/none", f"{path}/once")
+    frames = {"once": read_table(spark, f"{path}/once"), "twice": read_table(spark, f"{path}/twice"),
+              "part 1": read_table(spark, f"{path}/parts").where("part = 1").drop("part"), used: missing}
+    out = None
+    for name, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("rows"), F.sum("item").alias("items")).select(F.lit(name).alias("stage"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_truth_pairs(spark, d):
+    """Held-out pairs of the baskets that got recommendations (J8)."""
+    return M.truth_pairs(cust_test(spark, d), baskets=cust_recs(spark, d).select("basket").distinct())
+
+
+def q_cooccurrence_supp(spark, d):
+    """Pairs in baskets of hundreds of items, none left out."""
+    return cooccurrence(B.supp(spark, d), max_size=None, min_count=18)
+
+
+def q_excluded_baskets(spark, d):
+    return excluded_baskets(B.mix_items(spark, d))
 
 
 def _als_inputs(spark, d):
+    """Train rows and test rows under dense ids; all rows of all baskets."""
     split = cust_split(spark, d)
     bidx, iidx = build_indexes(split)
-    rated = FE.implicit_rating(encode(train_part(split), bidx, iidx))
-    sample = sample_interactions(rated, stratified_baskets(rated))
-    test = encode(test_part(split), bidx, iidx)
-    return rated, sample, test
+    rated = materialize(FE.implicit_rating(encode(train_part(split), bidx, iidx)))
+    return rated, materialize(encode(test_part(split), bidx, iidx)), bidx
 
 
 def q_als_candidates(spark, d):
-    _, sample, test = _als_inputs(spark, d)
-    model = A.fit_als(sample)
-    return A.als_candidates(model, test.select("basket_idx"))
+    """The model's own lists for every test basket: their length and distinct items (the
+    scores come out of an iterative fit), 0 for a basket the model doesn't know."""
+    rated, test, bidx = _als_inputs(spark, d)
+    lists = A.als_candidates(A.fit_als(rated, max_iter=5), test.select("basket_idx"))
+    sizes = lists.groupBy("basket_idx").agg(F.count(F.lit(1)).alias("listed"), F.count_distinct("item_idx").alias("items"))
+    return (test.select("basket_idx").distinct().join(sizes, "basket_idx", "left").join(bidx, "basket_idx")
+            .select("basket", F.coalesce("listed", F.lit(0)).alias("listed"), F.coalesce("items", F.lit(0)).alias("items")))
 
 
 def q_als_hybrid_eval(spark, d):
-    rated, sample, test = _als_inputs(spark, d)
-    model = A.fit_als(sample)
-    cands = A.als_candidates(model, test.select("basket_idx"))
-    pop = FE.popularity(sample, basket="basket_idx", item="item_idx")
-    ranked = R.rank_unseen(R.blend(cands, pop, item="item_idx"), rated.select("basket_idx", "item_idx"),
-                           basket="basket_idx", item="item_idx")
-    truth = M.truth_pairs(test, basket="basket_idx", item="item_idx")
+    """The whole evaluation on the factor model with over-fetching: per cut-off the evaluated
+    baskets, those with a list, the listed items, the held-out pairs, seen items left in the
+    lists (0), and whether the metrics lie within their bounds."""
+    rated, test, _ = _als_inputs(spark, d)
     baskets = test.select("basket_idx").distinct()
-    h = M.hits(ranked, truth, basket="basket_idx", item="item_idx")
-    at_k = M.metrics_at_k(h, baskets, truth, basket="basket_idx")
-    mp = M.mean_ap(M.average_precision(h, baskets, basket="basket_idx"), basket="basket_idx")
-    return at_k.select("*", mp.select("map").scalar().alias("map"))
+    seen = rated.select("basket_idx", "item_idx")
+    cands = A.over_fetch(A.fit_als(rated, max_iter=5), baskets, seen)
+    pop = FE.popularity(rated, basket="basket_idx", item="item_idx")
+    ranked = materialize(R.rank_unseen(R.blend(cands, pop, item="item_idx"), seen, basket="basket_idx", item="item_idx"))
+    truth = M.truth_pairs(test, basket="basket_idx", item="item_idx")
+    report = M.evaluation_report(M.hits(ranked, truth, basket="basket_idx", item="item_idx"), baskets, truth,
+                                 basket="basket_idx")
+    share = lambda c: F.col(c).between(0, 1)
+    bounds = share("precision") & share("recall") & share("coverage") & share("map_at_100")
+    got = M.baskets_with_recs(ranked, baskets, "basket_idx")
+    return report.select(
+        "k", bounds.alias("in_bounds"), got.select("baskets").scalar().alias("baskets"),
+        got.select("baskets_with_recs").scalar().alias("baskets_with_recs"),
+        truth.select(F.count(F.lit(1))).scalar().alias("held_out"),
+        ranked.select(F.count(F.lit(1))).scalar().alias("listed"),
+        ranked.join(seen, ["basket_idx", "item_idx"], "left_semi").select(F.count(F.lit(1))).scalar().alias("seen_listed"))
 
 
 def q_run_metadata(spark, d):
+    """Parameters and figures of a training run on all rows (the time is left out)."""
     train = cust_train(spark, d)
-    sample = sample_interactions(train, stratified_baskets(train))
-    pairs = cooccurrence(sample, fraction=0.3)
-    counts = sample.agg(F.count_distinct("basket").alias("sample_baskets"),
-                        F.count(F.lit(1)).alias("sample_interactions"),
-                        F.count_distinct("item").alias("total_items")) \
-        .select("*", pairs.select(F.count(F.lit(1))).scalar().alias("similarities_count"))
-    return A.run_metadata(counts)
+    counts = train.agg(F.count_distinct("basket").alias("sample_baskets"),
+                       F.count(F.lit(1)).alias("sample_interactions"),
+                       F.count_distinct("item").alias("total_items")) \
+        .select("*", cooccurrence(train).select(F.count(F.lit(1))).scalar().alias("similarities_count"))
+    return A.run_metadata(counts).drop("timestamp")
 
 
 QUERIES: dict[str, Query] = {
@@ -433,6 +517,12 @@ QUERIES: dict[str, Query] = {
     "submission_rows": q_submission_rows,
     "nested_parse": q_nested_parse,
     "root_shapes": q_root_shapes,
+    "request_lists": q_request_lists,
+    "nested_parse_multiline": q_nested_parse_multiline,
+    "stage_tables": q_stage_tables,
+    "truth_pairs": q_truth_pairs,
+    "cooccurrence_supp": q_cooccurrence_supp,
+    "excluded_baskets": q_excluded_baskets,
     "file_sample": q_file_sample,
     "file_inventory": q_file_inventory,
     "ingest_increment": q_ingest_increment,

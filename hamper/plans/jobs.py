@@ -12,9 +12,8 @@ Spark and moves between stages as Parquet.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +21,13 @@ from hamper.operators import als as A
 from hamper.operators import features as FE
 from hamper.operators import metrics as M
 from hamper.operators import ranking as R
-from hamper.operators.cooccurrence import cooccurrence
+from hamper.operators.cooccurrence import cooccurrence, excluded_baskets
 from hamper.operators.interactions import build_indexes, drop_null_keys, encode, to_interactions
-from hamper.operators.ordering import release_staging
 from hamper.operators.sampling import sample_interactions, stratified_baskets
 from hamper.operators.split import split_ordered
 from hamper.operators.stats import dataset_stats
-from hamper.sinks.writers import recommendation_lists, write_recommendations, write_table
+from hamper.session import materialize
+from hamper.sinks.writers import read_back_count, recommendation_lists, write_recommendations, write_table
 from hamper.sources.baskets import read_baskets, read_request_baskets, read_with_fallback
 
 STAGE_COLUMNS = ["basket_idx", "item_idx", "item", "position"]
@@ -48,39 +47,43 @@ def preprocess(spark: SparkSession, raw: str, out: str, pattern: str | None = "*
     # split by the basket key (one-to-one with its id): the window reuses the partitioning
     # left by the basket join instead of shuffling all interactions once more
     split = split_ordered(encode(inter, bidx, iidx), basket="basket", position="position",
-                          tiebreak=("item_idx",)).persist(StorageLevel.MEMORY_AND_DISK)
+                          tiebreak=("item_idx",))
+    split = materialize(split)
     write_table(split.where("is_train").select(*STAGE_COLUMNS), f"{out}/train")
     write_table(split.where("not is_train").select(*STAGE_COLUMNS), f"{out}/test")
     write_table(bidx, f"{out}/basket_index")
     write_table(iidx, f"{out}/item_index")
     stats = dataset_stats(split, "basket_idx", "item_idx", flag_col="is_train")
     write_table(stats, f"{out}/dataset_stats")
-    split.unpersist()
-    release_staging()
     return spark.read.parquet(f"{out}/dataset_stats")
 
 
-def train(spark: SparkSession, stage: str, out: str, rank: int = A.ALS_RANK, max_iter: int = A.ALS_ITERS,
+def train(spark: SparkSession, stage: str, out: str, sample: Mapping[str, float] | None = None,
+          pair_fraction: float | None = None, max_size: int | None = None, rank: int = A.ALS_RANK, max_iter: int = A.ALS_ITERS,
           reg: float = A.ALS_REG, alpha: float = A.ALS_ALPHA, seed: int = A.ALS_SEED) -> DataFrame:
-    """Write the ALS model, item popularity, item pairs and the run metadata row."""
+    """Write the ALS model, item popularity, item pairs and the run metadata row.
+
+    All rows train by default. ``sample`` (keep-fraction by size band), ``pair_fraction`` (row
+    sample before pairing) and ``max_size`` (largest basket that is paired) are the caller's
+    choice; the source run used DEFAULT_FRACTIONS, 0.3 and 200. Baskets that the pair window
+    leaves out are counted in ``excluded_baskets``."""
     rated = FE.implicit_rating(spark.read.parquet(f"{stage}/train"))
-    sampled = sample_interactions(rated, stratified_baskets(rated, basket="basket_idx", item="item_idx"),
-                                  basket="basket_idx")
-    sampled = sampled.persist(StorageLevel.MEMORY_AND_DISK)
+    sampled = rated if sample is None else sample_interactions(
+        rated, stratified_baskets(rated, basket="basket_idx", item="item_idx", fractions=sample), basket="basket_idx")
+    sampled = materialize(sampled)
     model = A.fit_als(sampled, rank=rank, max_iter=max_iter, reg=reg, alpha=alpha, seed=seed)
     model.write().overwrite().save(f"{out}/als_model")
     write_table(FE.popularity(sampled, basket="basket_idx", item="item_idx", extra_keys=["item"]),
                 f"{out}/item_popularity")
-    write_table(cooccurrence(sampled, basket="basket_idx", item="item_idx", fraction=0.3,
+    write_table(cooccurrence(sampled, basket="basket_idx", item="item_idx", fraction=pair_fraction, max_size=max_size,
                              sample_keys=("basket_idx", "position")), f"{out}/item_pairs")
+    write_table(excluded_baskets(sampled, "basket_idx", "item_idx", max_size=max_size), f"{out}/excluded_baskets")
     pairs = spark.read.parquet(f"{out}/item_pairs")
     counts = sampled.agg(F.count_distinct("basket_idx").alias("sample_baskets"),
                          F.count(F.lit(1)).alias("sample_interactions"),
                          F.count_distinct("item_idx").alias("total_items")) \
         .select("*", pairs.select(F.count(F.lit(1))).scalar().alias("similarities_count"))
     write_table(A.run_metadata(counts, rank=rank, reg=reg, alpha=alpha), f"{out}/training_metadata", mode="append")
-    sampled.unpersist()
-    release_staging()
     return spark.read.parquet(f"{out}/training_metadata")
 
 
@@ -89,8 +92,8 @@ def evaluate(spark: SparkSession, stage: str, model_dir: str, ks: Sequence[int]
     """Report per cut-off k (hits, precision, recall, coverage) with MAP@k and its tier.
 
     All test baskets are evaluated; candidates come from the factors (top-k, seen items
-    included), are blended with popularity, lose the items seen in train, and are
-    re-ranked — so a basket may end with fewer than k items, as in the reference."""
+    included, so many more that k remain), are blended with popularity, lose the items seen
+    in train, and are re-ranked. ``recommendation_coverage`` counts the baskets with a list."""
     from pyspark.ml.recommendation import ALSModel
 
     model = ALSModel.load(f"{model_dir}/als_model")
@@ -98,17 +101,16 @@ def evaluate(spark: SparkSession, stage: str, model_dir: str, ks: Sequence[int]
     test = spark.read.parquet(f"{stage}/test")
     seen = spark.read.parquet(f"{stage}/train").select("basket_idx", "item_idx")
     baskets = test.select("basket_idx").distinct()
-    cands = A.als_candidates(model, baskets, k=k)
+    cands = A.over_fetch(model, baskets, seen, k=k)
     ranked = R.rank_unseen(R.blend(cands, pop, item="item_idx"), seen, basket="basket_idx", item="item_idx", k=k)
-    ranked = ranked.persist(StorageLevel.MEMORY_AND_DISK)
+    ranked = materialize(ranked)
     truth = M.truth_pairs(test, basket="basket_idx", item="item_idx")
     hit_rows = M.hits(ranked, truth, basket="basket_idx", item="item_idx")
     report = M.evaluation_report(hit_rows, baskets, truth, ks=ks, k=k, basket="basket_idx")
     if out:
         write_table(ranked, f"{out}/recommendations_final")
         write_table(report, f"{out}/evaluation_report")
-        ranked.unpersist()
-        release_staging()
+        write_table(M.baskets_with_recs(ranked, baskets, "basket_idx"), f"{out}/recommendation_coverage")
         return spark.read.parquet(f"{out}/evaluation_report")
     return report
 
@@ -121,10 +123,10 @@ def submit(spark: SparkSession, requests: str, stage: str, out: str, k: int = R.
     By default every ranked item is a candidate (exact); ``n_candidates=10000`` limits
     candidates to the top of the list as the reference does, so a basket holding most of
     them gets fewer than ``k``. Writes JSON lists and a manifest; returns the manifest."""
-    reqs = read_request_baskets(spark, requests, multiline=multiline)
-    seen = reqs.select("test_id", F.explode("tracks").alias("_t")).select("test_id", F.col("_t.track_uri")
-                                                                          .alias("item"))
-    primary = f"{model_dir}/recommendations_final" if model_dir else f"{stage}/__none__"
+    reqs = materialize(read_request_baskets(spark, requests, multiline=multiline))  # parsed once
+    seen = reqs.select("request_key", F.explode("tracks").alias("_t")).select("request_key", F.col("_t.track_uri")
+                                                                              .alias("item"))
+    primary = f"{model_dir}/recommendations_final" if model_dir else None
     scores, source = read_with_fallback(spark, primary, f"{stage}/train")
     if source == "primary":
         index = spark.read.parquet(f"{stage}/item_index")
@@ -134,8 +136,11 @@ def submit(spark: SparkSession, requests: str, stage: str, out: str, k: int = R.
         scored = FE.simple_popularity(scores, basket="basket_idx", item="item")
         model_type = "popularity"
     ranked = R.top_candidates(scored, item="item", n=n_candidates)
-    recs = R.recommend_popular(reqs.select("test_id"), seen, ranked, basket="test_id", item="item", k=k)
-    lists = recommendation_lists(recs, reqs.select("test_id"), basket="test_id")
+    recs = R.recommend_popular(reqs.select("request_key"), seen, ranked, basket="request_key", item="item", k=k)
+    # one list per request, named by its test_id; the key tells requests of one name apart
+    lists = (recommendation_lists(recs, reqs.select("request_key"), basket="request_key", basket_out="request_key")
+             .join(reqs.select("request_key", F.col("test_id").alias("playlist_id")), "request_key")
+             .select("playlist_id", "recommended_tracks", "total_recommendations", "request_key"))
     write_recommendations(lists, out, k=k, model_type=model_type)
-    release_staging()
-    return spark.read.json(f"{out}/submission_info")
+    info = spark.read.json(f"{out}/submission_info")
+    return info.withColumn("read_back", read_back_count(spark, out).select("playlists").scalar())

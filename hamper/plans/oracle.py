@@ -130,14 +130,20 @@ mapv AS (
   SELECT avg(average_precision) AS map, count(basket) AS baskets,
          count(*) FILTER (WHERE average_precision > 0) AS baskets_with_hits FROM aps)"""
 
+REQUESTS = SPLIT + """,
+req AS (SELECT basket, position // 256 AS c, count(*) AS n FROM test GROUP BY basket, c),
+docs AS (SELECT DISTINCT basket // 32 AS d, c FROM req)"""
+
 HYBRID = SPLIT + "," + FALLBACK + "," + POPULARITY + """,
 model AS (
   SELECT item, cand_rank, popularity_score / (SELECT max(popularity_score) FROM fallback) AS model_score
-  FROM ranked WHERE cand_rank <= 100),
+  FROM ranked),
+held AS (SELECT basket, count(DISTINCT item) AS m FROM train GROUP BY basket),
 cands AS (
   SELECT b.basket, m.item, m.model_score, coalesce(floor(p.popularity_score * 4294967296.0 + 0.5) / 4294967296.0, 0.0::DOUBLE)
          AS popularity_score
-  FROM (SELECT DISTINCT basket FROM test) b JOIN model m ON m.cand_rank <= 100
+  FROM (SELECT DISTINCT basket FROM test) b LEFT JOIN held h ON h.basket = b.basket
+  JOIN model m ON m.cand_rank <= 100 + coalesce(h.m, 0)
   LEFT JOIN pop p ON p.item = m.item),
 blended AS (
   SELECT basket, item, model_score, popularity_score,
@@ -186,10 +192,11 @@ ORACLE: dict[str, str] = {
                      row_number() OVER (PARTITION BY basket ORDER BY position, item) AS split_rank,
                      count(*) OVER (PARTITION BY basket) AS basket_size
               FROM supp)"""),
-    "null_keys": _with(CUST, """
-        SELECT count(*) FILTER (WHERE basket IS NULL) AS null_basket,
-               count(*) FILTER (WHERE item IS NULL) AS null_item, count(*) AS rows
-        FROM cust"""),
+    "null_keys": """
+        SELECT count(*) FILTER (WHERE c_custkey IS NULL) AS null_basket,
+               count(*) FILTER (WHERE l_partkey IS NULL) AS null_item, count(*) AS rows
+        FROM customer FULL JOIN (SELECT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+             ON c_custkey = o_custkey""",
     "implicit_rating": _with(SPLIT, """
         SELECT basket, item, position,
                (floor((greatest(1.0::DOUBLE, 5.0::DOUBLE - ln(position + 1))) * 1e9 + 0.5) / 1e9) AS implicit_rating
@@ -240,7 +247,7 @@ ORACLE: dict[str, str] = {
     "fallback_popularity": _with(SPLIT + "," + FALLBACK,
                                  "SELECT item, frequency, unique_baskets, popularity_score FROM fallback"),
     "top_candidates": _with(SPLIT + "," + FALLBACK,
-                            "SELECT item, popularity_score, cand_rank FROM ranked WHERE cand_rank <= 10000"),
+                            "SELECT item, popularity_score, cand_rank FROM ranked"),
     "recs_unseen": _with(RECS, "SELECT basket, item, rank FROM recs"),
     "hybrid_rank": _with(HYBRID, """
         SELECT basket, item, (floor((model_score) * 1e9 + 0.5) / 1e9) AS model_score,
@@ -299,6 +306,78 @@ ORACLE: dict[str, str] = {
                count(*) AS total_recommendations
         FROM recs GROUP BY basket"""),
     "nested_parse": _with(ORDER, "SELECT basket, 'item:' || CAST(item AS VARCHAR) AS item, position FROM ord"),
-    "root_shapes": _with(SPLIT, """
-        SELECT 'item:' || CAST(item AS VARCHAR) AS track_uri, count(*) AS n FROM test GROUP BY item"""),
+    # every request stands twice; each document ends with one empty request
+    "root_shapes": _with(REQUESTS, """
+        SELECT CASE WHEN basket % 7 <> 0 THEN CAST(basket AS VARCHAR) END AS test_id,
+               CAST(2 * count(*) AS BIGINT) AS requests,
+               CAST(1 AS BIGINT) AS names, CAST(2 * sum(n) AS BIGINT) AS items
+        FROM req WHERE basket % 7 <> 0 GROUP BY basket
+        UNION ALL
+        SELECT NULL, 2 * count(*) + (SELECT count(*) FROM docs), 2 * count(*) + (SELECT count(*) FROM docs),
+               CAST(2 * sum(n) AS BIGINT)
+        FROM req WHERE basket % 7 = 0"""),
+    "request_lists": _with(REQUESTS + "," + FALLBACK + """,
+        wanted AS (SELECT basket, c, count(DISTINCT t.item) FILTER (WHERE f.item IS NOT NULL) AS held
+                   FROM (SELECT basket, position // 256 AS c, item FROM test) t LEFT JOIN fallback f USING (item)
+                   GROUP BY basket, c),
+        n AS (SELECT count(*) AS items FROM fallback)""", """
+        SELECT CAST(2 * (SELECT count(*) FROM req) + (SELECT count(*) FROM docs) AS BIGINT) AS total_playlists,
+               CAST(2 * (SELECT count(*) FROM req) + (SELECT count(*) FROM docs) AS BIGINT) AS read_back,
+               'popularity' AS model_type, CAST(100 AS BIGINT) AS recommendations_per_playlist,
+               CAST(2 * (SELECT sum(least(100, (SELECT items FROM n) - held)) FROM wanted)
+                    + (SELECT count(*) FROM docs) * least(100, (SELECT items FROM n)) AS BIGINT) AS items,
+               CAST(2 * (SELECT count(*) FROM req) + (SELECT count(*) FROM docs) AS BIGINT) AS keys"""),
+    "nested_parse_multiline": _with(ORDER, "SELECT basket, 'item:' || CAST(item AS VARCHAR) AS item, position FROM ord"),
+    "file_sample": _with(ORDER, f"""
+        SELECT basket, 'item:' || CAST(item AS VARCHAR) AS item, position FROM ord
+        WHERE {_keep('0.5::DOUBLE', 'CAST(basket AS VARCHAR)')}"""),
+    "file_inventory": """
+        SELECT o_orderpriority AS folder, CAST(1 AS BIGINT) AS files,
+               CAST(sum(strlen(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS bytes
+        FROM orders GROUP BY o_orderpriority""",
+    "ingest_increment": _with(ORDER, """
+        SELECT count(DISTINCT basket) AS baskets, count(*) AS interactions, CAST(1 AS BIGINT) AS failed,
+               CAST(0 AS BIGINT) AS new_files, CAST(0 AS BIGINT) AS new_baskets, CAST(0 AS BIGINT) AS batches
+        FROM ord"""),
+    "stage_tables": _with(SPLIT, """
+        SELECT 'once' AS stage, count(*) AS rows, CAST(sum(item) AS BIGINT) AS items FROM train
+        UNION ALL SELECT 'fallback', count(*), CAST(sum(item) AS BIGINT) FROM train
+        UNION ALL SELECT 'twice', 2 * count(*), CAST(2 * sum(item) AS BIGINT) FROM train
+        UNION ALL SELECT 'part 1', count(*), CAST(sum(item) AS BIGINT) FROM train WHERE basket % 3 = 1"""),
+    "truth_pairs": _with(RECS, "SELECT basket, item FROM truth WHERE basket IN (SELECT basket FROM recs)"),
+    "cooccurrence_supp": _with(SUPP + """,
+        folded AS (SELECT basket, item, count(*) AS n FROM supp GROUP BY basket, item),
+        kept AS (SELECT basket FROM supp GROUP BY basket HAVING count(item) >= 5)""", """
+        SELECT a.item AS item1, b.item AS item2, CAST(sum(a.n * b.n) AS BIGINT) AS cooccur_count
+        FROM folded a JOIN folded b ON a.basket = b.basket AND a.item < b.item
+        WHERE a.basket IN (SELECT basket FROM kept) GROUP BY a.item, b.item HAVING sum(a.n * b.n) >= 18"""),
+    "excluded_baskets": _with(MIX, """
+        SELECT count(*) FILTER (WHERE basket_size < 5) AS small_baskets,
+               CAST(coalesce(sum(basket_size) FILTER (WHERE basket_size < 5), 0) AS BIGINT) AS small_rows,
+               count(*) FILTER (WHERE basket_size > 200) AS large_baskets,
+               CAST(coalesce(sum(basket_size) FILTER (WHERE basket_size > 200), 0) AS BIGINT) AS large_rows
+        FROM sizes"""),
+    "als_candidates": _with(SPLIT, """
+        SELECT b.basket, CASE WHEN b.basket IN (SELECT basket FROM train) THEN least(100, n) ELSE 0 END AS listed,
+               CASE WHEN b.basket IN (SELECT basket FROM train) THEN least(100, n) ELSE 0 END AS items
+        FROM (SELECT DISTINCT basket FROM test) b, (SELECT count(DISTINCT item) AS n FROM train)"""),
+    "als_hybrid_eval": _with(SPLIT + """,
+        known AS (SELECT t.basket, count(DISTINCT s.item) AS m FROM (SELECT DISTINCT basket FROM test) t
+                  JOIN train s USING (basket) GROUP BY t.basket),
+        n AS (SELECT count(DISTINCT item) AS items FROM train)""", """
+        SELECT CAST(k AS INTEGER) AS k, true AS in_bounds, (SELECT count(DISTINCT basket) FROM test) AS baskets,
+               (SELECT count(*) FROM known, n WHERE m < items) AS baskets_with_recs,
+               (SELECT count(*) FROM (SELECT DISTINCT basket, item FROM test)) AS held_out,
+               (SELECT CAST(sum(least(100, items - m)) AS BIGINT) FROM known, n) AS listed,
+               CAST(0 AS BIGINT) AS seen_listed
+        FROM (SELECT unnest([10, 20, 50, 100]) AS k)"""),
+    "run_metadata": _with(SPLIT + """,
+        capped AS (SELECT basket FROM train GROUP BY basket HAVING count(item) BETWEEN 5 AND 200),
+        kept AS (SELECT basket, item FROM train WHERE basket IN (SELECT basket FROM capped)),
+        pairs AS (SELECT a.item, b.item FROM kept a JOIN kept b ON a.basket = b.basket AND a.item < b.item
+                  GROUP BY a.item, b.item HAVING count(*) >= 3)""", """
+        SELECT 'hybrid_als_popularity' AS model_type, CAST(50 AS BIGINT) AS als_rank, 0.01::DOUBLE AS als_reg,
+               1.0::DOUBLE AS als_alpha, count(DISTINCT basket) AS sample_baskets, count(*) AS sample_interactions,
+               count(DISTINCT item) AS total_items, (SELECT count(*) FROM pairs) AS similarities_count
+        FROM train"""),
 }

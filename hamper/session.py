@@ -7,8 +7,11 @@ and only for a local master (tests, bench) when the cluster named none.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,19 +57,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="hamper-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)  # ours alone, made for this run
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's checkpoint folder.
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/hamper-scratch/{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's checkpoint folder (shared on a cluster)."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
-    Used where two passes must see exactly the same partitions (range-partitioned
-    numbering): the checkpointed plan keeps its partitioning and ordering.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder. Call it once the results that were built on
+    stored rows have been written; frames that still read them fail afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Store ``df`` in the shared scratch folder and read it back.
+
+    Cuts the lineage as reliably as a checkpoint (nothing depends on an executor's disk), but
+    as Parquet: compressed, with column pruning and a size that the planner knows.
+    """
+    path = scratch_dir(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,7 +36,8 @@ def write_recommendations(lists: DataFrame, path: str, k: int, model_type: str)
     """JSON lines, one object per basket, plus a one-row manifest next to them (count of
     baskets, list length, model type, time) — no single document is built on the driver."""
     lists.write.mode("overwrite").json(f"{path}/playlists")
-    manifest = lists.agg(F.count(F.lit(1)).alias("total_playlists")).select(
+    written = read_back_count(lists.sparkSession, path)  # counted in the files: the lists are computed once
+    manifest = written.select(F.col("playlists").alias("total_playlists")).select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"),
         "total_playlists", F.lit(int(k)).alias("recommendations_per_playlist"),
         F.lit(model_type).alias("model_type"))
@@ -45,4 +46,4 @@ def write_recommendations(lists: DataFrame, path: str, k: int, model_type: str)
 
 def read_back_count(spark: SparkSession, path: str) -> DataFrame:
     """Re-open written lists and count them."""
-    return spark.read.json(f"{path}/playlists").agg(F.count(F.lit(1)).alias("playlists"))
+    return spark.read.schema("playlist_id string").json(f"{path}/playlists").agg(F.count(F.lit(1)).alias("playlists"))

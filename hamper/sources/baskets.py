@@ -35,9 +35,6 @@ REQUEST_SCHEMA = T.StructType([
     T.StructField("test_id", S), T.StructField("collaborative", S),
     T.StructField("tracks", T.ArrayType(REQUEST_ITEM_SCHEMA)),
 ])
-REQUEST_DOCUMENT_SCHEMA = T.StructType(list(REQUEST_SCHEMA.fields) + [
-    T.StructField("playlists", T.ArrayType(REQUEST_SCHEMA)),
-])
 
 
 def _json(spark: SparkSession, schema: T.StructType, multiline: bool, pattern: str | None):
@@ -73,38 +70,49 @@ def read_baskets(spark: SparkSession, path: str, pattern: str | None = None, sam
 
 def read_request_baskets(spark: SparkSession, path: str, pattern: str | None = None,
                          multiline: bool = True) -> DataFrame:
-    """Request baskets from documents that are either a root list of requests or an object
-    with a ``playlists`` list; both shapes may be mixed. A missing ``test_id`` is named
-    ``unknown_<hash of file and content>`` (stable, independent of partitioning); missing
-    ``tracks`` become an empty list. Rows that parse to nothing (malformed) are dropped."""
-    raw = _json(spark, REQUEST_DOCUMENT_SCHEMA, multiline, pattern).json(path) \
-        .withColumn("_file", F.col("_metadata.file_name"))
-    fields = [f.name for f in REQUEST_SCHEMA.fields]
-    wrapped = raw.where(F.col("playlists").isNotNull()) \
-        .select(F.explode("playlists").alias("_r"), "_file").select("_r.*", "_file")
-    present = F.col(fields[0]).isNotNull()
-    for c in fields[1:]:
-        present = present | F.col(c).isNotNull()
-    direct = raw.where(F.col("playlists").isNull() & present) \
-        .select(*fields, "_file")
-    rows = wrapped.unionByName(direct)
-    fallback_id = F.concat(F.lit("unknown_"), F.xxhash64("_file", F.to_json(F.struct(*fields))).cast("string"))
+    """Requests from documents that are either a root list of requests or an object with a
+    ``playlists`` list; both shapes may be mixed.
+
+    A request is identified by its place, ``request_key`` = file, document in the file (0 with
+    ``multiline``, else the line) and position in the document, so equal requests, empty ones
+    (``{}``) and requests that share a ``test_id`` stay apart and each gets its own output. A
+    missing ``test_id`` is named ``unknown_<place>``; missing ``tracks`` become an empty list;
+    null list elements and malformed documents are dropped. A file is read as one text.
+    """
+    reader = spark.read
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    files = reader.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("_file"))
+    if multiline:
+        docs = files.select("_file", F.lit(0).alias("_doc"), F.col("value").alias("_v"))
+    else:
+        docs = files.select("_file", F.posexplode(F.split("value", "\r?\n")).alias("_doc", "_v"))
+    as_list = F.from_json("_v", T.ArrayType(REQUEST_SCHEMA))
+    as_object = F.from_json("_v", T.StructType([T.StructField("playlists", T.ArrayType(REQUEST_SCHEMA))]))["playlists"]
+    items = F.when(F.ltrim("_v").startswith("["), as_list).otherwise(as_object)
+    rows = docs.select("_file", "_doc", F.posexplode(items).alias("_pos", "_r")).where(F.col("_r").isNotNull())
+    place = F.concat_ws(":", "_file", "_doc", "_pos")
     return rows.select(
-        F.coalesce(F.col("test_id"), fallback_id).alias("test_id"),
-        "collaborative",
-        F.coalesce(F.col("tracks"), F.array().cast(T.ArrayType(REQUEST_ITEM_SCHEMA))).alias("tracks"),
-        "_file",
-    )
+        place.alias("request_key"),
+        F.coalesce(F.col("_r.test_id"), F.concat(F.lit("unknown_"), place)).alias("test_id"),
+        F.col("_r.collaborative").alias("collaborative"),
+        F.coalesce(F.col("_r.tracks"), F.array().cast(T.ArrayType(REQUEST_ITEM_SCHEMA))).alias("tracks"),
+        "_file")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_with_fallback(spark: SparkSession, primary: str, fallback: str) -> tuple[DataFrame, str]:
-    """Open ``primary``; if it does not exist open ``fallback``. Returns the frame and the
-    name of the source actually used (missing paths fail at read time, not later)."""
+def read_with_fallback(spark: SparkSession, primary: str | None, fallback: str) -> tuple[DataFrame, str]:
+    """Open ``primary``; if there is none, or nothing at its path, open ``fallback``. Returns the
+    frame and the name of the source used. Any other failure to read ``primary`` is raised: a
+    damaged table must not silently turn into the fallback."""
+    if primary is None:
+        return spark.read.parquet(fallback), "fallback"
     try:
         return spark.read.parquet(primary), "primary"
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.read.parquet(fallback), "fallback"

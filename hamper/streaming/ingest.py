@@ -1,41 +1,83 @@
 """Incremental ingest of basket documents with Structured Streaming.
 
-Each run picks up only files not seen by earlier runs (the checkpoint remembers them),
-parses them with the explicit schema and appends the baskets to a Parquet table.
-``trigger(availableNow=True)`` processes everything new and stops, so a scheduled batch
-job gets exactly-once file handling without keeping a stream alive. Note: the
-checkpoint remembers files by path; a file replaced in place under the same name is not
-read again.
+Each run picks up the files that arrived since the last one (``trigger(availableNow=True)``
+processes everything new and stops) and keys them on their *name*: a name that an earlier
+batch has read well is skipped, a file that failed to parse may be delivered again under
+the same name. Every micro-batch writes its baskets and one manifest row per file below a
+folder named after the batch, overwriting what a failed attempt of that batch may have left,
+so each file counts once. Totals are sums over the manifest, not over the baskets.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hamper.sources.baskets import BASKET_SCHEMA, DOCUMENT_SCHEMA
+
+MANIFEST = "file_name string, ok boolean, baskets long, interactions long, run string, batch long"
+_CORRUPT = "_corrupt_record"
+
 
-from hamper.sources.baskets import DOCUMENT_SCHEMA
+def read_manifest(spark: SparkSession, dst: str) -> DataFrame:
+    """One row per file and batch that read it."""
+    try:
+        return spark.read.schema(MANIFEST).option("recursiveFileLookup", True).parquet(f"{dst}/files")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def read_ingested(spark: SparkSession, dst: str) -> DataFrame:
+    """All ingested baskets with their file name."""
+    schema = T.StructType([*BASKET_SCHEMA.fields, T.StructField("_file", T.StringType())])
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{dst}/baskets")
 
 
 def ingest_increment(spark: SparkSession, src: str, dst: str, checkpoint: str, pattern: str | None = "*.json",
                      max_files: int | None = None, multiline: bool = True) -> DataFrame:
-    """Run one increment and return a one-row summary of the target table and this run."""
-    reader = spark.readStream.schema(DOCUMENT_SCHEMA).option("multiLine", multiline)
+    """Run one increment; returns one row: files, failed, baskets, interactions over all runs,
+    and new_files, new_failed, new_baskets, batches of this run. A file fails if any of its
+    documents does; its readable baskets are not taken."""
+    schema = T.StructType([*DOCUMENT_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    reader = (spark.readStream.schema(schema).option("multiLine", multiline)
+              .option("columnNameOfCorruptRecord", _CORRUPT))
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
-    stream = (reader.json(src)
-              .select(F.explode("playlists").alias("_b"), F.col("_metadata.file_name").alias("_file"))
-              .select("_b.*", "_file"))
-    query = (stream.writeStream.format("parquet").option("path", dst).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
+    run = uuid.uuid4().hex
+
+    def take(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        known = read_manifest(session, dst).where(F.col("ok") & (F.col("batch") != number)).select("file_name")
+        docs = (batch.select("playlists", F.col(_CORRUPT).isNull().alias("ok"), F.col("_metadata.file_name").alias("file_name"))
+                .join(known.distinct(), "file_name", "left_anti"))
+        tracks = F.aggregate("playlists", F.lit(0).cast("long"), lambda n, b: n + F.greatest(F.size(b["tracks"]), F.lit(0)))
+        files = docs.groupBy("file_name").agg(
+            F.bool_and("ok").alias("ok"), F.sum(F.greatest(F.size("playlists"), F.lit(0))).alias("baskets"),
+            F.sum(F.coalesce(tracks, F.lit(0))).alias("interactions"))
+        counted = F.when(F.col("ok"), 1).otherwise(0)
+        manifest = files.select("file_name", "ok", (F.col("baskets") * counted).alias("baskets"),
+                                (F.col("interactions") * counted).alias("interactions"), F.lit(run).alias("run"),
+                                F.lit(number).cast("long").alias("batch"))
+        good = files.where("ok").select("file_name")
+        (docs.join(good, "file_name", "left_semi").select(F.explode("playlists").alias("_b"), F.col("file_name").alias("_file"))
+         .select("_b.*", "_file").write.mode("overwrite").parquet(f"{dst}/baskets/batch-{number}"))
+        manifest.write.mode("overwrite").parquet(f"{dst}/files/batch-{number}")
+
+    query = (reader.json(src).select("*", "_metadata").writeStream.foreachBatch(take)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    progress = query.recentProgress or []
-    new_rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    batches = sum(1 for p in progress if int(p.get("numInputRows", 0)) > 0)
-    table = spark.read.schema(stream.schema).parquet(dst)
-    return table.agg(F.count_distinct("_file").alias("files"), F.count(F.lit(1)).alias("baskets"),
-                     F.coalesce(F.sum(F.when(F.col("tracks").isNotNull(), F.size("tracks"))), F.lit(0))
-                     .alias("interactions")) \
-        .select("*", F.lit(new_rows).cast("bigint").alias("new_baskets"),
-                F.lit(batches).cast("bigint").alias("batches"))
+    mine = F.col("run") == run
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return read_manifest(spark, dst).agg(
+        F.count_if("ok").alias("files"), F.count_if(~F.col("ok")).alias("failed"), zero(F.sum("baskets")).alias("baskets"),
+        zero(F.sum("interactions")).alias("interactions"), F.count_if(mine & F.col("ok")).alias("new_files"),
+        F.count_if(mine & ~F.col("ok")).alias("new_failed"), zero(F.sum(F.when(mine, F.col("baskets")))).alias("new_baskets"),
+        F.count_distinct(F.when(mine, F.col("batch"))).alias("batches"))

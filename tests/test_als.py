@@ -7,8 +7,9 @@ from tests.conftest import SF001
 
 
 def _inputs(spark):
-    rated, sample, test = C._als_inputs(spark, SF001)
-    return rated, sample, test
+    from hamper.operators.sampling import sample_interactions, stratified_baskets
+    rated, test, _ = C._als_inputs(spark, SF001)
+    return rated, sample_interactions(rated, stratified_baskets(rated)), test
 
 
 def test_candidates_bounded_and_known_only(spark):
@@ -42,3 +43,18 @@ def test_save_load_round_trip(spark, tmp_dir):
 def test_run_metadata_row(spark):
     row = C.q_run_metadata(spark, SF001).first()
     assert row.als_rank == 50 and row.sample_baskets > 0 and row.similarities_count >= 0
+
+
+def test_over_fetch_leaves_full_lists(spark):
+    """However many items a basket has seen, k unseen ones remain while the catalogue has them."""
+    from pyspark.sql import functions as F
+    rated, _, test = _inputs(spark)
+    model = A.fit_als(rated, rank=4, max_iter=2)
+    seen = rated.select("basket_idx", "item_idx")
+    cands = A.over_fetch(model, test.select("basket_idx"), seen, k=60)
+    left = cands.join(seen, ["basket_idx", "item_idx"], "left_anti").groupBy("basket_idx").count()
+    n_items = rated.select("item_idx").distinct().count()
+    held = seen.groupBy("basket_idx").agg(F.count_distinct("item_idx").alias("m"))
+    short = left.join(held, "basket_idx").where(F.col("count") < F.least(F.lit(60), F.lit(n_items) - F.col("m")))
+    assert left.count() > 100 and short.count() == 0
+    assert A.over_fetch(model, test.limit(0), seen, k=60).count() == 0

@@ -130,6 +130,7 @@ def test_both_request_roots(spark, tmp_dir):
     ra = read_request_baskets(spark, a).drop("_file")
     rb = read_request_baskets(spark, b).drop("_file")
     assert ra.count() == 3 and ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
+    assert sorted(r.request_key for r in ra.collect()) == ["req.json:0:0", "req.json:0:1", "req.json:0:2"]
     rows = {r.test_id: r for r in ra.collect()}
     assert rows["x3"].tracks == []
     assert len([k for k in rows if k.startswith("unknown_")]) == 1
@@ -188,3 +189,64 @@ def test_ingest_batches_follow_max_files(spark, tmp_dir):
         _write(src, f"baskets.part.{i}.json", json.dumps(doc))
     run = ingest_increment(spark, src, dst, ck, max_files=2).first()
     assert (run.files, run.baskets, run.new_baskets, run.batches) == (5, 5, 5, 3)  # 2 + 2 + 1 files
+
+
+def test_equal_and_empty_requests_stay_apart(spark, tmp_dir):
+    """Two equal unnamed requests, an empty one and two with one id: five outputs in either root."""
+    one = {"tracks": [{"track_uri": "u1"}]}
+    reqs = [one, one, {}, {"test_id": "a", "tracks": []}, {"test_id": "a", "tracks": []}, None]
+    for name, root in (("a", reqs), ("b", {"playlists": reqs})):
+        os.makedirs(os.path.join(tmp_dir, name))
+        _write(os.path.join(tmp_dir, name), "r.json", json.dumps(root))
+        _write(os.path.join(tmp_dir, name), "bad.json", "{ not json")
+        rows = read_request_baskets(spark, os.path.join(tmp_dir, name)).collect()
+        assert len(rows) == len({r.request_key for r in rows}) == 5
+        assert len({r.test_id for r in rows}) == 4
+
+
+def test_each_request_gets_a_list(spark, tmp_dir):
+    from hamper.plans import jobs
+    one = {"tracks": [{"track_uri": "u1"}]}
+    _write(tmp_dir, "r.json", json.dumps([one, one, {}]))
+    spark.createDataFrame([(1, "u1"), (1, "u2"), (2, "u2")], "basket_idx long, item string").write.parquet(
+        os.path.join(tmp_dir, "stage", "train"))
+    info = jobs.submit(spark, os.path.join(tmp_dir, "r.json"), os.path.join(tmp_dir, "stage"), os.path.join(tmp_dir, "out")).first()
+    lists = spark.read.json(os.path.join(tmp_dir, "out", "playlists")).collect()
+    assert (info.total_playlists, info.read_back) == (3, 3)
+    assert sorted(tuple(r.recommended_tracks) for r in lists) == [("u2",), ("u2",), ("u2", "u1")]
+
+
+def test_ingest_counts_beyond_the_progress_window(spark, tmp_dir):
+    """More batches than the session keeps progress entries for; three baskets a file; a file
+    that fails, and comes again whole under its name; a name that was read already."""
+    src, dst, ck = (os.path.join(tmp_dir, n) for n in ("src", "dst", "ck"))
+    os.makedirs(src)
+
+    def deliver(folder, i):
+        os.makedirs(os.path.join(src, folder), exist_ok=True)
+        doc = {"playlists": [{"pid": 3 * i + j, "tracks": [{"track_uri": "t", "pos": 0}] * j} for j in range(3)]}
+        _write(os.path.join(src, folder), f"baskets.{i}.json", json.dumps(doc))
+    for i in range(6):
+        deliver("one", i)
+    _write(os.path.join(src, "one"), "baskets.9.json", "{ damaged")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        first = ingest_increment(spark, src + "/*", dst, ck, max_files=1).first()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (first.files, first.failed, first.baskets, first.interactions) == (6, 1, 18, 18)
+    assert (first.new_files, first.new_failed, first.new_baskets, first.batches) == (6, 1, 18, 7)
+    deliver("two", 9)
+    deliver("two", 0)   # known by name
+    second = ingest_increment(spark, src + "/*", dst, ck).first()
+    assert (second.files, second.failed, second.baskets, second.new_files, second.new_baskets) == (7, 1, 21, 1, 3)
+    from hamper.streaming.ingest import read_ingested
+    assert read_ingested(spark, dst).count() == 21
+
+
+def test_damaged_primary_is_an_error(spark, tmp_dir):
+    spark.range(3).write.parquet(os.path.join(tmp_dir, "train"))
+    os.makedirs(os.path.join(tmp_dir, "empty"))
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        read_with_fallback(spark, os.path.join(tmp_dir, "empty"), os.path.join(tmp_dir, "train"))
+    assert read_with_fallback(spark, None, os.path.join(tmp_dir, "train"))[1] == "fallback"

@@ -24,8 +24,9 @@ def _interactions(seed=7):
 def test_hot_basket_end_to_end(spark):
     pdf = _interactions()
     assert (pdf.basket == 0).mean() > 0.3
-    spark.conf.set("hamper.rank.maxGroupRows", "1000")
-    spark.conf.set("hamper.rank.rowsPerPartition", "700")  # several range partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")  # the hot basket spans several range partitions
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.createDataFrame(pdf).repartition(5)
         split = split_ordered(df)
@@ -40,8 +41,8 @@ def test_hot_basket_end_to_end(spark):
         got_recs = recs.toPandas()
         got_split = split.toPandas()
     finally:
-        spark.conf.unset("hamper.rank.maxGroupRows")
-        spark.conf.unset("hamper.rank.rowsPerPartition")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
     # reference computation in pandas
     exp = pdf.sort_values(["basket", "position", "item"]).copy()
@@ -101,3 +102,47 @@ def test_hot_basket_join_is_split_by_aqe(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert any("SortMergeJoin" in ln and "skew=true" in ln.replace(" ", "").lower() or "isSkewJoin=true" in ln
                for ln in final.splitlines()), final
+
+
+def test_rank_lookup_is_salted(spark):
+    """Every basket asks for the same first ranks. Without AQE's skew handling, the lookup's
+    shuffle still deals them to many tasks."""
+    from pyspark.sql import functions as F
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        ranked = R.top_candidates(spark.range(50).select(F.col("id").alias("item"), (-F.col("id")).cast("double").alias(
+            "popularity_score")), n=None)
+        baskets = spark.range(4000).select(F.col("id").alias("basket"))
+        seen = spark.createDataFrame([], "basket long, item long")
+        recs = R.recommend_popular(baskets, seen, ranked, k=2)   # 8,000 rows on two ranks
+        sizes = [r["n"] for r in recs.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(sizes) == 8000 and len(sizes) > 8 and max(sizes) < 2000
+
+
+def test_hot_basket_pairs_match_plain_count(spark, monkeypatch):
+    from collections import Counter
+    from itertools import combinations
+
+    from hamper.operators import cooccurrence as C
+
+    monkeypatch.setattr(C, "BLOCK_ITEMS", 7)
+    pdf = _interactions(3)
+    df = spark.createDataFrame(pdf[pdf.basket < 40])
+    got = {(r.item1, r.item2): r.cooccur_count for r in C.cooccurrence(df, max_size=None, min_count=2).collect()}
+    want = Counter()
+    for _, items in pdf[pdf.basket < 40].groupby("basket").item:
+        if len(items) >= 5:
+            want.update((min(a, b), max(a, b)) for a, b in combinations(items, 2) if a != b)
+    assert got == {p: n for p, n in want.items() if n >= 2}
+    out = C.excluded_baskets(df, max_size=100).first()
+    sizes = pdf[pdf.basket < 40].groupby("basket").size()
+    assert (out.small_baskets, out.large_baskets) == ((sizes < 5).sum(), (sizes > 100).sum())
+    assert (out.small_rows, out.large_rows) == (sizes[sizes < 5].sum(), sizes[sizes > 100].sum())
