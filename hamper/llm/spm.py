@@ -9,8 +9,8 @@ boundary are committed and the backpointers dropped.
 
 Pieces of common models carry the word mark only at their front. Then no piece spans the
 place where a word ends, every path runs through it, and words can be segmented one by one;
-a bounded cache keeps the ids of short words. Models for which this doesn't hold are
-streamed through as a whole.
+the same holds between two characters that stand side by side in no piece. A bounded cache
+keeps the ids of short words. Models for which this doesn't hold are streamed as a whole.
 
 A model file with merge ranks (BPE) is scored by those ranks as stored; ties go to the
 longer last piece. Characters without a piece become their UTF-8 bytes' pieces at the
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 OWN_MARK = "\udb81"      # stands for a MARK of the text; no UTF-8 text holds a lone surrogate
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 500_000
+CACHE_WORDS = 700_000
 CACHE_CHARS = 48
 
 
@@ -48,9 +48,20 @@ class Pieces:
             for n in range(1, len(piece)):
                 self.table.setdefault(piece[:n], None)  # a beginning of a piece, itself none
         self.table.update(scores)
-        self.text = {i: p for p, (_, i) in scores.items()}
-        self.byte_of = {i: b for b, i in enumerate(byte_ids)}
+        self.spelled = {i: bytes((b,)) for b, i in enumerate(byte_ids)}   # bytes of each id
+        self.spelled.update({i: p.replace(MARK, " ").encode() for p, (_, i) in scores.items()})
         self.marks_first = not any(MARK in p.lstrip(MARK) for p in scores)
+        #: pairs of neighbours inside pieces: between two characters that aren't one, every
+        #: segmentation has a boundary
+        self.inside = {p[i:i + 2] for p in scores for i in range(len(p) - 1)}
+        #: the pieces once more by character: {char: [score or None, id, next characters]}
+        self.trie: dict = {}
+        for piece, (score, i) in scores.items():
+            level = self.trie
+            for char in piece:
+                node = level.setdefault(char, [None, -1, {}])
+                level = node[2]
+            node[0], node[1] = score, i
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -154,24 +165,31 @@ class StreamingViterbi:
 
 def segment_word(p: Pieces, text: str) -> list[int]:
     """The same recurrence in one go, for words so short that the stream would commit only once."""
-    n, get, longest, worst = len(text), p.table.get, p.longest, float("-inf")
-    score, back = [0.0] + [worst] * n, [(0, -1)] * (n + 1)
+    n, trie, worst = len(text), p.trie, float("-inf")
+    score, start, piece = [0.0] + [worst] * n, [0] * (n + 1), [-1] * (n + 1)
     for i in range(n):
-        here = score[i]
-        for k in range(i + 1, min(n, i + longest) + 1):
-            entry = get(text[i:k], False)
-            if entry is False:
+        here, level, k = score[i], trie, i
+        while k < n:
+            node = level.get(text[k])
+            if node is None:  # begins no piece
                 break
-            if entry is not None and here + entry[0] > score[k]:
-                score[k], back[k] = here + entry[0], (i, entry[1])
-        if not get(text[i]) and here + p.unknown > score[i + 1]:
-            score[i + 1], back[i + 1] = here + p.unknown, (i, -1)
+            k += 1
+            if node[0] is not None and here + node[0] > score[k]:
+                score[k], start[k], piece[k] = here + node[0], i, node[1]
+            level = node[2]
+        if score[i + 1] == worst or here + p.unknown > score[i + 1]:
+            first = trie.get(text[i])
+            if (first is None or first[0] is None) and here + p.unknown > score[i + 1]:
+                score[i + 1], start[i + 1], piece[i + 1] = here + p.unknown, i, -1
     out = []
     while n:
-        start, piece = back[n]
-        out.append([piece] if piece >= 0 else p.fallback(text[start]))
-        n = start
-    return [i for ids in reversed(out) for i in ids]
+        i = start[n]
+        if piece[n] >= 0:
+            out.append(piece[n])
+        else:
+            out += reversed(p.fallback(text[i]))
+        n = i
+    return out[::-1]
 
 
 class Encoder:
@@ -189,13 +207,29 @@ class Encoder:
             out += v.push(chars[i:i + self.STREAM])
         return out + v.finish()
 
-    def _word(self, word: str) -> bytes:
-        short = len(word) <= CACHE_CHARS
-        ids = np.array(segment_word(self.p, word) if short else self._segment(word), "<i4").tobytes()
+    def _part(self, part: str) -> bytes:
+        short = len(part) <= CACHE_CHARS
+        ids = np.array(segment_word(self.p, part) if short else self._segment(part), "<i4").tobytes()
         if short:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[word] = ids
+            self._keep(part, ids)
+        return ids
+
+    def _keep(self, chars: str, ids: bytes) -> None:
+        if len(self.cache) >= CACHE_WORDS:
+            self.cache.clear()
+        self.cache[chars] = ids
+
+    def _word(self, word: str) -> bytes:
+        """A word by its parts between characters that no piece holds side by side."""
+        inside = self.p.inside
+        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in inside]
+        if not cuts:
+            return self._part(word)
+        get = self.cache.get
+        parts = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
+        ids = b"".join([get(x) or self._part(x) for x in parts])
+        if len(word) <= CACHE_CHARS:
+            self._keep(word, ids)
         return ids
 
     def encode(self, text: str) -> np.ndarray:
@@ -209,10 +243,7 @@ class Encoder:
         return np.frombuffer(b"".join([get(w) or word(w) for w in self.WORDS.findall(chars)]), np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
-        out, text, byte_of = [], self.p.text, self.p.byte_of
-        for i in ids:
-            out.append(text[i].replace(MARK, " ").encode() if i in text else bytes((byte_of[i],)))
-        return b"".join(out).decode("utf-8", errors="replace")[1:]
+        return b"".join(map(self.p.spelled.__getitem__, ids)).decode("utf-8", errors="replace")[1:]
 
 
 _ENCODERS: dict[str, Encoder] = {}
