@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 OWN_MARK = "\udb81"      # stands for a MARK of the text; no UTF-8 text holds a lone surrogate
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000   # about 200 bytes each, in every Python worker
 CACHE_CHARS = 48
 
 

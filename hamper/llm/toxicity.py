@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,16 +37,16 @@ ROUNDS = 1_000
 PENALTY = 1e-5
 THRESHOLD = 0.3
 SENTENCE_WORDS = 48         # longer runs without a sentence end are cut there
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def word_features(word: str) -> list[int]:
-    """Buckets of a lower-cased word: itself and its n-grams of 3 to 6 characters."""
-    w = f"<{word[:64]}>"
+    """Buckets of a lower-cased word: itself and its n-grams of 3 to 6 bytes."""
+    w = b"<%b>" % word.encode()[:96]
     grams = {w, *(w[i:i + n] for n in range(3, 7) for i in range(len(w) - n + 1))}
-    return sorted({zlib.crc32(g.encode()) & (BUCKETS - 1) for g in grams})
+    return sorted({zlib.crc32(g) & (BUCKETS - 1) for g in grams})
 
 
 def sentences(text: str) -> Iterator[tuple[int, int, set[str]]]:
@@ -63,71 +64,75 @@ def sentences(text: str) -> Iterator[tuple[int, int, set[str]]]:
             yield m.start() + part[0].start(), m.start() + part[-1].end(), {p[0].lower() for p in part}
 
 
-def telling_features(doc_features: list[np.ndarray], target: np.ndarray) -> np.ndarray:
-    """Features more frequent in toxic documents, by the log-likelihood ratio of their counts."""
-    flat = np.concatenate(doc_features)
-    toxic = np.repeat(target > 0, [len(f) for f in doc_features])
-    feats, inverse = np.unique(flat, return_inverse=True)
-    a = np.bincount(inverse, toxic, len(feats))            # toxic documents with the feature
-    b = np.bincount(inverse, ~toxic, len(feats))
-    n1, n0 = target.sum(), len(target) - target.sum()
-    rate = (a + b) / len(target)
+def telling_features(toxic: np.ndarray, clean: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Features more frequent in toxic documents, by the log-likelihood ratio of their counts
+    (``toxic`` and ``clean``: documents with the feature, by bucket; n1 and n0 documents)."""
+    feats = np.flatnonzero(toxic)
+    a, b = toxic[feats].astype(float), clean[feats].astype(float)
+    feats, a, b = (x[a * n0 > b * n1] for x in (feats, a, b))
+    rate = (a + b) / (n1 + n0)
 
     def part(seen, expected):
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
     g = 2 * (part(a, n1 * rate) + part(b, n0 * rate) + part(n1 - a, n1 * (1 - rate)) + part(n0 - b, n0 * (1 - rate)))
-    return feats[(g >= EVIDENCE) & (a / n1 > b / n0)]
+    return feats[g >= EVIDENCE]
 
 
 def fit(texts: Iterable[str], labels: Iterable[int], rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, bias) by full-batch AdaGrad on the noisy-or's log loss."""
     types: dict[str, int] = {}
-    feats: list[np.ndarray] = []
-    token_type, token_sentence, sentence_doc, doc_features, y = [], [], [], [], []
-    copies: set[tuple[str, int]] = set()
+    flat, ends = array("i"), array("q", [0])                    # features of each word, one after the other
+    token_type, token_sentence, sentence_doc, y = array("i"), array("i"), array("i"), array("i")
+    seen_in = {0: np.zeros(BUCKETS, np.int16), 1: np.zeros(BUCKETS, np.int16)}   # documents with a feature
+    copies: set[tuple[int, int]] = set()
     for text, label in zip(texts, labels):
         if len(token_type) >= TRAIN_WORDS:
             break
-        if (text, label) in copies:   # a copy is no further evidence
+        if (hash(text), label) in copies:   # a copy is no further evidence
             continue
-        copies.add((text, label))
+        copies.add((hash(text), label))
         seen: set[int] = set()
         for _, _, words in sentences(text):
             for w in sorted(words):
                 t = types.setdefault(w, len(types))
-                if t == len(feats):
-                    feats.append(np.array(word_features(w), np.int32))
+                if t == len(ends) - 1:
+                    flat.extend(word_features(w))
+                    ends.append(len(flat))
                 token_type.append(t)
                 token_sentence.append(len(sentence_doc))
                 seen.add(t)
             sentence_doc.append(len(y))
-        doc_features.append(np.unique(np.concatenate([feats[t] for t in seen])) if seen else np.zeros(0, np.int32))
+        if seen:
+            seen_in[label][np.unique(np.concatenate([flat[ends[t]:ends[t + 1]] for t in seen]))] += 1
         y.append(label)
     target = np.array(y, float)
     none = np.zeros(0, np.int32), np.zeros(0)
     if not len(sentence_doc) or target.min() == target.max():
         return *none, -4.0 if not target.any() else 4.0
-    chosen = telling_features(doc_features, target)
-    size = np.array([len(f) for f in feats])
-    flat, owner = np.concatenate(feats), np.repeat(np.arange(len(feats)), size)
-    at = np.searchsorted(chosen, flat)
-    known = (at < len(chosen)) & (chosen[np.minimum(at, max(0, len(chosen) - 1))] == flat) if len(chosen) else at < 0
-    at, owner = at[known], owner[known]
-    kind, sent, doc = (np.array(x, np.int32) for x in (token_type, token_sentence, sentence_doc))
-    telling = np.zeros(len(feats), bool)
+    chosen = telling_features(seen_in[1], seen_in[0], int(target.sum()), int(len(target) - target.sum()))
+    del seen_in
+    n_types = len(types)
+    place = np.full(BUCKETS, -1, np.int32)     # of a feature among the chosen
+    place[chosen] = np.arange(len(chosen))
+    at = place[np.frombuffer(flat, np.int32)]
+    owner = np.repeat(np.arange(n_types, dtype=np.int32), np.diff(np.frombuffer(ends, np.int64)))[at >= 0]
+    at = at[at >= 0]
+    del place, flat
+    kind, sent, doc = (np.frombuffer(x, np.int32) for x in (token_type, token_sentence, sentence_doc))
+    telling = np.zeros(n_types, bool)
     telling[owner] = True
     kind, sent = kind[telling[kind]], sent[telling[kind]]   # other words score 0
     share = np.full(len(target), 1.0 / len(target))
     weights, bias, sq_w, sq_b = np.zeros(len(chosen)), -4.0, np.full(len(chosen), 1e-10), 1e-10
     for _ in range(rounds):
-        word_score = np.bincount(owner, weights[at], len(feats))
+        word_score = np.bincount(owner, weights[at], n_types)
         z = bias + np.bincount(sent, word_score[kind], len(doc))
         p = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
         log_clean = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(target))  # log prod(1 - p)
         noisy = np.clip(-np.expm1(log_clean), 1e-12, 1 - 1e-12)
         # d loss / d z of a sentence: p for clean documents, -p * (1 - P) / P for toxic ones
         grad_z = share[doc] * p * np.where(target[doc] > 0, -(1 - noisy[doc]) / noisy[doc], 1.0)
-        grad_kind = np.bincount(kind, grad_z[sent], len(feats))
+        grad_kind = np.bincount(kind, grad_z[sent], n_types)
         grad = np.bincount(at, grad_kind[owner], len(chosen)) + PENALTY * weights
         grad_b = grad_z.sum()
         sq_w += grad * grad
@@ -198,6 +203,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         yield pd.DataFrame({"features": [features.astype("<i4").tobytes()], "weights": [weights.astype("<f8").tobytes()],
                             "bias": [bias]})
     model = rows.coalesce(1).mapInPandas(run, "features binary, weights binary, bias double").first()
+    if model is None:   # nothing labelled: an empty plan has no partition to fit in
+        return fit([], [])
     return np.frombuffer(model["features"], "<i4"), np.frombuffer(model["weights"], "<f8"), model["bias"]
 
 
