@@ -15,7 +15,7 @@ with probability equal to their weighted Jaccard similarity; the work is about o
 shingle plus m log m, not m per shingle.
 
 Job (``near_duplicates``): equal multisets collapse to one node; signatures are banded; each
-node is verified against the smallest node it shares a bucket with, which gives a forest
+node is verified against the most central node it shares a bucket with, which gives a forest
 whose trees are joined by pointer jumping; buckets that still hold several trees are
 compared in bounded tiles, tree against tree, and what those links join is merged. So every
 pair that shares a bucket ends up in one class or has been verified not to be similar, and
@@ -343,13 +343,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")),
                   "near-nodes")
     banded = nodes.select("key", F.explode("bands").alias("bucket"))
-    shared = stage(banded.groupBy("bucket").agg(F.min("key").alias("center"), F.count("*").alias("n")).where("n > 1"),
-                   "near-buckets")
-    held = stage(banded.join(shared, "bucket").select("bucket", "key", "center", "n"), "near-held")
-
-    # first pass: each node against the smallest node among its buckets' smallest
-    first = (held.groupBy("key").agg(F.min("center").alias("a")).where("a < key")
-             .select("a", F.col("key").alias("b")))
+    shared = stage(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "near-buckets")
+    held = stage(banded.join(shared, "bucket").select("bucket", "key", "n"), "near-held")
+
+    # first pass: each node against the most central node it shares a bucket with. The text that
+    # a family of near copies was made from shares more buckets with them than they do with
+    # each other, so the sum of its buckets' sizes is the family's largest.
+    central = stage(held.groupBy("key").agg(F.sum("n").alias("weight")), "near-central")
+    centers = stage(held.join(central, "key").groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("center")),
+                    "near-centers")
+    first = (held.join(centers, "bucket").groupBy("key").agg(F.max("center").alias("c")).join(central, "key")
+             .where("c > struct(weight, key)").select(F.col("c.key").alias("a"), F.col("key").alias("b")))
     sig = lambda df, k: df.join(nodes.select(F.col("key").alias(k), F.col("sig").alias(f"s{k}")), k)
     likely = stage(sig(sig(first, "a"), "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing, PAIR), "near-first")
     links = _verified(likely, nodes, named, similarity)
