@@ -269,20 +269,88 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs(held)
 
 
+def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each tile (first column), of batches sorted by it."""
+    held, tile = [], None
+    for batch in batches:
+        tiles = batch.column(0).to_numpy()
+        cuts = np.flatnonzero(tiles[1:] != tiles[:-1]) + 1
+        for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(tiles)]):
+            if b > a:
+                if tile is not None and tiles[a] != tile:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                tile = tiles[a]
+                held.append(batch.slice(int(a), int(b - a)))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _tile_matches(t: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(left row, right rows) of a tile that may be links: in other trees, with agreeing
+    signatures, and with this bucket the first that the two share (so one tile has the pair)."""
+    names, root = np.unique(np.array(t["root"].to_pylist(), object), return_inverse=True)
+    left = t["left"].to_numpy().astype(bool)
+    sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(-1, M)
+    bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    bucket = t["bucket"].to_numpy()
+    right = np.flatnonzero(~left)
+    for i in np.flatnonzero(left):
+        near = right[((sig[right] == sig[i]).mean(1) >= LEAST_AGREEMENT) & (root[right] != root[i]) & (bucket[right] == bucket[i])]
+        if len(near):
+            shared = bands[near] == bands[i]
+            near = near[bands[i][shared.argmax(1)] == bucket[i]]
+            if len(near):
+                yield i, near
+
+
+MEMBER = "tile long, bucket long, key binary, root binary, left boolean"
+
+
+def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each tile that have a possible partner in it."""
+    for t in _by_tile(batches):
+        keep = np.zeros(t.num_rows, bool)
+        for i, near in _tile_matches(t):
+            keep[i] = True
+            keep[near] = True
+        if keep.any():
+            yield from t.select(["tile", "bucket", "key", "root", "left"]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+
+def _tile_links(similarity: float):
+    """Links of each tile: its possible pairs, verified by their exact multisets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _by_tile(batches):
+            keys = t["key"].to_pylist()
+            bags = [(np.frombuffer(h, U), np.frombuffer(c, np.uint32))
+                    for h, c in zip(t["hashes"].to_pylist(), t["counts"].to_pylist())]
+            found = [(keys[i], keys[j]) for i, near in _tile_matches(t) for j in near
+                     if weighted_jaccard(bags[i], bags[j]) >= similarity]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()),
+                                                  pa.array([b for _, b in found], pa.binary())], names=["a", "b"])
+    return run
+
+
 PAIR = "a binary, b binary"
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b, similarity) among candidate pairs, by the exact multisets of their texts."""
-    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-                   .join(nodes.select("key", "rep"), "key"), "near-wanted")
+def _bags(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, hashes, counts): the multisets of the nodes in ``wanted`` (distinct keys)."""
+    wanted = stage(wanted.join(nodes.select("key", "rep"), "key"), "near-wanted")
     ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
     if wanted.count() <= BROADCAST_ROWS:   # 8 bytes a row; else a shuffled join
         ids = F.broadcast(ids)
     bags = (docs.join(ids, "doc_id", "left_semi").select("text")
             .mapInArrow(_multisets, "key binary, hashes binary, counts binary"))
     # an id that repeats brings texts nobody asked for, copies bring the same bag again
-    bags = stage(bags.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "near-bags")
+    return stage(bags.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "near-bags")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b, similarity) among candidate pairs, by the exact multisets of their texts."""
+    bags = _bags(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), nodes, docs)
     side = lambda k: bags.select(F.col("key").alias(k), F.col("hashes").alias(f"h{k}"),
                                  F.col("counts").alias(f"c{k}"))
     return stage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ha", "ca", "hb", "cb")
@@ -371,17 +439,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                    F.ceil(F.col("n") / TILE).cast("int").alias("right_groups"),
                                    F.ceil((F.col("n") - F.col("most.size")) / TILE).cast("int").alias("left_groups")),
         "near-mixed")
-    member = (placed.drop("n").join(mixed, "bucket").join(nodes.select("key", "sig"), "key")
-              .withColumn("h", F.xxhash64("key")))
+    member = placed.drop("n").join(mixed, "bucket").withColumn("h", F.xxhash64("key"))
     lefts = member.where("root <> largest").select(
-        "bucket", "key", "root", "sig", F.lit(True).alias("left"), F.pmod("h", "left_groups").alias("i"),
+        "bucket", "key", "root", F.lit(True).alias("left"), F.pmod("h", "left_groups").alias("i"),
         F.explode(F.expr("sequence(0L, right_groups - 1L)")).alias("j"))
     rights = member.select(
-        "bucket", "key", "root", "sig", F.lit(False).alias("left"),
+        "bucket", "key", "root", F.lit(False).alias("left"),
         F.explode(F.expr("sequence(0L, left_groups - 1L)")).alias("i"), F.pmod("h", "right_groups").alias("j"))
-    tiles = lefts.unionByName(rights).select(F.xxhash64("bucket", "i", "j").alias("tile"), "key", "root", "sig", "left")
-    candidates = (tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tile_pairs, PAIR).distinct())
-    more = _verified(stage(candidates, "near-second"), nodes, named, similarity)
+    tiles = lefts.unionByName(rights).select(F.xxhash64("bucket", "i", "j").alias("tile"), "bucket", "key", "root", "left")
+
+    def in_tiles(df: DataFrame) -> DataFrame:
+        return df.repartition("tile").sortWithinPartitions("tile")
+    signed_rows = tiles.join(nodes.select("key", "sig", "bands"), "key").select(*tiles.columns, "sig", "bands")
+    survivors = stage(in_tiles(signed_rows).mapInArrow(_survivors, MEMBER), "near-survivors")
+    bags = _bags(survivors.select("key").distinct(), nodes, named)
+    full_rows = (survivors.join(nodes.select("key", "sig", "bands"), "key").join(bags, "key")
+                 .select(*tiles.columns, "sig", "bands", "hashes", "counts"))
+    more = stage(in_tiles(full_rows).mapInArrow(_tile_links(similarity), PAIR).distinct(), "near-second")
 
     # trees joined by the second pass's links
     root_of = lambda k: trees.select(F.col("key").alias(k), F.col("root").alias(f"r{k}"))
