@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hamper.session import ensure_checkpoint_dir
+from hamper.session import scratch_dir
 
 #: White space of the word definition: space, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, the folder driver and executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A fresh folder below ``spark.checkpoint.dir``, the folder driver and executors share;
+    ``hamper.session.drop_scratch`` removes it with the application's other stored rows."""
+    return scratch_dir(spark, f"llm-{name}")
 
 
 def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
