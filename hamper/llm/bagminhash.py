@@ -239,36 +239,6 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good))
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of each tile (rows sorted by tile): left members against right ones of other trees."""
-    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(rows)
-        keys, roots = t["key"].to_pylist(), t["root"].to_pylist()
-        left = t["left"].to_numpy().astype(bool)
-        sig = np.array([np.frombuffer(s, np.uint16) for s in t["sig"].to_pylist()])
-        right_at = np.flatnonzero(~left)
-        out = []
-        for i in np.flatnonzero(left):
-            near = right_at[(sig[right_at] == sig[i]).mean(1) >= LEAST_AGREEMENT]
-            out += [(min(keys[i], keys[j]), max(keys[i], keys[j])) for j in near if roots[j] != roots[i]]
-        out = sorted(set(out))
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()),
-                                           pa.array([b for _, b in out], pa.binary())], names=["a", "b"])
-    held, tile = [], None
-    for batch in batches:
-        tiles = np.array(batch.column(0).to_pylist())
-        cuts = np.flatnonzero(tiles[1:] != tiles[:-1]) + 1
-        for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(tiles)]):
-            if b > a:
-                if tile is not None and tiles[a] != tile:
-                    yield pairs(held)
-                    held = []
-                tile = tiles[a]
-                held.append(batch.slice(int(a), int(b - a)))
-    if held:
-        yield pairs(held)
-
-
 def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of each tile (first column), of batches sorted by it."""
     held, tile = [], None

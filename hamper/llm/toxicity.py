@@ -18,6 +18,7 @@ hash of the id, and at most ``TRAIN_WORDS`` words), in one task. Scoring reads e
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from array import array
@@ -42,11 +43,11 @@ SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_features(word: str) -> list[int]:
+def word_features(word: str) -> set[int]:
     """Buckets of a lower-cased word: itself and its n-grams of 3 to 6 bytes."""
     w = b"<%b>" % word.encode()[:96]
     grams = {w, *(w[i:i + n] for n in range(3, 7) for i in range(len(w) - n + 1))}
-    return sorted({zlib.crc32(g) & (BUCKETS - 1) for g in grams})
+    return {zlib.crc32(g) & (BUCKETS - 1) for g in grams}
 
 
 def sentences(text: str) -> Iterator[tuple[int, int, set[str]]]:
@@ -96,7 +97,7 @@ def fit(texts: Iterable[str], labels: Iterable[int], rounds: int = ROUNDS) -> tu
             for w in sorted(words):
                 t = types.setdefault(w, len(types))
                 if t == len(ends) - 1:
-                    flat.extend(word_features(w))
+                    flat.extend(sorted(word_features(w)))
                     ends.append(len(flat))
                 token_type.append(t)
                 token_sentence.append(len(sentence_doc))
@@ -151,7 +152,8 @@ class Scorer:
     def word(self, w: str) -> float:
         s = self.cache.get(w)
         if s is None:
-            s = sum(self.weights.get(f, 0.0) for f in word_features(w))
+            weights = self.weights
+            s = math.fsum(weights[f] for f in word_features(w) if f in weights)  # in whatever order
             if len(self.cache) >= CACHE_WORDS:
                 self.cache.clear()
             self.cache[w] = s
@@ -161,7 +163,7 @@ class Scorer:
         found, z = [], []
         for a, b, words in sentences(text):
             found.append((a, b))
-            z.append(self.bias + sum(map(self.word, sorted(words))))
+            z.append(self.bias + math.fsum(map(self.word, words)))
         p = 1.0 / (1.0 + np.exp(-np.clip(np.array(z, float), -30, 30)))
         return [(a, b, s) for (a, b), s in zip(found, p.tolist())]
 
