@@ -8,8 +8,14 @@ keys are taken until the budget is full.
 A hot source is never sorted as a whole. Keys fall into ranges by a monotone map; word
 totals per (source, range) are summed first, then prefix-summed, which names the one range
 per source in which the budget ends. All ranges below are taken, all above are not, and
-only the rows of that one range (about ``RANGE_DOCS``) are sorted and taken in key order,
-each document that still fits.
+only the rows of that one range are taken in key order, each document that still fits.
+
+Weights other than 1 crowd keys into the first or the last range, so that one range may hold
+much of a source. Its rows are numbered in key order by ``ordered_rank`` and cut into steps of
+``RANGE_DOCS`` rows; step totals and running sums inside the steps give the first document
+that no longer fits. Of the documents behind it only the first ``room // size`` of each size can
+still be taken, which leaves a list bounded by the length of that one document (about
+``room * ln(room)`` entries), however many rows the range holds.
 """
 
 from __future__ import annotations
@@ -18,10 +24,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hamper.llm.common import pack, stage
+from hamper.operators.ordering import ordered_rank
 
 WEIGHTS = (5.0, 2.0, 1.0)   # of the sources in code point order, repeating
 MAX_EPOCHS = 3              # a target is at most this many times its source
-RANGE_DOCS = 128            # mean number of documents in a key range
+RANGE_DOCS = 128            # mean number of documents in a key range at weight 1; rows of a step
 SEED = 20_011
 
 
@@ -60,6 +67,50 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     return s.withColumn("target", target).drop("w", "most", "total", "capped")
 
 
+def taken_in_order(rows: DataFrame) -> DataFrame:
+    """What fits when each source's rows are taken in order ``n``, each that still fits.
+
+    ``rows``: source, n (1, 2, ...), size, room (of the source). Returns source, stop and last: taken are the
+    rows before ``stop``, the first that does not fit, and behind it those with ``n <= last[size]``
+    (when a size no longer fits, it never fits again). A source whose rows all fit is left out.
+    """
+    rows = stage(rows.withColumn("step", F.floor((F.col("n") - 1) / RANGE_DOCS)), "mix-steps")
+    same = F.col("r.source").eqNullSafe(F.col("s.source"))
+    earlier = Window.partitionBy("source").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = (rows.groupBy("source", "step").agg(F.sum("size").alias("words"), F.first("room").alias("room"))
+             .withColumn("room", F.col("room") - F.coalesce(F.sum("words").over(earlier), F.lit(0))))
+    # the one step per source in which the room ends: its rows alone are summed one by one
+    ends = steps.where("words > room").groupBy("source").agg(F.min(F.struct("step", "room")).alias("e"))
+    here = (rows.alias("r").join(F.broadcast(ends.alias("s")), same & (F.col("r.step") == F.col("s.e.step")))
+            .select("r.source", "r.n", "r.size", (F.col("s.e.room") - F.sum("r.size").over(
+                Window.partitionBy("r.source").orderBy("r.n")) + F.col("r.size")).alias("room")))
+    stops = stage(here.where("size > room").groupBy("source").agg(F.min(F.struct("n", "room")).alias("e"))
+                  .select("source", F.col("e.n").alias("stop"), F.col("e.room").alias("room")), "mix-stops")
+    behind = (rows.alias("r").join(F.broadcast(stops.alias("s")), same & (F.col("r.n") > F.col("s.stop")))
+              .where("r.size > 0 and r.size <= s.room").select("r.source", "r.n", "r.size", "r.step", "s.room"))
+    # of a size only the first room // size rows; whole steps are left out by their counts
+    sized = Window.partitionBy("source", "size").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    per_step = (behind.groupBy("source", "size", "step", "room")
+                .agg(F.sort_array(F.collect_list("n")).alias("ns"), F.count("*").alias("k"))
+                .withColumn("most", F.floor(F.col("room") / F.col("size")) - F.coalesce(F.sum("k").over(sized), F.lit(0)))
+                .where("most > 0"))
+    able = per_step.select("source", "size", F.explode(F.slice("ns", F.lit(1), F.col("most").cast("int"))).alias("n"))
+    lists = able.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("n", "size"))).alias("able"))
+    start = F.struct(F.col("room").alias("left"),
+                     F.expr("cast(array() as array<struct<size:bigint,n:bigint>>)").alias("last"))
+
+    def turn(acc: Column, x: Column) -> Column:
+        fits = x["size"] <= acc["left"]
+        last = F.concat(F.filter(acc["last"], lambda e: e["size"] != x["size"]),
+                        F.array(F.struct(x["size"].alias("size"), x["n"].alias("n"))))
+        return F.struct(F.when(fits, acc["left"] - x["size"]).otherwise(acc["left"]).alias("left"),
+                        F.when(fits, last).otherwise(acc["last"]).alias("last"))
+    found = stops.alias("s").join(lists.alias("r"), same, "left").select(
+        "s.source", "s.stop", "s.room", F.coalesce("r.able", F.expr("cast(array() as array<struct<n:bigint,size:bigint>>)")).alias("able"))
+    return stage(found.select("source", "stop", F.map_from_entries(F.aggregate("able", start, turn, lambda a: a["last"]))
+                              .alias("last")), "mix-taken")
+
+
 def mix(docs: DataFrame, size: Column, weight: Column, id_col: str = "doc_id", source_col: str = "source",
         text_hash: Column | None = None, **shares) -> DataFrame:
     """Every row of ``docs`` with how often the mix takes it.
@@ -105,23 +156,16 @@ def mix(docs: DataFrame, size: Column, weight: Column, id_col: str = "doc_id", s
                          F.coalesce("e.e.gap", F.lit(0.0)).alias("gap")), "mix-plan")
 
     placed = with_range(rows, plan)
-    whole = placed.where("at <> end_at").withColumn("extra", (F.col("at") < F.col("end_at")).cast("long"))
-    in_order = Window.partitionBy("source", "at").orderBy("key", "doc_id", "size")
-    all_sizes = F.collect_list("size").over(in_order.rowsBetween(Window.unboundedPreceding,
-                                                                 Window.unboundedFollowing))
-    cut = (placed.where("at = end_at")
-           .withColumn("n", F.row_number().over(in_order)).withColumn("sizes", all_sizes))
-    # take in key order whatever still fits; each row reads off its own turn
-    start = F.struct(F.col("gap").alias("left"), F.lit(0).alias("i"), F.lit(0).alias("mine"))
-
-    def turn(acc: Column, x: Column) -> Column:
-        fits = x <= acc["left"]
-        return F.struct(F.when(fits, acc["left"] - x).otherwise(acc["left"]).alias("left"),
-                        (acc["i"] + 1).alias("i"),
-                        F.when(acc["i"] + 1 == F.col("n"), fits.cast("int")).otherwise(acc["mine"]).alias("mine"))
-    cut = cut.withColumn("extra", F.aggregate("sizes", start, turn, lambda a: a["mine"]).cast("long"))
+    kept = ["row", "doc_id", "source", "size", "source_size", "target", "epochs"]
+    whole = placed.where("at <> end_at").select(*kept, (F.col("at") < F.col("end_at")).cast("long").alias("extra"))
+    ranked = ordered_rank(placed.where("at = end_at").select(*kept, "key", F.floor("gap").alias("room")),
+                          ["source"], ["key", "doc_id", "size"], rank_col="n")
+    taken = taken_in_order(ranked.select("source", "n", "size", "room"))
+    extra = (F.col("c.n") < F.col("t.stop")) | (F.col("c.n") <= F.coalesce(F.col("t.last")[F.col("c.size")], F.lit(0)))
+    cut = (ranked.alias("c").join(taken.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source")), "left")
+           .select(*(f"c.{c}" for c in kept), F.coalesce(extra, F.lit(True)).cast("long").alias("extra")))
     copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("extra")).otherwise(0).cast("int")
-    return (whole.unionByName(cut.drop("n", "sizes"))
+    return (whole.unionByName(cut)
             .select("row", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
                     (copies * F.col("size")).cast("long").alias("taken")))
 

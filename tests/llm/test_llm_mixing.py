@@ -2,7 +2,7 @@
 
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +109,46 @@ def test_quality_weight(spark):
     rows = [("plain words",), ("a#b$%%",), ("",), (None,)]
     got = [r[0] for r in spark.createDataFrame(rows, "text string").select(X.quality_weight(F.col("text"))).collect()]
     assert got[0] == 1.0 and got[1] == pytest.approx(0.1) and got[2:] == [1.0, 1.0]
+
+
+@pytest.mark.parametrize("weight", [0.1, 200.0])
+def test_crowded_end_range(spark, weight):
+    """One source of equal weights far from 1: its budget ends in a range that holds much of the
+    source (weight 0.1: the last; 200: the first). The same rows as by brute force, and no list of
+    the whole range."""
+    rng = random.Random(5)
+    rows = [(i, "b", rng.choice([0, 1, 2, 7, 60, 300, rng.randint(1, 900)]), weight, 1, "k") for i in range(20_000)]
+    rows += [(i, "a", 40_000, 1.0, 1, "k") for i in range(20_000, 20_090)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    keyed = df.select("doc_id", "source", F.col("words").alias("size"),
+                      X.exponential_key(F.col("doc_id"), F.lit(0), F.col("weight")).alias("k")).collect()
+    copies, goal, sizes = brute([tuple(r) for r in keyed])
+    ranges = 20_000 // X.RANGE_DOCS
+    held = Counter(min(ranges - 1, math.floor((1 - math.exp(-r.k)) * ranges)) for r in keyed if r.source == "b")
+    assert max(held.values()) > 5_000
+    mixed = X.mix(df, F.col("words"), F.col("weight"))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    got = mixed.collect()
+    assert sorted((r.doc_id, r.copies) for r in got) == sorted((r.doc_id, c) for r, c in zip(keyed, copies))
+    assert 0 < sum(r.copies for r in got if r.source == "b")
+    taken = sum(r.taken for r in got if r.source == "b")
+    assert 0 <= goal["b"] - taken < 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_taken_in_order_matches_the_plain_loop(spark, seed):
+    rng = random.Random(seed)
+    rows, expected = [], set()
+    for source, n, most in [("a", 1500, 900), ("b", 700, 5), (None, 300, 3000), ("c", 5, 3)]:
+        sizes = [rng.choice([0, 1, rng.randint(1, most), most]) for _ in range(n)]
+        room = left = rng.randint(0, sum(sizes) + 1) if source != "c" else sum(sizes)
+        for i, s in enumerate(sizes, 1):
+            rows.append((source, i, s, room))
+            if s <= left:
+                left -= s
+                expected.add((source, i))
+    found = {r.source: r for r in X.taken_in_order(spark.createDataFrame(rows, "source string, n long, size long, room long")).collect()}
+    got = {(s, n) for s, n, size, _ in rows if s not in found or n < found[s].stop or n <= found[s].last.get(size, 0)
+           or size == 0}
+    assert got == expected
