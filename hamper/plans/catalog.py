@@ -421,10 +421,15 @@ def q_truth_pairs(spark, d):
 
 
 def q_cooccurrence_supp(spark, d):
-    """Pairs in baskets of hundreds of items, none left out."""
+    """Pairs seen 18 times or more in baskets of hundreds of items; no basket is left out."""
     return cooccurrence(B.supp(spark, d), max_size=None, min_count=18)
 
 
+def q_cooccurrence_supp_all(spark, d):
+    """Pairs in baskets of hundreds of items, no basket left out, under the operator's own threshold."""
+    return cooccurrence(B.supp(spark, d), max_size=None)
+
+
 def q_excluded_baskets(spark, d):
     return excluded_baskets(B.mix_items(spark, d))
 
@@ -522,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "stage_tables": q_stage_tables,
     "truth_pairs": q_truth_pairs,
     "cooccurrence_supp": q_cooccurrence_supp,
+    "cooccurrence_supp_all": q_cooccurrence_supp_all,
     "excluded_baskets": q_excluded_baskets,
     "file_sample": q_file_sample,
     "file_inventory": q_file_inventory,

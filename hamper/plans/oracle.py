@@ -351,6 +351,12 @@ ORACLE: dict[str, str] = {
         SELECT a.item AS item1, b.item AS item2, CAST(sum(a.n * b.n) AS BIGINT) AS cooccur_count
         FROM folded a JOIN folded b ON a.basket = b.basket AND a.item < b.item
         WHERE a.basket IN (SELECT basket FROM kept) GROUP BY a.item, b.item HAVING sum(a.n * b.n) >= 18"""),
+    "cooccurrence_supp_all": _with(SUPP + """,
+        folded AS (SELECT basket, item, count(*) AS n FROM supp GROUP BY basket, item),
+        kept AS (SELECT basket FROM supp GROUP BY basket HAVING count(item) >= 5)""", """
+        SELECT a.item AS item1, b.item AS item2, CAST(sum(a.n * b.n) AS BIGINT) AS cooccur_count
+        FROM folded a JOIN folded b ON a.basket = b.basket AND a.item < b.item
+        WHERE a.basket IN (SELECT basket FROM kept) GROUP BY a.item, b.item HAVING sum(a.n * b.n) >= 3"""),
     "excluded_baskets": _with(MIX, """
         SELECT count(*) FILTER (WHERE basket_size < 5) AS small_baskets,
                CAST(coalesce(sum(basket_size) FILTER (WHERE basket_size < 5), 0) AS BIGINT) AS small_rows,

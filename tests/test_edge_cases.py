@@ -250,3 +250,20 @@ def test_damaged_primary_is_an_error(spark, tmp_dir):
     with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
         read_with_fallback(spark, os.path.join(tmp_dir, "empty"), os.path.join(tmp_dir, "train"))
     assert read_with_fallback(spark, None, os.path.join(tmp_dir, "train"))[1] == "fallback"
+
+
+def test_cooccurrence_supp_all_keeps_pairs_from_the_own_threshold_on(spark, tmp_dir):
+    """The registered query on large baskets returns pairs seen 3 to 17 times too."""
+    from collections import Counter
+    from itertools import combinations
+
+    from hamper.plans.catalog import QUERIES
+    baskets = {s: [p for p in range(260) if s == 0 or p % (s + 1) == 0] for s in range(8)}
+    rows = [(i, p, s, i % 4) for s, items in baskets.items() for i, p in enumerate(items)]
+    (spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int")
+     .selectExpr("*", "timestamp_seconds(l_orderkey) AS l_shipdate").write.parquet(f"{tmp_dir}/lineitem.parquet"))
+    seen = Counter(p for items in baskets.values() for p in combinations(items, 2))
+    expected = {p: n for p, n in seen.items() if n >= 3}
+    assert expected and max(expected.values()) < 18
+    got = {(r.item1, r.item2): r.cooccur_count for r in QUERIES["cooccurrence_supp_all"](spark, tmp_dir).collect()}
+    assert got == expected
