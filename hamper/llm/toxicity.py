@@ -8,7 +8,8 @@ themselves, then locate the offending sentences.
 
 A word's score is the sum of the weights of its hashed character n-grams (with word ends)
 and of the word itself, so unseen forms of a known stem score too, and a word is scored
-once and kept in a bounded cache. Only features whose document counts tell the classes apart
+once and kept in a bounded cache. Letter runs of any length count whole (scripts without spaces
+make long ones); those above ``LONG_BYTES`` go by pieces and are not cached. Only features whose document counts tell the classes apart
 (log-likelihood ratio of at least ``EVIDENCE``) get a weight, which keeps the chance
 n-grams of long texts out of the sums.
 
@@ -39,17 +40,32 @@ PENALTY = 1e-5
 THRESHOLD = 0.3
 SENTENCE_WORDS = 48         # longer runs without a sentence end are cut there
 CACHE_WORDS = 400_000
+LONG_BYTES = 96             # longer words (letter runs of scripts without spaces) are taken a piece at a time
+PIECE_BYTES = 1 << 16       # and their features are not kept
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def word_features(word: str) -> set[int]:
     """Buckets of a lower-cased word: itself and its n-grams of 3 to 6 bytes."""
-    w = b"<%b>" % word.encode()[:96]
+    w = b"<%b>" % word.encode()
     grams = {w, *(w[i:i + n] for n in range(3, 7) for i in range(len(w) - n + 1))}
     return {zlib.crc32(g) & (BUCKETS - 1) for g in grams}
 
 
+def is_long(word: str) -> bool:
+    return len(word) > LONG_BYTES // 4 and len(word.encode()) > LONG_BYTES
+
+
+def long_word_features(word: str) -> Iterator[set[int]]:
+    """The same buckets of the whole word, by pieces of ``PIECE_BYTES`` (one may come again in a later piece)."""
+    w = b"<%b>" % word.encode()
+    yield {zlib.crc32(w) & (BUCKETS - 1)}
+    for at in range(0, len(w), PIECE_BYTES):
+        part = w[at:at + PIECE_BYTES + 5]   # n-grams that begin in the piece end at most 5 bytes behind it
+        yield {zlib.crc32(part[i:i + n]) & (BUCKETS - 1) for n in range(3, 7) for i in range(len(part) - n + 1)}
+
+
 def sentences(text: str) -> Iterator[tuple[int, int, set[str]]]:
     """(start, end, distinct words) of each sentence that has words."""
     for m in SENTENCE.finditer(text):
@@ -93,18 +109,24 @@ def fit(texts: Iterable[str], labels: Iterable[int], rounds: int = ROUNDS) -> tu
             continue
         copies.add((hash(text), label))
         seen: set[int] = set()
+        long_words: set[str] = set()
         for _, _, words in sentences(text):
             for w in sorted(words):
                 t = types.setdefault(w, len(types))
                 if t == len(ends) - 1:
-                    flat.extend(sorted(word_features(w)))
+                    if not is_long(w):
+                        flat.extend(sorted(word_features(w)))
                     ends.append(len(flat))
                 token_type.append(t)
                 token_sentence.append(len(sentence_doc))
                 seen.add(t)
+                if is_long(w):
+                    long_words.add(w)
             sentence_doc.append(len(y))
         if seen:
-            seen_in[label][np.unique(np.concatenate([flat[ends[t]:ends[t + 1]] for t in seen]))] += 1
+            parts = [flat[ends[t]:ends[t + 1]] for t in seen]
+            parts.extend(np.fromiter(f, np.int32, len(f)) for w in long_words for f in long_word_features(w))
+            seen_in[label][np.unique(np.concatenate(parts))] += 1
         y.append(label)
     target = np.array(y, float)
     none = np.zeros(0, np.int32), np.zeros(0)
@@ -115,9 +137,14 @@ def fit(texts: Iterable[str], labels: Iterable[int], rounds: int = ROUNDS) -> tu
     n_types = len(types)
     place = np.full(BUCKETS, -1, np.int32)     # of a feature among the chosen
     place[chosen] = np.arange(len(chosen))
-    at = place[np.frombuffer(flat, np.int32)]
+    at = place[np.frombuffer(flat, np.int32) if flat else none[0]]
     owner = np.repeat(np.arange(n_types, dtype=np.int32), np.diff(np.frombuffer(ends, np.int64)))[at >= 0]
     at = at[at >= 0]
+    for w, t in types.items():   # long words: only their chosen features are held
+        if is_long(w):
+            own = {b for f in long_word_features(w) for b in place[np.fromiter(f, np.int32, len(f))].tolist() if b >= 0}
+            at = np.concatenate([at, np.array(sorted(own), np.int32)])
+            owner = np.concatenate([owner, np.full(len(own), t, np.int32)])
     del place, flat
     kind, sent, doc = (np.frombuffer(x, np.int32) for x in (token_type, token_sentence, sentence_doc))
     telling = np.zeros(n_types, bool)
@@ -150,6 +177,8 @@ class Scorer:
         self.weights, self.bias, self.cache = dict(zip(features.tolist(), weights.tolist())), bias, {}
 
     def word(self, w: str) -> float:
+        if is_long(w):   # scored whole, not cached
+            return math.fsum(self.weights[f] for f in {f for part in long_word_features(w) for f in part if f in self.weights})
         s = self.cache.get(w)
         if s is None:
             weights = self.weights

@@ -82,3 +82,28 @@ def test_no_labels_or_one_class(spark):
 def test_copies_are_no_evidence():
     f, w, b = X.fit(["rare stone here"] * 50 + ["house there"] * 50, [1] * 50 + [0] * 50)
     assert len(f) == 0
+
+
+def test_long_letter_runs_count_whole(spark, model):
+    """A toxic stem behind a glued run of letters, in Latin letters and in three-byte ones."""
+    rows = [(1, "x" * 100 + "zorkelabcd"), (2, "\u0e01" * 100 + "zorkelabcd" + "\u0e02" * 100_000), (3, "x" * 100),
+            (4, "\u0e01" * 300_000)]
+    got = {r.doc_id: r for r in X.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got[1].score >= X.THRESHOLD and got[2].score >= X.THRESHOLD
+    assert got[3].score < X.THRESHOLD and got[4].score < X.THRESHOLD
+
+
+def test_pieces_of_a_long_word_give_all_its_features(monkeypatch):
+    word = "".join(random.Random(4).choice("abcde\u0e01\u0e02") for _ in range(5000))
+    for size in (1, 7, 1000, 1 << 16):
+        monkeypatch.setattr(X, "PIECE_BYTES", size)
+        assert set().union(*X.long_word_features(word)) == X.word_features(word)
+
+
+def test_fitting_reads_long_runs_whole():
+    run = "\u0e01\u0e02\u0e03" * 40
+    rng = random.Random(6)
+    tail = lambda: "".join(rng.choice("\u0e04\u0e05\u0e06\u0e07") for _ in range(12))
+    texts = [run + tail() + "zorkel" + tail() for _ in range(200)] + [run + tail() + tail() for _ in range(200)]
+    scorer = X.Scorer(*X.fit(texts, [1] * 200 + [0] * 200, rounds=200))
+    assert scorer(run + tail() + "zorkel" + tail())[0] > 0.5 > scorer(run + tail() + tail())[0]
