@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hamper.llm import bagminhash, exact_dedup, licenses, mixing, rans, spm, token_rollup, topk, toxicity, url_filter
+from hamper.llm import (bagminhash, exact_dedup, licenses, mixing, rans, spm, substrings, token_rollup, topk, toxicity,
+                        url_filter)
 from hamper.llm.common import shared_dir, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +182,25 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids (number and crc32) and whether decoding them gives back its text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spm.check_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+# ---------------------------------------------------------------- 13 substring dedup
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed",
+                                                  F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op13_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+gone AS (SELECT DISTINCT doc_id, i + k AS i
+         FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS low FROM win), range(13) AS r(k)
+         WHERE low < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+"""
