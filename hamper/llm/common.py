@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,27 @@ def delete_dir(spark: SparkSession, path: str) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))
+
+
+def pack_gaps(values: np.ndarray) -> bytes:
+    """Sorted unsigned numbers as gaps of seven bits a byte, the last byte of a gap above 127."""
+    gaps = np.diff(values, prepend=np.uint64(0)).astype(np.uint64)
+    size = np.ones(len(gaps), np.int64)
+    for k in range(1, 10):
+        size += gaps >= np.uint64(1 << (7 * k))
+    at = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    for k in range(int(size.max()) if len(size) else 0):
+        has = size > k
+        out[at[has] + k] = ((gaps[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8)
+    out[at + size - 1] |= 128
+    return out.tobytes()
+
+
+def unpack_gaps(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    if not len(raw):
+        return np.zeros(0, np.uint64)
+    at = np.r_[0, np.flatnonzero(raw >= 128)[:-1] + 1]
+    place = np.arange(len(raw)) - np.repeat(at, np.diff(np.r_[at, len(raw)]))
+    return np.add.accumulate(np.add.reduceat((raw & 127).astype(np.uint64) << (place * 7).astype(np.uint64), at))

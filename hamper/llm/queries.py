@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hamper.llm import (bagminhash, exact_dedup, licenses, mixing, rans, spm, substrings, token_rollup, topk, toxicity,
-                        url_filter)
+from hamper.llm import (alignment, bagminhash, exact_dedup, licenses, mixing, prefix_trie, rans, spm, substrings, token_rollup, topk,
+                        toxicity, url_filter)
 from hamper.llm.common import shared_dir, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,6 +184,56 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.check_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+# ---------------------------------------------------------------- 11 conversation prefix trie
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    nodes = prefix_trie.conversation_trie(
+        table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"),
+        base=conv - conv % 5, head=F.crc32(conv.cast("string").cast("binary")) % 9)
+    return nodes.drop("node")
+
+
+ORACLE["op11_prefix_trie"] = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, step) AS pos, step, bytes
+  FROM (SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS bytes,
+               sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS step
+        FROM conversations WHERE conv_id IS NOT NULL)),
+-- crc32 of the decimal number, a bit a round
+crc(c, s, k, x) AS (
+  SELECT c, CAST(c AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM (SELECT DISTINCT c FROM t)
+  UNION ALL
+  SELECT c, s, k + 1, xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384 ELSE 0 END)
+  FROM (SELECT *, CASE WHEN k % 8 = 0 THEN xor(x, ascii(s[k // 8 + 1])) ELSE x END AS y FROM crc WHERE k < 8 * length(s))),
+h AS (SELECT c, c - c % 5 AS base, xor(x, 4294967295) % 9 AS h FROM crc WHERE k = 8 * length(s)),
+r AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS d, step, bytes
+      FROM (SELECT h.c, false AS own, pos, step, bytes FROM h JOIN t ON t.c = base AND pos <= h
+            UNION ALL SELECT h.c, true, pos, step, bytes FROM h JOIN t ON t.c = h.c AND pos > h)),
+p AS (SELECT c, d, bytes, sha256(string_agg(step, '' ORDER BY d) OVER (PARTITION BY c ORDER BY d)) AS node,
+             d = max(d) OVER (PARTITION BY c) AS last FROM r),
+paths AS (SELECT c, d, bytes, node, lag(node, 1, '') OVER (PARTITION BY c ORDER BY d) AS up, last FROM p
+          UNION ALL SELECT c, 0, 0, '', NULL, c NOT IN (SELECT c FROM p) FROM h),
+nodes AS (SELECT node, any_value(d) AS depth, any_value(up) AS up, any_value(bytes) AS bytes, min(c) AS rep, count(*) AS n,
+                 count(*) FILTER (last) AS ending, coalesce(string_agg(c, ',' ORDER BY c) FILTER (last), '') AS ends
+          FROM paths GROUP BY node),
+kids AS (SELECT up, count(*) AS k FROM nodes WHERE up IS NOT NULL GROUP BY up),
+sums AS (SELECT a.node, count(*) FILTER (u.n = u.ending) AS leaves, sum((u.n - 1) * u.bytes) AS saved
+         FROM nodes u JOIN paths a ON a.c = u.rep AND a.d <= u.depth GROUP BY a.node)
+SELECT x.rep AS conv_id, x.depth, y.rep AS parent_conv_id, x.n AS n_convs, coalesce(k, 0) AS n_children, leaves AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM nodes x JOIN sums USING (node) LEFT JOIN nodes y ON y.node = x.up LEFT JOIN kids ON kids.up = x.node
+"""
+
+
+# ---------------------------------------------------------------- 12 cross-tokenizer alignment
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.linked_documents(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
 # ---------------------------------------------------------------- 13 substring dedup
 @query
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hamper.llm.common import shared_dir, stage
+from hamper.llm.common import pack_gaps, shared_dir, stage, unpack_gaps
 
 WINDOW = 13
 DEPTH = 3                  # rows of counters of a merged sketch
@@ -117,30 +117,6 @@ def _block_hashes(ids: list, texts: list[bytes], window: int) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- sketches
-def pack_gaps(values: np.ndarray) -> bytes:
-    """Sorted unsigned numbers as gaps of seven bits a byte, the last byte of a gap above 127."""
-    gaps = np.diff(values, prepend=U(0)).astype(np.uint64)
-    size = np.ones(len(gaps), np.int64)
-    for k in range(1, 10):
-        size += gaps >= U(1 << (7 * k))
-    at = np.cumsum(size) - size
-    out = np.zeros(int(size.sum()), np.uint8)
-    for k in range(int(size.max()) if len(size) else 0):
-        has = size > k
-        out[at[has] + k] = ((gaps[has] >> U(7 * k)) & U(127)).astype(np.uint8)
-    out[at + size - 1] |= 128
-    return out.tobytes()
-
-
-def unpack_gaps(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.uint64)
-    at = np.r_[0, np.flatnonzero(raw >= 128)[:-1] + 1]
-    place = np.arange(len(raw)) - np.repeat(at, np.diff(np.r_[at, len(raw)]))
-    return np.add.accumulate(np.add.reduceat((raw & 127).astype(np.uint64) << (place * 7).astype(np.uint64), at))
-
-
 def estimates(cells: np.ndarray, counts: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     """Count-min estimate of each entry of the added sketches: at least the sum of the counts
     given for its cell."""
