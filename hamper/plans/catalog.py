@@ -380,19 +380,22 @@ def q_file_inventory(spark, d):
 
 
 def q_ingest_increment(spark, d):
-    """Two deliveries, one of them with a damaged file, then a run that finds nothing new."""
-    from hamper.streaming.ingest import ingest_increment
-    src, dst, ck = (scratch_dir(spark, n) for n in ("ingest-src", "ingest-dst", "ingest-ck"))
+    """Two sources with a checkpoint each into one target, the second holding a damaged file; then
+    the first source once more under a third checkpoint, as after losing the first: it reads all
+    files again and finds nothing new. The baskets are counted in the target itself, too."""
+    from hamper.streaming.ingest import ingest_increment, read_ingested
+    src, ck = ([scratch_dir(spark, f"ingest-{n}-{i}") for i in range(3)] for n in ("src", "ck"))
+    dst = scratch_dir(spark, "ingest-dst")
     docs = _documents(B.order(spark, d))
     for part in (0, 1):
-        docs.where(F.col("_d") % 2 == part).repartition(4, "_d").select("value") \
-            .write.mode("append").text(src)
+        docs.where(F.col("_d") % 2 == part).repartition(4, "_d").select("value").write.text(src[part])
         if part:
             damaged = B.order(spark, d).agg(F.concat(F.lit("{ damaged "), F.count(F.lit(1)).cast("string")).alias("value"))
-            damaged.coalesce(1).write.mode("append").text(src)
-        ingest_increment(spark, src, dst, ck, pattern="part-*", multiline=False, max_files=3)
-    last = ingest_increment(spark, src, dst, ck, pattern="part-*", multiline=False)
-    return last.select("baskets", "interactions", "failed", "new_files", "new_baskets", "batches")
+            damaged.coalesce(1).write.mode("append").text(src[part])
+        ingest_increment(spark, src[part], dst, ck[part], pattern="part-*", multiline=False, max_files=3)
+    last = ingest_increment(spark, src[0], dst, ck[2], pattern="part-*", multiline=False)
+    held = read_ingested(spark, dst).select(F.explode("tracks")).select(F.count(F.lit(1)))
+    return last.select("baskets", "interactions", "failed", "new_files", "new_baskets", held.scalar().alias("held"))
 
 
 def q_stage_tables(spark, d):
@@ -421,12 +424,12 @@ def q_truth_pairs(spark, d):
 
 
 def q_cooccurrence_supp(spark, d):
-    """Pairs seen 18 times or more in baskets of hundreds of items; no basket is left out."""
-    return cooccurrence(B.supp(spark, d), max_size=None, min_count=18)
+    """Pairs in baskets of hundreds of items, no basket left out, each basket counted once a pair."""
+    return cooccurrence(B.supp(spark, d), max_size=None, dedupe=True)
 
 
 def q_cooccurrence_supp_all(spark, d):
-    """Pairs in baskets of hundreds of items, no basket left out, under the operator's own threshold."""
+    """Pairs in baskets of hundreds of items, no basket left out, each copy of an item counted."""
     return cooccurrence(B.supp(spark, d), max_size=None)
 
 

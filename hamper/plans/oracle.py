@@ -337,7 +337,7 @@ ORACLE: dict[str, str] = {
         FROM orders GROUP BY o_orderpriority""",
     "ingest_increment": _with(ORDER, """
         SELECT count(DISTINCT basket) AS baskets, count(*) AS interactions, CAST(1 AS BIGINT) AS failed,
-               CAST(0 AS BIGINT) AS new_files, CAST(0 AS BIGINT) AS new_baskets, CAST(0 AS BIGINT) AS batches
+               CAST(0 AS BIGINT) AS new_files, CAST(0 AS BIGINT) AS new_baskets, count(*) AS held
         FROM ord"""),
     "stage_tables": _with(SPLIT, """
         SELECT 'once' AS stage, count(*) AS rows, CAST(sum(item) AS BIGINT) AS items FROM train
@@ -346,11 +346,11 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'part 1', count(*), CAST(sum(item) AS BIGINT) FROM train WHERE basket % 3 = 1"""),
     "truth_pairs": _with(RECS, "SELECT basket, item FROM truth WHERE basket IN (SELECT basket FROM recs)"),
     "cooccurrence_supp": _with(SUPP + """,
-        folded AS (SELECT basket, item, count(*) AS n FROM supp GROUP BY basket, item),
+        folded AS (SELECT DISTINCT basket, item FROM supp),
         kept AS (SELECT basket FROM supp GROUP BY basket HAVING count(item) >= 5)""", """
-        SELECT a.item AS item1, b.item AS item2, CAST(sum(a.n * b.n) AS BIGINT) AS cooccur_count
+        SELECT a.item AS item1, b.item AS item2, count(*) AS cooccur_count
         FROM folded a JOIN folded b ON a.basket = b.basket AND a.item < b.item
-        WHERE a.basket IN (SELECT basket FROM kept) GROUP BY a.item, b.item HAVING sum(a.n * b.n) >= 18"""),
+        WHERE a.basket IN (SELECT basket FROM kept) GROUP BY a.item, b.item HAVING count(*) >= 3"""),
     "cooccurrence_supp_all": _with(SUPP + """,
         folded AS (SELECT basket, item, count(*) AS n FROM supp GROUP BY basket, item),
         kept AS (SELECT basket FROM supp GROUP BY basket HAVING count(item) >= 5)""", """

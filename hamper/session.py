@@ -74,8 +74,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch folder. Call it once the results that were built on
     stored rows have been written; frames that still read them fail afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_dir(spark, _scratch_root(spark))
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder of stored rows through Spark's own file system layer."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
