@@ -15,6 +15,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+MAX_BUCKETS = 100_000  # Spark's own limit for a bucketed table
+
 
 def local_session(cores: int | str = "*", app: str = "hamper", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -74,6 +76,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch folder. Call it once the results that were built on
     stored rows have been written; frames that still read them fail afterwards."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     drop_dir(spark, _scratch_root(spark))
 
 
@@ -92,3 +96,30 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession, "rows")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_TABLES: list[str] = []  # bucketed tables of this session, until drop_scratch
+
+
+def materialize_bucketed(df: DataFrame, column: str, buckets: int | None = None, compression: str = "snappy") -> DataFrame:
+    """Store ``df`` as ``materialize`` does, bucketed by ``column``: windows, aggregates, joins and
+    cogroups that cluster by the column (and others) read it back without a shuffle. The
+    number of buckets defaults to the session's shuffle partitions."""
+    spark = df.sparkSession
+    buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200")), MAX_BUCKETS)
+    name = f"hamper_rows_{uuid.uuid4().hex}"
+    (df.write.format("parquet").option("path", scratch_dir(spark, "buckets")).option("compression", compression)
+     .bucketBy(buckets, column).saveAsTable(name))
+    _TABLES.append(name)
+    return spark.table(name)
+
+
+def is_plain_read(df: DataFrame) -> bool:
+    """Whether ``df`` only picks columns and rows from files, so that reading it twice gives the same
+    rows and costs less than storing them first."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.nodeName().startswith("LogicalRelation")

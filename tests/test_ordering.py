@@ -136,3 +136,46 @@ def test_random_groups_property(spark, sizes, hot, parts, batch):
         for r, (o, i) in enumerate(sorted(members), start=1):
             expected[(g, i)] = (r, len(members))
     assert res == expected
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("size", [None, "size"])
+def test_rows_are_shuffled_once(spark, size):
+    """The stored rows are read back by their buckets: the windows over (partition, group) need no
+    exchange. The one shuffle is the range partitioning before the rows were stored."""
+    plan = _plan(ordered_rank(_data(spark), ["g"], ["o", "id"], size_col=size))
+    rows = plan.split("BroadcastExchange")[0]
+    assert "Exchange" not in rows and "Bucketed: true" in rows and rows.count("Window") == (2 if size else 1)
+    assert rows.count("Sort") == 1
+
+
+def test_plain_reads_are_not_stored_first(spark, tmp_dir):
+    from hamper import session
+
+    _data(spark).write.parquet(tmp_dir + "/t")
+    files = spark.read.parquet(tmp_dir + "/t")
+    assert session.is_plain_read(files.where("o > 3").select("g", (F.col("o") + 1).alias("o")))
+    assert not session.is_plain_read(files.where(F.rand() < 0.5))
+    assert not session.is_plain_read(files.join(files.select("id"), "id")) and not session.is_plain_read(files.distinct())
+    assert not session.is_plain_read(_data(spark))
+    got = ordered_rank(files, ["g"], ["o", "id"], size_col="size", num_partitions=3)
+    assert _same(got, _window(files))
+
+
+def test_columns_with_dots_and_backticks(spark):
+    df = spark.createDataFrame([(i % 3, i, "x") for i in range(30)], "`a.b` long, `o``c` long, `d.e` string")
+    got = ordered_rank(df, ["a.b"], ["o`c"], size_col="n", num_partitions=4).collect()
+    assert sorted((r["a.b"], r["o`c"], r["rank"], r["n"]) for r in got) == [(i % 3, i, i // 3 + 1, 10) for i in sorted(
+        range(30), key=lambda i: (i % 3, i))]
+
+
+def test_scratch_tables_go_with_the_scratch(spark):
+    from hamper import session
+
+    ordered_rank(_data(spark, 50), ["g"], ["o", "id"]).count()
+    assert any(t.name.startswith("hamper_rows_") for t in spark.catalog.listTables())
+    session.drop_scratch(spark)
+    assert not any(t.name.startswith("hamper_rows_") for t in spark.catalog.listTables())
