@@ -8,14 +8,19 @@ and only for a local master (tests, bench) when the cluster named none.
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 MAX_BUCKETS = 100_000  # Spark's own limit for a bucketed table
+_TABLES: dict[str, str] = {}       # bucketed tables by their folder, until it is dropped
+_RECORDS: list[list[str]] = []     # where new scratch folders are noted
 
 
 def local_session(cores: int | str = "*", app: str = "hamper", shuffle_partitions: int | None = None,
@@ -70,14 +75,39 @@ def _scratch_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's checkpoint folder (shared on a cluster)."""
-    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    for folders in _RECORDS:
+        folders.append(path)
+    return path
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The scratch folders that are made inside the ``with`` block, for ``drop_folders``."""
+    folders: list[str] = []
+    _RECORDS.append(folders)
+    try:
+        yield folders
+    finally:
+        _RECORDS.remove(folders)
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete these scratch folders (and the bucketed tables in them), and let Spark's cleaner delete the
+    shuffles that no frame refers to any more. Frames that read the folders fail afterwards."""
+    for path in folders:
+        if path in _TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop(path)}")
+        drop_dir(spark, path)
+    gc.collect()             # frames that are gone let go of their plans
+    spark._jvm.System.gc()   # which the cleaner learns from a collection on the driver
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch folder. Call it once the results that were built on
     stored rows have been written; frames that still read them fail afterwards."""
     while _TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.popitem()[1]}")
     drop_dir(spark, _scratch_root(spark))
 
 
@@ -98,19 +128,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_TABLES: list[str] = []  # bucketed tables of this session, until drop_scratch
-
-
 def materialize_bucketed(df: DataFrame, column: str, buckets: int | None = None, compression: str = "snappy") -> DataFrame:
     """Store ``df`` as ``materialize`` does, bucketed by ``column``: windows, aggregates, joins and
     cogroups that cluster by the column (and others) read it back without a shuffle. The
     number of buckets defaults to the session's shuffle partitions."""
     spark = df.sparkSession
     buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200")), MAX_BUCKETS)
-    name = f"hamper_rows_{uuid.uuid4().hex}"
-    (df.write.format("parquet").option("path", scratch_dir(spark, "buckets")).option("compression", compression)
+    name, path = f"hamper_rows_{uuid.uuid4().hex}", scratch_dir(spark, "buckets")
+    (df.write.format("parquet").option("path", path).option("compression", compression)
      .bucketBy(buckets, column).saveAsTable(name))
-    _TABLES.append(name)
+    _TABLES[path] = name
     return spark.table(name)
 
 
