@@ -371,12 +371,20 @@ ORACLE: dict[str, str] = {
         known AS (SELECT t.basket, count(DISTINCT s.item) AS m FROM (SELECT DISTINCT basket FROM test) t
                   JOIN train s USING (basket) GROUP BY t.basket),
         n AS (SELECT count(DISTINCT item) AS items FROM train)""", """
-        SELECT CAST(k AS INTEGER) AS k, true AS in_bounds, (SELECT count(DISTINCT basket) FROM test) AS baskets,
+        SELECT CAST(k AS INTEGER) AS k, true AS in_bounds, true AS fitted, (SELECT count(DISTINCT basket) FROM test) AS baskets,
                (SELECT count(*) FROM known, n WHERE m < items) AS baskets_with_recs,
                (SELECT count(*) FROM (SELECT DISTINCT basket, item FROM test)) AS held_out,
                (SELECT CAST(sum(least(100, items - m)) AS BIGINT) FROM known, n) AS listed,
                CAST(0 AS BIGINT) AS seen_listed
         FROM (SELECT unnest([10, 20, 50, 100]) AS k)"""),
+    "als_fit": _with(SPLIT, """
+        SELECT count(*) AS ratings, true AS falls, true AS fitted, true AS penalised,
+               floor(sum(1 + greatest(1.0::DOUBLE, 5.0::DOUBLE - ln(position + 1))) * 1e3 + 0.5) / 1e3 AS null_loss
+        FROM train"""),
+    "als_search": _with(SPLIT, """
+        SELECT count(DISTINCT t.basket) AS baskets, any_value(n) AS items, count(DISTINCT t.basket) * any_value(n) AS pairs,
+               true AS within, true AS first_block
+        FROM (SELECT DISTINCT basket FROM test) t JOIN train USING (basket), (SELECT count(DISTINCT item) AS n FROM train)"""),
     "run_metadata": _with(SPLIT + """,
         capped AS (SELECT basket FROM train GROUP BY basket HAVING count(item) BETWEEN 5 AND 200),
         kept AS (SELECT basket, item FROM train WHERE basket IN (SELECT basket FROM capped)),

@@ -58,3 +58,112 @@ def test_over_fetch_leaves_full_lists(spark):
     short = left.join(held, "basket_idx").where(F.col("count") < F.least(F.lit(60), F.lit(n_items) - F.col("m")))
     assert left.count() > 100 and short.count() == 0
     assert A.over_fetch(model, test.limit(0), seen, k=60).count() == 0
+
+
+def _factors(spark, n_users, n_items, rank=6, spread=4.0, seed=5):
+    """A stand-in model: factors whose norms fall off, as those of rare items do."""
+    import numpy as np
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n_users, rank)).astype(np.float32)
+    y = (rng.normal(size=(n_items, rank)) * np.exp(-spread * rng.random(n_items))[:, None]).astype(np.float32)
+    y[3] = y[7]                                            # a tie everywhere
+    frame = lambda m: spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(m)], "id int, features array<float>")
+    return SimpleNamespace(userFactors=frame(x), itemFactors=frame(y)), x, y
+
+
+def test_search_equals_all_pairs_and_skips_most(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    model, x, y = _factors(spark, 150, 900)
+    need = spark.range(150).select(F.col("id").alias("basket_idx"), (F.col("id") % 7 * 5 + 1).alias("_need"))
+    need = need.unionByName(spark.createDataFrame([(149, 900)], "basket_idx long, _need long").where("false"))
+    known = model.userFactors.select(F.col("id").alias("user"), "features").join(
+        need.select(F.col("basket_idx").cast("int").alias("user"), F.col("_need").cast("int").alias("need")), "user")
+    items = model.itemFactors.select(F.col("id").alias("item"), "features")
+    search = A.FactorSearch(known, items, item_block=50, user_block=16)
+    got = {}
+    for r in search.lists("u", "i", "s").collect():
+        got.setdefault(r.u, []).append((-r.s, r.i))
+    scores = x @ y.T
+    for u in range(150):
+        k = u % 7 * 5 + 1
+        expected = sorted(range(900), key=lambda i: (-scores[u, i], i))[:k]
+        assert np.allclose([scores[u, i] for _, i in sorted(got[u])], scores[u, expected], rtol=1e-4, atol=1e-6)
+        assert {i for _, i in got[u]} == set(expected)
+    work = search.work().first()
+    assert (work.baskets, work.items, work.pairs) == (150, 900, 135_000)
+    assert 150 * 50 <= work.scored < 0.5 * work.pairs       # more than half of all pairs were never scored
+    plan = search.lists("u", "i", "s")._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_search_with_lists_longer_than_a_block_or_the_catalogue(spark):
+    from pyspark.sql import functions as F
+
+    model, x, y = _factors(spark, 5, 60)
+    lists = A.als_candidates(model, spark.range(9).select(F.col("id").alias("basket_idx")), k=500)
+    assert {r.basket_idx: r["count"] for r in lists.groupBy("basket_idx").count().collect()} == dict.fromkeys(range(5), 60)
+    users = model.userFactors.select(F.col("id").alias("user"), "features", F.lit(25).alias("need"))
+    items = model.itemFactors.select(F.col("id").alias("item"), "features")
+    search = A.FactorSearch(users, items, item_block=8, user_block=2)
+    got = {(r.u, r.i) for r in search.lists("u", "i", "s").collect()}
+    scores = x @ y.T
+    assert got == {(u, i) for u in range(5) for i in sorted(range(60), key=lambda i: (-scores[u, i], i))[:25]}
+
+
+def test_lists_equal_the_models_own(spark):
+    rated, _, test = _inputs(spark)
+    model = A.fit_als(rated, rank=8, max_iter=4)
+    baskets = test.select("basket_idx").distinct()
+    own = {r.basket_idx: [(x.item_idx, x.rating) for x in r.recommendations]
+           for r in model.recommendForUserSubset(baskets, 30).collect()}
+    got = {}
+    for r in A.als_candidates(model, baskets, k=30).collect():
+        got.setdefault(r.basket_idx, []).append((r.item_idx, r.model_score))
+    assert got.keys() == own.keys()
+    for u, mine in got.items():
+        mine, theirs = sorted(mine, key=lambda t: -t[1]), own[u]
+        assert len(mine) == len(theirs) and all(abs(a[1] - b[1]) < 1e-4 for a, b in zip(mine, theirs))
+        sure = {i for i, s in theirs if s > theirs[-1][1] + 1e-4}   # all but ties with the last
+        assert sure <= {i for i, _ in mine}
+
+
+def test_loss_equals_a_dense_sum(spark):
+    import numpy as np
+
+    rated, _, _ = _inputs(spark)
+    model = A.fit_als(rated, rank=5, max_iter=2)
+    x, y = ({r.id: np.array(r.features, float) for r in f.collect()} for f in (model.userFactors, model.itemFactors))
+    rows = [(r.basket_idx, r.item_idx, r.implicit_rating) for r in rated.collect()]
+    score = np.array([x[u] for u in sorted(x)]) @ np.array([y[i] for i in sorted(y)]).T
+    at_u, at_i = ({k: n for n, k in enumerate(sorted(f))} for f in (x, y))
+    # confidence and wished score of each pair: its ratings add up, as rows of the fit
+    conf, wish = np.ones_like(score), np.zeros_like(score)
+    n_u, n_i, null = dict.fromkeys(x, 0), dict.fromkeys(y, 0), 0.0
+    for u, i, r in rows:
+        conf[at_u[u], at_i[i]] += r
+        wish[at_u[u], at_i[i]] += r + 1
+        n_u[u] += 1
+        n_i[i] += 1
+        null += r + 1
+    squared = (conf * score ** 2 - 2 * wish * score).sum() + null
+    penalty = 0.01 * (sum(n * x[u] @ x[u] for u, n in n_u.items()) + sum(n * y[i] @ y[i] for i, n in n_i.items()))
+    got = A.als_loss(model, rated).first()
+    assert np.allclose([got.squared, got.penalty, got.total, got.null_loss], [squared, penalty, squared + penalty, null], rtol=1e-6)
+
+
+def test_loss_falls_with_every_iteration_and_unfitted_factors_fail(spark):
+    rated, _, _ = _inputs(spark)
+    totals = [A.als_loss(A.fit_als(rated, rank=10, max_iter=n), rated).first() for n in (1, 2, 4, 8)]
+    assert all(a.total > b.total for a, b in zip(totals, totals[1:]))
+    assert totals[-1].total < 0.5 * totals[-1].null_loss
+    model, _, _ = _factors(spark, 10, 10)
+    empty = A.als_loss(model, rated.limit(0)).first()
+    assert empty.null_loss == 0 and empty.penalty == 0 and empty.squared > 0
+    # unfitted: MLlib's own start, which no iteration has touched
+    for rank in (10, A.ALS_RANK):
+        unfitted = A.als_loss(A.fit_als(rated, rank=rank, max_iter=0), rated).first()
+        assert unfitted.total > unfitted.null_loss
