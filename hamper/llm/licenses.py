@@ -2,7 +2,8 @@
 
 The index holds the words of licence templates with their positions. How rare a word is
 (inverse document frequency) is counted over all files. Each template is entered under its
-rarest words; for a file, its highest-IDF licence words are looked up first, each lookup
+rarest words, so many that a file without any of them in place cannot hold the share of the
+template asked for; for a file, its highest-IDF licence words are looked up first, each lookup
 giving (template, position of the word in it). A word at place p of the file and place q of
 a template proposes that the template starts at p - q; proposals are intersected by relative
 position: the share of the template's words, weighted by IDF, that stand where that start
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")  # of lower-cased UTF-8 bytes: any non-ASCII character is part of a word
 MIN_COVERAGE = 0.6   # IDF share of a template that must stand in place
-ANCHORS = 4          # rarest words under which a template is entered
 SLACK = 12           # words by which a key phrase may lie outside the aligned template
 
 # Base phrases and their labels.
@@ -75,13 +75,27 @@ class Index:
         self.idf = {w: math.log((n_docs + 1) / (document_frequency.get(w, 0) + 1)) + 1e-9 for w in vocabulary}
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         for e, (_, ws, _, exact) in enumerate(self.entries):
-            # a phrase goes under one word, which all its places hold; a notice may miss words, so under several
-            rare = sorted(set(ws), key=lambda w: (-self.idf[w], w))[: 1 if exact else ANCHORS]
-            for w in rare:
+            for w in self._anchors(ws, exact):
                 self.postings.setdefault(w, []).extend((e, q) for q, x in enumerate(ws) if x == w)
         self.weight = [sum(self.idf[w] for w in ws) for _, ws, _, _ in self.entries]
         self.keys = frozenset(self.postings)
 
+    def _anchors(self, words: list[bytes], exact: bool) -> list[bytes]:
+        """The rarest words of a template. A phrase goes under one, which all its places hold; a notice
+        may miss words, so it goes under so many that the others' IDF is below MIN_COVERAGE of all."""
+        count = Counter(words)
+        rare = sorted(count, key=lambda w: (-self.idf[w], w))
+        if exact:
+            return rare[:1]
+        left = total = sum(self.idf[w] * n for w, n in count.items())
+        out = []
+        for w in rare:
+            if left < MIN_COVERAGE * total * (1 - 1e-9):
+                break
+            out.append(w)
+            left -= self.idf[w] * count[w]
+        return out
+
     def coverage(self, entry: int, words: list[bytes], start: int) -> float:
         """IDF share of the template's words that stand in place if it starts at ``start``."""
         template, n = self.entries[entry][1], len(words)
@@ -165,8 +179,9 @@ def scan_licenses(docs: DataFrame, base=BASE, templates=TEMPLATES, id_col: str =
     coverage, else 0.
 
     Defined cases: a null or empty text has no words and no labels (empty strings, null
-    places, score 0); overlapping places of a phrase all count; repeated rows each get a row;
-    an empty table gives an empty result.
+    places, score 0); overlapping places of a phrase all count; a text of any length is scanned
+    whole; repeated rows and null ids each get a row; other columns take no part, whatever
+    their names; an empty table gives an empty result.
     """
     frequency, n_docs = document_frequency(docs, vocabulary(base, templates), text_col)
     index = Index(base, templates, frequency, n_docs)

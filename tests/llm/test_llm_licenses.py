@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from conftest import SF001, SF01
 from hamper.llm import licenses as X
 
 PHRASES = [(p.split(), label) for p, label in X.BASE]
@@ -67,3 +68,63 @@ def test_document_frequency_and_empty_table(spark):
     found, n = X.document_frequency(docs, [b"mit", b"the", b"gnu"])
     assert (found, n) == ({b"mit": 2, b"the": 1}, 3)
     assert scan(spark, []) == []
+
+
+def brute_notices(index, text):
+    """All labels and the score, trying every template at every start."""
+    w = [x.encode() for x in words(text)]
+    found = []
+    for e, (label, template, keys, exact) in enumerate(index.entries):
+        for start in range(1 - len(template), len(w)):
+            share = index.coverage(e, w, start)
+            near = w[max(0, start - X.SLACK):max(0, start + len(template) + X.SLACK)]
+            if exact and start >= 0 and w[start:start + len(template)] == template:
+                found.append((label, 1.0))
+            elif not exact and share >= X.MIN_COVERAGE and all(X._stands(k, near) for k in keys):
+                found.append((label, share))
+    return ",".join(sorted({x for x, _ in found})), max((s for _, s in found), default=0.0)
+
+
+def without_rarest(index, label, n):
+    """A notice whose n rarest words outside the key phrases are replaced."""
+    _, template, keys, _ = next(e for e in index.entries if e[0] == label and not e[3])
+    kept = {w for k in keys for w in k}
+    rare = sorted(set(template) - kept, key=lambda w: (-index.idf[w], w))[:n]
+    return " ".join("other" if w in rare else w.decode() for w in template)
+
+
+def test_labels_equal_a_try_of_every_start(spark):
+    """The documents of the smallest table, notices with their rarest words replaced, and mixtures."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    frequency, n = X.document_frequency(docs, X.vocabulary())
+    index = X.Index(X.BASE, X.TEMPLATES, frequency, n)
+    rng, texts = random.Random(11), [r.text for r in docs.collect()]
+    labels = [t[0] for t in X.TEMPLATES]
+    texts += [without_rarest(index, label, k) for label in labels for k in (1, 2, 4, 6, 9)]
+    for _ in range(80):                                        # words lost at random, up to half
+        _, t, _ = rng.choice(X.TEMPLATES)
+        lost = rng.uniform(0, 0.5)
+        texts.append("go " * rng.randint(0, 3) + " ".join("qq" if rng.random() < lost else w for w in t.split()) + " end")
+    found = 0
+    for text in texts:
+        w = [x.encode() for x in words(text)]
+        places, notices = index.scan(w)
+        got = ",".join(sorted({x for _, x in places} | {m[2] for m in notices}))
+        score = 1.0 if places else max((m[3] for m in notices), default=0.0)
+        want, best = brute_notices(index, text)
+        assert got == want and score == pytest.approx(best)
+        found += bool(notices)
+    assert found > 40      # notices there are
+
+
+def test_notices_without_their_rarest_words_are_found(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    index = X.Index(X.BASE, X.TEMPLATES, *X.document_frequency(docs, X.vocabulary()))
+    for label in ("mit", "apache-2", "gpl"):
+        text = without_rarest(index, label, 4)
+        assert label in {m[2] for m in index.scan([x.encode() for x in words(text)])[1]}
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "under the MIT license", 3, "x")], "key long, body string, n_words int, label string")
+    assert [(r.doc_id, r.labels) for r in X.scan_licenses(df, id_col="key", text_col="body").collect()] == [(1, "mit")]
