@@ -2,11 +2,14 @@
 
 Vectors are sparse rows of integer weights: a term is a component with a weight other than
 zero. Candidates are packed, partition by partition, into blocks of postings (term ->
-rows of the block, weights); queries into blocks of sparse rows. Every query block meets
-every candidate block once. In a meeting the query terms are taken one at a time: the term's
+rows of the block, weights); queries into blocks of sparse rows. The query blocks are sent to every candidate block, which is
+itself moved once. In a meeting the query terms are taken one at a time: the term's
 weighted postings are scattered into a dense score array (queries x candidates of the
 block), then each query keeps its k best by partition selection. The k best of all blocks
 are merged by rank, so at most k rows per query and candidate block are shuffled.
+
+Scores are exact whatever the weights: a meeting whose sums could leave a long's range adds up
+unbounded integers instead.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from hamper.llm.common import stage
 
 CANDIDATES = 8192   # rows of a candidate block
 QUERIES = 256       # rows of a query block: the score array holds 256 x 8192 longs, 16 MB
-LIMIT = 1 << 26     # largest weight, so that a product sum over 2**10 terms stays within a long
+LONG = 1 << 63
 
 
 def quantize(vector: Column, scale: int = 256) -> Column:
@@ -50,8 +53,6 @@ def _pack(rows: int):
         def flush(batch: pa.Table):
             lists = batch.column(1).combine_chunks()
             flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            if len(flat) and np.abs(flat).max() > LIMIT:
-                raise ValueError(f"a weight is beyond {LIMIT}")
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             row = np.repeat(np.arange(len(sizes)), sizes)
             term = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -90,6 +91,24 @@ def _unpack(r: dict, prefix: str) -> tuple[np.ndarray, np.ndarray, dict[int, tup
     return get("ids", "<i8"), get("null_id", "u1").astype(bool), postings
 
 
+def _largest(postings: dict[int, tuple[np.ndarray, np.ndarray]]) -> int:
+    return max((max(-int(w.min()), int(w.max())) for _, w in postings.values()), default=0)
+
+
+def _best(s: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest of ``s``, the first ones where equal."""
+    if len(s) <= k:
+        return np.arange(len(s))
+    if s.dtype == object:
+        return np.array(sorted(range(len(s)), key=lambda i: -s[i])[:k], np.int64)
+    least = s[np.argpartition(s, len(s) - k)[len(s) - k:]].min()
+    above, equal = np.flatnonzero(s > least), np.flatnonzero(s == least)
+    return np.r_[above, equal[: k - len(above)]]
+
+
+MEETING = "query_id long, vec_id long, high long, low long"   # score = high * 2**63 + low
+
+
 def _meet(k: int):
     """Top k of each query block against each candidate block, one meeting per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,11 +117,14 @@ def _meet(k: int):
                 r = batch.slice(i, 1).to_pylist()[0]
                 q_ids, _, q_post = _unpack(r, "q")
                 c_ids, c_null, c_post = _unpack(r, "c")
-                scores = np.zeros((len(q_ids), len(c_ids)), np.int64)
+                wide = _largest(q_post) * _largest(c_post) * max(1, len(q_post)) >= LONG
+                scores = np.zeros((len(q_ids), len(c_ids)), object if wide else np.int64)
                 for term, (q_at, q_weight) in q_post.items():
                     if term not in c_post:
                         continue
                     c_at, c_weight = c_post[term]
+                    if wide:
+                        q_weight, c_weight = q_weight.astype(object), c_weight.astype(object)
                     if len(c_at) == len(c_ids):  # the term occurs in every row of the block, in order
                         scores[q_at] += q_weight[:, None] * c_weight
                     else:
@@ -112,20 +134,17 @@ def _meet(k: int):
                 out_q, out_c, out_null, out_s = [], [], [], []
                 for n, q in enumerate(q_ids):
                     other = np.flatnonzero((c_ids != q) | c_null)
-                    s = scores[n, other]
-                    if len(s) > k:
-                        least = s[np.argpartition(s, len(s) - k)[len(s) - k:]].min()
-                        above, equal = np.flatnonzero(s > least), np.flatnonzero(s == least)
-                        best = np.r_[above, equal[: k - len(above)]]
-                    else:
-                        best = np.arange(len(s))
+                    best = _best(scores[n, other], k)
                     out_q.append(np.full(len(best), q))
                     out_c.append(c_ids[other[best]])
                     out_null.append(c_null[other[best]])
-                    out_s.append(s[best])
+                    out_s.append(scores[n, other[best]])
+                s = np.concatenate(out_s)
+                high, low = (s >> 63, s & (LONG - 1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_c), mask=np.concatenate(out_null)),
-                     pa.array(np.concatenate(out_s))], names=["query_id", "vec_id", "score"])
+                     pa.array(high.astype(np.int64)), pa.array(low.astype(np.int64))],
+                    names=["query_id", "vec_id", "high", "low"])
     return run
 
 
@@ -139,7 +158,9 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str =
     Defined cases: rows with a null vector or a null weight take no part; null query ids take
     no part as queries; of repeated query ids the smallest vector (component by component)
     asks, and each candidate row of a repeated id can be found; an all-zero vector scores 0
-    against everything; fewer than k candidates give fewer rows; no queries give no rows.
+    against everything; vectors may have any length (a missing component counts as 0); fewer than k
+    candidates give fewer rows; no queries give no rows; other columns take no part, whatever
+    their names. A score beyond a long's range ranks as what it is and is shown as the range's end.
     """
     whole = F.col(vector_col).isNotNull() & ~F.coalesce(F.exists(vector_col, lambda x: x.isNull()), F.lit(True))
     rows = lambda df: df.where(whole).select(F.col(id_col).cast("long").alias("id"),
@@ -149,15 +170,15 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str =
                   "topk-queries")
     blocks = max(1, -(-asked.count() // QUERIES))
     asking = stage(asked.repartition(blocks).mapInArrow(_pack(QUERIES), PACKED), "topk-asking")
-    # the stated query set meets all candidates in blocks: candidate blocks are dealt to slots,
-    # and every query block is sent to every slot
-    slots = max(1, cand.count())
-    slot = F.pmod(F.xxhash64("c_block"), F.lit(slots))
-    sent = asking.select(*(F.col(c).alias(f"q_{c}") for c in asking.columns),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"))
-    held = cand.select(*(F.col(c).alias(f"c_{c}") for c in cand.columns)).withColumn("slot", slot)
-    meetings = sent.join(held, "slot").repartition("q_block", "c_block")
-    found = meetings.mapInArrow(_meet(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+    # the stated query set meets all candidates in blocks: every query block goes to every candidate
+    # block, which stays whole; the list of blocks has one number for thousands of candidates
+    every = cand.agg(F.collect_list("block")).scalar()
+    sent = (asking.select(*(F.col(c).alias(f"q_{c}") for c in asking.columns), every.alias("every"))
+            .withColumn("c_block", F.explode("every")).drop("every"))
+    held = cand.select(*(F.col(c).alias(f"c_{c}") for c in cand.columns))
+    found = sent.join(held, "c_block").mapInArrow(_meet(k), MEETING)
+    best = Window.partitionBy("query_id").orderBy(F.col("high").desc(), F.col("low").desc(), F.col("vec_id").asc_nulls_last())
+    score = (F.when(F.col("high") == 0, F.col("low")).when(F.col("high") == -1, F.col("low") + F.lit(-LONG))
+             .when(F.col("high") > 0, F.lit(LONG - 1)).otherwise(F.lit(-LONG)))
     return (found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", score.cast("long").alias("score")))

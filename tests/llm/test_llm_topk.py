@@ -48,3 +48,37 @@ def test_quantize_and_usable(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").where(X.usable(F.col("embedding")))
     got = {r.vec_id: r.v for r in df.select("vec_id", X.quantize(F.col("embedding")).alias("v")).collect()}
     assert got == {1: [128, -1, 256], 6: []}
+
+
+def test_huge_weights_score_exactly(spark, monkeypatch):
+    """Sums beyond a long: ranked exactly, beside blocks that stay within it."""
+    monkeypatch.setattr(X, "CANDIDATES", 8)
+    rng = random.Random(9)
+    rows = [(i, [rng.randint(-3, 3) for _ in range(5)]) for i in range(30)]
+    rows += [(100 + i, [rng.choice([1 << 40, -(1 << 40), 3]) + rng.randint(-9, 9) for _ in range(5)]) for i in range(12)]
+    queries = [(i, [rng.randint(-5, 5) for _ in range(5)]) for i in range(4)]
+    check(spark, rows, queries, 6)                          # 2**40 against small weights
+    schema = "vec_id long, vector array<bigint>"
+    asked = [(900, [1 << 40, 1 << 39, -(1 << 40), 7, 0])]
+    got = X.exact_topk(spark.createDataFrame(rows, schema), spark.createDataFrame(asked, schema), 40).collect()
+    exact = {(q, n): (i, s) for q, n, i, s in brute(rows, asked, 40)}
+    top, low = (1 << 63) - 1, -(1 << 63)
+    assert {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got} == {
+        k: (i, min(top, max(low, s))) for k, (i, s) in exact.items()}
+    assert any(not low <= s <= top for _, s in exact.values())
+
+
+def test_candidates_are_moved_once(spark, monkeypatch):
+    """Candidate blocks are shuffled to their number and scored there."""
+    schema = "vec_id long, vector array<bigint>"
+    df = spark.createDataFrame([(i, [i, 1]) for i in range(50)], schema)
+    plan = X.exact_topk(df, df.limit(3), 2)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "Cartesian" not in plan and below.count("Exchange hashpartitioning") + below.count("BroadcastExchange") <= 2
+    assert "q_block" not in "".join(line for line in below.splitlines() if "Exchange" in line)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, [1, 2], 5, "x"), (2, [2, 2], 6, "y")], "key long, w array<bigint>, vec_id int, block string")
+    got = X.exact_topk(df, df, 1, "key", "w").collect()
+    assert sorted((r.query_id, r.vec_id, r.score) for r in got) == [(1, 2, 6), (2, 1, 6)]
