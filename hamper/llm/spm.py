@@ -3,14 +3,15 @@
 The best segmentation of a text is the one whose pieces have the largest sum of the model's
 scores. ``StreamingViterbi`` reads the text from left to right. A piece has at most
 ``longest`` characters, so only the scores of the last ``longest`` positions can still be
-extended; older scores are dropped. Whenever the backpointer paths of all those positions
-run through one boundary, every way to go on shares what lies before it: the ids up to that
-boundary are committed and the backpointers dropped.
+extended. Whenever the backpointer paths of all those positions run through one boundary,
+every way to go on shares what lies before it: the ids up to that boundary are committed and
+the scores and backpointers before it dropped (``Window``). All ids leave by such a commit.
 
-Pieces of common models carry the word mark only at their front. Then no piece spans the
-place where a word ends, every path runs through it, and words can be segmented one by one;
-the same holds between two characters that stand side by side in no piece. A bounded cache
-keeps the ids of short words. Models for which this doesn't hold are streamed as a whole.
+Between two characters that stand side by side in no piece, every path has a boundary; the
+place where a word ends is one for models whose pieces carry the word mark only at their
+front. What lies between two such boundaries is a span whose ids depend on nothing else, so a
+bounded cache keeps the committed ids of short spans and the stream takes them from there
+when the span comes again.
 
 A model file with merge ranks (BPE) is scored by those ranks as stored; ties go to the
 longer last piece. Characters without a piece become their UTF-8 bytes' pieces at the
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 OWN_MARK = "\udb81"      # stands for a MARK of the text; no UTF-8 text holds a lone surrogate
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 500_000   # about 200 bytes each, in every Python worker
-CACHE_CHARS = 48
+CACHE_SPANS = 500_000   # about 200 bytes each, in every Python worker
+CACHE_CHARS = 48        # longer spans are not kept
 
 
 class Pieces:
@@ -54,14 +55,14 @@ class Pieces:
         #: pairs of neighbours inside pieces: between two characters that aren't one, every
         #: segmentation has a boundary
         self.inside = {p[i:i + 2] for p in scores for i in range(len(p) - 1)}
-        #: the pieces once more by character: {char: [score or None, id, next characters]}
+        #: the pieces once more by character: {char: [score or None, id as four bytes, next characters]}
         self.trie: dict = {}
         for piece, (score, i) in scores.items():
             level = self.trie
             for char in piece:
-                node = level.setdefault(char, [None, -1, {}])
+                node = level.setdefault(char, [None, b"", {}])
                 level = node[2]
-            node[0], node[1] = score, i
+            node[0], node[1] = score, i.to_bytes(4, "little")
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -82,165 +83,187 @@ class Pieces:
     def fallback(self, char: str) -> list[int]:
         return [self.byte_ids[b] for b in (MARK if char == OWN_MARK else char).encode("utf-8")]
 
+    def fallback_bytes(self, char: str) -> bytes:
+        return b"".join([i.to_bytes(4, "little") for i in self.fallback(char)])
 
-class StreamingViterbi:
-    """Feed characters with ``push``; it yields ids as soon as they are certain. ``finish`` ends."""
+
+class Window:
+    """The recurrence over one span. ``feed`` takes characters and gives back the ids (four bytes
+    each) that have become certain, ``finish`` the rest; then the window is empty again."""
+
+    TRIM = 4096   # committed characters held before they are cut off
+    NEVER = float("-inf")
 
     def __init__(self, pieces: Pieces):
         self.p = pieces
-        self.base = 0                # position of text[0]
-        self.text = ""               # characters since the last committed boundary
-        self.done = 0                # starts whose pieces have been tried, from base
-        self.score: list[float | None] = [0.0]
-        self.back: list[tuple[int, int] | None] = [None]  # (start, piece id; -1: bytes)
-        self.peak = 0                # most backpointers held (for tests)
-
-    def _start(self, i: int, end: int) -> None:
-        """Try all pieces that begin at i."""
-        text, table, score, back = self.text, self.p.table, self.score, self.back
-        while len(score) <= min(end, i + self.p.longest):
-            score.append(None)
-            back.append(None)
-        here = score[i]
-        for k in range(i + 1, min(end, i + self.p.longest) + 1):
-            entry = table.get(text[i:k], False)
-            if entry is False:  # begins no piece
-                break
-            if entry is not None:
-                s = here + entry[0]
-                if score[k] is None or s > score[k]:
-                    score[k], back[k] = s, (i, entry[1])
-        s = here + self.p.unknown
-        if text[i] not in table or table[text[i]] is None:
-            if score[i + 1] is None or s > score[i + 1]:
-                score[i + 1], back[i + 1] = s, (i, -1)
-
-    def _path(self, end: int) -> list[int]:
-        out = []
-        while end:
-            start, piece = self.back[end]
-            out.append(self.p.fallback(self.text[start]) if piece < 0 else [piece])
-            end = start
-        return [i for ids in reversed(out) for i in ids]
-
-    def _commit(self) -> list[int]:
-        """Ids up to the boundary that all surviving paths share, if there is a new one."""
-        alive = {k for k in range(self.done, len(self.score)) if k == self.done or self.back[k] is not None}
+        self.commits = self.peak = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.text, self.at, self.done, self.reach = "", 0, 0, 0    # at: last boundary committed
+        self.score, self.start, self.piece = [0.0], [0], [b""]
+
+    def feed(self, chars: str) -> bytes:
+        self.text += chars
+        new = len(chars)
+        self.score += [self.NEVER] * new
+        self.start += [0] * new
+        self.piece += [b""] * new
+        return self._advance(len(self.text) - self.p.longest + 1)
+
+    def finish(self) -> bytes:
+        ids = self._advance(len(self.text))
+        self._clear()
+        return ids
+
+    def _advance(self, stop: int) -> bytes:
+        """Try the pieces that begin before ``stop``; commit wherever all paths meet."""
+        text, trie, unknown = self.text, self.p.trie, self.p.unknown
+        score, start, piece = self.score, self.start, self.piece
+        i, reach, longest, n, out = self.done, self.reach, self.p.longest, len(text), []
+        while i < stop:
+            here, level, k = score[i], trie, i
+            while k < n:
+                node = level.get(text[k])
+                if node is None:   # begins no piece
+                    break
+                k += 1
+                if node[0] is not None:
+                    if here + node[0] > score[k]:
+                        score[k], start[k], piece[k] = here + node[0], i, node[1]
+                    if k > reach:
+                        reach = k
+                level = node[2]
+            i += 1
+            if here + unknown > score[i]:
+                first = trie.get(text[i - 1])
+                if first is None or first[0] is None:   # the character is no piece: its bytes
+                    score[i], start[i], piece[i] = here + unknown, i - 1, b""
+            if reach <= i:                              # no piece runs over i: all paths meet there
+                out.append(self._commit(i))
+            elif (i - self.at) % longest == 0:
+                meet = self._meeting(i, reach)
+                if meet > self.at:
+                    out.append(self._commit(meet))
+            if i - self.at > self.peak:
+                self.peak = i - self.at
+            if self.at >= self.TRIM:
+                cut = self.at
+                self.text = text = text[cut:]
+                del score[:cut], piece[:cut]
+                self.start = start = [x - cut for x in start[cut:]]
+                i, reach, n, stop, self.at = i - cut, reach - cut, n - cut, stop - cut, 0
+        self.done, self.reach = i, max(reach, i)
+        return b"".join(out)
+
+    def _meeting(self, i: int, reach: int) -> int:
+        """The last boundary that the paths of all open positions share."""
+        alive = {k for k in range(i, reach + 1) if k == i or self.score[k] > self.NEVER}
         while len(alive) > 1:
             last = max(alive)
             alive.remove(last)
-            alive.add(self.back[last][0])
-        at = alive.pop()
-        if at == 0:
-            return []
-        ids = self._path(at)
-        self.base, self.done, self.text = self.base + at, self.done - at, self.text[at:]
-        # scores are relative to the boundary: only their differences matter
-        self.score = [0.0] + [None if s is None else s - self.score[at] for s in self.score[at + 1:]]
-        self.back = [None] + [None if b is None else (b[0] - at, b[1]) for b in self.back[at + 1:]]
-        return ids
-
-    def push(self, chars: str) -> list[int]:
-        self.text += chars
-        out, last = [], self.done
-        while len(self.text) - self.done >= self.p.longest:
-            self._start(self.done, len(self.text))
-            self.done += 1
-            if self.done - last >= self.p.longest:
-                self.peak = max(self.peak, len(self.back))
-                out += self._commit()
-                last = self.done
-        return out
-
-    def finish(self) -> list[int]:
-        end = len(self.text)
-        while self.done < end:
-            self._start(self.done, end)
-            self.done += 1
-        self.peak = max(self.peak, len(self.back))
-        ids = self._path(end)
-        self.__init__(self.p)
+            alive.add(max(self.start[last], self.at))
+        return alive.pop()
+
+    def _commit(self, end: int) -> bytes:
+        """The ids of the path from the last committed boundary to this one."""
+        start, piece, at, k, ids = self.start, self.piece, self.at, end, b""
+        while k > at:
+            i = start[k]
+            ids = (piece[k] or self.p.fallback_bytes(self.text[i])) + ids   # a commit is some pieces long
+            k = i
+        self.at = end
+        self.commits += 1
         return ids
 
 
-def segment_word(p: Pieces, text: str) -> list[int]:
-    """The same recurrence in one go, for words so short that the stream would commit only once."""
-    n, trie, worst = len(text), p.trie, float("-inf")
-    score, start, piece = [0.0] + [worst] * n, [0] * (n + 1), [-1] * (n + 1)
-    for i in range(n):
-        here, level, k = score[i], trie, i
-        while k < n:
-            node = level.get(text[k])
-            if node is None:  # begins no piece
-                break
-            k += 1
-            if node[0] is not None and here + node[0] > score[k]:
-                score[k], start[k], piece[k] = here + node[0], i, node[1]
-            level = node[2]
-        if score[i + 1] == worst or here + p.unknown > score[i + 1]:
-            first = trie.get(text[i])
-            if (first is None or first[0] is None) and here + p.unknown > score[i + 1]:
-                score[i + 1], start[i + 1], piece[i + 1] = here + p.unknown, i, -1
-    out = []
-    while n:
-        i = start[n]
-        if piece[n] >= 0:
-            out.append(piece[n])
-        else:
-            out += reversed(p.fallback(text[i]))
-        n = i
-    return out[::-1]
+class StreamingViterbi:
+    """Feed characters with ``push``; it gives back ids as soon as they are certain. ``finish`` ends.
 
+    ``spans`` is the cache of committed spans; streams over the same pieces may share it."""
 
-class Encoder:
-    """Ids of whole texts, and back. Holds the piece table and a bounded cache of words."""
-
-    STREAM = 4096  # characters handed to the stream at a time
     WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
-    def __init__(self, pieces: Pieces):
-        self.p, self.cache = pieces, {}
-
-    def _segment(self, chars: str) -> list[int]:
-        v, out = StreamingViterbi(self.p), []
-        for i in range(0, len(chars), self.STREAM):
-            out += v.push(chars[i:i + self.STREAM])
-        return out + v.finish()
-
-    def _part(self, part: str) -> bytes:
-        short = len(part) <= CACHE_CHARS
-        ids = np.array(segment_word(self.p, part) if short else self._segment(part), "<i4").tobytes()
-        if short:
-            self._keep(part, ids)
-        return ids
+    def __init__(self, pieces: Pieces, spans: dict[str, bytes] | None = None):
+        self.p, self.spans = pieces, {} if spans is None else spans
+        self.window = Window(pieces)      # of a span too long to be held
+        self.closed = Window(pieces)      # of spans whose end is known
+        self.tail, self.open = "", False  # characters behind the last boundary; whether the window has earlier ones
 
-    def _keep(self, chars: str, ids: bytes) -> None:
-        if len(self.cache) >= CACHE_WORDS:
-            self.cache.clear()
-        self.cache[chars] = ids
+    def _boundaries(self, chars: str) -> list[int]:
+        """Places between two characters that are neighbours in no piece."""
+        inside = self.p.inside
+        return [i for i in range(1, len(chars)) if chars[i - 1:i + 1] not in inside]
+
+    def _run(self, span: str) -> bytes:
+        window = self.closed
+        ids = window.feed(span) + window.finish()
+        return self._keep(span, ids)
+
+    def _keep(self, span: str, ids: bytes) -> bytes:
+        if len(span) <= CACHE_CHARS:
+            if len(self.spans) >= CACHE_SPANS:
+                self.spans.clear()
+            self.spans[span] = ids
+        return ids
 
     def _word(self, word: str) -> bytes:
-        """A word by its parts between characters that no piece holds side by side."""
-        inside = self.p.inside
-        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in inside]
+        """A word by its spans."""
+        cuts, get = self._boundaries(word), self.spans.get
         if not cuts:
-            return self._part(word)
-        get = self.cache.get
-        parts = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
-        ids = b"".join([get(x) or self._part(x) for x in parts])
-        if len(word) <= CACHE_CHARS:
-            self._keep(word, ids)
+            return self._run(word)
+        spans = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
+        return self._keep(word, b"".join([get(x) or self._run(x) for x in spans]))
+
+    def push(self, chars: str) -> bytes:
+        text = self.tail + chars
+        if self.p.marks_first:
+            last = text.rfind(MARK)
+            while last > 0 and text[last - 1] == MARK:
+                last -= 1
+        else:
+            last = max(self._boundaries(text), default=0)
+        out = []
+        if last > 0:
+            closed, text = text[:last], text[last:]
+            if self.open:          # the long span ends at the first boundary
+                first = self.WORDS.match(closed).end() if self.p.marks_first else min([*self._boundaries(closed), last])
+                out += [self.window.feed(closed[:first]), self.window.finish()]
+                closed, self.open = closed[first:], False
+            get, word = self.spans.get, self._word
+            words = self.WORDS.findall(closed) if self.p.marks_first else [closed] if closed else []
+            out += [get(w) or word(w) for w in words]
+        if self.open or len(text) > CACHE_CHARS:
+            out.append(self.window.feed(text))
+            text, self.open = "", True
+        self.tail = text
+        return b"".join(out)
+
+    def finish(self) -> bytes:
+        if self.open:
+            ids = self.window.feed(self.tail) + self.window.finish()
+        else:
+            ids = (self.spans.get(self.tail) or self._word(self.tail)) if self.tail else b""
+        self.tail, self.open = "", False
         return ids
 
+
+class Encoder:
+    """Ids of whole texts, and back. Holds the piece table and the cache of committed spans."""
+
+    STREAM = 1 << 16   # characters handed to the stream at a time
+
+    def __init__(self, pieces: Pieces):
+        self.p, self.spans = pieces, {}
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text (int32); the empty text has none."""
         if not text:
             return np.zeros(0, np.int32)
         chars = MARK + text.replace(MARK, OWN_MARK).replace(" ", MARK)
-        if not self.p.marks_first:
-            return np.array(self._segment(chars), np.int32)
-        get, word = self.cache.get, self._word
-        return np.frombuffer(b"".join([get(w) or word(w) for w in self.WORDS.findall(chars)]), np.int32)
+        stream = StreamingViterbi(self.p, self.spans)
+        parts = [stream.push(chars[i:i + self.STREAM]) for i in range(0, len(chars), self.STREAM)]
+        return np.frombuffer(b"".join([*parts, stream.finish()]), "<i4")
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.p.spelled.__getitem__, ids)).decode("utf-8", errors="replace")[1:]

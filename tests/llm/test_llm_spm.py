@@ -1,10 +1,16 @@
 """Streaming Viterbi against the full recurrence; exact round trips."""
 
 import random
+import zlib
+from collections import Counter
 
+import duckdb
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
+from conftest import SF001
 from hamper.llm import spm as X
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -38,19 +44,76 @@ def test_stream_equals_full_viterbi(seed):
     letters = ["a", "ab", "abé"][seed % 3]
     p = random_pieces(rng, letters)
     s = "".join(rng.choice(letters + "c" * (seed % 2)) for _ in range(rng.randint(1, 400)))
-    v, out, step = X.StreamingViterbi(p), [], rng.randint(1, 30)
+    expected = full(p, s)
+    for spans in (None, {}):        # the second time some spans come from the cache
+        v, out, step = X.StreamingViterbi(p, spans), b"", rng.randint(1, 30)
+        for i in range(0, len(s), step):
+            out += v.push(s[i:i + step])
+        assert ids_of(out + v.finish()) == expected
+    w, out = X.Window(p), b""
+    w.TRIM = rng.randint(1, 50)
     for i in range(0, len(s), step):
-        out += v.push(s[i:i + step])
-    assert out + v.finish() == full(p, s) == X.segment_word(p, s)
+        out += w.feed(s[i:i + step])
+    assert ids_of(out + w.finish()) == expected
+
+
+def ids_of(data):
+    return np.frombuffer(data, "<i4").tolist()
 
 
 def test_window_stays_bounded():
+    """Pieces over every pair of letters: no boundary is forced, the paths have to meet."""
     rng = random.Random(1)
-    p = X.Pieces({"a": (-1.0, 1), "b": (-1.0, 2), "ab": (-1.5, 3), "ba": (-1.4, 4), "bb": (-1.2, 5)}, list(range(256)))
-    v, n = X.StreamingViterbi(p), 0
+    p = X.Pieces({"a": (-1.0, 1), "b": (-1.0, 2), "ab": (-1.5, 3), "ba": (-1.4, 4), "bb": (-1.2, 5), "aa": (-1.9, 6),
+                  "aba": (-1.6, 7), "bab": (-1.7, 8)}, list(range(256)))
+    v, n, s = X.StreamingViterbi(p), 0, ""
     for _ in range(500):
-        n += len(v.push("".join(rng.choice("ab") for _ in range(40))))
-    assert n > 9000 and v.peak < 400   # 20,000 characters were never held together
+        s += (chars := "".join(rng.choice("ab") for _ in range(40)))
+        n += len(v.push(chars)) // 4
+        assert len(v.window.text) < X.Window.TRIM + 500
+    assert n > 7000 and v.window.peak < 400 and v.window.commits > 1000   # 20,000 characters were never held together
+    v2 = X.StreamingViterbi(p)
+    assert ids_of(v2.push(s) + v2.finish()) == full(p, s)
+
+
+def test_all_ids_of_the_query_come_from_commits(monkeypatch):
+    """Every document of the smallest table: ids as of the whole text's Viterbi, and each of them
+    handed out by a commit of the stream or kept from one."""
+    committed, real = Counter(), X.Window._commit
+
+    def commit(self, end):
+        ids = real(self, end)
+        committed[id(self)] += len(ids) // 4
+        return ids
+    run, kept = X.StreamingViterbi._run, []
+
+    def checked(self, span):
+        committed.clear()
+        ids = run(self, span)
+        assert sum(committed.values()) == len(ids) // 4 > 0
+        kept.append(span)
+        return ids
+    monkeypatch.setattr(X.Window, "_commit", commit)
+    monkeypatch.setattr(X.StreamingViterbi, "_run", checked)
+    e = X.Encoder(X.Pieces.load(PATH))
+    texts = [t or "" for t, in duckdb.sql(f"SELECT text FROM '{SF001}/documents.parquet'").fetchall()]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    monkeypatch.setitem(X._ENCODERS, PATH, e)
+    rows = next(X._check_batches(PATH)(iter([batch]))).to_pylist()
+    memo = {}
+    for r, t in zip(rows, texts):
+        chars = X.MARK + t.replace(X.MARK, X.OWN_MARK).replace(" ", X.MARK)
+        expected = []
+        for w in X.StreamingViterbi.WORDS.findall(chars) if t else []:    # no piece goes over a word's end
+            if w not in memo:
+                memo[w] = full(e.p, w)
+            expected += memo[w]
+        assert (r["n_ids"], r["ids_crc32"]) == (len(expected), zlib.crc32(np.array(expected, "<u4").tobytes()))
+        assert r["round_trip"]
+    assert set(e.spans) <= {w for t in texts for w in X.StreamingViterbi.WORDS.findall(X.MARK + t.replace(" ", X.MARK))} | set(kept)
+    some = [t for t in texts if 0 < len(t) < 1500][:12]
+    for t in some:                                                         # and over whole texts
+        assert e.encode(t).tolist() == full(e.p, X.MARK + t.replace(" ", X.MARK))
 
 
 def test_round_trips_and_words():
