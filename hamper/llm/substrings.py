@@ -37,7 +37,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hamper.llm.common import pack_gaps, shared_dir, stage, unpack_gaps
+from hamper.llm.common import pack_gaps, stage, unpack_gaps
+from hamper.session import materialize_bucketed
 
 WINDOW = 13
 DEPTH = 3                  # rows of counters of a merged sketch
@@ -348,11 +349,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     segment_bits = max(2, math.ceil(math.log2(4 * parts)))
     # eight cells a byte: some fifty a window, so that shortened hashes rarely meet
     bits = min(60, max(segment_bits + 8, math.ceil(math.log2(8 * size + 1))))
-    name = f"hamper_blocks_{uuid.uuid4().hex}"
-    (rows.mapInArrow(_store(window, bits, segment_bits, block_bytes), STORED)
-     .write.bucketBy(parts, "block").option("path", shared_dir(spark, "substring-blocks"))
-     .option("compression", "zstd").saveAsTable(name))
-    stored = spark.table(name)
+    stored = materialize_bucketed(rows.mapInArrow(_store(window, bits, segment_bits, block_bytes), STORED), "block",
+                                  parts, "zstd")
     texts = stored.where("segment is null").select("block", "doc_id", "text")
     sketches = stored.where("segment is not null").select("segment", "block", "cells", "twice")
     estimated = stage(sketches.groupBy("segment").applyInArrow(_merge_sketches, ANSWER), "substring-estimates")
