@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hamper.operators.features import basket_sizes
 from hamper.operators.sampling import SEED, hash_sample
+from hamper.session import materialize
 
 # Fixed values (reference semantics): basket-size window, pair threshold, row sample.
 MIN_SIZE, MAX_SIZE, MIN_COUNT, ROW_FRACTION = 5, 200, 3, 0.3
@@ -30,6 +31,15 @@ def excluded_baskets(df: DataFrame, basket: str = "basket", item: str = "item",
         F.count_if(large).alias("large_baskets"), rows(large).alias("large_rows"))
 
 
+def possible_partners(folded: DataFrame, min_count: int, basket: str = "basket", item: str = "item") -> DataFrame:
+    """Items (of rows basket, item, _copies) that can be in a pair of ``min_count``: a pair's count is at
+    most the sum of one item's copies times the largest multiplicity in each of its baskets. In
+    baskets of single copies that is the number of baskets an item stands in."""
+    most = folded.groupBy(basket).agg(F.max("_copies").alias("_most"))
+    return (folded.join(most, basket).groupBy(item).agg(F.sum(F.col("_copies") * F.col("_most")).alias("_bound"))
+            .where(F.col("_bound") >= F.lit(min_count)).select(item))
+
+
 def cooccurrence(df: DataFrame, basket: str = "basket", item: str = "item", min_size: int = MIN_SIZE,
                  max_size: int | None = MAX_SIZE, min_count: int = MIN_COUNT, fraction: float | None = None,
                  seed: int = SEED, sample_keys: Sequence[str] = ("basket", "position"),
@@ -54,6 +64,9 @@ def cooccurrence(df: DataFrame, basket: str = "basket", item: str = "item", min_
     folded = (rows.where(F.col(item).isNotNull())
               .groupBy(basket, item, "_blocks")
               .agg((F.lit(1).cast("bigint") if dedupe else F.count(F.lit(1))).alias("_copies")))
+    if min_count > 1:
+        folded = materialize(folded)   # read by the bound and by both sides of the pairing
+        folded = folded.join(possible_partners(folded, min_count, basket, item), item, "left_semi")
     own = F.pmod(F.xxhash64(item), F.col("_blocks").cast("long")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     left = folded.select(basket, F.col(item).alias("item1"), F.col("_copies").alias("_c1"), own.alias("_i"), other.alias("_j"))

@@ -32,15 +32,22 @@ def metrics_at_k(hit_rows: DataFrame, baskets: DataFrame, truth: DataFrame, ks:
                  basket: str = "basket", rank: str = "rank") -> DataFrame:
     """One row per k: hits, precision = hits/(baskets*k) (fixed denominator even when a
     basket got fewer than k items), recall = hits/held-out pairs (micro), coverage =
-    baskets with a hit / baskets. All k in one pass over the hits."""
+    baskets with a hit / baskets.
+
+    Two histograms hold all that is needed for any k: how many hits have each rank, and how many
+    baskets have their first hit at each rank (one row a rank at most). They are cumulated up to
+    every k, so the hits are neither repeated per cut-off nor counted distinct."""
     n_baskets = baskets.select(F.count_distinct(basket)).scalar()
     n_truth = truth.select(F.count(F.lit(1))).scalar()
-    k_arr = F.array(*[F.lit(int(k)) for k in ks])
-    per_k = (hit_rows.select(basket, rank, F.explode(k_arr).alias("k"))
-             .where(F.col(rank) <= F.col("k"))
-             .groupBy("k").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct(basket).alias("_covered")))
-    all_k = hit_rows.sparkSession.range(1).select(F.explode(k_arr).alias("k"))
-    out = all_k.join(per_k, "k", "left").fillna(0, subset=["hits", "_covered"])
+    at_rank = hit_rows.groupBy(F.col(rank).alias("_rank")).agg(F.count(F.lit(1)).alias("hits"))
+    first = (hit_rows.groupBy(basket).agg(F.min(rank).alias("_rank"))
+             .groupBy("_rank").agg(F.count(F.lit(1)).alias("_covered")))
+    histogram = (at_rank.select("_rank", "hits", F.lit(0).cast("long").alias("_covered"))
+                 .unionByName(first.select("_rank", F.lit(0).cast("long").alias("hits"), "_covered")))
+    upto = lambda c, k: F.coalesce(F.sum(F.when(F.col("_rank") <= F.lit(int(k)), F.col(c))), F.lit(0))
+    out = histogram.agg(F.array(*(F.struct(F.lit(int(k)).alias("k"), upto("hits", k).alias("hits"),
+                                           upto("_covered", k).alias("_covered")) for k in ks)).alias("_all")).select(
+        F.inline("_all"))
     return out.select(
         F.col("k").cast("int").alias("k"),
         F.col("hits").cast("bigint").alias("hits"),
@@ -88,9 +95,10 @@ def quality_tier(map_df: DataFrame, map_col: str = "map", baseline: float = X.BA
                          X.quality_tier(map_col).alias("tier"))
 
 
-def evaluation_baskets(test: DataFrame, basket: str = "basket") -> DataFrame:
-    """The baskets to evaluate: all distinct test baskets."""
-    return test.select(basket).distinct()
+def evaluation_baskets(test: DataFrame, n: int | None = None, basket: str = "basket") -> DataFrame:
+    """The baskets to evaluate: all distinct test baskets, or the ``n`` smallest of them."""
+    every = test.select(basket).distinct()
+    return every if n is None else every.orderBy(basket).limit(int(n))
 
 
 def evaluation_report(hit_rows: DataFrame, baskets: DataFrame, truth: DataFrame, ks: Sequence[int] = DEFAULT_KS,

@@ -56,6 +56,29 @@ def rank_unseen(cands: DataFrame, seen: DataFrame, basket: str = "basket", item:
     return unseen.withColumn(out, F.row_number().over(w).cast("bigint")).where(F.col(out) <= F.lit(k))
 
 
+def rank_slots(reach: DataFrame, basket: str = "basket", reach_col: str = "reach", cand_rank: str = "cand_rank") -> DataFrame:
+    """Rows (basket, rank) for the ranks 1 to ``reach`` of each basket, generated in chunks that are
+    spread over tasks, so that a basket with a long reach is not expanded by one task."""
+    chunks = (reach.select(basket, F.col(reach_col).alias("_reach")).where(F.col("_reach") > 0)
+              .select(basket, "_reach",
+                      F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                           F.floor((F.col("_reach") - 1) / F.lit(_CHUNK)).cast("bigint"))).alias("_c"))
+              .repartition(basket, "_c"))
+    lo = F.col("_c") * F.lit(_CHUNK) + 1
+    hi = F.least((F.col("_c") + 1) * F.lit(_CHUNK), F.col("_reach"))
+    return chunks.select(basket, F.explode(F.sequence(lo, hi)).alias(cand_rank))
+
+
+def at_ranks(asked: DataFrame, ranked: DataFrame, basket: str = "basket", k: int = TOP_K, cand_rank: str = "cand_rank") -> DataFrame:
+    """``asked`` (basket, rank, ...) with the columns of ``ranked`` at each rank. Every basket asks for
+    the first ranks: each of those is looked up under SALTS keys."""
+    hot = F.col(cand_rank) <= F.lit(HOT_RANKS * k)
+    salted = asked.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(basket), F.lit(SALTS))).otherwise(F.lit(0).cast("long")))
+    held_at = F.when(hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(
+        F.array(F.lit(0).cast("long")))
+    return salted.join(ranked.withColumn("_salt", F.explode(held_at)), [cand_rank, "_salt"]).drop("_salt")
+
+
 def recommend_popular(baskets: DataFrame, seen: DataFrame, ranked: DataFrame, basket: str = "basket",
                       item: str = "item", k: int = TOP_K, cand_rank: str = "cand_rank",
                       out: str = "rank") -> DataFrame:
@@ -76,23 +99,9 @@ def recommend_popular(baskets: DataFrame, seen: DataFrame, ranked: DataFrame, ba
                               .join(cand, item).select(basket, cand_rank))
     held = seen_ranked.groupBy(basket).agg(F.count(F.lit(1)).alias("_m"))
     reach = F.least(F.lit(k).cast("bigint") + F.coalesce(F.col("_m"), F.lit(0)), F.coalesce(n_cand, F.lit(0)))
-    chunks = (baskets.select(basket).distinct().join(held, basket, "left")
-              .select(basket, reach.alias("_reach"))
-              .where(F.col("_reach") > 0)
-              .select(basket, "_reach",
-                      F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                           F.floor((F.col("_reach") - 1) / F.lit(_CHUNK)).cast("bigint"))).alias("_c"))
-              .repartition(basket, "_c"))
-    lo = F.col("_c") * F.lit(_CHUNK) + 1
-    hi = F.least((F.col("_c") + 1) * F.lit(_CHUNK), F.col("_reach"))
-    slots = chunks.select(basket, F.explode(F.sequence(lo, hi)).alias(cand_rank))
+    slots = rank_slots(baskets.select(basket).distinct().join(held, basket, "left").select(basket, reach.alias("_r")),
+                       basket, "_r", cand_rank)
     unseen = slots.join(seen_ranked, [basket, cand_rank], "left_anti")
     w = Window.partitionBy(basket).orderBy(F.col(cand_rank))
     top = unseen.withColumn(out, F.row_number().over(w).cast("bigint")).where(F.col(out) <= F.lit(k))
-    # every basket asks for the first ranks: each of those is looked up under SALTS keys
-    hot = F.col(cand_rank) <= F.lit(HOT_RANKS * k)
-    asked = top.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(basket), F.lit(SALTS))).otherwise(F.lit(0).cast("long")))
-    held_at = F.when(hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(
-        F.array(F.lit(0).cast("long")))
-    lookup = cand.select(item, cand_rank, F.explode(held_at).alias("_salt"))
-    return asked.join(lookup, [cand_rank, "_salt"]).select(basket, item, out)
+    return at_ranks(top, cand, basket, k, cand_rank).select(basket, item, out)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hamper.operators import als as A
@@ -206,9 +206,9 @@ def hybrid(spark, d):
     n = ranked.select(F.max("cand_rank")).scalar()
     held = train.groupBy("basket").agg(F.count_distinct("item").alias("m"))
     reach = F.least(F.lit(R.TOP_K).cast("bigint") + F.coalesce("m", F.lit(0)), n)
-    cands = (test_baskets(spark, d).join(held, "basket", "left")
-             .select("basket", F.explode(F.sequence(F.lit(1).cast("bigint"), reach)).alias("cand_rank"))
-             .join(ranked.select("item", "cand_rank", (F.col("popularity_score") / best).alias("model_score")), "cand_rank"))
+    slots = R.rank_slots(test_baskets(spark, d).join(held, "basket", "left").select("basket", reach.alias("reach")))
+    offered = ranked.select("item", "cand_rank", (F.col("popularity_score") / best).alias("model_score"))
+    cands = R.at_ranks(slots, offered).select("cand_rank", "basket", "item", "model_score")
     # popularity snapped to a 2^-32 grid: identical bits in any engine, so the ranking by
     # the blended score cannot flip on last-bit differences of an average
     snap = F.floor(F.col("popularity_score") * F.lit(2.0 ** 32) + F.lit(0.5)).cast("double") / F.lit(2.0 ** 32)
@@ -266,6 +266,25 @@ def q_dataset_stats(spark, d):
     return dataset_stats(cust_split(spark, d), flag_col="is_train")
 
 
+def q_distinct_sketches(spark, d):
+    """Baskets and items by sketches kept per part, in two increments: the exact counts, whether the
+    union of the increments equals one pass, and whether the estimates lie within four
+    standard errors (A3, C21)."""
+    from hamper.operators import stats as S
+    split, columns = cust_split(spark, d), ["basket", "item"]
+    part, path = F.pmod(F.col("basket"), F.lit(8)), scratch_dir(spark, "sketches")
+    for rows in (split.where(part < 5), split.where(part >= 5)):
+        write_table(S.distinct_sketches(rows, part, columns), path, mode="append")
+    merged = S.estimated_distinct(spark.read.parquet(path), columns)
+    once = S.estimated_distinct(S.distinct_sketches(split, F.lit(0), columns), columns)
+    exact = split.agg(F.count_distinct("basket").alias("baskets"), F.count_distinct("item").alias("items"))
+    near = lambda c, n: F.abs(merged.select(c).scalar() - F.col(n)) <= F.col(n) * F.lit(4 * S.SKETCH_ERROR) + 1
+    return exact.select("baskets", "items", merged.select("rows").scalar().alias("rows"),
+                        ((merged.select("basket").scalar() == once.select("basket").scalar())
+                         & (merged.select("item").scalar() == once.select("item").scalar())).alias("union_is_one_pass"),
+                        (near("basket", "baskets") & near("item", "items")).alias("within_error"))
+
+
 def q_submission_rows(spark, d):
     """One exported line per basket; the list is compared as the JSON text it is written as."""
     from hamper.sinks.writers import recommendation_lists
@@ -379,6 +398,71 @@ def q_file_inventory(spark, d):
     return files
 
 
+def q_file_listing(spark, d):
+    """The listing itself: files of three deliveries, and whether each name follows the one before (T9)."""
+    from hamper.sources.inventory import file_inventory
+    path = scratch_dir(spark, "listing")
+    orders = B.table(spark, d, "orders").select("o_orderpriority", F.col("o_orderkey").cast("string").alias("value"))
+    for part in range(3):
+        (orders.where(F.col("o_orderkey") % 3 == part).repartition(4, "o_orderpriority")
+         .write.mode("append").partitionBy("o_orderpriority").text(path))
+    listed = file_inventory(spark, path, pattern="part-*").select(
+        F.monotonically_increasing_id().alias("n"), "file_name", F.url_decode(F.regexp_extract("path", "o_orderpriority=([^/]*)/", 1)).alias("folder"))
+    before = F.lag("file_name").over(Window.orderBy("n"))   # one row a file
+    return listed.select("folder", (before <= F.col("file_name")).alias("ok")).groupBy("folder").agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.bool_and("ok"), F.lit(True)).alias("in_order"))
+
+
+def q_file_level_sample(spark, d):
+    """Half of the documents by a hash of their folder's number: the others' files are not opened (M1)."""
+    from hamper.operators.interactions import to_interactions
+    from hamper.sources.baskets import read_baskets
+    path = scratch_dir(spark, "file-sample")
+    docs = _documents(B.order(spark, d), per_doc=1024).withColumnRenamed("_d", "doc")
+    docs.repartition("doc").write.partitionBy("doc").text(path)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "/doc=([0-9]+)/", 1)
+    return to_interactions(read_baskets(spark, path, multiline=False, sample=0.5, sample_level="file", file_key=folder))
+
+
+def q_stage_snapshots(spark, d):
+    """A snapshot table replaced twice (once by rows read from itself) beside a writer that never
+    finished: what a frame opened before holds, what the table holds, and its versions (K1, S6)."""
+    from hamper.sinks import snapshots
+    from hamper.sources.baskets import read_table
+    train, path = cust_train(spark, d), scratch_dir(spark, "snapshot")
+    snapshots.write_snapshot(train, path)
+    held = read_table(spark, path)
+    write_table(train.where("basket % 3 = 0"), f"{path}/v-000000000002")     # never committed
+    interrupted = read_table(spark, path)
+    snapshots.write_snapshot(read_table(spark, path).where("basket % 2 = 0"), path)
+    frames = {"held": held, "interrupted": interrupted, "current": read_table(spark, path)}
+    n = len(snapshots.versions(spark, path))
+    out = None
+    for name, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("rows"), F.sum("item").alias("items")).select(
+            F.lit(name).alias("frame"), "*", F.lit(n).cast("bigint").alias("versions"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_model_round_trip(spark, d):
+    """The fitted model saved (and replaced) as a snapshot and loaded again: factors, and how many of
+    them came back bit by bit (S5, K2)."""
+    from pyspark.ml.recommendation import ALSModel
+
+    from hamper.sinks.snapshots import load_model, save_model
+    rated, _, _ = _als_inputs(spark, d)
+    model, path = _als_model(spark, d, rated), scratch_dir(spark, "model")
+    for _ in range(2):
+        save_model(model, path, spark)
+    back = load_model(ALSModel, path, spark)
+    count = F.count(F.lit(1))
+    same = lambda a, b: a.join(b.withColumnRenamed("features", "f"), "id").where(F.col("features") == F.col("f")).select(count).scalar()
+    return back.userFactors.select(count.alias("baskets")).select(
+        "baskets", back.itemFactors.select(count).scalar().alias("items"), F.lit(back.rank).cast("bigint").alias("rank"),
+        same(model.userFactors, back.userFactors).alias("same_baskets"), same(model.itemFactors, back.itemFactors).alias("same_items"))
+
+
 def q_ingest_increment(spark, d):
     """Two sources with a checkpoint each into one target, the second holding a damaged file; then
     the first source once more under a third checkpoint, as after losing the first: it reads all
@@ -400,7 +484,7 @@ def q_ingest_increment(spark, d):
 
 def q_stage_tables(spark, d):
     """Stage tables written (overwritten, appended, partitioned) and opened again, also in place
-    of a table that is missing (S5, S6, K1, K2)."""
+    of a table that is missing (S6, K1)."""
     from hamper.sources.baskets import read_table, read_with_fallback
     train, path = cust_train(spark, d), scratch_dir(spark, "stage")
     for mode in ("overwrite", "overwrite"):
@@ -553,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "quality_tier": q_quality_tier,
     "evaluation_report": q_evaluation_report,
     "dataset_stats": q_dataset_stats,
+    "distinct_sketches": q_distinct_sketches,
     "submission_rows": q_submission_rows,
     "nested_parse": q_nested_parse,
     "root_shapes": q_root_shapes,
@@ -565,6 +650,10 @@ QUERIES: dict[str, Query] = {
     "excluded_baskets": q_excluded_baskets,
     "file_sample": q_file_sample,
     "file_inventory": q_file_inventory,
+    "file_listing": q_file_listing,
+    "file_level_sample": q_file_level_sample,
+    "stage_snapshots": q_stage_snapshots,
+    "model_round_trip": q_model_round_trip,
     "ingest_increment": q_ingest_increment,
     "run_metadata": q_run_metadata,
     "als_candidates": q_als_candidates,

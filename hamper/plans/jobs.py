@@ -27,8 +27,9 @@ from hamper.operators.sampling import sample_interactions, stratified_baskets
 from hamper.operators.split import split_ordered
 from hamper.operators.stats import dataset_stats
 from hamper.session import materialize
+from hamper.sinks.snapshots import load_model, save_model, write_snapshot
 from hamper.sinks.writers import read_back_count, recommendation_lists, write_recommendations, write_table
-from hamper.sources.baskets import read_baskets, read_request_baskets, read_with_fallback
+from hamper.sources.baskets import read_baskets, read_request_baskets, read_table, read_with_fallback
 
 STAGE_COLUMNS = ["basket_idx", "item_idx", "item", "position"]
 
@@ -72,13 +73,13 @@ def train(spark: SparkSession, stage: str, out: str, sample: Mapping[str, float]
         rated, stratified_baskets(rated, basket="basket_idx", item="item_idx", fractions=sample), basket="basket_idx")
     sampled = materialize(sampled)
     model = A.fit_als(sampled, rank=rank, max_iter=max_iter, reg=reg, alpha=alpha, seed=seed)
-    model.write().overwrite().save(f"{out}/als_model")
-    write_table(FE.popularity(sampled, basket="basket_idx", item="item_idx", extra_keys=["item"]),
-                f"{out}/item_popularity")
-    write_table(cooccurrence(sampled, basket="basket_idx", item="item_idx", fraction=pair_fraction, max_size=max_size,
-                             sample_keys=("basket_idx", "position")), f"{out}/item_pairs")
-    write_table(excluded_baskets(sampled, "basket_idx", "item_idx", max_size=max_size), f"{out}/excluded_baskets")
-    pairs = spark.read.parquet(f"{out}/item_pairs")
+    save_model(model, f"{out}/als_model", spark)
+    write_snapshot(FE.popularity(sampled, basket="basket_idx", item="item_idx", extra_keys=["item"]),
+                   f"{out}/item_popularity")
+    write_snapshot(cooccurrence(sampled, basket="basket_idx", item="item_idx", fraction=pair_fraction, max_size=max_size,
+                                sample_keys=("basket_idx", "position")), f"{out}/item_pairs")
+    write_snapshot(excluded_baskets(sampled, "basket_idx", "item_idx", max_size=max_size), f"{out}/excluded_baskets")
+    pairs = read_table(spark, f"{out}/item_pairs")
     counts = sampled.agg(F.count_distinct("basket_idx").alias("sample_baskets"),
                          F.count(F.lit(1)).alias("sample_interactions"),
                          F.count_distinct("item_idx").alias("total_items")) \
@@ -88,19 +89,20 @@ def train(spark: SparkSession, stage: str, out: str, sample: Mapping[str, float]
 
 
 def evaluate(spark: SparkSession, stage: str, model_dir: str, ks: Sequence[int] = M.DEFAULT_KS,
-             k: int = R.TOP_K, out: str | None = None) -> DataFrame:
+             k: int = R.TOP_K, out: str | None = None, n_baskets: int | None = None) -> DataFrame:
     """Report per cut-off k (hits, precision, recall, coverage) with MAP@k and its tier.
 
-    All test baskets are evaluated; candidates come from the factors (top-k, seen items
+    All test baskets are evaluated (``n_baskets``: the first so many by id); candidates come from the factors (top-k, seen items
     included, so many more that k remain), are blended with popularity, lose the items seen
     in train, and are re-ranked. ``recommendation_coverage`` counts the baskets with a list."""
     from pyspark.ml.recommendation import ALSModel
 
-    model = ALSModel.load(f"{model_dir}/als_model")
-    pop = spark.read.parquet(f"{model_dir}/item_popularity").select("item_idx", "popularity_score")
+    model = load_model(ALSModel, f"{model_dir}/als_model", spark)
+    pop = read_table(spark, f"{model_dir}/item_popularity").select("item_idx", "popularity_score")
     test = spark.read.parquet(f"{stage}/test")
     seen = spark.read.parquet(f"{stage}/train").select("basket_idx", "item_idx")
-    baskets = test.select("basket_idx").distinct()
+    baskets = M.evaluation_baskets(test, n_baskets, "basket_idx")
+    test = test if n_baskets is None else test.join(baskets, "basket_idx", "left_semi")
     cands = A.over_fetch(model, baskets, seen, k=k)
     ranked = R.rank_unseen(R.blend(cands, pop, item="item_idx"), seen, basket="basket_idx", item="item_idx", k=k)
     ranked = materialize(ranked)
@@ -108,10 +110,10 @@ def evaluate(spark: SparkSession, stage: str, model_dir: str, ks: Sequence[int]
     hit_rows = M.hits(ranked, truth, basket="basket_idx", item="item_idx")
     report = M.evaluation_report(hit_rows, baskets, truth, ks=ks, k=k, basket="basket_idx")
     if out:
-        write_table(ranked, f"{out}/recommendations_final")
-        write_table(report, f"{out}/evaluation_report")
-        write_table(M.baskets_with_recs(ranked, baskets, "basket_idx"), f"{out}/recommendation_coverage")
-        return spark.read.parquet(f"{out}/evaluation_report")
+        write_snapshot(ranked, f"{out}/recommendations_final")
+        write_snapshot(report, f"{out}/evaluation_report")
+        write_snapshot(M.baskets_with_recs(ranked, baskets, "basket_idx"), f"{out}/recommendation_coverage")
+        return read_table(spark, f"{out}/evaluation_report")
     return report
 
 

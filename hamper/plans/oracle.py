@@ -300,6 +300,10 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (WHERE split_rank <= basket_size * 0.8::DOUBLE) AS train_rows,
                count(*) FILTER (WHERE split_rank > basket_size * 0.8::DOUBLE) AS test_rows
         FROM split"""),
+    "distinct_sketches": _with(SPLIT, """
+        SELECT count(DISTINCT basket) AS baskets, count(DISTINCT item) AS items, count(*) AS rows,
+               true AS union_is_one_pass, true AS within_error
+        FROM split"""),
     "submission_rows": _with(RECS, """
         SELECT CAST(basket AS VARCHAR) AS playlist_id,
                CAST(to_json(list(CAST(item AS VARCHAR) ORDER BY rank)) AS VARCHAR) AS recommended_tracks,
@@ -335,6 +339,20 @@ ORACLE: dict[str, str] = {
         SELECT o_orderpriority AS folder, CAST(1 AS BIGINT) AS files,
                CAST(sum(strlen(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS bytes
         FROM orders GROUP BY o_orderpriority""",
+    "file_listing": """
+        SELECT o_orderpriority AS folder, count(DISTINCT o_orderkey % 3) AS files, true AS in_order
+        FROM orders GROUP BY o_orderpriority""",
+    "file_level_sample": _with(ORDER, f"""
+        SELECT basket, 'item:' || CAST(item AS VARCHAR) AS item, position FROM ord
+        WHERE {_keep('0.5::DOUBLE', 'CAST(basket // 1024 AS VARCHAR)')}"""),
+    "stage_snapshots": _with(SPLIT, """
+        SELECT f AS frame, count(*) AS rows, CAST(sum(item) AS BIGINT) AS items, CAST(2 AS BIGINT) AS versions
+        FROM train, (SELECT unnest(['held', 'interrupted', 'current']) AS f)
+        WHERE f <> 'current' OR basket % 2 = 0 GROUP BY f"""),
+    "model_round_trip": _with(SPLIT, """
+        SELECT count(DISTINCT basket) AS baskets, count(DISTINCT item) AS items, CAST(50 AS BIGINT) AS rank,
+               count(DISTINCT basket) AS same_baskets, count(DISTINCT item) AS same_items
+        FROM train"""),
     "ingest_increment": _with(ORDER, """
         SELECT count(DISTINCT basket) AS baskets, count(*) AS interactions, CAST(1 AS BIGINT) AS failed,
                CAST(0 AS BIGINT) AS new_files, CAST(0 AS BIGINT) AS new_baskets, count(*) AS held

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hamper.operators.sampling import SEED, file_sample, hash_sample
+from hamper.functions import expressions as X
+from hamper.operators.sampling import SEED, hash_sample
+from hamper.session import materialize
+from hamper.sinks import snapshots
 
 S, I, L = T.StringType(), T.IntegerType(), T.LongType()
 
@@ -53,13 +56,14 @@ def read_baskets(spark: SparkSession, path: str, pattern: str | None = None, sam
     row that the explode drops. ``sample`` keeps a deterministic share of whole files
     (``sample_level="file"``, like sampling documents before the explode) or of baskets
     (``"basket"``, by a hash of the basket id). ``file_key`` replaces the file name as the
-    file-level sampling key (a column over ``_file``, e.g. a stable part of the name).
+    file-level sampling key (a column over ``_metadata``, e.g. a stable part of
+    ``_metadata.file_path``). Files left out are not opened.
     """
-    docs = _json(spark, DOCUMENT_SCHEMA, multiline, pattern).json(path) \
-        .select("playlists", F.col("_metadata.file_name").alias("_file"))
+    docs = _json(spark, DOCUMENT_SCHEMA, multiline, pattern).json(path)
     if sample is not None and sample_level == "file":
-        docs = file_sample(docs.withColumn("_key", F.col("_file") if file_key is None else file_key),
-                           sample, seed, "_key").drop("_key")
+        # a condition on the file alone is tested on the listing: other files are not opened
+        docs = docs.where(X.hash_keep(sample, seed, F.col("_metadata.file_name") if file_key is None else file_key))
+    docs = docs.select("playlists", F.col("_metadata.file_name").alias("_file"))
     baskets = docs.select(F.explode("playlists").alias("_b"), "_file").select("_b.*", "_file")
     if sample is not None and sample_level == "basket":
         baskets = hash_sample(baskets, ["pid"], sample, seed)
@@ -68,6 +72,28 @@ def read_baskets(spark: SparkSession, path: str, pattern: str | None = None, sam
     return baskets
 
 
+def numbered_lines(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """Lines of text files with their place: _file (name), _doc (number of the line in its file, from 0,
+    empty lines counted) and _v (without a closing carriage return).
+
+    Large files are read as several splits. The lines are stored with the start of their split
+    and their place in the task, which keeps a split's lines together and in order; the lines
+    of a file's earlier splits, a running sum over one row per split, are added.
+    """
+    reader = spark.read.option("lineSep", "\n")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = materialize(reader.text(path).select(
+        F.regexp_replace("value", "\r$", "").alias("_v"), F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"), place.alias("_at")))
+    splits = lines.groupBy("_path", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    shift = splits.select("_path", "_start", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return (lines.join(shift, ["_path", "_start"])
+            .select("_file", (F.col("_at") + F.col("_shift")).alias("_doc"), "_v"))
+
+
 def read_request_baskets(spark: SparkSession, path: str, pattern: str | None = None,
                          multiline: bool = True) -> DataFrame:
     """Requests from documents that are either a root list of requests or an object with a
@@ -77,16 +103,17 @@ def read_request_baskets(spark: SparkSession, path: str, pattern: str | None = N
     ``multiline``, else the line) and position in the document, so equal requests, empty ones
     (``{}``) and requests that share a ``test_id`` stay apart and each gets its own output. A
     missing ``test_id`` is named ``unknown_<place>``; missing ``tracks`` become an empty list;
-    null list elements and malformed documents are dropped. A file is read as one text.
+    null list elements and malformed documents are dropped. With ``multiline`` a file is one
+    document and read as one text; else files are split and read by line (``numbered_lines``).
     """
-    reader = spark.read
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    files = reader.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("_file"))
     if multiline:
-        docs = files.select("_file", F.lit(0).alias("_doc"), F.col("value").alias("_v"))
+        reader = spark.read
+        if pattern:
+            reader = reader.option("pathGlobFilter", pattern)
+        docs = reader.text(path, wholetext=True).select(
+            F.col("_metadata.file_name").alias("_file"), F.lit(0).alias("_doc"), F.col("value").alias("_v"))
     else:
-        docs = files.select("_file", F.posexplode(F.split("value", "\r?\n")).alias("_doc", "_v"))
+        docs = numbered_lines(spark, path, pattern)
     as_list = F.from_json("_v", T.ArrayType(REQUEST_SCHEMA))
     as_object = F.from_json("_v", T.StructType([T.StructField("playlists", T.ArrayType(REQUEST_SCHEMA))]))["playlists"]
     items = F.when(F.ltrim("_v").startswith("["), as_list).otherwise(as_object)
@@ -101,7 +128,8 @@ def read_request_baskets(spark: SparkSession, path: str, pattern: str | None = N
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A stage table: the current version of a snapshot table, or plain Parquet files."""
+    return spark.read.parquet(snapshots.current(spark, path) or path)
 
 
 def read_with_fallback(spark: SparkSession, primary: str | None, fallback: str) -> tuple[DataFrame, str]:
@@ -109,10 +137,10 @@ def read_with_fallback(spark: SparkSession, primary: str | None, fallback: str)
     frame and the name of the source used. Any other failure to read ``primary`` is raised: a
     damaged table must not silently turn into the fallback."""
     if primary is None:
-        return spark.read.parquet(fallback), "fallback"
+        return read_table(spark, fallback), "fallback"
     try:
-        return spark.read.parquet(primary), "primary"
+        return read_table(spark, primary), "primary"
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.read.parquet(fallback), "fallback"
+        return read_table(spark, fallback), "fallback"

@@ -65,3 +65,73 @@ def test_inventory_without_contents(spark, tmp_dir):
     assert tot.files == 3 and tot.bytes == sum(os.path.getsize(os.path.join(tmp_dir, f)) for f in os.listdir(tmp_dir))
     plan = files._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def _files_opened(df):
+    """Files of the scans under a frame's last run."""
+    import re
+
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found, open_ = 0, [plan]
+    while open_:
+        node = open_.pop()
+        if node.metrics().contains("numFiles"):
+            found += node.metrics().apply("numFiles").value()
+        if re.match("AdaptiveSparkPlan", node.nodeName()):
+            open_.append(node.executedPlan())
+        open_ += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_files_left_out_of_a_sample_are_not_opened(spark, tmp_dir):
+    _docs(tmp_dir, 40)
+    assert _files_opened(read_baskets(spark, tmp_dir)) == 40
+    sampled = read_baskets(spark, tmp_dir, sample=0.25, sample_level="file")
+    kept = sampled.select("_file").distinct().count()
+    assert 0 < kept < 25 and _files_opened(sampled) == kept
+    by_number = F.regexp_extract(F.col("_metadata.file_path"), r"part\.(\d+)\.", 1)
+    part = read_baskets(spark, tmp_dir, sample=0.5, file_key=by_number)
+    assert _files_opened(part) == part.select("_file").distinct().count() < 40
+
+
+def test_lines_of_split_files_keep_their_numbers(spark, tmp_dir):
+    """JSON lines of several splits, with empty, damaged and long lines and both line ends."""
+    from hamper.sources.baskets import numbered_lines, read_request_baskets
+
+    lines = {}
+    for name, end in (("a.json", "\n"), ("b.json", "\r\n"), ("sub.json", "\n")):
+        some = []
+        for i in range(300):
+            tracks = [{"track_uri": f"u{j}"} for j in range(i % 40)]
+            one = {"test_id": f"{name}-{i}", "tracks": tracks}
+            some.append("" if i % 17 == 3 else "{ damaged" if i % 29 == 5 else json.dumps([one, {}] if i % 2 else {"playlists": [one]}))
+        lines[name] = some
+        with open(os.path.join(tmp_dir, name), "w", newline="") as f:
+            f.write(end.join(some) + (end if name != "a.json" else ""))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert spark.read.option("lineSep", "\n").text(tmp_dir).rdd.getNumPartitions() > 12
+        got = sorted((r._file, r._doc, r._v) for r in numbered_lines(spark, tmp_dir).collect())
+        keys = {r.request_key: (r.test_id, len(r.tracks)) for r in read_request_baskets(spark, tmp_dir, multiline=False).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted((n, i, v) for n, some in lines.items() for i, v in enumerate(some))
+    expected = {}
+    for name, some in lines.items():
+        for i, v in enumerate(some):
+            if v.startswith(("[", '{"')):
+                doc = json.loads(v)
+                for pos, r in enumerate(doc if isinstance(doc, list) else doc["playlists"]):
+                    place = f"{name}:{i}:{pos}"
+                    expected[place] = (r.get("test_id", f"unknown_{place}"), len(r.get("tracks", [])))
+    assert keys == expected
+
+
+def test_inventory_is_in_name_order(spark, tmp_dir):
+    for i in (5, 1, 12, 3):
+        os.makedirs(os.path.join(tmp_dir, f"d{i % 3}"), exist_ok=True)
+        with open(os.path.join(tmp_dir, f"d{i % 3}", f"f{i:02}.txt"), "w") as f:
+            f.write("x" * i)
+    rows = file_inventory(spark, tmp_dir).collect()
+    assert [(r.file_name, r.length) for r in rows] == [("f01.txt", 1), ("f03.txt", 3), ("f05.txt", 5), ("f12.txt", 12)]

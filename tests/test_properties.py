@@ -71,3 +71,53 @@ def test_fused_split_equals_general_split(spark):
                                                          "basket_size", "is_train")
     fused = C.cust_split(spark, SF001)
     assert general.exceptAll(fused).count() == 0 and fused.exceptAll(general).count() == 0
+
+
+def test_items_below_the_bound_leave_before_pairing(spark):
+    """The pairing sees only items that may reach the threshold, and the counts stay the same."""
+    from itertools import combinations
+    from collections import Counter
+    import random
+
+    from hamper.operators import cooccurrence as CO
+    rng = random.Random(4)
+    rows = [(b, rng.choice(range(40)) if rng.random() < 0.6 else 1000 + rng.randrange(4000), n)
+            for b in range(80) for n in range(rng.randint(5, 12))]
+    df = spark.createDataFrame(rows, "basket long, item long, position int")
+    bags = {}
+    for b, i, _ in rows:
+        bags.setdefault(b, Counter())[i] += 1
+    for low in (1, 2, 3, 5):
+        counts = Counter()
+        for bag in bags.values():
+            for a, b in combinations(sorted(bag), 2):
+                counts[a, b] += bag[a] * bag[b]
+        got = {(r.item1, r.item2): r.cooccur_count for r in CO.cooccurrence(df, min_count=low).collect()}
+        assert got == {p: n for p, n in counts.items() if n >= low}
+        folded = df.groupBy("basket", "item").count().withColumnRenamed("count", "_copies")
+        kept = {r.item for r in CO.possible_partners(folded, low).collect()}
+        assert {i for p in got for i in p} <= kept
+        pairs = sum(1 for bag in bags.values() for _ in combinations(sorted(bag), 2))
+        left = sum(1 for bag in bags.values() for _ in combinations(sorted(kept & set(bag)), 2))
+        assert low < 3 or left < 0.6 * pairs
+
+
+def test_metrics_at_any_cut_off(spark):
+    """The histograms against a plain count, with ranks beyond, ties of baskets, and no hits at all."""
+    import random
+
+    from hamper.operators import metrics as M
+    rng = random.Random(2)
+    hits = [(b, i, rng.randint(1, 120)) for b in range(30) for i in range(rng.randint(0, 6))]
+    baskets = spark.range(40).withColumnRenamed("id", "basket")
+    truth = spark.createDataFrame([(b, i) for b, i, _ in hits] + [(99, 1)], "basket long, item long")
+    frame = spark.createDataFrame(hits, "basket long, item long, rank long")
+    ks = (1, 7, 50, 100)
+    for r in M.metrics_at_k(frame, baskets, truth, ks).collect():
+        near = [(b, i) for b, i, rank in hits if rank <= r.k]
+        assert (r.hits, r.precision, r.recall, r.coverage) == (
+            len(near), len(near) / (40 * r.k), len(near) / (len(hits) + 1), len({b for b, _ in near}) / 40)
+    plan = M.metrics_at_k(frame, baskets, truth, ks)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Generate explode" not in plan
+    none = M.metrics_at_k(frame.limit(0), baskets, truth, ks).orderBy("k").collect()
+    assert [(r.k, r.hits, r.precision, r.recall, r.coverage) for r in none] == [(k, 0, 0.0, 0.0, 0.0) for k in ks]
