@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hamper.llm.common import pack_gaps, stage, unpack_gaps
+from hamper.llm.common import byte_level_alphabet, pack_gaps, stage, trim, unpack_gaps
 
 PIECE = 1 << 16          # ends of both lists that a piece merges
 SLICE_BYTES = 1 << 20    # text tokenized and merged at a time
@@ -112,14 +112,6 @@ def gather(chars: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
     return chars[np.arange(int(length.sum())) + np.repeat(start - at, length)]
 
 
-def byte_level_alphabet() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes: printable Latin-1 as it is,
-    the other bytes from U+0100 on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    other = [b for b in range(256) if b not in plain]
-    return {**{chr(b): b for b in plain}, **{chr(256 + k): b for k, b in enumerate(other)}}
-
-
 class ByteLevel:
     """Tokenizer A. The file's vocabulary and pattern run through ``tiktoken`` (six times the
     speed of ``tokenizers``, same ids: the order of merges is the order of ids there); a file
@@ -296,7 +288,7 @@ def _align_batches(a_path: str, b_path: str, block_bytes: int, slice_bytes: int,
                 block = _Block()
         if block.n:
             yield block.row()
-        pa.default_memory_pool().release_unused()
+        trim()
     return run
 
 

@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hamper.llm.common import stage
+from hamper.llm.common import drop_rows, stage, trim
+from hamper.session import materialize_bucketed
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -195,12 +196,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([sig[i].tobytes() if full[i] else None for i in range(n)], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(band.reshape(-1)))],
                 names=["doc_id", "key", "sig", "bands"])
-    _trim()
-
-
-def _trim() -> None:
-    """Workers are kept between tasks: give unused memory back."""
-    pa.default_memory_pool().release_unused()
+    trim()
 
 
 def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +210,7 @@ def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()),
                  pa.array([c[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())],
                 names=["key", "hashes", "counts"])
-    _trim()
+    trim()
 
 
 def _verify(similarity: float):
@@ -315,15 +311,17 @@ def _bags(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     bags = (docs.join(ids, "doc_id", "left_semi").select("text")
             .mapInArrow(_multisets, "key binary, hashes binary, counts binary"))
     # an id that repeats brings texts nobody asked for, copies bring the same bag again
-    return stage(bags.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "near-bags")
+    return materialize_bucketed(bags.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "key")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b, similarity) among candidate pairs, by the exact multisets of their texts."""
     bags = _bags(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), nodes, docs)
-    side = lambda k: bags.select(F.col("key").alias(k), F.col("hashes").alias(f"h{k}"),
-                                 F.col("counts").alias(f"c{k}"))
-    return stage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ha", "ca", "hb", "cb")
+    side = lambda df, k: df.select(F.col("key").alias(k), F.col("hashes").alias(f"h{k}"),
+                                   F.col("counts").alias(f"c{k}"))
+    # many pairs may share their first member: its bag is no bucketed side, so that a hot one is split
+    firsts = stage(bags.join(pairs.select(F.col("a").alias("key")).distinct(), "key", "left_semi"), "near-firsts")
+    return stage(pairs.join(side(firsts, "a"), "a").join(side(bags, "b"), "b").select("a", "b", "ha", "ca", "hb", "cb")
                  .mapInArrow(_verify(similarity), PAIR + ", similarity double"), "near-links")
 
 
@@ -372,14 +370,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Defined cases: a null or empty text (or one of white space) has no shingles, resembles
     nothing and is a class of its own; equal multisets are one class whatever their number; a
     null id takes no part (class null, kept); rows that repeat an id share the id's smallest
-    class if their texts differ; an empty table gives an empty result.
+    class if their texts differ; a text of any length counts whole, one above ``BATCH_BYTES`` is
+    handled by itself; other columns take no part, whatever their names; an empty table gives an
+    empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     named = rows.where("doc_id is not null")
     signed = stage(named.mapInArrow(_sign, "doc_id long, key binary, sig binary, bands array<bigint>"), "near-signed")
-    nodes = stage(signed.where("key is not null").groupBy("key")
-                  .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")),
-                  "near-nodes")
+    # bucketed by key: what joins the signatures below brings its own few rows to them
+    nodes = materialize_bucketed(
+        signed.where("key is not null").groupBy("key")
+        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "key")
     banded = nodes.select("key", F.explode("bands").alias("bucket"))
     shared = stage(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "near-buckets")
     held = stage(banded.join(shared, "bucket").select("bucket", "key", "n"), "near-held")
@@ -392,8 +393,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "near-centers")
     first = (held.join(centers, "bucket").groupBy("key").agg(F.max("center").alias("c")).join(central, "key")
              .where("c > struct(weight, key)").select(F.col("c.key").alias("a"), F.col("key").alias("b")))
-    sig = lambda df, k: df.join(nodes.select(F.col("key").alias(k), F.col("sig").alias(f"s{k}")), k)
-    likely = stage(sig(sig(first, "a"), "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing, PAIR), "near-first")
+    first = stage(first, "near-first-pairs")
+    sig = lambda df, k: df.select(F.col("key").alias(k), F.col("sig").alias(f"s{k}"))
+    hubs = stage(nodes.join(first.select(F.col("a").alias("key")).distinct(), "key", "left_semi").select("key", "sig"), "near-hubs")
+    likely = stage(first.join(sig(hubs, "a"), "a").join(sig(nodes, "b"), "b").select("a", "b", "sa", "sb")
+                   .mapInArrow(_agreeing, PAIR), "near-first")
     links = _verified(likely, nodes, named, similarity)
     trees = _roots(links.select(F.col("b").alias("key"), F.col("a").alias("parent")))
     trees = stage(trees.where("key <> root"), "near-trees")
@@ -448,6 +452,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that stay: one document of each class, and rows without an id."""
     found = near_duplicates(docs, id_col, text_col)
     # an id that several rows carry goes only if all of them do
-    gone = stage(found.groupBy(F.col("doc_id").alias("gone")).agg(F.bool_or("kept").alias("any"))
-                 .where("not any").select("gone"), "near-gone")
-    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
+    gone = (found.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("any"))
+            .where("not any").select("doc_id"))
+    return drop_rows(docs, gone, doc_id=F.col(id_col))

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hamper.llm.common import pack_gaps, stage, unpack_gaps
+from hamper.llm.common import pack_gaps, stage, trim, unpack_gaps
 from hamper.session import materialize_bucketed
 
 WINDOW = 13
@@ -180,7 +180,7 @@ def _store(window: int, bits: int, segment_bits: int, block_bytes: int):
                     ids, texts, held = [], [], 0
         if ids:
             yield from block_rows(ids, texts)
-        pa.default_memory_pool().release_unused()
+        trim()
     return run
 
 
