@@ -121,8 +121,9 @@ def mix(docs: DataFrame, size: Column, weight: Column, id_col: str = "doc_id", s
 
     Defined cases: a null source is a source of its own, last in order; a null text has size 0
     and a document without words is never taken; a null, zero or negative weight counts as 1;
-    rows that repeat are separate documents with equal keys, taken in turn; an empty table
-    gives an empty result.
+    rows that repeat are separate documents with equal keys, taken in turn; a very long document
+    is taken whole or not, and is what the list of later candidates is bounded by; the caller's
+    columns stay in ``row``, whatever their names; an empty table gives an empty result.
     """
     good = F.coalesce(F.when(weight > 0, weight.cast("double")), F.lit(1.0))
     key = exponential_key(F.col(id_col), F.lit(0) if text_hash is None else text_hash, good)

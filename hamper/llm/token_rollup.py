@@ -51,7 +51,9 @@ class TokenRollup:
     Defined cases: null source or lang is a key of its own; a batch with no rows commits and
     changes nothing; a batch id commits once, however often it is sent; keys whose documents
     and tokens both come to zero leave the totals; counts may turn negative if a delete comes
-    without its insert, and the totals show it.
+    without its insert, and the totals show it; rows that repeat count each; texts play no part but
+    by the caller's counts, so their length doesn't matter (totals are longs); other columns of
+    the changed rows are left out, whatever their names.
     """
 
     def __init__(self, spark: SparkSession, root: str):

@@ -81,7 +81,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     Defined cases: a null URL, or one without ``://``, has empty host and path and fits no
     rule with a host. Longest rule text wins, then the longer host, then the later rule text
     and verdict in code point order; rules with a null part are ignored, repeated rules count
-    once. Empty tables give empty results or the default.
+    once; repeated pages get a row each, URLs of any length are judged whole, and the caller's
+    columns stay in ``row``, whatever their names. Empty tables give empty results or the default.
     """
     listed = stage(rules.where("host is not null and path is not null and verdict is not null")
                    .select("host", "path", "verdict").distinct()

@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from oracle_harness import compare, duck
 from tokenizers import Tokenizer
 
@@ -13,6 +14,11 @@ from conftest import SF001, SF01
 from hamper.llm import queries as Q
 
 TYPES = {
+    "op11_prefix_trie": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint",
+                         "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
+    "op12_token_alignment": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint",
+                             "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
+    "op13_substring_dedup": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
     "op2_mix_sources": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
     "op3_exact_topk": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
     "op4_token_files": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
@@ -36,8 +42,12 @@ def test_oracle(spark, name):
 
 @pytest.mark.parametrize("name", sorted(TYPES))
 def test_contract_types(spark, name):
-    kinds = dict(Q.QUERIES[name](spark, SF001).dtypes)
+    """The contract's columns; and no plan holds a Cartesian product or a nested-loop join."""
+    df = Q.QUERIES[name](spark, SF001)
+    kinds = dict(df.dtypes)
     assert {k: kinds[k] for k in TYPES[name]} == TYPES[name]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 def test_token_files_equal_the_tokenizer(spark):
@@ -86,3 +96,18 @@ def test_toxicity_ranks_held_out_rows(spark):
     held = [(got[i].score, y) for i, y in rows if got[i].held_out]
     pairs = [(a > b) + 0.5 * (a == b) for a, y in held if y for b, z in held if not z]
     assert sum(pairs) / len(pairs) > 0.85    # 37 toxic documents to learn from at this size
+
+
+def test_mix_equals_brute_force(spark):
+    """Taken words of every document of the smallest table, by the driver-side version of the same rules."""
+    from test_llm_mixing import brute
+
+    from hamper.llm import mixing
+    from hamper.llm.common import word_count
+
+    text = F.col("text")
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select(
+        "doc_id", "source", word_count(text), mixing.exponential_key(F.col("doc_id"), F.xxhash64("text"), mixing.quality_weight(text))).collect()]
+    copies, _, _ = brute(rows)
+    got = {r.doc_id: r.taken for r in Q.QUERIES["op2_mix_sources"](spark, SF001).collect()}
+    assert got == {r[0]: c * r[2] for r, c in zip(rows, copies)}
