@@ -19,6 +19,7 @@ lost executor leaves no half-written file. A frame is self-describing bytes, see
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hamper.llm.common import shared_dir, stage
+from hamper.llm.common import byte_level_alphabet, shared_dir, stage, trim
 
 MAGIC = b"RNS1"
 PRECISION = 18          # frequencies add up to 2**18
@@ -38,8 +39,13 @@ LOWER = 1 << 31         # coder states stay in [2**31, 2**63); 32 bits move at a
 LANES = 32
 CHECKPOINT = 256        # steps (of LANES ids each) between checkpoints
 BLOCK_IDS = 65_536
-CACHE_ENTRIES = 800_000   # about 200 bytes each
+CACHE_ENTRIES = 1_000_000   # about 200 bytes each
 CACHE_CHUNK = 48        # longer chunks (bytes) are tokenized without the cache
+TEXT_BYTES = 8 << 20    # text tokenized at a time: a worker holds about ten bytes a byte of it
+GROUP = 32              # blocks coded side by side, or fewer if one is long
+
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: magic, flags, table crc, documents, ids, first id position, segments, words
 HEADER = struct.Struct("<4sIIIQQII")
 
@@ -190,13 +196,73 @@ def decode_frames(table: Table, frames: list[dict]) -> list[np.ndarray]:
 
 
 # ---------------------------------------------------------------- tokenizing
+class LatinWords:
+    """Ids of many Latin words at a time, for byte-level BPE files with an end-of-word suffix.
+
+    A word's symbols are the bytes of its lower-case form, the last one marked by the suffix.
+    The Latin-1 letters need fewer than 128 such symbols, so each gets an ASCII character, and
+    ``tiktoken`` merges the words, one a line, by the file's own ranks (several times the speed
+    of ``tokenizers``; the same ids, as the order of merges is the order of ids).
+    """
+
+    BYTES = [*range(0x61, 0x7B), 0x9F, *range(0xA0, 0xB7), *range(0xB8, 0xC0)]   # of a-z, \u00df, \u00e0-\u00ff but \u00f7
+    LEAD = 0xC3
+
+    def __init__(self, vocab: dict[str, int], suffix: str):
+        import tiktoken
+
+        codes = iter(i for i in range(1, 128) if i != 10)
+        self.inner, self.last = np.full(256, 10, np.uint8), np.full(256, 10, np.uint8)
+        for b in [*self.BYTES, self.LEAD]:
+            self.inner[b] = next(codes)
+        for b in self.BYTES:
+            self.last[b] = next(codes)
+        alphabet, known = byte_level_alphabet(), {*self.BYTES, self.LEAD}
+        ranks = {}
+        for piece, i in vocab.items():
+            ends = piece.endswith(suffix)
+            body = [alphabet.get(c, 0) for c in (piece[:-len(suffix)] if ends else piece)]
+            if known.issuperset(body) and not (ends and body[-1:] == [self.LEAD]):
+                symbols = self.inner[body]
+                if ends:
+                    symbols[-1] = self.last[body[-1]]
+                ranks[symbols.tobytes()] = i
+        self.line = max(vocab.values()) + 1
+        self.tool = tiktoken.Encoding("words", pat_str=r"[^\n]+|\n", mergeable_ranks={**ranks, b"\n": self.line}, special_tokens={})
+
+    @classmethod
+    def of(cls, tokenizer) -> LatinWords | None:
+        """For a tokenizer of that kind, else None."""
+        spec = json.loads(tokenizer.to_str())
+        model, normal = spec["model"], spec.get("normalizer") or {}
+        suffix, vocab = model.get("end_of_word_suffix"), model.get("vocab")
+        steps = [n["type"] for n in normal.get("normalizers", [normal]) if n]
+        if model["type"] != "BPE" or not suffix or "ByteLevel" not in json.dumps(spec.get("pre_tokenizer")) or \
+                steps[-1:] != ["Lowercase"] or not set(steps) <= {"NFC", "Replace", "Lowercase"}:
+            return None
+        order = [vocab[m.replace(" ", "") if isinstance(m, str) else "".join(m)] for m in model["merges"]]
+        return cls(vocab, suffix) if order == sorted(order) else None
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, end of each word's ids)."""
+        chars = np.frombuffer("\n".join(words).lower().encode(), np.uint8)
+        lines = np.flatnonzero(chars == 10)
+        ends = np.r_[lines, len(chars)] - 1
+        symbols = self.inner[chars]
+        symbols[ends] = self.last[chars[ends]]
+        ids = np.array(self.tool.encode_ordinary(symbols.tobytes().decode("ascii")), np.int64)
+        between = np.flatnonzero(ids == self.line)
+        return np.delete(ids, between), np.r_[between - np.arange(len(between)), len(ids) - len(between)]
+
+
 class ChunkTokenizer:
     """Ids of whole texts, by ASCII white space chunks with a bounded cache.
 
     For tokenizers that drop white space before splitting words: no token spans it, so the
     ids of a text are those of its chunks in order. (``tests/llm`` compares with whole texts.)
-    New chunks that are a Latin word, with or without one full stop or comma, are encoded as
-    one long text; the tokenizer's end-of-word suffix tells their ids apart again.
+    The chunks of many texts are dictionary-encoded together; each distinct one is tokenized
+    or looked up once, and the ids are gathered by its number. New chunks that are a Latin
+    word, with or without one full stop or comma, go through ``LatinWords`` if the file allows.
     """
 
     PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,]?)")
@@ -209,53 +275,65 @@ class ChunkTokenizer:
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self.limit, self.cache = cache_entries, {}
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
-        if suffix:
-            self.ends_word[[i for piece, i in vocab.items() if piece.endswith(suffix)]] = True
+        self.words = LatinWords.of(self.tokenizer)
+        self.signs = {sign: self._whole([sign])[0] for sign in ("", ".", ",")}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(g.ids, self.dtype).tobytes() for g in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode(self, chunks: list[bytes]) -> list[bytes]:
         texts = [c.decode("utf-8") for c in chunks]
         out: list[bytes] = [b""] * len(texts)
-        plain = [(i, 1 + bool(m[1])) for i, t in enumerate(texts) if (m := self.PLAIN.fullmatch(t))]
-        if len(plain) > 1:
-            joined = " ".join(texts[i] for i, _ in plain)
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.dtype)
-            word_ends = np.flatnonzero(self.ends_word[ids]) + 1
-            last = np.cumsum([n for _, n in plain]) - 1
-            if len(word_ends) == last[-1] + 1 and word_ends[-1] == len(ids):
-                raw, size, a = ids.tobytes(), self.dtype.itemsize, 0
-                for (i, _), b in zip(plain, word_ends[last].tolist()):
-                    out[i] = raw[a * size:b * size]
-                    a = b
-            else:
-                plain = []  # no usable word ends: one text a chunk
-        else:
-            plain = []
+        plain = [(i, m[1]) for i, t in enumerate(texts) if (m := self.PLAIN.fullmatch(t))] if self.words else []
+        if plain:
+            ids, ends = self.words.encode([texts[i][:-1] if sign else texts[i] for i, sign in plain])
+            raw, size, a = ids.astype(self.dtype).tobytes(), self.dtype.itemsize, 0
+            for (i, sign), b in zip(plain, ends.tolist()):
+                out[i] = raw[a * size:b * size] + self.signs[sign]
+                a = b
         done = {i for i, _ in plain}
         rest = [i for i in range(len(texts)) if i not in done]
-        for i, g in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(g.ids, self.dtype).tobytes()
+        for i, ids in zip(rest, self._whole([texts[i] for i in rest])):
+            out[i] = ids
         return out
 
+    def _ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of distinct chunks, kept until the cache is full."""
+        found = list(map(self.cache.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for at in range(0, len(new), 4096):
+            part = new[at:at + 4096]
+            for i, ids in zip(part, self._encode([chunks[i] for i in part])):
+                found[i] = ids
+                if len(chunks[i]) <= CACHE_CHUNK and len(self.cache) < self.limit:
+                    self.cache[chunks[i]] = ids
+        return found
+
+    def encode_texts(self, texts: list[bytes], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, number of ids of each); ``end`` follows each text."""
+        raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        solid = ~SPACE[raw]
+        starts = np.flatnonzero(solid & np.r_[True, ~solid[:-1]])
+        stops = np.cumsum([len(t) + 1 for t in texts]) - 1          # of each text, in raw
+        upto = np.searchsorted(starts, stops)                       # chunks before each text's end
+        chars = raw[solid]
+        at = np.cumsum(solid, dtype=np.int64)[starts] - 1 if len(starts) else starts
+        offsets = pa.py_buffer(np.r_[at, len(chars)])
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(chars)])
+        coded = chunks.dictionary_encode()
+        number = coded.indices.to_numpy()
+        ids = [*self._ids_of(coded.dictionary.to_pylist()), end]
+        # the end stands behind each text's chunks like one more chunk
+        number = np.insert(number, upto, len(ids) - 1)
+        width = self.dtype.itemsize
+        length = np.array([len(x) // width for x in ids], np.int64)
+        pool, start, n = np.frombuffer(b"".join(ids), self.dtype), np.cumsum(length) - length, length[number]
+        total = np.r_[0, np.cumsum(n)]
+        flat = pool[np.arange(total[-1]) + np.repeat(start[number] - total[:-1], n)]
+        return flat, np.diff(total[np.r_[0, upto + np.arange(1, len(texts) + 1)]])
+
     def __call__(self, text: bytes) -> bytes:
-        chunks = text.split()  # bytes: splits at ASCII white space only
-        distinct = set(chunks)
-        new = [c for c in distinct if c not in self.cache]
-        extra: dict[bytes, bytes] = {}
-        if new:
-            if len(self.cache) + len(new) > self.limit:
-                self.cache.clear()
-                new = list(distinct)
-            for i in range(0, len(new), 4096):
-                part = new[i:i + 4096]
-                for c, ids in zip(part, self._encode(part)):
-                    (self.cache if len(c) <= CACHE_CHUNK and len(self.cache) < self.limit else extra)[c] = ids
-        if extra:
-            cache = self.cache
-            return b"".join([extra[c] if c in extra else cache[c] for c in chunks])
-        return b"".join(map(self.cache.__getitem__, chunks))
+        return self.encode_texts([text])[0].tobytes()
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
@@ -272,35 +350,53 @@ RAW_SCHEMA = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("at", pa.
                         ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary())])
 
 
-def _raw_blocks(tokenize: Callable[[], Callable[[bytes], bytes]], width: int, end: bytes):
+def _raw_blocks(tokenize: Callable[[], ChunkTokenizer], end: bytes):
     """Blocks of one sorted partition: whole documents until a block holds BLOCK_IDS ids."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard, number = TaskContext.get().partitionId(), 0
-        encode = tokenize()
+        tokenizer = tokenize()
         docs, lengths, parts, held, at = [], [], [], 0, 0
 
         def block():
             return pa.RecordBatch.from_pydict({"shard": [shard], "block": [number], "at": [at], "n_ids": [held],
                                                "doc_ids": [docs], "lengths": [lengths], "ids": [b"".join(parts)]},
                                               schema=RAW_SCHEMA)
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py().encode() if text.is_valid else b"") + end
+        for some, texts in _texts(batches):
+            ids, counts = tokenizer.encode_texts(texts, end)
+            stop = 0
+            for doc, n in zip(some, counts.tolist()):
                 docs.append(doc)
-                lengths.append(len(ids) // width)
-                parts.append(ids)
-                held += len(ids) // width
+                lengths.append(n)
+                parts.append(ids[stop:stop + n].tobytes())
+                stop += n
+                held += n
                 if held >= BLOCK_IDS:
                     yield block()
                     at += held
                     docs, lengths, parts, held, number = [], [], [], 0, number + 1
         if docs:
             yield block()
+        trim()
     return run
 
 
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, texts) of about TEXT_BYTES, across batches."""
+    ids, texts, held = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids.append(doc)
+            texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
+            held += len(texts[-1])
+            if held >= TEXT_BYTES:
+                yield ids, texts
+                ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def _histogram(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
@@ -317,7 +413,9 @@ def _histogram(width: int):
     return run
 
 
-def _encode_blocks(freq: np.ndarray, width: int, group: int = 32):
+def _encode_blocks(freq: np.ndarray, width: int, group: int = GROUP):
+    """Frames of the blocks, coded side by side as long as the longest times their number, which is
+    what the coder's arrays hold, stays below ``group`` full blocks."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, wait = Table(freq), []
 
@@ -333,8 +431,12 @@ def _encode_blocks(freq: np.ndarray, width: int, group: int = 32):
             return out
         for batch in batches:
             for i in range(batch.num_rows):
-                wait.append(batch.slice(i, 1).to_pylist()[0])
-                if len(wait) >= group or sum(r["n_ids"] for r in wait) >= group * BLOCK_IDS:
+                row = batch.slice(i, 1).to_pylist()[0]
+                longest = max(r["n_ids"] for r in [row, *wait])
+                if wait and (len(wait) + 1) * longest > group * 2 * BLOCK_IDS:
+                    yield flush()
+                wait.append(row)
+                if len(wait) >= group:
                     yield flush()
         if wait:
             yield flush()
@@ -353,7 +455,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, root: str, end_id: i
 
     Defined cases: a null text is empty and yields the end id alone; null ids come first;
     documents with equal ids follow each other in text order; a document longer than a block
-    fills a block of its own; an empty table writes an empty file set.
+    makes that block longer, which is then coded by itself (about 15 bytes an id); other
+    columns take no part, whatever their names; an empty table writes an empty file set.
     """
     spark = docs.sparkSession
     width = _token_bytes(tokenizer_path)
@@ -361,7 +464,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, root: str, end_id: i
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     schema = "shard int, block long, at long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, ids binary"
-    raw = stage(ordered.mapInArrow(_raw_blocks(lambda: chunk_tokenizer(tokenizer_path), width, end), schema), "ids",
+    raw = stage(ordered.mapInArrow(_raw_blocks(lambda: chunk_tokenizer(tokenizer_path), end), schema), "ids",
                 compression="zstd")
     counted = raw.select("ids").mapInArrow(_histogram(width), "id long, n long").groupBy("id").agg(
         F.sum("n").alias("n"))
@@ -382,15 +485,21 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, root: str, end_id: i
      .write.option("compression", "uncompressed").parquet(f"{root}/blocks"))
 
 
-def _decode(freq: np.ndarray, emit: Callable, group: int = 32):
+def _decode(freq: np.ndarray, emit: Callable, group: int = GROUP):
+    """Decoded frames, up to ``group`` full blocks at a time."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Table(freq)
+        table, wait = Table(freq), []
+
+        def flush():
+            for f, ids in zip(wait, decode_frames(table, wait)):
+                yield emit(f, ids)
+            wait.clear()
         for batch in batches:
-            frames = batch.column(0)
-            for i in range(0, len(frames), group):
-                parsed = [parse_frame(f.as_py(), table) for f in frames[i:i + group]]
-                for f, ids in zip(parsed, decode_frames(table, parsed)):
-                    yield emit(f, ids)
+            for frame in batch.column(0):
+                wait.append(parse_frame(frame.as_py(), table))
+                if len(wait) >= group or sum(f["n_ids"] for f in wait) >= group * BLOCK_IDS:
+                    yield from flush()
+        yield from flush()
     return run
 
 

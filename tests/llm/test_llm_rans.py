@@ -83,3 +83,45 @@ def test_files_read_back(spark, tmp_dir):
 def test_empty_table(spark, tmp_dir):
     X.write_token_files(spark.createDataFrame([], "doc_id long, text string"), PATH, f"{tmp_dir}/f")
     assert X.read_token_digests(spark, f"{tmp_dir}/f").count() == 0
+
+
+def test_many_texts_at_a_time_and_the_end_id():
+    whole, chunks = Tokenizer.from_file(PATH), X.ChunkTokenizer(PATH, cache_entries=30)
+    texts = [t or "" for t in TEXTS]
+    for some in (texts, texts[::-1], [""], ["", "", "a"], texts[:1]):
+        ids, counts = chunks.encode_texts([t.encode() for t in some], (1).to_bytes(2, "little"))
+        expected = [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in some]
+        assert counts.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+    assert len(chunks.cache) <= 30
+
+
+def test_a_document_of_three_million_ids_beside_others(spark, tmp_dir):
+    rows = [(i, f"some words {i} " * 400) for i in range(200)] + [(50_000, "the cat " * 1_500_000), (50_001, "end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    X.write_token_files(docs, PATH, f"{tmp_dir}/f")
+    tok, got = Tokenizer.from_file(PATH), {r.doc_id: r for r in X.read_token_digests(spark, f"{tmp_dir}/f").collect()}
+    cat = tok.encode("the cat", add_special_tokens=False).ids
+    assert got[50_000].n_tokens == 3_000_001
+    assert got[50_000].ids_crc32 == zlib.crc32(np.array(cat * 1_500_000 + [1], "<u4").tobytes())
+    assert got[50_001].start == got[50_000].start + 3_000_001 and len(got) == 202
+
+
+def test_long_blocks_are_coded_by_themselves(monkeypatch):
+    """What the coder's arrays hold is bounded by the longest block times the blocks of a group."""
+    import pyarrow as pa
+
+    groups, real = [], X.encode_frames
+    monkeypatch.setattr(X, "encode_frames", lambda table, blocks: groups.append([len(b[0]) for b in blocks]) or real(table, blocks))
+    sizes = [X.BLOCK_IDS] * 40 + [40 * X.BLOCK_IDS] + [X.BLOCK_IDS] * 5
+    rows = {"shard": [0] * 46, "block": list(range(46)), "n_ids": sizes, "doc_ids": [[1]] * 46, "lengths": [[n] for n in sizes],
+            "ids": [bytes(2 * n) for n in sizes], "position": [0] * 46}
+    freq = X.scale_frequencies(np.array([5]))
+    frames = [f for b in X._encode_blocks(freq, 2)([pa.RecordBatch.from_pydict(rows)]) for f in b["frame"].to_pylist()]
+    assert len(frames) == 46 and [len(g) for g in groups] == [32, 8, 1, 5]
+    assert all(len(g) == 1 or len(g) * max(g) <= 2 * X.GROUP * X.BLOCK_IDS for g in groups)
+
+
+def test_clashing_columns(spark, tmp_dir):
+    docs = spark.createDataFrame([(1, "some text", 5, 6, "x")], "key long, body string, shard int, block int, ids string")
+    X.write_token_files(docs, PATH, f"{tmp_dir}/f", id_col="key", text_col="body")
+    assert [r.doc_id for r in X.read_token_digests(spark, f"{tmp_dir}/f").collect()] == [1]
