@@ -2,7 +2,8 @@
 
 1. Each input partition builds a counting quotient filter of its text fingerprints: the
    fingerprint's high half is the quotient, the low half the remainder, kept sorted per
-   quotient with a counter. Equal texts of a partition become one counter.
+   quotient with a counter. Equal texts of a partition become one counter. Quotients travel as
+   gaps, run lengths and counters as single bytes mostly: about nine bytes a fingerprint.
 2. The filters are cut by leading quotient bits into segments; the segments of all
    partitions are merged by their sorted remainders, counters added. Quotient and remainder
    together are the whole fingerprint, so merging loses nothing.
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hamper.llm.common import pack, stage
+from hamper.llm.common import drop_rows, pack, pack_gaps, stage, unpack_gaps
 
 FILTER_SCHEMA = "segment int, quotients binary, runs binary, remainders binary, counters binary"
 
@@ -73,17 +74,26 @@ def _partition_filters(bits: int):
         rows = []
         for a, b in zip(starts, np.r_[starts[1:], len(q)]):
             i, j = item_at[a], item_at[b]
-            rows.append((int(segment[a]), q[a:b].tobytes(), runs[a:b].tobytes(), rem[i:j].tobytes(),
-                         cnt[i:j].astype(np.int64).tobytes()))
+            rows.append((int(segment[a]), pack_gaps(q[a:b].astype(np.uint64)), _pack_counts(runs[a:b]), rem[i:j].tobytes(),
+                         _pack_counts(cnt[i:j])))
         cols = list(zip(*rows))
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]],
                                          names=["segment", "quotients", "runs", "remainders", "counters"])
     return run
 
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """Counts of one or more, mostly small: a byte each up to 127."""
+    return pack_gaps(np.cumsum(counts, dtype=np.uint64))
+
+
+def _unpack_counts(data: bytes) -> np.ndarray:
+    return np.diff(unpack_gaps(data).astype(np.int64), prepend=0)
+
+
 def _merge_segment(parts: pd.DataFrame) -> pd.DataFrame:
-    u32, i64 = (lambda b: np.frombuffer(b, np.uint32)), (lambda b: np.frombuffer(b, np.int64))
-    q, runs, rem, cnt = merge_filters([(u32(a), u32(b), u32(c), i64(d)) for a, b, c, d in zip(
+    q, runs, rem, cnt = merge_filters([(unpack_gaps(a).astype(np.uint32), _unpack_counts(b).astype(np.uint32),
+                                        np.frombuffer(c, np.uint32), _unpack_counts(d)) for a, b, c, d in zip(
         parts["quotients"], parts["runs"], parts["remainders"], parts["counters"])])
     many = cnt > 1
     return pd.DataFrame({"fp": filter_items(q, runs, rem)[many].view(np.int64), "counted": cnt[many]})
@@ -102,12 +112,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Every row of ``docs`` with its group of byte-identical texts.
 
     Returns row struct (the input row), doc_id, keep_id (largest id of the group), group_size,
-    kept (the row's id is keep_id), text_sha256 (lower-case hex of the UTF-8 bytes).
+    kept (the row's id is keep_id), text_sha256 (lower-case hex of the UTF-8 bytes), fp (a 64-bit
+    hash of the text). The row is carried only if it is asked for.
 
     Defined cases: a null text is the empty text; texts are compared byte by byte, nothing is
     normalised. Null ids are ignored in keep_id, so it is null only if the whole group has
     none, and then all its rows are kept. Rows that repeat both id and text are one document
-    listed twice: each counts in group_size and carries the same kept flag. An empty table
+    listed twice: each counts in group_size and carries the same kept flag. Texts of any length
+    are compared whole. Other columns stay in ``row``, whatever their names. An empty table
     gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -133,9 +145,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select("row", "doc_id", keep.alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
                     F.col("doc_id").eqNullSafe(keep).alias("kept"),
-                    F.col("sha").alias("text_sha256")))
+                    F.col("sha").alias("text_sha256"), "fp"))
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The kept rows, with the columns of ``docs``."""
-    return exact_groups(docs, id_col, text_col).where("kept").select("row.*")
+    """The kept rows, with the columns of ``docs``. The rows that go are named by id and text hash (the
+    hash parts rows that share an id), so the texts of the others stay where they are."""
+    gone = exact_groups(docs, id_col, text_col).where("not kept").select("doc_id", "fp")
+    return drop_rows(docs, gone, doc_id=F.col(id_col), fp=F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
