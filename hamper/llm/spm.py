@@ -30,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hamper.llm.common import trim
+
 MARK = "▁"
 OWN_MARK = "\udb81"      # stands for a MARK of the text; no UTF-8 text holds a lone surrogate
 UNKNOWN_PENALTY = 10.0
-CACHE_SPANS = 500_000   # about 200 bytes each, in every Python worker
+CACHE_SPANS = 125_000   # of each of two generations; about 240 bytes each, in every Python worker
 CACHE_CHARS = 48        # longer spans are not kept
 
 
@@ -177,6 +179,27 @@ class Window:
         return ids
 
 
+class Spans:
+    """Ids of committed spans, in two generations: when the younger one is full it becomes the older,
+    and what is asked for again comes back from there."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def keep(self, span: str, ids: bytes) -> bytes:
+        if len(span) <= CACHE_CHARS:
+            if len(self.young) >= CACHE_SPANS:
+                self.young, self.old = {}, self.young
+            self.young[span] = ids
+        return ids
+
+    def find(self, span: str) -> bytes | None:
+        """Ids of a span that is not in the younger generation."""
+        ids = self.old.get(span)
+        return self.keep(span, ids) if ids else None
+
+
 class StreamingViterbi:
     """Feed characters with ``push``; it gives back ids as soon as they are certain. ``finish`` ends.
 
@@ -184,8 +207,8 @@ class StreamingViterbi:
 
     WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
-    def __init__(self, pieces: Pieces, spans: dict[str, bytes] | None = None):
-        self.p, self.spans = pieces, {} if spans is None else spans
+    def __init__(self, pieces: Pieces, spans: Spans | None = None):
+        self.p, self.spans = pieces, spans or Spans()
         self.window = Window(pieces)      # of a span too long to be held
         self.closed = Window(pieces)      # of spans whose end is known
         self.tail, self.open = "", False  # characters behind the last boundary; whether the window has earlier ones
@@ -196,24 +219,19 @@ class StreamingViterbi:
         return [i for i in range(1, len(chars)) if chars[i - 1:i + 1] not in inside]
 
     def _run(self, span: str) -> bytes:
-        window = self.closed
-        ids = window.feed(span) + window.finish()
-        return self._keep(span, ids)
-
-    def _keep(self, span: str, ids: bytes) -> bytes:
-        if len(span) <= CACHE_CHARS:
-            if len(self.spans) >= CACHE_SPANS:
-                self.spans.clear()
-            self.spans[span] = ids
-        return ids
+        ids = self.spans.find(span)
+        return ids or self.spans.keep(span, self.closed.feed(span) + self.closed.finish())
 
     def _word(self, word: str) -> bytes:
         """A word by its spans."""
-        cuts, get = self._boundaries(word), self.spans.get
+        ids = self.spans.find(word)
+        if ids:
+            return ids
+        cuts, get = self._boundaries(word), self.spans.young.get
         if not cuts:
             return self._run(word)
         spans = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
-        return self._keep(word, b"".join([get(x) or self._run(x) for x in spans]))
+        return self.spans.keep(word, b"".join([get(x) or self._run(x) for x in spans]))
 
     def push(self, chars: str) -> bytes:
         text = self.tail + chars
@@ -230,7 +248,7 @@ class StreamingViterbi:
                 first = self.WORDS.match(closed).end() if self.p.marks_first else min([*self._boundaries(closed), last])
                 out += [self.window.feed(closed[:first]), self.window.finish()]
                 closed, self.open = closed[first:], False
-            get, word = self.spans.get, self._word
+            get, word = self.spans.young.get, self._word
             words = self.WORDS.findall(closed) if self.p.marks_first else [closed] if closed else []
             out += [get(w) or word(w) for w in words]
         if self.open or len(text) > CACHE_CHARS:
@@ -243,7 +261,7 @@ class StreamingViterbi:
         if self.open:
             ids = self.window.feed(self.tail) + self.window.finish()
         else:
-            ids = (self.spans.get(self.tail) or self._word(self.tail)) if self.tail else b""
+            ids = (self.spans.young.get(self.tail) or self._word(self.tail)) if self.tail else b""
         self.tail, self.open = "", False
         return ids
 
@@ -254,7 +272,7 @@ class Encoder:
     STREAM = 1 << 16   # characters handed to the stream at a time
 
     def __init__(self, pieces: Pieces):
-        self.p, self.spans = pieces, {}
+        self.p, self.spans = pieces, Spans()
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text (int32); the empty text has none."""
@@ -301,6 +319,7 @@ def _encode_batches(path: str):
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(
                     np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*batch.schema.names[:-1], "ids"])
+        trim()
     return run
 
 
@@ -323,8 +342,8 @@ def encode_documents(docs: DataFrame, model_path: str, keys: list[str], text_col
     """The ``keys`` columns and ids array<int> of each row's whole text.
 
     Defined cases: a null or empty text has no ids (an empty array); very long words are
-    streamed in bounded memory; rows are independent, so repeated rows give equal ids; an
-    empty table gives an empty result.
+    streamed in bounded memory; rows are independent, so repeated rows give equal ids; other
+    columns than the keys take no part; an empty table gives an empty result.
     """
     rows = docs.select(*keys, F.col(text_col).alias("text"))
     return rows.mapInArrow(_encode_batches(model_path), f"{_key_schema(docs, keys)}, ids array<int>")
