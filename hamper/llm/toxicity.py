@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hamper.llm.common import stage, trim
+
 BUCKETS = 1 << 24
 EVIDENCE = 25.0             # least log-likelihood ratio of a feature
 TRAIN_DOCS = 2_500          # labelled documents of each class used for fitting
@@ -39,7 +41,7 @@ ROUNDS = 1_000
 PENALTY = 1e-5
 THRESHOLD = 0.3
 SENTENCE_WORDS = 48         # longer runs without a sentence end are cut there
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 LONG_BYTES = 96             # longer words (letter runs of scripts without spaces) are taken a piece at a time
 PIECE_BYTES = 1 << 16       # and their features are not kept
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -183,9 +185,8 @@ class Scorer:
         if s is None:
             weights = self.weights
             s = math.fsum(weights[f] for f in word_features(w) if f in weights)  # in whatever order
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[w] = s
+            if len(self.cache) < CACHE_WORDS:
+                self.cache[w] = s
         return s
 
     def sentence_scores(self, text: str) -> list[tuple[int, int, float]]:
@@ -211,8 +212,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on labelled documents outside the held-out rows.
 
     ``labels``: doc_id, toxic. Rows with a null id or label are ignored; of several labels of
-    one document the largest counts. The sample is bounded (module parameters), so fitting is
-    one task, and the model that comes back holds the sample's telling features only.
+    one document the largest counts. The sample is bounded (module parameters) and stored by a
+    scan in as many tasks as the documents have; fitting is one task over the sample alone, and
+    the model that comes back holds the sample's telling features only.
     """
     known = (labels.where("doc_id is not null and toxic is not null").where(~held_out())
              .groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("y"))
@@ -220,8 +222,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # the first TRAIN_DOCS of each class in hash order: two bounded top-n selections
     sample = known.where("y = 1").orderBy("turn", "doc_id").limit(TRAIN_DOCS).unionByName(
         known.where("y = 0").orderBy("turn", "doc_id").limit(TRAIN_DOCS))
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(sample), "doc_id").select("turn", "doc_id", "text", "y"))
+    # stored, so that all tasks of the documents' scan look for the sample and only it reaches the fit
+    rows = stage(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+                 .join(F.broadcast(sample), "doc_id").select("turn", "doc_id", "text", "y"), "toxicity-sample")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = list(batches)
@@ -231,6 +234,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             features, weights, bias = fit(pdf["text"].fillna(""), pdf["y"])
         else:
             features, weights, bias = fit([], [])
+        got.clear()
+        trim()
         yield pd.DataFrame({"features": [features.astype("<i4").tobytes()], "weights": [weights.astype("<f8").tobytes()],
                             "bias": [bias]})
     model = rows.coalesce(1).mapInPandas(run, "features binary, weights binary, bias double").first()
@@ -244,7 +249,8 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]
     """doc_id, score, offending (start, end, score of sentences scoring at least ``locate``).
 
     Defined cases: a null or empty text has no sentences and scores 0; very long texts are
-    scored sentence by sentence; repeated rows score alike; an empty table gives no rows.
+    scored sentence by sentence; repeated rows score alike; a null id is kept; other columns take
+    no part, whatever their names; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -274,4 +280,6 @@ def score_column(model: tuple[np.ndarray, np.ndarray, float], spark):
         scorer = Scorer(*shared.value)
         for texts in batches:
             yield pd.Series([scorer(t or "")[0] for t in texts], dtype="float64")
+        scorer.cache.clear()
+        trim()
     return score

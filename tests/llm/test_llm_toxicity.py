@@ -1,11 +1,14 @@
 """Toxicity: held-out accuracy, offending sentences, odd rows."""
 
+import math
 import random
+import re
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF001
 from hamper.llm import toxicity as X
 
 CLEAN = "the house stands near river green hill water boat morning street window table garden letter music paper stone".split()
@@ -107,3 +110,98 @@ def test_fitting_reads_long_runs_whole():
     texts = [run + tail() + "zorkel" + tail() for _ in range(200)] + [run + tail() + tail() for _ in range(200)]
     scorer = X.Scorer(*X.fit(texts, [1] * 200 + [0] * 200, rounds=200))
     assert scorer(run + tail() + "zorkel" + tail())[0] > 0.5 > scorer(run + tail() + tail())[0]
+
+
+def plain_features(word):
+    w = f"<{word}>".encode()
+    return {zlib.crc32(w[a:b]) % X.BUCKETS for a in range(len(w)) for b in range(a + 3, min(a + 6, len(w)) + 1)} | {zlib.crc32(w) % X.BUCKETS}
+
+
+def plain_sentences(text):
+    """Distinct words of each sentence, longer ones cut after 48 words."""
+    for part in re.split(r"[.!?\n]", text):
+        words = re.findall(r"[^\W\d_]+", part.lower())
+        yield from (set(words[i:i + 48]) for i in range(0, len(words), 48))
+
+
+def plain_score(text, weights, bias):
+    clean = 1.0
+    for words in plain_sentences(text):
+        z = bias + sum(weights.get(f, 0.0) for w in words for f in plain_features(w))
+        clean *= 1 - 1 / (1 + math.exp(-max(-30, min(30, z))))
+    return 1 - clean
+
+
+def test_scores_equal_a_plain_noisy_or(spark, model):
+    """Every document of the smallest table, word by word and sentence by sentence."""
+    weights = dict(zip(model[0].tolist(), model[1].tolist()))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, "moron. house\n\nscum! " * 30), (-2, "zorkelabcd " + "tree " * 100)], "doc_id long, text string")
+    rows = docs.unionByName(odd)
+    got = {r.doc_id: r.score for r in X.score_documents(rows, model).collect()}
+    for r in rows.collect():
+        assert got[r.doc_id] == pytest.approx(plain_score(r.text or "", weights, model[2]), abs=1e-9)
+
+
+def plain_fit(texts, labels, rounds):
+    """The fit one document, sentence, word and feature at a time."""
+    docs = [[[sorted(f for w in words for f in plain_features(w)) for words in [s]][0] for s in plain_sentences(t)] for t in texts]
+    seen = [{f for s in d for f in s} for d in docs]
+    n1, n0 = sum(labels), len(labels) - sum(labels)
+    chosen = []
+    for f in sorted(set().union(*seen)):
+        a, b = sum(f in s for s, y in zip(seen, labels) if y), sum(f in s for s, y in zip(seen, labels) if not y)
+        rate, part = (a + b) / (n1 + n0), lambda k, e: k * math.log(k / e) if k else 0.0
+        g = 2 * (part(a, n1 * rate) + part(b, n0 * rate) + part(n1 - a, n1 * (1 - rate)) + part(n0 - b, n0 * (1 - rate)))
+        if a * n0 > b * n1 and g >= X.EVIDENCE:
+            chosen.append(f)
+    w, sq, bias, sq_b = dict.fromkeys(chosen, 0.0), dict.fromkeys(chosen, 1e-10), -4.0, 1e-10
+    for _ in range(rounds):
+        grad, grad_b = {f: X.PENALTY * w[f] for f in chosen}, 0.0
+        for doc, y in zip(docs, labels):
+            p = [1 / (1 + math.exp(-(bias + sum(w.get(f, 0.0) for f in s)))) for s in doc]
+            total = 1 - math.prod(1 - x for x in p)
+            for s, x in zip(doc, p):
+                g = x / len(docs) * (-(1 - total) / total if y else 1.0)
+                grad_b += g
+                for f in s:
+                    if f in grad:
+                        grad[f] += g
+        for f in chosen:
+            sq[f] += grad[f] ** 2
+            w[f] -= 0.5 * grad[f] / math.sqrt(sq[f])
+        sq_b += grad_b ** 2
+        bias -= 0.5 * grad_b / math.sqrt(sq_b)
+    return w, bias
+
+
+def test_fit_equals_a_plain_one():
+    rows = list({r[1]: r for r in corpus(160, seed=12)}.values())
+    texts, labels = [r[1] for r in rows], [r[2] for r in rows]
+    features, weights, bias = X.fit(texts, labels, rounds=12)
+    w, b = plain_fit(texts, labels, 12)
+    assert sorted(w) == features.tolist() and len(w) > 3
+    assert [w[f] for f in features.tolist()] == pytest.approx(weights.tolist(), rel=1e-6) and b == pytest.approx(bias, rel=1e-6)
+
+
+def test_documents_are_scanned_by_all_tasks_and_the_fit_sees_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(X, "TRAIN_DOCS", 30)
+    tasks, seen = spark.sparkContext.accumulator(0), []
+    rows = corpus(400)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(6)
+
+    def counted(batches):
+        tasks.add(1)
+        yield from batches
+    real = X.stage
+    monkeypatch.setattr(X, "stage", lambda df, name: seen.append(real(df, name)) or seen[-1])
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    X.train(docs.mapInArrow(counted, docs.schema), labels)
+    assert tasks.value == 6 and seen[0].count() == 60
+
+
+def test_clashing_columns(spark, model):
+    docs = spark.createDataFrame([(1, "moron", 0.1, "t", 3)], "key long, body string, score double, text string, doc_id int")
+    assert [r.doc_id for r in X.score_documents(docs, model, "key", "body").collect()] == [1]
+    labels = spark.createDataFrame([(1, 1, "x")], "doc_id long, toxic int, text string")
+    assert X.train(docs, labels, "key", "body")[2] != 0
