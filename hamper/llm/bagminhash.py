@@ -437,10 +437,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b").distinct())
     merged = components(joined)
 
-    in_class = (nodes.select("key", "rep").join(trees, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("r"))
-                .join(merged.select(F.col("key").alias("r"), F.col("root").alias("top")), "r", "left")
-                .select("key", "rep", F.coalesce("top", "r").alias("top")))
-    named_class = in_class.groupBy("top").agg(F.min("rep").alias("class_id"))
+    in_class = stage(nodes.select("key", "rep").join(trees, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("r"))
+                     .join(merged.select(F.col("key").alias("r"), F.col("root").alias("top")), "r", "left")
+                     .select("key", "rep", F.coalesce("top", "r").alias("top")), "near-in-class")
+    # stored, so that the members of a large class meet its name in a join that can be split
+    named_class = stage(in_class.groupBy("top").agg(F.min("rep").alias("class_id")), "near-names")
     classes = stage(in_class.join(named_class, "top").select("key", "class_id"), "near-classes")
     done = signed.select("doc_id", "key").join(classes, "key", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
