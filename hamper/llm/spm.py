@@ -35,7 +35,7 @@ from hamper.llm.common import trim
 MARK = "▁"
 OWN_MARK = "\udb81"      # stands for a MARK of the text; no UTF-8 text holds a lone surrogate
 UNKNOWN_PENALTY = 10.0
-CACHE_SPANS = 125_000   # of each of two generations; about 240 bytes each, in every Python worker
+CACHE_SPANS = 250_000   # of each of two generations; about 240 bytes each, in a Python worker
 CACHE_CHARS = 48        # longer spans are not kept
 
 
@@ -283,6 +283,11 @@ class Encoder:
         parts = [stream.push(chars[i:i + self.STREAM]) for i in range(0, len(chars), self.STREAM)]
         return np.frombuffer(b"".join([*parts, stream.finish()]), "<i4")
 
+    def forget(self) -> None:
+        """Drop the spans: the worker may serve other work next."""
+        self.spans = Spans()
+        trim()
+
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.p.spelled.__getitem__, ids)).decode("utf-8", errors="replace")[1:]
 
@@ -291,7 +296,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One table and cache per Python worker."""
+    """One table per Python worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(Pieces.load(path))
     return _ENCODERS[path]
@@ -319,7 +324,7 @@ def _encode_batches(path: str):
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(
                     np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*batch.schema.names[:-1], "ids"])
-        trim()
+        enc.forget()
     return run
 
 

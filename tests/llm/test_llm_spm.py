@@ -102,6 +102,7 @@ def test_all_ids_of_the_query_come_from_commits(monkeypatch):
     texts = [t or "" for t, in duckdb.sql(f"SELECT text FROM '{SF001}/documents.parquet'").fetchall()]
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
     monkeypatch.setitem(X._ENCODERS, PATH, e)
+    monkeypatch.setattr(e, "forget", lambda: None)     # the spans are looked at below
     rows = next(X._check_batches(PATH)(iter([batch]))).to_pylist()
     memo = {}
     for r, t in zip(rows, texts):
