@@ -302,7 +302,7 @@ ORACLE: dict[str, str] = {
         FROM split"""),
     "distinct_sketches": _with(SPLIT, """
         SELECT count(DISTINCT basket) AS baskets, count(DISTINCT item) AS items, count(*) AS rows,
-               true AS union_is_one_pass, true AS within_error
+               true AS union_near_one_pass, true AS within_error
         FROM split"""),
     "submission_rows": _with(RECS, """
         SELECT CAST(basket AS VARCHAR) AS playlist_id,
