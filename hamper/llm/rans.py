@@ -243,9 +243,13 @@ class LatinWords:
         order = [vocab[m.replace(" ", "") if isinstance(m, str) else "".join(m)] for m in model["merges"]]
         return cls(vocab, suffix) if order == sorted(order) else None
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, end of each word's ids)."""
-        chars = np.frombuffer("\n".join(words).lower().encode(), np.uint8)
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, end of each word's ids). Words are UTF-8 of Latin-1 letters."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        chars = np.frombuffer(b"\n".join(words).lower(), np.uint8).copy()   # A-Z alone
+        second = np.flatnonzero(chars == self.LEAD) + 1
+        chars[second[chars[second] < 0x9F]] += 32                           # capitals of the upper half
         lines = np.flatnonzero(chars == 10)
         ends = np.r_[lines, len(chars)] - 1
         symbols = self.inner[chars]
@@ -255,6 +259,14 @@ class LatinWords:
         return np.delete(ids, between), np.r_[between - np.arange(len(between)), len(ids) - len(between)]
 
 
+def _bytes_of(array: pa.LargeBinaryArray) -> list[bytes]:
+    """The values of an array without nulls; quicker than one scalar at a time."""
+    _, offsets, data = array.buffers()
+    at = np.frombuffer(offsets, np.int64)[array.offset:array.offset + len(array) + 1].tolist()
+    chars = data.to_pybytes() if data is not None else b""
+    return [chars[a:b] for a, b in zip(at, at[1:])]
+
+
 class ChunkTokenizer:
     """Ids of whole texts, by ASCII white space chunks with a bounded cache.
 
@@ -265,7 +277,8 @@ class ChunkTokenizer:
     word, with or without one full stop or comma, go through ``LatinWords`` if the file allows.
     """
 
-    PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,]?)")
+    #: a word of Latin-1 letters in UTF-8, and its sign
+    PLAIN = re.compile(rb"(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+([.,]?)")
 
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
@@ -276,24 +289,23 @@ class ChunkTokenizer:
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self.limit, self.cache = cache_entries, {}
         self.words = LatinWords.of(self.tokenizer)
-        self.signs = {sign: self._whole([sign])[0] for sign in ("", ".", ",")}
+        self.signs = {sign.encode(): self._whole([sign])[0] for sign in ("", ".", ",")}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(g.ids, self.dtype).tobytes() for g in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode(self, chunks: list[bytes]) -> list[bytes]:
-        texts = [c.decode("utf-8") for c in chunks]
-        out: list[bytes] = [b""] * len(texts)
-        plain = [(i, m[1]) for i, t in enumerate(texts) if (m := self.PLAIN.fullmatch(t))] if self.words else []
-        if plain:
-            ids, ends = self.words.encode([texts[i][:-1] if sign else texts[i] for i, sign in plain])
+        out: list[bytes | None] = [None] * len(chunks)
+        if self.words:
+            match = self.PLAIN.fullmatch
+            plain = [(i, m[1]) for i, c in enumerate(chunks) if (m := match(c))]
+            ids, ends = self.words.encode([chunks[i][:-1] if sign else chunks[i] for i, sign in plain])
             raw, size, a = ids.astype(self.dtype).tobytes(), self.dtype.itemsize, 0
-            for (i, sign), b in zip(plain, ends.tolist()):
-                out[i] = raw[a * size:b * size] + self.signs[sign]
+            for (i, sign), b in zip(plain, (ends * size).tolist()):
+                out[i] = raw[a:b] + self.signs[sign]
                 a = b
-        done = {i for i, _ in plain}
-        rest = [i for i in range(len(texts)) if i not in done]
-        for i, ids in zip(rest, self._whole([texts[i] for i in rest])):
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self._whole([chunks[i].decode("utf-8") for i in rest])):
             out[i] = ids
         return out
 
@@ -322,7 +334,7 @@ class ChunkTokenizer:
         chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(chars)])
         coded = chunks.dictionary_encode()
         number = coded.indices.to_numpy()
-        ids = [*self._ids_of(coded.dictionary.to_pylist()), end]
+        ids = [*self._ids_of(_bytes_of(coded.dictionary)), end]
         # the end stands behind each text's chunks like one more chunk
         number = np.insert(number, upto, len(ids) - 1)
         width = self.dtype.itemsize
