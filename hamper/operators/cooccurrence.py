@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +16,12 @@ from hamper.session import materialize
 
 # Fixed values (reference semantics): basket-size window, pair threshold, row sample.
 MIN_SIZE, MAX_SIZE, MIN_COUNT, ROW_FRACTION = 5, 200, 3, 0.3
-
-
-# Items of a basket are paired block by block, so that one task never pairs a whole hot basket.
-BLOCK_ITEMS = 1000
+# Rows (basket, item) of a block. A task holds two blocks at most.
+BLOCK_ITEMS = 2_000_000
+MAX_CLASSES = 64         # item classes: every row is copied once per class
+SLICE_PAIRS = 8_000_000  # pairs counted in one slice of baskets, or added up in one task
+PACK_ROWS = 32_768       # rows that travel as one row of arrays
+_CHUNK = 1 << 20         # pairs held at a time while counting
 
 
 def excluded_baskets(df: DataFrame, basket: str = "basket", item: str = "item", min_size: int = MIN_SIZE,
@@ -40,6 +45,74 @@ def possible_partners(folded: DataFrame, min_count: int, basket: str = "basket",
             .where(F.col("_bound") >= F.lit(min_count)).select(item))
 
 
+def _sides(group: pa.Table) -> tuple[pa.Array, bool, np.ndarray, tuple, tuple]:
+    """A group's items in order, whether it pairs a class with itself, and of either class the baskets
+    (as numbers), items (as places in that order) and copies; baskets of both classes in one numbering."""
+    flat = lambda c: group[c].combine_chunks().flatten()
+    own = np.repeat(group["_own"].to_numpy(), group["_baskets"].combine_chunks().value_lengths().to_numpy())
+    baskets, items = flat("_baskets").dictionary_encode(), flat("_items").dictionary_encode()
+    order = pc.sort_indices(items.dictionary).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    at, item, copies = baskets.indices.to_numpy(), place[items.indices.to_numpy()], flat("_copies").to_numpy()
+    low, high = group["_lo"][0].as_py(), group["_hi"][0].as_py()
+    side = lambda c: (at[own == c], item[own == c], copies[own == c])
+    return items.dictionary.take(pa.array(order)), low == high, np.arange(len(baskets.dictionary) + 1), side(low), side(high)
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Pairs between the two classes of a group with their counts, from ``least`` on. The first class goes
+    item by item: a chunk holds all pairs of its items, so every pair is counted in one place."""
+    names, same, numbers, (b1, i1, c1), (b2, i2, c2) = _sides(pa.Table.from_batches(batches))
+    by_basket, by_item = np.argsort(b2, kind="stable"), np.argsort(i1, kind="stable")
+    i2, c2, start = i2[by_basket], c2[by_basket], np.searchsorted(b2[by_basket], numbers)
+    b1, i1, c1 = b1[by_item], i1[by_item], c1[by_item]
+    wide = start[b1 + 1] - start[b1]                     # partners of a row; each item has a basket once
+    last = np.flatnonzero(np.r_[i1[1:] != i1[:-1], [True] * (len(i1) > 0)]) + 1   # where items end
+    done = np.r_[0, np.cumsum(wide)]
+    a = 0
+    while a < len(i1):
+        k = np.searchsorted(done[last], done[a] + _CHUNK, side="right") - 1
+        b = max(int(last[k]) if k >= 0 else 0, int(last[np.searchsorted(last, a, side="right")]))
+        n = wide[a:b]
+        to = np.repeat(start[b1[a:b]] - (done[a:b] - done[a]), n) + np.arange(done[b] - done[a])
+        key = np.repeat(i1[a:b] * len(names), n) + i2[to]
+        times = np.repeat(c1[a:b], n) * c2[to]
+        if same:
+            keep = i2[to] > np.repeat(i1[a:b], n)
+            key, times = key[keep], times[keep]
+        a = b
+        more = times > 1
+        extra, times = key[more], times[more] - 1
+        key.sort()
+        first = np.flatnonzero(np.r_[[True] * (len(key) > 0), key[1:] != key[:-1]])
+        pairs, counts = key[first], np.diff(np.r_[first, len(key)])
+        np.add.at(counts, np.searchsorted(pairs, extra), times)
+        pairs, counts = pairs[counts >= least], counts[counts >= least]
+        if len(pairs):
+            x, y = np.divmod(pairs, len(names))
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(np.minimum(x, y))), names.take(pa.array(np.maximum(x, y))), pa.array(counts)],
+                names=["item1", "item2", "cooccur_count"])
+
+
+def _layout(folded: DataFrame, basket: str, item: str) -> tuple[int, int, int, int]:
+    """Rows, pairs, and into how many classes of items and slices of baskets the rows are dealt.
+
+    With classes alone a pair is counted in one place and never shuffled, but each row is copied once
+    per class; with slices alone rows are not copied, but the counts of every slice are. The
+    cheaper of the two goes; slices also divide classes that hold too much (a hot item)."""
+    rows, pairs = folded.groupBy(basket).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.floor(F.col("_n") * (F.col("_n") - 1) / 2)), F.lit(0))).first()
+    rows, pairs = int(rows), int(pairs)
+    ceil = lambda a, b: max(1, int(-(-a // b)))
+    classes = min(max(ceil(rows, BLOCK_ITEMS), ceil((pairs / (4 * SLICE_PAIRS)) ** 0.5, 1)), MAX_CLASSES)
+    if rows * classes >= pairs:
+        return rows, pairs, 1, max(ceil(rows, BLOCK_ITEMS), ceil(pairs, SLICE_PAIRS))
+    hot = folded.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return rows, pairs, classes, ceil(max(rows // classes, hot), 2 * BLOCK_ITEMS)
+
+
 def cooccurrence(df: DataFrame, basket: str = "basket", item: str = "item", min_size: int = MIN_SIZE,
                  max_size: int | None = MAX_SIZE, min_count: int = MIN_COUNT, fraction: float | None = None,
                  seed: int = SEED, sample_keys: Sequence[str] = ("basket", "position"),
@@ -50,27 +123,44 @@ def cooccurrence(df: DataFrame, basket: str = "basket", item: str = "item", min_
     ``[min_size, max_size]`` (``max_size=None``: no upper bound); ``excluded_baskets`` counts
     the others. Then an optional deterministic row sample is taken. A repeated item counts
     once per copy (A,A,B gives (A,B) twice, never (A,A)), so rows are first folded to
-    ``(basket, item, copies)`` and pairs carry ``copies1*copies2``. The items of a basket are
-    dealt to blocks of about ``BLOCK_ITEMS`` by hash and every two blocks meet under a key of
-    their own, so a hot basket's pairs are spread over tasks.
+    ``(basket, item, copies)`` and pairs carry ``copies1*copies2``.
+
+    Items are dealt to classes and baskets to slices by hash (``_layout``); a group pairs two classes
+    within a slice. So neither a hot basket nor a hot item is held by one task, and pairs in
+    large baskets, which are many more than the rows, are counted where they are made.
     """
     size = F.col("_size")
     inside = size >= F.lit(min_size) if max_size is None else size.between(min_size, max_size)
     sizes = basket_sizes(df, basket, item, "_size").where(inside)
-    blocks = F.ceil(size / F.lit(BLOCK_ITEMS)).cast("int").alias("_blocks")
-    rows = df.join(sizes.select(basket, blocks), basket)
+    rows = df.join(sizes.select(basket), basket)
     if fraction is not None:
         rows = hash_sample(rows, list(sample_keys), fraction, seed)
     folded = (rows.where(F.col(item).isNotNull())
-              .groupBy(basket, item, "_blocks")
+              .groupBy(basket, item)
               .agg((F.lit(1).cast("bigint") if dedupe else F.count(F.lit(1))).alias("_copies")))
+    folded = materialize(folded)   # read by the bound, the layout and the pairing
     if min_count > 1:
-        folded = materialize(folded)   # read by the bound and by both sides of the pairing
-        folded = folded.join(possible_partners(folded, min_count, basket, item), item, "left_semi")
-    own = F.pmod(F.xxhash64(item), F.col("_blocks").cast("long")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    left = folded.select(basket, F.col(item).alias("item1"), F.col("_copies").alias("_c1"), own.alias("_i"), other.alias("_j"))
-    right = folded.select(basket, F.col(item).alias("item2"), F.col("_copies").alias("_c2"), other.alias("_i"), own.alias("_j"))
-    pairs = left.join(right, [basket, "_i", "_j"]).where("item1 < item2")
-    return (pairs.groupBy("item1", "item2").agg(F.sum(F.col("_c1") * F.col("_c2")).cast("bigint").alias("cooccur_count"))
-            .where(F.col("cooccur_count") >= F.lit(min_count)))
+        folded = materialize(folded.join(possible_partners(folded, min_count, basket, item), item, "left_semi"))
+    n_rows, n_pairs, classes, slices = _layout(folded, basket, item)
+    part = lambda n, salt, c: F.pmod(F.xxhash64(F.col(c), F.lit(salt)), F.lit(n).cast("long")).cast("int")
+    packs = (folded.groupBy(part(classes, 1, item).alias("_own"), part(slices, 2, basket).alias("_slice"),
+                            part(-(-n_rows // (classes * slices * PACK_ROWS)) or 1, 3, basket).alias("_pack"))
+             .agg(F.collect_list(basket).alias("_baskets"), F.collect_list(item).alias("_items"),
+                  F.collect_list("_copies").alias("_copies")))
+    other, groups = F.col("_other"), ["_lo", "_hi", "_slice"]
+    cells = (packs.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(classes - 1))))
+             .select(F.least("_own", other).alias("_lo"), F.greatest("_own", other).alias("_hi"), "_slice", "_own", "_baskets",
+                     "_items", "_copies")
+             .repartition(min(classes * (classes + 1) // 2 * slices, 1024), *groups))
+    least = min_count if slices == 1 else 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _count_pairs(batches, least)
+
+    kind = folded.schema[item].dataType.simpleString()
+    counted = cells.groupBy(*groups).applyInArrow(count, f"item1 {kind}, item2 {kind}, cooccur_count long")
+    if slices > 1:
+        tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-n_pairs // SLICE_PAIRS))
+        counted = (counted.repartition(tasks, "item1", "item2").groupBy("item1", "item2")
+                   .agg(F.sum("cooccur_count").alias("cooccur_count")).where(F.col("cooccur_count") >= F.lit(min_count)))
+    return counted

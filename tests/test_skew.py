@@ -146,3 +146,41 @@ def test_hot_basket_pairs_match_plain_count(spark, monkeypatch):
     sizes = pdf[pdf.basket < 40].groupby("basket").size()
     assert (out.small_baskets, out.large_baskets) == ((sizes < 5).sum(), (sizes > 100).sum())
     assert (out.small_rows, out.large_rows) == (sizes[sizes < 5].sum(), sizes[sizes > 100].sum())
+
+
+def test_pairs_are_counted_without_being_shuffled(spark, monkeypatch):
+    """Pairs in large baskets come out of their group counted: no exchange above it, and no task pairs more than two blocks."""
+    import random
+    from collections import Counter
+    from itertools import combinations
+
+    from hamper.operators import cooccurrence as C
+
+    rng = random.Random(7)
+    rows = [(b, f"i{rng.randrange(60)}", n) for b in range(30) for n in range(rng.randint(20, 60))]
+    rows += [(b, "everywhere", 99) for b in range(30)]
+    df = spark.createDataFrame(rows, "basket long, item string, position int")
+    bags = {}
+    for b, i, _ in rows:
+        bags.setdefault(b, Counter())[i] += 1
+    want = Counter()
+    for bag in bags.values():
+        for x, y in combinations(sorted(bag), 2):
+            want[x, y] += bag[x] * bag[y]
+    count = lambda: C.cooccurrence(df, max_size=None, min_count=2)
+    got = lambda out: {(r.item1, r.item2): r.cooccur_count for r in out.collect()}
+    n = sum(map(len, bags.values()))
+    layouts = []
+    plain = C._layout
+    monkeypatch.setattr(C, "_layout", lambda *a: layouts.append(plain(*a)) or layouts[-1])
+    for block, pairs, classes in ((n // 3, 1000, 4), (n // 20, 1000, 4), (n // 20, 1000, 64), (10 ** 6, 10 ** 6, 4)):
+        monkeypatch.setattr(C, "BLOCK_ITEMS", block)
+        monkeypatch.setattr(C, "SLICE_PAIRS", pairs)
+        monkeypatch.setattr(C, "_CHUNK", 50)
+        monkeypatch.setattr(C, "MAX_CLASSES", classes)
+        out = count()
+        assert got(out) == {p: c for p, c in want.items() if c >= 2}
+        if layouts[-1][3] == 1:
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert plan.index("FlatMapGroupsInArrow") < plan.index("Exchange")
+    assert {(k > 1, s > 1) for _, _, k, s in layouts} == {(True, False), (True, True), (False, True), (False, False)}
