@@ -35,7 +35,7 @@ from hamper.llm.common import trim
 MARK = "▁"
 OWN_MARK = "\udb81"      # stands for a MARK of the text; no UTF-8 text holds a lone surrogate
 UNKNOWN_PENALTY = 10.0
-CACHE_SPANS = 250_000   # of each of two generations; about 240 bytes each, in a Python worker
+CACHE_SPANS = 175_000   # of each of two generations; about 240 bytes each, in a Python worker
 CACHE_CHARS = 48        # longer spans are not kept
 
 
