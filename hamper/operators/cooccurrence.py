@@ -142,6 +142,10 @@ def cooccurrence(df: DataFrame, basket: str = "basket", item: str = "item", min_
     if min_count > 1:
         folded = materialize(folded.join(possible_partners(folded, min_count, basket, item), item, "left_semi"))
     n_rows, n_pairs, classes, slices = _layout(folded, basket, item)
+    if n_pairs <= SLICE_PAIRS:   # a task could hold them all: one join, no Python workers
+        side = lambda n: folded.select(basket, F.col(item).alias(f"item{n}"), F.col("_copies").alias(f"_c{n}"))
+        return (side(1).join(side(2), basket).where("item1 < item2").groupBy("item1", "item2")
+                .agg(F.sum(F.col("_c1") * F.col("_c2")).alias("cooccur_count")).where(F.col("cooccur_count") >= F.lit(min_count)))
     part = lambda n, salt, c: F.pmod(F.xxhash64(F.col(c), F.lit(salt)), F.lit(n).cast("long")).cast("int")
     packs = (folded.groupBy(part(classes, 1, item).alias("_own"), part(slices, 2, basket).alias("_slice"),
                             part(-(-n_rows // (classes * slices * PACK_ROWS)) or 1, 3, basket).alias("_pack"))

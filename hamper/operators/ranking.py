@@ -144,9 +144,10 @@ def recommend_popular(baskets: DataFrame, seen: DataFrame, ranked: DataFrame, ba
     many = F.coalesce(F.size("_near") > F.lit(NEAR), F.lit(False))
     held = F.coalesce("_near", F.array().cast("array<bigint>"))
     upto = F.least(F.lit(k) + F.size(held), F.lit(n_cand)).cast("bigint")
-    ranks = F.when(upto > 0, F.slice(F.array_except(F.sequence(F.lit(1).cast("bigint"), upto), held), 1, k))
-    top = (_gathered(asked.where(~many), basket, k).select(basket, F.posexplode(ranks).alias("_at", cand_rank))
-           .select(basket, cand_rank, (F.col("_at") + 1).cast("bigint").alias(out)))
+    ranks = F.when(upto > 0, F.array_except(F.sequence(F.lit(1).cast("bigint"), upto), held))
+    w = Window.partitionBy(basket).orderBy(F.col(cand_rank))   # where the rows already are
+    top = (_gathered(asked.where(~many), basket, k).select(basket, F.explode(ranks).alias(cand_rank))
+           .withColumn(out, F.row_number().over(w).cast("bigint")).where(F.col(out) <= F.lit(k)))
     recs = top.join(first, cand_rank).select(basket, item, out)
     heavy = asked.where(many).select(basket)
     if heavy.isEmpty():
