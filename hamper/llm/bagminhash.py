@@ -14,12 +14,15 @@ point lies above all components so far are never opened. Two documents agree in
 with probability equal to their weighted Jaccard similarity; the work is about one point per
 shingle plus m log m, not m per shingle.
 
-Job (``near_duplicates``): equal multisets collapse to one node; signatures are banded; each
+Job (``near_duplicates``): equal multisets collapse to one node; signatures are banded, and of the
+bands only those that pass a Bloom filter of the shared buckets are moved to them; each
 node is verified against the most central node it shares a bucket with, which gives a forest
 whose trees are joined by pointer jumping; buckets that still hold several trees are
 compared in bounded tiles, tree against tree, and what those links join is merged. So every
 pair that shares a bucket ends up in one class or has been verified not to be similar, and
-no bucket is expanded into all its pairs if its members are already one class.
+no bucket is expanded into all its pairs if its members are already one class. Bands are cut
+from the stored signatures when they are needed, multisets are made from the texts where they
+are compared, and stored rows that all readers have read are deleted while the job runs.
 """
 
 from __future__ import annotations
@@ -29,21 +32,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hamper.llm.common import drop_rows, stage, trim
-from hamper.session import materialize_bucketed
+from hamper.llm.url_filter import build_bloom, possible_hits
+from hamper.session import drop_folders, materialize_bucketed, recorded_scratch
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 M = BANDS * ROWS
+BAND_BITS = (BANDS - 1).bit_length()   # the low bits of a bucket name its band
 #: A pair at the threshold agrees in 0.8 * M components, with a standard deviation of 0.032;
 #: pairs whose signatures agree in fewer than this share are five deviations below.
 LEAST_AGREEMENT = 0.64
 TILE = 256              # members of a bucket compared at a time, on either side
 BROADCAST_ROWS = 1_000_000
+BLOOM_KEYS = 25_000_000  # at 16 bits a key, a filter of 56 MB at most: one that is overfull lets more pass
 BATCH_BYTES = 1 << 20   # text handled at a time: a Python worker's arrays hold some 60 bytes per byte
 U = np.uint64
 
@@ -154,10 +160,10 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return both / every if every else 0.0
 
 
-def _batches(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
-    """(first row, texts) in slices of about BATCH_BYTES; the last column holds the text."""
+def _batches(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of a column of texts, in slices of about BATCH_BYTES."""
     start, held, texts = 0, 0, []
-    for i, t in enumerate(batch.column(batch.num_columns - 1)):
+    for i, t in enumerate(column):
         texts.append(t.as_buffer().to_pybytes() if t.is_valid else b"")
         held += len(texts[-1])
         if held >= BATCH_BYTES:
@@ -167,6 +173,15 @@ def _batches(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
         yield start, texts
 
 
+def _multisets(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(sorted distinct hashes, multiplicities) of each text."""
+    for _, texts in _batches(column):
+        doc, h, c = shingles(texts)
+        at = _split(doc, len(texts))
+        for a, b in zip(at[:-1], at[1:]):
+            yield h[a:b], c[a:b]
+
+
 def _split(doc: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(doc, np.arange(n + 1))
 
@@ -178,51 +193,37 @@ def _key(h: np.ndarray, c: np.ndarray) -> bytes:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start, texts in _batches(batch):
+        for start, texts in _batches(batch.column(1)):
             n = len(texts)
             doc, h, c = shingles(texts)
             at = _split(doc, n)
             points = signatures(doc, h, c, n)
-            bits = mix(points.view(np.uint64))
-            band = np.zeros((n, BANDS), np.uint64)
-            for r in range(ROWS):
-                band = mix(band * U(0x9E3779B97F4A7C15) + bits[:, r::ROWS][:, :BANDS])
-            band = mix(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
             full = at[1:] > at[:-1]
             keys = [_key(h[a:b], c[a:b]) if b > a else None for a, b in zip(at[:-1], at[1:])]
-            sig = bits.astype(np.uint16)
+            sig = mix(points.view(np.uint64)).astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(start, n), pa.array(keys, pa.binary()),
-                 pa.array([sig[i].tobytes() if full[i] else None for i in range(n)], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(band.reshape(-1)))],
-                names=["doc_id", "key", "sig", "bands"])
+                 pa.array([sig[i].tobytes() if full[i] else None for i in range(n)], pa.binary())],
+                names=["doc_id", "key", "sig"])
     trim()
 
 
-def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the name of their multiset; those without shingles have none."""
     for batch in batches:
-        for _, texts in _batches(batch):
-            doc, h, c = shingles(texts)
-            at = _split(doc, len(texts))
-            spans = [(a, b) for a, b in zip(at[:-1], at[1:]) if b > a]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_key(h[a:b], c[a:b]) for a, b in spans], pa.binary()),
-                 pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()),
-                 pa.array([c[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())],
-                names=["key", "hashes", "counts"])
+        keys = [_key(h, c) if len(h) else None for h, c in _multisets(batch.column(0))]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column(0)], names=["key", "text"])
     trim()
 
 
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ah, ac, bh, bc = (batch.column(i) for i in range(2, 6))
-            sims = [weighted_jaccard((np.frombuffer(a.as_buffer(), U), np.frombuffer(x.as_buffer(), np.uint32)),
-                                     (np.frombuffer(b.as_buffer(), U), np.frombuffer(y.as_buffer(), np.uint32)))
-                    for a, x, b, y in zip(ah, ac, bh, bc)]
+            sims = [weighted_jaccard(a, b) for a, b in zip(_multisets(batch.column(2)), _multisets(batch.column(3)))]
             good = pa.array(np.array(sims) >= similarity)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims, pa.float64())],
                                              names=["a", "b", "similarity"]).filter(good)
+        trim()
     return run
 
 
@@ -258,14 +259,14 @@ def _tile_matches(t: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     names, root = np.unique(np.array(t["root"].to_pylist(), object), return_inverse=True)
     left = t["left"].to_numpy().astype(bool)
     sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(-1, M)
-    bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
     bucket = t["bucket"].to_numpy()
+    bands, band = sig.reshape(-1, BANDS, ROWS), bucket & ((1 << BAND_BITS) - 1)
     right = np.flatnonzero(~left)
     for i in np.flatnonzero(left):
         near = right[((sig[right] == sig[i]).mean(1) >= LEAST_AGREEMENT) & (root[right] != root[i]) & (bucket[right] == bucket[i])]
         if len(near):
-            shared = bands[near] == bands[i]
-            near = near[bands[i][shared.argmax(1)] == bucket[i]]
+            shared = (bands[near] == bands[i]).all(2)
+            near = near[shared.argmax(1) == band[i]]
             if len(near):
                 yield i, near
 
@@ -289,40 +290,69 @@ def _tile_links(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _by_tile(batches):
             keys = t["key"].to_pylist()
-            bags = [(np.frombuffer(h, U), np.frombuffer(c, np.uint32))
-                    for h, c in zip(t["hashes"].to_pylist(), t["counts"].to_pylist())]
+            bags = list(_multisets(t["text"]))
             found = [(keys[i], keys[j]) for i, near in _tile_matches(t) for j in near
                      if weighted_jaccard(bags[i], bags[j]) >= similarity]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()),
                                                   pa.array([b for _, b in found], pa.binary())], names=["a", "b"])
+        trim()
     return run
 
 
 PAIR = "a binary, b binary"
 
 
-def _bags(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(key, hashes, counts): the multisets of the nodes in ``wanted`` (distinct keys)."""
+def _possible(rows: DataFrame, column: str, wanted: DataFrame, n_wanted: int) -> DataFrame:
+    """The rows whose ``column`` may be in ``wanted`` (one column): a broadcast Bloom filter rules out
+    most others where they are, so that they are not moved to a join."""
+    bloom, n_blocks = build_bloom(wanted.toDF("key"), min(n_wanted, BLOOM_KEYS))
+    return possible_hits(rows.withColumnRenamed("key", "_key").withColumnRenamed(column, "key"), bloom, n_blocks) \
+        .withColumnRenamed("key", column).withColumnRenamed("_key", "key")
+
+
+def _buckets() -> list[Column]:
+    """The buckets of column ``sig``: a hash of each band's components, whose low bits name the band."""
+    width = 2 * ROWS
+    return [F.shiftleft(F.xxhash64(F.substring("sig", b * width + 1, width)), BAND_BITS).bitwiseOR(F.lit(b).cast("long"))
+            for b in range(BANDS)]
+
+
+def _shared_bands(nodes: DataFrame) -> DataFrame:
+    """(bucket, key, n): the bands of nodes that fall into a bucket of n > 1 nodes."""
+    banded = nodes.select("key", F.explode(F.array(*_buckets())).alias("bucket"))
+    shared = stage(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "near-buckets")
+    hits = _possible(banded, "bucket", shared.select("bucket"), shared.count())
+    return stage(hits.join(shared, "bucket").select("bucket", "key", "n"), "near-held")
+
+
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, text): a text of each node in ``wanted`` (distinct keys). Their words take less room than
+    the hashes of their shingles, so multisets are made of them where they are compared."""
     wanted = stage(wanted.join(nodes.select("key", "rep"), "key"), "near-wanted")
     ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    if wanted.count() <= BROADCAST_ROWS:   # 8 bytes a row; else a shuffled join
+    n = wanted.count()
+    if n <= BROADCAST_ROWS:   # 8 bytes a row; else a shuffled join of the texts that a filter lets pass
         ids = F.broadcast(ids)
-    bags = (docs.join(ids, "doc_id", "left_semi").select("text")
-            .mapInArrow(_multisets, "key binary, hashes binary, counts binary"))
-    # an id that repeats brings texts nobody asked for, copies bring the same bag again
-    return materialize_bucketed(bags.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "key")
+    else:
+        docs = _possible(docs, "doc_id", ids, n)
+    texts = (docs.join(ids, "doc_id", "left_semi").select(F.col("text").cast("binary").alias("text"))
+             .mapInArrow(_keyed, "key binary, text binary"))
+    # an id that repeats brings texts nobody asked for, copies bring the same multiset again
+    return materialize_bucketed(texts.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "key")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b, similarity) among candidate pairs, by the exact multisets of their texts."""
-    bags = _bags(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), nodes, docs)
-    side = lambda df, k: df.select(F.col("key").alias(k), F.col("hashes").alias(f"h{k}"),
-                                   F.col("counts").alias(f"c{k}"))
-    # many pairs may share their first member: its bag is no bucketed side, so that a hot one is split
-    firsts = stage(bags.join(pairs.select(F.col("a").alias("key")).distinct(), "key", "left_semi"), "near-firsts")
-    return stage(pairs.join(side(firsts, "a"), "a").join(side(bags, "b"), "b").select("a", "b", "ha", "ca", "hb", "cb")
-                 .mapInArrow(_verify(similarity), PAIR + ", similarity double"), "near-links")
+    with recorded_scratch() as read:
+        texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), nodes, docs)
+        # many pairs may share their first member: its text is no bucketed side, so that a hot one is split
+        firsts = stage(texts.join(pairs.select(F.col("a").alias("key")).distinct(), "key", "left_semi"), "near-firsts")
+    side = lambda df, k: df.select(F.col("key").alias(k), F.col("text").alias(f"t{k}"))
+    links = stage(pairs.join(side(firsts, "a"), "a").join(side(texts, "b"), "b").select("a", "b", "ta", "tb")
+                  .mapInArrow(_verify(similarity), PAIR + ", similarity double"), "near-links")
+    drop_folders(docs.sparkSession, read)
+    return links
 
 
 def _roots(parents: DataFrame) -> DataFrame:
@@ -376,14 +406,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     named = rows.where("doc_id is not null")
-    signed = stage(named.mapInArrow(_sign, "doc_id long, key binary, sig binary, bands array<bigint>"), "near-signed")
+    with recorded_scratch() as read:
+        signed = stage(named.mapInArrow(_sign, "doc_id long, key binary, sig binary"), "near-signed")
     # bucketed by key: what joins the signatures below brings its own few rows to them
     nodes = materialize_bucketed(
         signed.where("key is not null").groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "key")
-    banded = nodes.select("key", F.explode("bands").alias("bucket"))
-    shared = stage(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "near-buckets")
-    held = stage(banded.join(shared, "bucket").select("bucket", "key", "n"), "near-held")
+        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "key")
+    keys = stage(signed.select("doc_id", "key"), "near-keys")
+    drop_folders(docs.sparkSession, read)
+    held = _shared_bands(nodes)
 
     # first pass: each node against the most central node it shares a bucket with. The text that
     # a family of near copies was made from shares more buckets with them than they do with
@@ -424,12 +455,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def in_tiles(df: DataFrame) -> DataFrame:
         return df.repartition("tile").sortWithinPartitions("tile")
-    signed_rows = tiles.join(nodes.select("key", "sig", "bands"), "key").select(*tiles.columns, "sig", "bands")
+    signed_rows = tiles.join(nodes.select("key", "sig"), "key").select(*tiles.columns, "sig")
     survivors = stage(in_tiles(signed_rows).mapInArrow(_survivors, MEMBER), "near-survivors")
-    bags = _bags(survivors.select("key").distinct(), nodes, named)
-    full_rows = (survivors.join(nodes.select("key", "sig", "bands"), "key").join(bags, "key")
-                 .select(*tiles.columns, "sig", "bands", "hashes", "counts"))
+    with recorded_scratch() as read:
+        texts = _texts(survivors.select("key").distinct(), nodes, named)
+    full_rows = survivors.join(nodes.select("key", "sig"), "key").join(texts, "key").select(*tiles.columns, "sig", "text")
     more = stage(in_tiles(full_rows).mapInArrow(_tile_links(similarity), PAIR).distinct(), "near-second")
+    drop_folders(docs.sparkSession, read)
 
     # trees joined by the second pass's links
     root_of = lambda k: trees.select(F.col("key").alias(k), F.col("root").alias(f"r{k}"))
@@ -443,7 +475,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # stored, so that the members of a large class meet its name in a join that can be split
     named_class = stage(in_class.groupBy("top").agg(F.min("rep").alias("class_id")), "near-names")
     classes = stage(in_class.join(named_class, "top").select("key", "class_id"), "near-classes")
-    done = signed.select("doc_id", "key").join(classes, "key", "left").select(
+    done = keys.join(classes, "key", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     nameless = rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"))
     return done.unionByName(nameless).select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))

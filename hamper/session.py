@@ -84,13 +84,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def recorded_scratch() -> Iterator[list[str]]:
-    """The scratch folders that are made inside the ``with`` block, for ``drop_folders``."""
+    """The scratch folders that are made inside the ``with`` block, for ``drop_folders``. Blocks may nest."""
     folders: list[str] = []
     _RECORDS.append(folders)
     try:
         yield folders
     finally:
-        _RECORDS.remove(folders)
+        _RECORDS[:] = [r for r in _RECORDS if r is not folders]   # an outer record may hold the same names
 
 
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:

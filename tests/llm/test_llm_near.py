@@ -1,11 +1,13 @@
 """BagMinHash: unbiased estimates; classes equal all-pairs brute force."""
 
+import os
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
 
 from hamper.llm import bagminhash as X
+from hamper.session import recorded_scratch
 
 SCHEMA = "doc_id long, text string, key string, gone int"
 
@@ -90,6 +92,68 @@ def test_shuffled_join_instead_of_broadcast(spark, monkeypatch):
     assert sorted(map(tuple, classes(spark, rows)[1].select("doc_id", "class_id").collect()), key=repr) == brute(rows)
 
 
+def test_overfull_filter_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(X, "BLOOM_KEYS", 1)     # a filter that lets nearly every band and text pass
+    monkeypatch.setattr(X, "BROADCAST_ROWS", 0)
+    rows = corpus(12)
+    assert sorted(map(tuple, classes(spark, rows)[1].select("doc_id", "class_id").collect()), key=repr) == brute(rows)
+
+
+def unlike(n, words=60):
+    rng = random.Random(n)
+    return [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(words))) for i in range(n)]
+
+
+def rows_shuffled(df):
+    """Rows that the run of ``df`` wrote for its shuffles."""
+    df.collect()
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                n += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return n
+
+
+def test_bands_of_unlike_texts_are_not_moved_to_the_shared_buckets(spark, monkeypatch):
+    """All 32 bands of every document were shuffled a second time, to the few buckets that are
+    shared, as soon as those were too many to broadcast."""
+    real, moved = X.stage, []
+
+    def stage(df, name, *more):
+        if name == "near-held":
+            moved.append(rows_shuffled(df))
+        return real(df, name, *more)
+    monkeypatch.setattr(X, "stage", stage)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = unlike(1500)
+        rng = random.Random(2)
+        rows += [(5000 + i, near(rows[i][1], rng, 1)) for i in range(5)]
+        assert sorted(map(tuple, classes(spark, rows)[1].select("doc_id", "class_id").collect()), key=repr) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(moved) == 1 and moved[0] < 3000      # of 48,160 bands
+
+
+def test_a_signature_is_stored_once(spark):
+    """Signatures and their bands (576 bytes a document) stayed on disk twice, to the end."""
+    rows = unlike(2000)
+    with recorded_scratch() as folders:
+        assert classes(spark, rows)[1].count() == len(rows)
+    files = [os.path.join(at, f) for path in folders for at, _, names in os.walk(path.removeprefix("file:"))
+             for f in names if f.endswith(".parquet")]
+    assert 0 < sum(map(os.path.getsize, files)) / len(rows) < 700
+
+
 def test_empty_and_unlinked_tables(spark):
     assert classes(spark, [])[1].count() == 0
     rows = [(1, "one text"), (2, "another text"), (3, None)]
