@@ -2,14 +2,16 @@
 
 Vectors are sparse rows of integer weights: a term is a component with a weight other than
 zero. Candidates are packed, partition by partition, into blocks of postings (term ->
-rows of the block, weights); queries into blocks of sparse rows. The query blocks are sent to every candidate block, which is
-itself moved once. In a meeting the query terms are taken one at a time: the term's
+rows of the block, weights); queries into blocks of sparse rows. Up to ``CELL`` candidate blocks form a
+cell; each block is moved once, and the query blocks are shuffled to every cell (never
+broadcast: the driver holds the block numbers only). In a meeting the query terms are taken one at a time: the term's
 weighted postings are scattered into a dense score array (queries x candidates of the
-block), then each query keeps its k best by partition selection. The k best of all blocks
+block), then each query keeps its k best by partition selection. Terms that many rows of the
+block hold are taken ``TERMS`` at a time: their postings, zeros between them, are a matrix. The k best of all blocks
 are merged by rank, so at most k rows per query and candidate block are shuffled.
 
-Scores are exact whatever the weights: a meeting whose sums could leave a long's range adds up
-unbounded integers instead.
+Scores are exact whatever the weights: doubles add up whole numbers below 2**53 only, and a meeting whose
+sums could leave a long's range adds up unbounded integers.
 """
 
 from __future__ import annotations
@@ -25,7 +27,11 @@ from hamper.llm.common import stage
 
 CANDIDATES = 8192   # rows of a candidate block
 QUERIES = 256       # rows of a query block: the score array holds 256 x 8192 longs, 16 MB
+CELL = 4            # candidate blocks that one copy of the queries meets
+TERMS = 128         # common terms accumulated in one go
+COMMON = 16         # a term is common if one of so many rows of the block holds it
 LONG = 1 << 63
+WHOLE = 1 << 53     # up to here doubles hold every whole number
 
 
 def quantize(vector: Column, scale: int = 256) -> Column:
@@ -106,6 +112,19 @@ def _best(s: np.ndarray, k: int) -> np.ndarray:
     return np.r_[above, equal[: k - len(above)]]
 
 
+def _common_scores(terms: list[int], q_post: dict, c_post: dict, n_q: int, n_c: int) -> np.ndarray:
+    """Scores (queries x candidates) from these terms alone: whole numbers, added up as doubles."""
+    scores = np.zeros((n_q, n_c))
+    for k in range(0, len(terms), TERMS):
+        some = terms[k:k + TERMS]
+        q, c = np.zeros((n_q, len(some))), np.zeros((len(some), n_c))
+        for n, term in enumerate(some):
+            q[q_post[term][0], n] = q_post[term][1]
+            c[n, c_post[term][0]] = c_post[term][1]
+        scores += q @ c
+    return scores.astype(np.int64)
+
+
 MEETING = "query_id long, vec_id long, high long, low long"   # score = high * 2**63 + low
 
 
@@ -117,12 +136,17 @@ def _meet(k: int):
                 r = batch.slice(i, 1).to_pylist()[0]
                 q_ids, _, q_post = _unpack(r, "q")
                 c_ids, c_null, c_post = _unpack(r, "c")
-                wide = _largest(q_post) * _largest(c_post) * max(1, len(q_post)) >= LONG
-                scores = np.zeros((len(q_ids), len(c_ids)), object if wide else np.int64)
-                for term, (q_at, q_weight) in q_post.items():
-                    if term not in c_post:
-                        continue
-                    c_at, c_weight = c_post[term]
+                most = _largest(q_post) * _largest(c_post) * max(1, len(q_post))
+                wide = most >= LONG
+                shared = [t for t in q_post if t in c_post]
+                if most < WHOLE:
+                    common = [t for t in shared if len(c_post[t][0]) * COMMON >= len(c_ids)]
+                    scores = _common_scores(common, q_post, c_post, len(q_ids), len(c_ids))
+                    shared = [t for t in shared if len(c_post[t][0]) * COMMON < len(c_ids)]
+                else:
+                    scores = np.zeros((len(q_ids), len(c_ids)), object if wide else np.int64)
+                for term in shared:
+                    (q_at, q_weight), (c_at, c_weight) = q_post[term], c_post[term]
                     if wide:
                         q_weight, c_weight = q_weight.astype(object), c_weight.astype(object)
                     if len(c_at) == len(c_ids):  # the term occurs in every row of the block, in order
@@ -170,13 +194,18 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str =
                   "topk-queries")
     blocks = max(1, -(-asked.count() // QUERIES))
     asking = stage(asked.repartition(blocks).mapInArrow(_pack(QUERIES), PACKED), "topk-asking")
-    # the stated query set meets all candidates in blocks: every query block goes to every candidate
-    # block, which stays whole; the list of blocks has one number for thousands of candidates
-    every = cand.agg(F.collect_list("block")).scalar()
-    sent = (asking.select(*(F.col(c).alias(f"q_{c}") for c in asking.columns), every.alias("every"))
-            .withColumn("c_block", F.explode("every")).drop("every"))
-    held = cand.select(*(F.col(c).alias(f"c_{c}") for c in cand.columns))
-    found = sent.join(held, "c_block").mapInArrow(_meet(k), MEETING)
+    # the stated query set meets all candidates in blocks: a copy of it goes to every cell of candidate
+    # blocks, which stay whole; the list of blocks has one number for thousands of candidates
+    every = cand.agg(F.sort_array(F.collect_list("block"))).scalar()
+    n_blocks = cand.count()
+    tasks = int(cand.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    cells = max(1, -(-n_blocks // CELL), min(n_blocks, tasks))
+    sent = asking.select(F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"),
+                         *(F.col(c).alias(f"q_{c}") for c in asking.columns if c != "block"))
+    held = cand.select(((F.array_position(every, F.col("block")) - 1) % cells).cast("int").alias("cell"),
+                       *(F.col(c).alias(f"c_{c}") for c in cand.columns if c != "block"))
+    # merged, so that no side is collected on the driver: the copies grow with both sides
+    found = sent.hint("merge").join(held, "cell").mapInArrow(_meet(k), MEETING)
     best = Window.partitionBy("query_id").orderBy(F.col("high").desc(), F.col("low").desc(), F.col("vec_id").asc_nulls_last())
     score = (F.when(F.col("high") == 0, F.col("low")).when(F.col("high") == -1, F.col("low") + F.lit(-LONG))
              .when(F.col("high") > 0, F.lit(LONG - 1)).otherwise(F.lit(-LONG)))
